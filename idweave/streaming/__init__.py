@@ -1,0 +1,6 @@
+"""Streaming.
+
+The job this package rebuilds has no streaming part: no stream source,
+watermark, window or state. Its ``daily`` process type is an empty branch
+(see ``idweave.plans.run``). Nothing is added here on purpose.
+"""
