@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# No CSV field is ever this character, so only an unquoted empty field is NULL.
+_NO_NULL_TEXT = "\u0000"
 
-def scan_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
+
+def scan_csv(spark: SparkSession, path: str, schema=None, null_value: str | None = None) -> DataFrame:
     """CSV with header, comma delimiter, ``"`` as quote and as escape.
 
+    An unquoted empty field reads as NULL and a quoted one (``""``) as the
+    empty string, so the two stay apart through a write/read round trip.
     Without a schema every column is text (no inference pass over the data).
-    The timestamp format matches what ``export_requests`` writes.
     """
     reader = (spark.read.option("header", True).option("delimiter", ",")
               .option("quote", '"').option("escape", '"')
+              .option("emptyValue", "")
+              .option("nullValue", _NO_NULL_TEXT if null_value is None else null_value)
               .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
     if schema is not None:
         reader = reader.schema(schema)
