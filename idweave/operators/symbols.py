@@ -59,6 +59,41 @@ def ticker_requests(df: DataFrame, rules: dict = TICKER_RULES, mode: str = "alwa
     return valid_requests(out) if valid_only else out
 
 
+def symbol_requests(df: DataFrame, rules: dict = TICKER_RULES, ticker_mode: str = "always",
+                    date_col: str = "trade_date_local", keep_input: bool = False) -> DataFrame:
+    """SEDOL and local-ticker requests of every row in one pass.
+
+    Each row yields up to two requests (an ``explode`` of a two-element array,
+    invalid symbols filtered inside the array), so the input is read once. With
+    ``keep_input`` every input column rides along, which lets the lookup return
+    whole result rows without joining back by ``DATA_ID``.
+    """
+    symbol, base = local_ticker(F.col("ticker"), F.col("sec_currency"), rules, ticker_mode)
+    sed = F.struct(F.lit(PREFIX_SEDOL).alias("prefix"), F.col("sedol").alias("SYMBOL_NAME"),
+                   F.lit(None).cast("string").alias("SYMBOL_NAME_BASE"))
+    tick = F.when(F.col("sec_currency").isin(list(rules)),
+                  F.struct(F.lit(PREFIX_TICKER).alias("prefix"), symbol.alias("SYMBOL_NAME"),
+                           base.alias("SYMBOL_NAME_BASE")))
+    wanted = F.filter(F.array(sed, tick), lambda r: r.isNotNull() & r["SYMBOL_NAME"].isNotNull()
+                      & (r["SYMBOL_NAME"] != F.lit("")))
+    d = F.col(date_col)
+    exploded = df.withColumn("_r", F.explode(wanted))
+    req = {
+        "prefix": F.col("_r.prefix"),
+        "order_start_date": day_start(d),
+        "order_end_date": day_end(d),
+        "sym_date": d.cast("date"),
+        "SYMBOL_NAME": F.col("_r.SYMBOL_NAME"),
+        "SYMBOL_NAME_BASE": F.col("_r.SYMBOL_NAME_BASE"),
+    }
+    if keep_input:
+        return exploded.withColumns(req).drop("_r")
+    return exploded.select(
+        "DATA_ID", req["prefix"].alias("prefix"), "sec_id",
+        F.col("sec_currency").alias("currency"), "ticker", "sedol",
+        *[v.alias(k) for k, v in req.items() if k != "prefix"])
+
+
 def batch_requests(df: DataFrame, size: int, id_col: str = "DATA_ID") -> DataFrame:
     """Add ``batch_no`` = (dense rank of the id - 1) div ``size``.
 

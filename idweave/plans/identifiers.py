@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
 from ..fixtures import Sources
 from ..functions.columns import prefix_columns, tag
-from ..operators import (assign_ids, attach_symbols, dedup_allocations, filter_allocations,
-                         join_reference, join_snapshot, lookup_symbols, merge_responses,
-                         previous_snapshot, sedol_requests, ticker_requests)
+from ..operators import (assign_ids, dedup_allocations, filter_allocations, join_reference,
+                         join_snapshot, lookup_symbols, previous_snapshot, symbol_requests)
 
 TIE_KEYS = ("order_id", "line_no", "acct_id")
 
@@ -38,11 +37,16 @@ def enriched_historic(src: Sources, offset_days: int = 1, how: str = "inner",
 
 def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days: int = 1,
                          how: str = "inner", keys=DEDUP_KEYS_3) -> DataFrame:
+    """Enriched rows joined to every symbol-table answer of their requests.
+
+    Same rows as ``attach_symbols(enriched, responses)``, but requests carry
+    the enriched columns, so the enriched frame is computed once and there is
+    no join back by ``DATA_ID``.
+    """
     enriched = enriched_historic(src, offset_days, how, keys)
-    responses = merge_responses(
-        lookup_symbols(sedol_requests(enriched), src.symbology),
-        lookup_symbols(ticker_requests(enriched, mode=ticker_mode), src.symbology))
-    return attach_symbols(enriched, responses)
+    requests = symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True)
+    carry = [c for c in enriched.columns if c != "DATA_ID"]
+    return lookup_symbols(requests, src.symbology, carry=carry)
 
 
 def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2) -> DataFrame:
