@@ -17,8 +17,15 @@ from .functions.tickers import local_ticker
 from .constants import TICKER_RULES, PREFIX_SEDOL, PREFIX_TICKER
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The given read-only table; the scan (schema read) is set up once per session."""
+    key = (str(spark.sparkContext.applicationId), f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def _by_mod(c: Column, mod: int, values: list[str], default: str) -> Column:

@@ -55,16 +55,18 @@ snap AS (
 )"""
 
 
-def _ref(name: str, src: str) -> str:
+def _ref(name: str, src: str, offset: int = 1) -> str:
     return f"""
 {name} AS (
   SELECT sec_id, file_eff_dt, parent_id_undr, sedol_id, ticker, isin_id,
-         CAST(try_strptime(CAST(file_eff_dt AS VARCHAR), '%Y%m%d') AS DATE) - 1 AS match_date
+         CAST(try_strptime(CAST(file_eff_dt AS VARCHAR), '%Y%m%d') AS DATE) - ({offset})
+           AS match_date
   FROM {src}
 )"""
 
 
 REFS = _ref("eq", "ref_equity") + "," + _ref("fu", "ref_fund")
+REFS_PREV_DAY = _ref("eq", "ref_equity", -1) + "," + _ref("fu", "ref_fund", -1)
 
 
 def _enrich(name: str, base: str, key: str, date: str, cols: str) -> str:
@@ -196,6 +198,8 @@ ORACLES: dict[str, str] = {
     "audit_missing_any": _chain(HIST_VIEWS, FILTERED, DEDUP3, IDED, PREV, SNAP)
     + " SELECT * FROM snap WHERE ext_sec_id IS NULL OR sedol IS NULL OR ticker IS NULL",
     "join_reference": _chain(HIST_VIEWS, *HIST) + " SELECT * FROM enriched",
+    "join_reference_previous_day": _chain(HIST_VIEWS, FILTERED, DEDUP3, IDED, PREV, SNAP,
+                                          REFS_PREV_DAY, ENRICHED) + " SELECT * FROM enriched",
     "sedol_requests": _chain(HIST_VIEWS, *HIST, SED_REQ) + f" SELECT * FROM sed_req WHERE {VALID}",
     "ticker_requests": _chain(HIST_VIEWS, *HIST, TICK_REQ)
     + f" SELECT * FROM tick_req WHERE {VALID}",

@@ -1,5 +1,5 @@
 """Assembled jobs."""
 
-from .identifiers import identifiers_historic, identifiers_same_day, run
+from .identifiers import identifiers_historic, identifiers_same_day, publish_identifiers, run
 
-__all__ = ["identifiers_historic", "identifiers_same_day", "run"]
+__all__ = ["identifiers_historic", "identifiers_same_day", "publish_identifiers", "run"]

@@ -59,6 +59,31 @@ def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2)
                           key="alloc_sec_id", date_col="alloc_trade_date_est")
 
 
+def publish_identifiers(src: Sources, table: str, path: str | None = None,
+                        **options) -> dict[str, int]:
+    """Build the historic result and replace ``table`` with it in one action.
+
+    Stage row counts are collected with ``observe`` during that same action
+    (no extra pass) and returned.
+    """
+    from ..operators import observe_count
+    from ..sinks import publish
+
+    enriched, obs_enriched = observe_count(
+        enriched_historic(src, options.get("offset_days", 1), options.get("how", "inner")),
+        "enriched")
+    requests = symbol_requests(enriched, ticker_mode=options.get("ticker_mode", "always"),
+                               keep_input=True)
+    requests, obs_requests = observe_count(requests, "requests")
+    carry = [c for c in enriched.columns if c != "DATA_ID"]
+    result, obs_result = observe_count(
+        tag(lookup_symbols(requests, src.symbology, carry=carry), process_type="historic"),
+        "result")
+    publish(result, table, path=path)
+    return {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
+            "result": obs_result.get["rows"]}
+
+
 def run(process_type: str, src: Sources, **options) -> DataFrame | None:
     """``historic`` builds the result; ``daily`` does nothing; anything else fails."""
     if process_type == "historic":

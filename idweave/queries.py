@@ -130,6 +130,15 @@ def join_reference_q(spark, sf_dir):
     return _enriched(spark, sf_dir)
 
 
+@query
+def join_reference_previous_day(spark, sf_dir):
+    """Files dated the day before the trade (offset -1)."""
+    src = _src(spark, sf_dir)
+    prev = previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
+    snap = join_snapshot(prev, src.securities, on="snapshot_date")
+    return join_reference(snap, src.ref_equity, src.ref_fund, offset_days=-1)
+
+
 # ---- requests and lookup -------------------------------------------------
 
 @query

@@ -211,3 +211,44 @@ def test_historic_equals_attach_by_id(src):
     slow = attach_symbols(e, resp)
     fast = plan.identifiers_historic(src).select(*slow.columns)
     assert slow.exceptAll(fast).count() == 0 and fast.exceptAll(slow).count() == 0
+
+
+def test_publish_identifiers_counts_in_one_action(spark, src):
+    from idweave.plans import publish_identifiers
+    from idweave.session import scratch_path
+
+    counts = publish_identifiers(src, "idweave_test_result", path=scratch_path(spark, "result"))
+    assert counts == {"enriched": 3131, "requests": 4116, "result": 3410}
+    assert spark.table("idweave_test_result").count() == 3410
+
+
+def test_hot_security_is_split_by_aqe(spark):
+    """One security holding a third of all allocations: AQE splits its join partition."""
+    n = 60_000
+    alloc = (spark.range(n).selectExpr(
+        "id AS DATA_ID",
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS sec_id",
+        "DATE'2024-01-02' AS snapshot_date"))
+    secs = spark.range(n).selectExpr(
+        "CAST(id AS STRING) AS sec_id", "DATE'2024-01-02' AS datadate",
+        "concat('E', id) AS ext_sec_id", "CAST(NULL AS STRING) AS sedol",
+        "CAST(NULL AS STRING) AS cusip", "CAST(NULL AS STRING) AS isin_no",
+        "CAST(NULL AS STRING) AS ticker", "'USD' AS sec_currency")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = join_snapshot(alloc, secs, on="snapshot_date")
+        rows = out.collect()  # runs this plan, so AQE's final plan is kept
+        assert len(rows) == n
+        assert sum(r.ext_sec_id == "E7" for r in rows) == n // 3 + 1  # id 7 is security 7 too
+        plan_text = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan_text, plan_text
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
