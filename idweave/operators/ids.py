@@ -19,19 +19,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize, shuffle_partitions
+from ..session import materialize
 
 _LOW33 = (1 << 33) - 1
 
 
 def assign_ids(df: DataFrame, order: Sequence[str], name: str = "DATA_ID",
                num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 1..n (BIGINT) following ``order`` (ascending, NULLs first)."""
+    """Add ``name`` = 1..n (BIGINT) following ``order`` (ascending, NULLs first).
+
+    Without ``num_partitions`` the range exchange uses the shuffle partition
+    count and AQE may merge adjacent ranges (order is kept).
+    """
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
     order_cols = [F.col(c).asc_nulls_first() for c in order]
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
     staged = materialize(
-        df.repartitionByRange(n, *order_cols)
+        ranged
         .sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id().cast("bigint"))
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))),

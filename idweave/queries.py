@@ -18,7 +18,7 @@ from .functions import normalize_dates, prefix_columns, tag
 from .operators import (assign_ids, attach_symbols, audit_missing, batch_requests,
                         dedup_allocations, filter_allocations, join_reference, join_snapshot,
                         lookup_symbols, merge_responses, previous_snapshot,
-                        previous_snapshot_by_key, sedol_requests, stage_counts,
+                        previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
                         ticker_requests, union_snapshots, valid_requests)
 from .plans import identifiers as plan
 from .session import scratch_path
@@ -165,8 +165,7 @@ def valid_requests_q(spark, sf_dir):
 
 @query
 def batch_requests_q(spark, sf_dir):
-    e = _enriched(spark, sf_dir)
-    return batch_requests(sedol_requests(e).unionByName(ticker_requests(e)), 500)
+    return batch_requests(symbol_requests(_enriched(spark, sf_dir)), 500)
 
 
 @query
@@ -301,8 +300,7 @@ def publish_q(spark, sf_dir):
 
 @query
 def export_requests_q(spark, sf_dir):
-    e = _enriched(spark, sf_dir)
-    req = sedol_requests(e).unionByName(ticker_requests(e))
+    req = symbol_requests(_enriched(spark, sf_dir))
     path = scratch_path(spark, "requests-csv")
     export_requests(req, path)
     return scan_csv(spark, path, schema=req.schema)
