@@ -22,7 +22,7 @@ _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The given read-only table; the scan (schema read) is set up once per session."""
-    key = (str(spark.sparkContext.applicationId), f"{sf_dir}/{name}.parquet")
+    key = (spark.conf.get("spark.app.id", ""), f"{sf_dir}/{name}.parquet")
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(key[1])
     return _TABLES[key]

@@ -22,8 +22,8 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 def _checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Materialise ``small`` and broadcast it only if its row count is within bound."""
-    small = materialize(small, "daymap")
-    return F.broadcast(small) if small.count() <= max_rows else small
+    small, rows = materialize(small, "daymap", count=True)
+    return F.broadcast(small) if rows <= max_rows else small
 
 
 def previous_snapshot(alloc: DataFrame, dates: DataFrame, date_col: str = "trade_date_est",

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -35,14 +36,25 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # a remote session has no SparkContext
+            root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="idweave-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        # Unset: a local run or a test. Choose one private folder per application.
+        app = spark.conf.get("spark.app.id", "")
+        root = _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="idweave-ckpt-"))
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # a remote session has no SparkContext
+            pass
     return root.rstrip("/")
 
 
@@ -51,17 +63,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/idweave/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", count: bool = False):
     """Write ``df`` as Parquet under the checkpoint root and read it back.
 
     Cuts lineage (a lost executor re-reads the files instead of re-running the
     stage), fixes anything non-deterministic upstream, and keeps the data
     columnar so later scans prune columns and push filters.
+    With ``count=True`` also return the row count, observed during the write
+    (no second pass).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if count:
+        obs = Observation(f"{name}_rows")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, obs.get["rows"]) if count else out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

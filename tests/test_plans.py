@@ -38,3 +38,36 @@ def test_reference_joins_share_one_shuffle_of_the_left_side(spark, src):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert p.count("hashpartitioning(_k") == 3  # left once, equity once, fund once
+
+
+def test_flagship_has_no_join_back_by_id(src):
+    p = _plan(plan.identifiers_historic(src))
+    assert "hashpartitioning(DATA_ID" not in p
+    # requests meet the symbol table on both keys, no re-shuffle of the symbol table
+    assert "hashpartitioning(prefix" in p
+
+
+def test_lookup_drops_empty_symbols_before_the_shuffle(spark):
+    import datetime as dt
+    from idweave.operators import lookup_symbols
+
+    req = spark.createDataFrame([(1, "SED", "S1", dt.date(2024, 1, 1))],
+                                "DATA_ID bigint, prefix string, SYMBOL_NAME string, sym_date date")
+    sym = spark.createDataFrame([("SED", "S1", dt.date(2024, 1, 1), dt.date(2024, 2, 1), "X")],
+                                "prefix string, symbol string, valid_from date, valid_to date, resolved string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = lookup_symbols(req, sym)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NOT (SYMBOL_NAME" in p or "NOT (SYMBOL_NAME#" in p or "isnotnull(SYMBOL_NAME" in p
+
+
+def test_checkpoint_root_is_read_from_the_session(spark):
+    from idweave.session import checkpoint_root
+
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    root = checkpoint_root(spark)
+    if conf:
+        assert root == conf.rstrip("/")
+    assert checkpoint_root(spark) == root
