@@ -39,6 +39,12 @@ ided AS (
   FROM dedup
 )"""
 
+IDED2 = """
+ided AS (
+  SELECT CAST(row_number() OVER (ORDER BY sec_id, trade_date_est) AS BIGINT) AS DATA_ID, *
+  FROM dedup2
+)"""
+
 PREV = """
 prev_all AS (
   SELECT i.*, (SELECT max(s.datadate) FROM snapshot_dates s
@@ -224,6 +230,9 @@ ORACLES: dict[str, str] = {
     + " SELECT *, 'historic' AS process_type FROM result",
     "historic_identifiers_matched": _chain(LOOK, *HIST, SED_REQ, TICK_REQ_M, RESP, RESULT)
     + " SELECT * FROM result",
+    "historic_identifiers_dated": _chain(LOOK, FILTERED, DEDUP2, IDED2, PREV, SNAP, REFS_PREV_DAY,
+                                         ENRICHED, SED_REQ, TICK_REQ_M, RESP, RESULT)
+    + " SELECT * FROM result",
     "same_day_identifiers": _chain(("allocations", "securities", "ref_equity", "ref_fund"),
                                    FILTERED, DEDUP2, SAME_DAY_SNAP, REFS,
                                    _enrich("same_day_enriched", "same_day", "sec_id",

@@ -209,6 +209,13 @@ def historic_identifiers_matched(spark, sf_dir):
     return plan.identifiers_historic(_src(spark, sf_dir), ticker_mode="matched")
 
 
+@query
+def historic_identifiers_dated(spark, sf_dir):
+    """The dated cut: two dedup keys, matched tickers, files dated the day before."""
+    return plan.identifiers_historic(_src(spark, sf_dir), ticker_mode="matched", offset_days=-1,
+                                     keys=DEDUP_KEYS_2)
+
+
 @query
 def same_day_identifiers(spark, sf_dir):
     return plan.identifiers_same_day(_src(spark, sf_dir))
