@@ -127,19 +127,18 @@ def lookup_with_service(requests: DataFrame, service: Callable, schema: str,
                         batch_size: int) -> DataFrame:
     """Resolve requests through an external service, one call per batch.
 
-    Batches are formed by ``batch_requests`` and spread over tasks; each task
-    calls ``service(pandas_frame) -> pandas_frame`` on its batches. Nothing
-    passes through the driver.
+    Batches come from ``batch_requests``; each batch is one group of
+    ``applyInPandas`` (at most ``batch_size`` rows, so no group is unbounded)
+    and the groups are spread over the executors. ``service`` maps a pandas
+    frame of requests to a pandas frame matching ``schema``. Nothing passes
+    through the driver.
     """
     batched = batch_requests(valid_requests(requests), batch_size)
 
-    def run(batches):
-        for pdf in batches:
-            for _, part in pdf.groupby("batch_no", sort=True):
-                yield service(part.drop(columns=["batch_no"]))
+    def call(pdf):
+        return service(pdf.drop(columns=["batch_no"]).sort_values("DATA_ID"))
 
-    return (batched.repartition("batch_no").sortWithinPartitions("batch_no", "DATA_ID")
-            .mapInPandas(run, schema))
+    return batched.groupBy("batch_no").applyInPandas(call, schema)
 
 
 def merge_responses(*responses: DataFrame) -> DataFrame:
