@@ -170,7 +170,7 @@ same_day AS (
 
 SAME_DAY_COLS = ", ".join(
     [f"n.{c} AS alloc_{c}" for c in ALLOC_COLS.split(", ")]
-    + [f"n.{c} AS csm_{c}" for c in ("ext_sec_id", "sedol", "cusip", "isin_no", "ticker",
+    + [f"n.{c} AS snap_{c}" for c in ("ext_sec_id", "sedol", "cusip", "isin_no", "ticker",
                                       "sec_currency")])
 
 ORACLES: dict[str, str] = {
@@ -249,9 +249,9 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'responses', count(*) FROM responses
       UNION ALL SELECT 'result', count(*) FROM result""",
     "prefix_columns": with_views("securities") + """
-      SELECT datadate AS csm_datadate, ext_sec_id AS csm_ext_sec_id, sedol AS csm_sedol,
-             cusip AS csm_cusip, isin_no AS csm_isin_no, sec_currency AS csm_sec_currency,
-             ticker AS csm_ticker
+      SELECT datadate AS snap_datadate, ext_sec_id AS snap_ext_sec_id, sedol AS snap_sedol,
+             cusip AS snap_cusip, isin_no AS snap_isin_no, sec_currency AS snap_sec_currency,
+             ticker AS snap_ticker
       FROM securities""",
     "tag": _chain(("allocations",), FILTERED)
     + " SELECT *, 'O' AS source, 'historic' AS process_type FROM filtered",

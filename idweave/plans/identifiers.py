@@ -2,16 +2,15 @@
 
 ``identifiers_historic`` (the flagship): filter -> dedup (three keys) -> ids ->
 previous snapshot -> snapshot join -> equity/fund join -> SEDOL and ticker
-requests -> symbol lookup -> attach responses by id.
+requests (one pass, carrying the enriched columns) -> symbol lookup.
 
 ``identifiers_same_day``: filter -> dedup (two keys) -> same-day snapshot join
--> prefixed columns -> equity/fund join.
+-> prefixed columns (``alloc_``, ``snap_``) -> equity/fund join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
 from ..fixtures import Sources
@@ -51,10 +50,9 @@ def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days:
 
 def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2) -> DataFrame:
     alloc = dedup_allocations(filter_allocations(src.allocations), keys=keys, tie=TIE_KEYS)
-    alloc_cols = alloc.columns
     joined = join_snapshot(alloc, src.securities, on="trade_date_est", how="left")
-    named = joined.select(*[F.col(c).alias("alloc_" + c) for c in alloc_cols],
-                          *[F.col(c).alias("csm_" + c) for c in SECURITY_COLUMNS])
+    named = prefix_columns(prefix_columns(joined, "snap_", keep=alloc.columns), "alloc_",
+                           keep=["snap_" + c for c in SECURITY_COLUMNS])
     return join_reference(named, src.ref_equity, src.ref_fund, offset_days=offset_days,
                           key="alloc_sec_id", date_col="alloc_trade_date_est")
 

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
+from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3
 from .functions import normalize_dates, prefix_columns, tag
-from .operators import (assign_ids, attach_symbols, audit_missing, batch_requests,
+from .operators import (attach_symbols, audit_missing, batch_requests,
                         dedup_allocations, filter_allocations, join_reference, join_snapshot,
                         lookup_symbols, merge_responses, previous_snapshot,
                         previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
@@ -241,7 +241,7 @@ def stage_counts_q(spark, sf_dir):
 
 @query
 def prefix_columns_q(spark, sf_dir):
-    return prefix_columns(fx.securities(spark, sf_dir), "csm_", drop=["sec_id"])
+    return prefix_columns(fx.securities(spark, sf_dir), "snap_", drop=["sec_id"])
 
 
 @query
@@ -325,4 +325,4 @@ def queries() -> dict[str, Query]:
     return out
 
 
-__all__ = ["queries", "SECURITY_COLUMNS"]
+__all__ = ["queries", "QUERIES"]
