@@ -55,8 +55,10 @@ def allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    step = orders.select((F.count("*") / 25).cast("bigint")).scalar()
-    return (orders.filter(F.col("o_orderkey") % step == 7)
+    # One row count, answered from the Parquet footers, fixes the divisor
+    # (integer division, as the view's cast does).
+    step = max(orders.count() // 25, 1)
+    return (orders.filter(F.col("o_orderkey") % F.lit(step) == 7)
             .select(F.col("o_orderdate").cast("date").alias("datadate")).distinct())
 
 
@@ -67,7 +69,9 @@ def securities(spark: SparkSession, sf_dir: str, dates: DataFrame | None = None)
     ks = k.cast("string")
     dd = F.col("datadate")
     sd = k + F.dayofmonth(dd)
-    # The date list is one row per snapshot partition: broadcast is bounded.
+    # The security master holds one row per security per snapshot, so this
+    # test table is part x snapshot dates (minus the missing pairs). The date
+    # list is one row per snapshot partition (25 here): broadcast is bounded.
     grid = part.join(F.broadcast(dates), (k + F.month(dd)) % 23 != 0, "inner")
     return grid.select(
         dd.alias("datadate"),

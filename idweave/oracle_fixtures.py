@@ -25,7 +25,7 @@ SNAPSHOT_DATES = """
 snapshot_dates AS (
   SELECT DISTINCT CAST(o_orderdate AS DATE) AS datadate
   FROM orders
-  WHERE o_orderkey % (SELECT CAST(count(*) / 25 AS BIGINT) FROM orders) = 7
+  WHERE o_orderkey % (SELECT greatest(count(*) // 25, 1) FROM orders) = 7
 )"""
 
 SECURITIES = """
