@@ -10,13 +10,19 @@ requests (one pass, carrying the enriched columns) -> symbol lookup.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 
 from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
 from ..fixtures import Sources
 from ..functions.columns import prefix_columns, tag
 from ..operators import (assign_ids, dedup_allocations, filter_allocations, join_reference,
-                         join_snapshot, lookup_symbols, previous_snapshot, symbol_requests)
+                         join_snapshot, lookup_symbols, observe_count, previous_snapshot,
+                         symbol_requests)
+from ..sinks import publish
+
+log = logging.getLogger("idweave")
 
 TIE_KEYS = ("order_id", "line_no", "acct_id")
 
@@ -58,28 +64,26 @@ def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2)
 
 
 def publish_identifiers(src: Sources, table: str, path: str | None = None,
-                        **options) -> dict[str, int]:
+                        ticker_mode: str = "always", offset_days: int = 1, how: str = "inner",
+                        keys=DEDUP_KEYS_3) -> dict[str, int]:
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
     (no extra pass) and returned.
     """
-    from ..operators import observe_count
-    from ..sinks import publish
-
-    enriched, obs_enriched = observe_count(
-        enriched_historic(src, options.get("offset_days", 1), options.get("how", "inner")),
-        "enriched")
-    requests = symbol_requests(enriched, ticker_mode=options.get("ticker_mode", "always"),
-                               keep_input=True)
-    requests, obs_requests = observe_count(requests, "requests")
+    enriched, obs_enriched = observe_count(enriched_historic(src, offset_days, how, keys),
+                                           "enriched")
+    requests, obs_requests = observe_count(
+        symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True), "requests")
     carry = [c for c in enriched.columns if c != "DATA_ID"]
     result, obs_result = observe_count(
         tag(lookup_symbols(requests, src.symbology, carry=carry), process_type="historic"),
         "result")
     publish(result, table, path=path)
-    return {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
-            "result": obs_result.get["rows"]}
+    counts = {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
+              "result": obs_result.get["rows"]}
+    log.info("published %s: %s", table, counts)
+    return counts
 
 
 def run(process_type: str, src: Sources, **options) -> DataFrame | None:

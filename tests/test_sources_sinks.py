@@ -69,3 +69,23 @@ def test_from_local(spark):
     pdf = pd.DataFrame({"DATA_ID": [1, 2], "resolved": ["a", None]})
     df = from_local(spark, pdf, "DATA_ID long, resolved string")
     assert sorted((r.DATA_ID, r.resolved) for r in df.collect()) == [(1, "a"), (2, None)]
+
+
+def test_command_line_job(spark, src):
+    from idweave.__main__ import main
+    from idweave.session import materialize
+
+    paths = {}
+    for name in ("allocations", "securities", "ref_equity", "ref_fund", "symbology"):
+        df = materialize(getattr(src, name), name)
+        paths[name] = df.inputFiles()[0].rsplit("/", 1)[0]
+    publish(src.securities, "idweave_cli_securities", partition_cols=["datadate"],
+            path=scratch_path(spark, "cli-sec"))
+    argv = ["--process-type", "historic", "--allocations", paths["allocations"],
+            "--securities", "idweave_cli_securities", "--equity", paths["ref_equity"],
+            "--fund", paths["ref_fund"], "--symbology", paths["symbology"],
+            "--output", "idweave_cli_result", "--output-path", scratch_path(spark, "cli-out")]
+    counts = main(argv, spark=spark)
+    assert counts["result"] == 3410
+    assert spark.table("idweave_cli_result").count() == 3410
+    assert main(["--process-type", "daily"], spark=spark) is None
