@@ -64,7 +64,7 @@ def symbol_requests(df: DataFrame, rules: dict = TICKER_RULES, ticker_mode: str
     """SEDOL and local-ticker requests of every row in one pass.
 
     Each row yields up to two requests (an ``explode`` of a two-element array,
-    invalid symbols filtered inside the array), so the input is read once. With
+    then invalid symbols are dropped), so the input is read once. With
     ``keep_input`` every input column rides along, which lets the lookup return
     whole result rows without joining back by ``DATA_ID``.
     """
@@ -74,10 +74,11 @@ def symbol_requests(df: DataFrame, rules: dict = TICKER_RULES, ticker_mode: str
     tick = F.when(F.col("sec_currency").isin(list(rules)),
                   F.struct(F.lit(PREFIX_TICKER).alias("prefix"), symbol.alias("SYMBOL_NAME"),
                            base.alias("SYMBOL_NAME_BASE")))
-    wanted = F.filter(F.array(sed, tick), lambda r: r.isNotNull() & r["SYMBOL_NAME"].isNotNull()
-                      & (r["SYMBOL_NAME"] != F.lit("")))
     d = F.col(date_col)
-    exploded = df.withColumn("_r", F.explode(wanted))
+    # Generate + Filter, both inside whole-stage codegen.
+    exploded = (df.withColumn("_r", F.explode(F.array(sed, tick)))
+                .filter(F.col("_r").isNotNull() & F.col("_r.SYMBOL_NAME").isNotNull()
+                        & (F.col("_r.SYMBOL_NAME") != F.lit(""))))
     req = {
         "prefix": F.col("_r.prefix"),
         "order_start_date": day_start(d),
