@@ -120,16 +120,18 @@ def symbology(spark: SparkSession, sf_dir: str, secs: DataFrame | None = None) -
     """Stand-in for the external symbol service: one validity range per symbol."""
     secs = securities(spark, sf_dir) if secs is None else secs
     sed = (secs.filter(F.col("sedol").isNotNull() & (F.col("sedol") != ""))
-           .select(F.lit(PREFIX_SEDOL).alias("prefix"), F.col("sedol").alias("symbol"), "datadate",
-                   F.concat(F.lit("X"), F.col("sedol")).alias("resolved")))
+           .select(F.lit(PREFIX_SEDOL).alias("prefix"), F.col("sedol").alias("symbol"), "datadate"))
     symbol, _ = local_ticker(F.col("ticker"), F.col("sec_currency"), TICKER_RULES, "always")
     tick = (secs.filter(F.col("sec_currency").isin(list(TICKER_RULES)))
-            .select(F.lit(PREFIX_TICKER).alias("prefix"), symbol.alias("symbol"), "datadate")
-            .withColumn("resolved", F.concat(F.lit("Y"), F.col("symbol"))))
+            .select(F.lit(PREFIX_TICKER).alias("prefix"), symbol.alias("symbol"), "datadate"))
+    # The answer is a function of the symbol, so it is added after the
+    # aggregation (which then stays a hash aggregate over fixed-width buffers).
     return (sed.unionByName(tick).groupBy("prefix", "symbol")
             .agg(F.min("datadate").alias("valid_from"),
-                 F.date_add(F.max("datadate"), 120).alias("valid_to"),
-                 F.min("resolved").alias("resolved")))
+                 F.date_add(F.max("datadate"), 120).alias("valid_to"))
+            .withColumn("resolved", F.concat(
+                F.when(F.col("prefix") == PREFIX_SEDOL, F.lit("X")).otherwise(F.lit("Y")),
+                F.col("symbol"))))
 
 
 @dataclass

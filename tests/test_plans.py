@@ -18,8 +18,16 @@ def test_dedup_limits_groups_before_shuffle(src):
 
 
 def test_filter_pushed_to_scan(src):
-    p = _plan(filter_allocations(src.allocations))
-    assert "PushedFilters" in p and "l_returnflag" in p
+    """On a stored allocations table the type/status filter becomes Parquet filters."""
+    from idweave.session import materialize
+
+    table = materialize(src.allocations, "alloc-table")
+    p = _plan(filter_allocations(table).select("sec_id", "trade_date_est"))
+    scan = [ln for ln in p.splitlines() if "FileScan parquet" in ln][0]
+    assert "In(sec_typ_cd, [ADR,COM,GDR,MFC,MFO,PFD])" in scan
+    assert "EqualTo(status,ACCT)" in scan
+    # column pruning: only the projected and filtered columns are read
+    assert "ReadSchema: struct<sec_id:bigint,sec_typ_cd:string,status:string,trade_date_est:date>" in scan
 
 
 def test_no_single_partition_or_nested_loop_over_allocations(src):
