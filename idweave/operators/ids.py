@@ -30,14 +30,20 @@ def assign_ids(df: DataFrame, order: Sequence[str], name: str = "DATA_ID",
 
     Without ``num_partitions`` the range exchange uses the shuffle partition
     count and AQE may merge adjacent ranges (order is kept).
+    Rows that tie on ``order`` get ids in an arbitrary order, as with
+    ``ROW_NUMBER``. A hash of the whole row is appended to the range and sort
+    keys, so a tied value held by a large share of rows is still spread over
+    many range partitions instead of landing in one task.
     """
     spark = df.sparkSession
     order_cols = [F.col(c).asc_nulls_first() for c in order]
-    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-              else df.repartitionByRange(*order_cols))
+    keyed = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    range_cols = [*order_cols, F.col("_tie")]
+    ranged = (keyed.repartitionByRange(num_partitions, *range_cols) if num_partitions
+              else keyed.repartitionByRange(*range_cols))
     staged = materialize(
         ranged
-        .sortWithinPartitions(*order_cols)
+        .sortWithinPartitions(*range_cols)
         .withColumn("_pid", F.spark_partition_id().cast("bigint"))
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))),
         "ids")

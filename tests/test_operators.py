@@ -252,3 +252,20 @@ def test_hot_security_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_assign_ids_spreads_a_hot_tied_value(spark):
+    """A third of the rows share one order value: they still span many partitions."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("payload"))
+    out = assign_ids(df, ["k"], num_partitions=8)
+    rows = out.select("DATA_ID", "k").collect()
+    assert sorted(r.DATA_ID for r in rows) == list(range(1, 30_001))
+    hot = [r.DATA_ID for r in rows if r.k == 0]
+    assert sorted(hot) == list(range(1, 10_001))  # ties first, ids contiguous
+    # the hot value was written by several range partitions (files), not one task
+    files = out.filter("k = 0").select(F.input_file_name()).distinct().count()
+    assert files > 1
