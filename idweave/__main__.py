@@ -1,8 +1,14 @@
-"""Run the identifier job: ``python -m idweave --process-type historic ...``.
+"""Command-line jobs.
+
+    python -m idweave historic --process-type historic --allocations A --securities S \\
+        --equity E --fund F --symbology Y --output T [--snapshot-dates D]
+        [--ticker-mode matched] [--offset-days -1] [--dedup-keys 2]
+    python -m idweave same-day --allocations A --securities S --equity E --fund F --output T
+    python -m idweave partitions --table S
 
 Each input is a catalog table name or a Parquet path (anything containing a
-``/``). Snapshot dates come from ``--snapshot-dates``, or, when omitted, from
-the partition listing of the ``--securities`` catalog table.
+``/``). Without ``--snapshot-dates`` the snapshot dates come from the
+partition listing of the ``--securities`` catalog table.
 """
 
 from __future__ import annotations
@@ -13,45 +19,64 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3
 from .fixtures import Sources
-from .plans import publish_identifiers
+from .plans import identifiers_same_day, publish_identifiers
+from .sinks import publish
 from .sources import snapshot_dates
 
 
-def _read(spark: SparkSession, ref: str) -> DataFrame:
+def _read(spark: SparkSession, ref: str | None) -> DataFrame | None:
+    if ref is None:
+        return None
     return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
 
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="idweave")
-    p.add_argument("--process-type", required=True)
-    p.add_argument("--allocations")
-    p.add_argument("--securities")
-    p.add_argument("--snapshot-dates")
-    p.add_argument("--equity")
-    p.add_argument("--fund")
-    p.add_argument("--symbology")
-    p.add_argument("--output", help="catalog table to replace")
-    p.add_argument("--output-path")
-    p.add_argument("--ticker-mode", default="always", choices=["always", "matched"])
-    p.add_argument("--offset-days", type=int, default=1)
+    sub = p.add_subparsers(dest="job", required=True)
+    for name in ("historic", "same-day"):
+        j = sub.add_parser(name)
+        j.add_argument("--allocations", required=True)
+        j.add_argument("--securities", required=True)
+        j.add_argument("--equity", required=True)
+        j.add_argument("--fund", required=True)
+        j.add_argument("--output", required=True, help="catalog table to replace")
+        j.add_argument("--output-path")
+        j.add_argument("--offset-days", type=int, default=1)
+    h = sub.choices["historic"]
+    h.add_argument("--process-type", default="historic")
+    h.add_argument("--symbology", required=True)
+    h.add_argument("--snapshot-dates")
+    h.add_argument("--ticker-mode", default="always", choices=["always", "matched"])
+    h.add_argument("--dedup-keys", type=int, default=3, choices=[2, 3])
+    part = sub.add_parser("partitions")
+    part.add_argument("--table", required=True)
     return p.parse_args(argv)
 
 
-def main(argv=None, spark: SparkSession | None = None) -> dict | None:
+def main(argv=None, spark: SparkSession | None = None):
     args = parse_args(argv)
-    if args.process_type == "daily":
+    if args.job == "historic" and args.process_type == "daily":
         return None  # the daily run has nothing to do
-    if args.process_type != "historic":
+    if args.job == "historic" and args.process_type != "historic":
         raise ValueError(f"invalid process type: {args.process_type!r}")
     spark = spark or SparkSession.builder.appName("idweave").getOrCreate()
-    dates = (_read(spark, args.snapshot_dates) if args.snapshot_dates
-             else snapshot_dates(spark, args.securities))
+    if args.job == "partitions":
+        return [str(r[0]) for r in snapshot_dates(spark, args.table).orderBy(1).collect()]
+    dates = (_read(spark, args.snapshot_dates) if getattr(args, "snapshot_dates", None)
+             else snapshot_dates(spark, args.securities) if args.job == "historic" else None)
     src = Sources(_read(spark, args.allocations), dates, _read(spark, args.securities),
                   _read(spark, args.equity), _read(spark, args.fund),
-                  _read(spark, args.symbology))
+                  _read(spark, getattr(args, "symbology", None)))
+    if args.job == "same-day":
+        result = identifiers_same_day(src, offset_days=args.offset_days)
+        publish(result, args.output, path=args.output_path)
+        return {"published": args.output}
+    keys = DEDUP_KEYS_3 if args.dedup_keys == 3 else DEDUP_KEYS_2
     return publish_identifiers(src, args.output, path=args.output_path,
-                               ticker_mode=args.ticker_mode, offset_days=args.offset_days)
+                               ticker_mode=args.ticker_mode, offset_days=args.offset_days,
+                               keys=keys)
 
 
 if __name__ == "__main__":

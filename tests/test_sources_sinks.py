@@ -81,11 +81,20 @@ def test_command_line_job(spark, src):
         paths[name] = df.inputFiles()[0].rsplit("/", 1)[0]
     publish(src.securities, "idweave_cli_securities", partition_cols=["datadate"],
             path=scratch_path(spark, "cli-sec"))
-    argv = ["--process-type", "historic", "--allocations", paths["allocations"],
+    argv = ["historic", "--process-type", "historic", "--allocations", paths["allocations"],
             "--securities", "idweave_cli_securities", "--equity", paths["ref_equity"],
             "--fund", paths["ref_fund"], "--symbology", paths["symbology"],
             "--output", "idweave_cli_result", "--output-path", scratch_path(spark, "cli-out")]
     counts = main(argv, spark=spark)
     assert counts["result"] == 3410
     assert spark.table("idweave_cli_result").count() == 3410
-    assert main(["--process-type", "daily"], spark=spark) is None
+    daily = ["historic", "--process-type", "daily"] + argv[3:]
+    assert main(daily, spark=spark) is None
+    dates = main(["partitions", "--table", "idweave_cli_securities"], spark=spark)
+    assert len(dates) == 25 and dates == sorted(dates)
+    same = ["same-day", "--allocations", paths["allocations"], "--securities",
+            "idweave_cli_securities", "--equity", paths["ref_equity"], "--fund",
+            paths["ref_fund"], "--output", "idweave_cli_same_day",
+            "--output-path", scratch_path(spark, "cli-same")]
+    main(same, spark=spark)
+    assert spark.table("idweave_cli_same_day").count() == 3135
