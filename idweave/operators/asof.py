@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# A day map holds one row per distinct trade date; beyond this many rows it is
+# Size bounds. A frame of distinct DATE values can never exceed the number of
+# days in years 1-9999 (3,652,059 rows, about 15 MB of dates), whatever the
+# data volume; in practice it is the days of the trading history. A day map
+# holds one row per distinct trade date; beyond MAX_BROADCAST_ROWS it is
 # joined with a shuffle instead of broadcast.
 MAX_BROADCAST_ROWS = 2_000_000
 
@@ -37,7 +40,8 @@ def previous_snapshot(alloc: DataFrame, dates: DataFrame, date_col: str = "trade
     trade_days = alloc.select(F.col(date_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
     snaps = dates.select(F.col(snap_col).alias("_s")).where(F.col("_s").isNotNull()).distinct()
     cond = (F.col("_s") < F.col("_t")) if strict else (F.col("_s") <= F.col("_t"))
-    # days x snapshot dates: both are bounded by the calendar, not by the data.
+    # distinct days x distinct snapshot dates: both are bounded by the
+    # calendar, not by the data, so the snapshot list is broadcast.
     day_map = (trade_days.join(F.broadcast(snaps), cond, "inner")
                .groupBy("_t").agg(F.max("_s").alias(out)))
     right = _checked_broadcast(day_map)
