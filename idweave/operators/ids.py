@@ -62,6 +62,10 @@ def assign_ids(df: DataFrame, order: Sequence[str], name: str = "DATA_ID",
 
 
 def dense_index(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Add ``name`` = dense rank (1..m, BIGINT) of ``col`` over the whole frame."""
+    """Add ``name`` = dense rank (1..m, BIGINT) of ``col`` over the whole frame.
+
+    The distinct values are numbered by ``assign_ids``, which writes them once,
+    so an expensive upstream plan is not evaluated again for the numbering.
+    """
     ranks = assign_ids(df.select(col).distinct(), [col], name)
     return df.join(ranks, col, "inner")

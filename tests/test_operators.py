@@ -95,6 +95,12 @@ def test_dense_index_and_batches(spark):
         batch_requests(df, 0)
     assert sorted(tuple(r) for r in dense_index(df, "DATA_ID", "r").collect()) == \
         [(1, 1), (5, 2), (5, 2), (9, 3)]
+    text = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "k string")
+    assert sorted(tuple(r) for r in dense_index(text, "k", "r").collect()) == \
+        [("a", 1), ("b", 2), ("b", 2), ("c", 3)]
+    wide = spark.createDataFrame([(-5,), (10**12,), (7,)], "k bigint")
+    assert sorted(tuple(r) for r in dense_index(wide, "k", "r").collect()) == \
+        [(-5, 1), (7, 2), (10**12, 3)]
 
 
 def test_joins_keep_row_count(src):
