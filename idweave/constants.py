@@ -40,3 +40,7 @@ UNDERLYING_COLUMNS = (
     ("ticker", "underlying_ticker"),
     ("isin_id", "underlying_isin"),
 )
+
+# Schema of the equity / fund reference files when they arrive as CSV.
+REFERENCE_SCHEMA = ("sec_id STRING, file_eff_dt INT, parent_id_undr STRING, sedol_id STRING, "
+                    "ticker STRING, isin_id STRING")

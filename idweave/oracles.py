@@ -283,6 +283,7 @@ ORACLES: dict[str, str] = {
     "publish": _chain(("allocations",), FILTERED) + " SELECT * FROM filtered",
     "export_requests": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
       SELECT * FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
+    "join_reference_from_csv": _chain(HIST_VIEWS, *HIST) + " SELECT * FROM enriched",
     "preview": _chain(HIST_VIEWS, *HIST) + " SELECT * FROM enriched ORDER BY DATA_ID LIMIT 100",
 }
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3
+from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
 from .functions import normalize_dates, prefix_columns, tag
 from .operators import (attach_symbols, audit_missing, batch_requests,
                         dedup_allocations, filter_allocations, join_reference, join_snapshot,
@@ -313,6 +313,20 @@ def export_requests_q(spark, sf_dir):
     return scan_csv(spark, path, schema=req.schema)
 
 
+@query
+def join_reference_from_csv(spark, sf_dir):
+    """Equity and fund files delivered as CSV, read back with their schema."""
+    src = _src(spark, sf_dir)
+    files = {}
+    for name, df in (("equity", src.ref_equity), ("fund", src.ref_fund)):
+        files[name] = scratch_path(spark, f"{name}-csv")
+        export_requests(df, files[name])
+    prev = previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
+    snap = join_snapshot(prev, src.securities, on="snapshot_date")
+    return join_reference(snap, scan_csv(spark, files["equity"], schema=REFERENCE_SCHEMA),
+                          scan_csv(spark, files["fund"], schema=REFERENCE_SCHEMA))
+
+
 @query
 def preview_q(spark, sf_dir):
     return preview(_enriched(spark, sf_dir), ["DATA_ID"], 100)

@@ -13,6 +13,13 @@ def sql_relation(spark: SparkSession, text: str, args: dict | None = None,
     return spark.sql(text, args=args, **frames)
 
 
+def sql_script(spark: SparkSession, path: str, args: dict | None = None,
+               **frames: DataFrame) -> DataFrame:
+    """``sql_relation`` over SQL text kept in a file (any Spark-readable path)."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    return sql_relation(spark, text, args=args, **frames)
+
+
 def snapshot_dates(spark: SparkSession, table: str, column: str = "datadate") -> DataFrame:
     """Snapshot dates of a partitioned catalog table, from its partition listing.
 

@@ -98,3 +98,12 @@ def test_command_line_job(spark, src):
             "--output-path", scratch_path(spark, "cli-same")]
     main(same, spark=spark)
     assert spark.table("idweave_cli_same_day").count() == 3135
+
+
+def test_sql_script_from_file(spark, tmp_path):
+    from idweave.sources import sql_script
+
+    p = tmp_path / "q.sql"
+    p.write_text("SELECT k * 2 AS k2\nFROM {t}\nWHERE k > :lo\n")
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    assert sorted(r.k2 for r in sql_script(spark, str(p), args={"lo": 1}, t=df).collect()) == [4, 6]
