@@ -20,6 +20,7 @@ from ..functions.columns import prefix_columns, tag
 from ..operators import (assign_ids, dedup_allocations, filter_allocations, join_reference,
                          join_snapshot, lookup_symbols, observe_count, previous_snapshot,
                          symbol_requests)
+from ..session import stage_scope
 from ..sinks import publish
 
 log = logging.getLogger("idweave")
@@ -69,8 +70,14 @@ def publish_identifiers(src: Sources, table: str, path: str | None = None,
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
-    (no extra pass) and returned.
+    (no extra pass) and returned. The intermediate stage folders (ids, day
+    map) are deleted once the table is written.
     """
+    with stage_scope(src.allocations.sparkSession):
+        return _publish_identifiers(src, table, path, ticker_mode, offset_days, how, keys)
+
+
+def _publish_identifiers(src, table, path, ticker_mode, offset_days, how, keys):
     enriched, obs_enriched = observe_count(enriched_historic(src, offset_days, how, keys),
                                            "enriched")
     requests, obs_requests = observe_count(

@@ -7,6 +7,8 @@ tests) is a private temporary folder chosen.
 
 from __future__ import annotations
 
+import contextlib
+import logging
 import tempfile
 import uuid
 
@@ -37,6 +39,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
+log = logging.getLogger("idweave")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -74,6 +78,8 @@ def materialize(df: DataFrame, name: str = "stage", count: bool = False):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     if count:
         obs = Observation(f"{name}_rows")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -84,3 +90,29 @@ def materialize(df: DataFrame, name: str = "stage", count: bool = False):
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+@contextlib.contextmanager
+def stage_scope(spark: SparkSession):
+    """Delete the stage folders written inside the block once it succeeds.
+
+    Use it around a job that ends in a write (e.g. ``publish``): afterwards no
+    plan reads the intermediate files any more. On failure they are kept.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+    for p in paths:
+        _delete(spark, p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception as e:  # a remote session cannot reach the file system API
+        log.warning("could not delete stage folder %s: %s", path, e)

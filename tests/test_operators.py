@@ -220,12 +220,22 @@ def test_historic_equals_attach_by_id(src):
 
 
 def test_publish_identifiers_counts_in_one_action(spark, src):
+    import glob
+
     from idweave.plans import publish_identifiers
-    from idweave.session import scratch_path
+    from idweave.session import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark).replace("file:", "")
+
+    def stage_dirs():
+        return set(glob.glob(f"{root}/idweave/ids-*") + glob.glob(f"{root}/idweave/daymap-*"))
 
+    before = stage_dirs()
     counts = publish_identifiers(src, "idweave_test_result", path=scratch_path(spark, "result"))
     assert counts == {"enriched": 3131, "requests": 4116, "result": 3410}
     assert spark.table("idweave_test_result").count() == 3410
+    # the intermediate stage folders (ids, day map) are deleted after the write
+    assert stage_dirs() == before
 
 
 def test_hot_security_is_split_by_aqe(spark):
