@@ -1,9 +1,10 @@
 """As-of lookups: the latest snapshot strictly before each trade date.
 
-Neither plan compares allocations with snapshots row by row. The date-level
-plan reduces allocations to their distinct trade dates first (at most one row
-per calendar day), solves the as-of step on that small frame, and joins the
-answer back by equality on the date. The per-security plan reduces to
+Neither plan compares allocations with snapshots row by row, and neither
+forms (date, snapshot) pairs. The date-level plan reduces allocations to their
+distinct trade dates first (at most one row per calendar day), solves the
+as-of step on that small frame with a per-year window, and joins the answer
+back by equality on the date. The per-security plan reduces to
 distinct (security, date) pairs, so a hot security holds at most one row per
 day in its window group.
 """
@@ -29,6 +30,36 @@ def _checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) ->
     return F.broadcast(small) if rows <= max_rows else small
 
 
+def _day_map(trade_days: DataFrame, snaps: DataFrame, out: str, strict: bool) -> DataFrame:
+    """``_t`` -> latest snapshot before (or on, if not strict) that day.
+
+    Trade days and snapshot dates are unioned and ordered within each
+    calendar year, trades before snapshots on a tie when strict, so a running
+    ``last(snapshot, ignorenulls)`` is the answer inside the year. A day whose
+    year has no earlier snapshot takes the latest snapshot of the earlier
+    years. No (day, snapshot) pairs are formed: a window group is at most one
+    year of days, and the carry-in joins years with earlier years only.
+    """
+    trade_side = 0 if strict else 2
+    u = (trade_days.select(F.col("_t").alias("_d"), F.lit(trade_side).alias("_side"),
+                           F.lit(None).cast("date").alias("_snap"))
+         .unionByName(snaps.select(F.col("_s").alias("_d"), F.lit(1).alias("_side"),
+                                   F.col("_s").alias("_snap")))
+         .withColumn("_y", F.year("_d")))
+    w = (Window.partitionBy("_y").orderBy("_d", "_side")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    within = (u.withColumn("_in", F.last("_snap", ignorenulls=True).over(w))
+              .where(F.col("_side") == trade_side)
+              .select(F.col("_d").alias("_t"), "_y", "_in"))
+    year_last = snaps.groupBy(F.year("_s").alias("_sy")).agg(F.max("_s").alias("_ylast"))
+    carry = (within.select("_y").distinct()
+             .join(F.broadcast(year_last), F.col("_sy") < F.col("_y"), "inner")
+             .groupBy("_y").agg(F.max("_ylast").alias("_carry")))
+    return (within.join(carry, "_y", "left")
+            .select("_t", F.coalesce("_in", "_carry").alias(out))
+            .where(F.col(out).isNotNull()))
+
+
 def previous_snapshot(alloc: DataFrame, dates: DataFrame, date_col: str = "trade_date_est",
                       snap_col: str = "datadate", out: str = "snapshot_date",
                       how: str = "inner", strict: bool = True) -> DataFrame:
@@ -39,13 +70,8 @@ def previous_snapshot(alloc: DataFrame, dates: DataFrame, date_col: str = "trade
     """
     trade_days = alloc.select(F.col(date_col).alias("_t")).where(F.col("_t").isNotNull()).distinct()
     snaps = dates.select(F.col(snap_col).alias("_s")).where(F.col("_s").isNotNull()).distinct()
-    cond = (F.col("_s") < F.col("_t")) if strict else (F.col("_s") <= F.col("_t"))
-    # distinct days x distinct snapshot dates: both are bounded by the
-    # calendar, not by the data, so the snapshot list is broadcast.
-    day_map = (trade_days.join(F.broadcast(snaps), cond, "inner")
-               .groupBy("_t").agg(F.max("_s").alias(out)))
-    right = _checked_broadcast(day_map)
-    return (alloc.join(right, alloc[date_col] == right["_t"], how).drop("_t"))
+    right = _checked_broadcast(_day_map(trade_days, snaps, out, strict))
+    return alloc.join(right, alloc[date_col] == right["_t"], how).drop("_t")
 
 
 def previous_snapshot_by_key(alloc: DataFrame, snaps: DataFrame, key: str = "sec_id",

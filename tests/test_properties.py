@@ -10,19 +10,24 @@ from idweave.operators import (assign_ids, batch_requests, dedup_allocations,
 
 BASE = dt.date(2024, 1, 1)
 days = st.integers(min_value=0, max_value=40).map(lambda d: BASE + dt.timedelta(days=d))
+# spans several calendar years, with clusters so that ties happen
+long_days = st.one_of(st.integers(0, 1500), st.sampled_from([0, 1, 365, 366, 730, 731])).map(
+    lambda d: BASE + dt.timedelta(days=d))
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @SETTINGS
-@given(snaps=st.lists(days, max_size=8), trades=st.lists(st.one_of(st.none(), days), max_size=25))
-def test_previous_snapshot_brute_force(spark, snaps, trades):
+@given(snaps=st.lists(long_days, max_size=8),
+       trades=st.lists(st.one_of(st.none(), long_days), max_size=25), strict=st.booleans())
+def test_previous_snapshot_brute_force(spark, snaps, trades, strict):
     dates = spark.createDataFrame([(d,) for d in snaps], "datadate date")
     alloc = spark.createDataFrame(list(enumerate(trades)), "id int, trade_date_est date")
     got = {r.id: r.snapshot_date
-           for r in previous_snapshot(alloc, dates, how="left").collect()}
+           for r in previous_snapshot(alloc, dates, how="left", strict=strict).collect()}
+    assert len(got) == len(trades)
     for i, t in enumerate(trades):
-        earlier = [s for s in snaps if t is not None and s < t]
+        earlier = [s for s in snaps if t is not None and (s < t if strict else s <= t)]
         assert got[i] == (max(earlier) if earlier else None)
 
 
