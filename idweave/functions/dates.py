@@ -25,6 +25,11 @@ def yyyymmdd_text(c: Column) -> Column:
     return F.date_format(c, "yyyyMMdd")
 
 
+def timestamp_text(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a timestamp (as request files carry it)."""
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
 def _at(c: Column, hhmm: str) -> Column:
     h, m = (int(x) for x in hhmm.split(":"))
     return c.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(h), F.lit(m))

@@ -217,6 +217,9 @@ ORACLES: dict[str, str] = {
     "batch_requests": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
       SELECT *, CAST(floor((dense_rank() OVER (ORDER BY DATA_ID) - 1) / 500) AS BIGINT) AS batch_no
       FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
+    "export_request_batches": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
+      SELECT *, CAST(floor((dense_rank() OVER (ORDER BY DATA_ID) - 1) / 500) AS BIGINT) AS batch_no
+      FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
     "lookup_symbols_sedol": _chain(LOOK, *HIST, SED_REQ, TICK_REQ, RESP) + " SELECT * FROM resp_sed",
     "lookup_symbols_ticker": _chain(LOOK, *HIST, SED_REQ, TICK_REQ, RESP)
     + " SELECT * FROM resp_tick",

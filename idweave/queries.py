@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixtures as fx
 from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
@@ -22,7 +23,7 @@ from .operators import (attach_symbols, audit_missing, batch_requests,
                         ticker_requests, union_snapshots, valid_requests)
 from .plans import identifiers as plan
 from .session import scratch_path
-from .sinks import export_requests, preview, publish
+from .sinks import export_request_batches, export_requests, preview, publish
 from .sources import scan_csv, snapshot_dates, sql_relation
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -313,6 +314,16 @@ def export_requests_q(spark, sf_dir):
     return scan_csv(spark, path, schema=req.schema)
 
 
+@query
+def export_request_batches_q(spark, sf_dir):
+    """Requests written as one CSV folder per batch of 500 ids, read back."""
+    req = symbol_requests(_enriched(spark, sf_dir))
+    path = scratch_path(spark, "request-batches")
+    export_request_batches(req, path, 500)
+    schema = req.schema.add("batch_no", T.LongType())
+    return scan_csv(spark, path, schema=schema)
+
+
 @query
 def join_reference_from_csv(spark, sf_dir):
     """Equity and fund files delivered as CSV, read back with their schema."""

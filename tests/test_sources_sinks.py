@@ -107,3 +107,28 @@ def test_sql_script_from_file(spark, tmp_path):
     p.write_text("SELECT k * 2 AS k2\nFROM {t}\nWHERE k > :lo\n")
     df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     assert sorted(r.k2 for r in sql_script(spark, str(p), args={"lo": 1}, t=df).collect()) == [4, 6]
+
+
+def test_export_request_batches(spark):
+    import glob
+
+    from idweave.sinks import export_request_batches
+
+    df = spark.createDataFrame([(i, f"S{i}") for i in (1, 5, 9, 12, 30)],
+                               "DATA_ID bigint, SYMBOL_NAME string")
+    path = scratch_path(spark, "batches")
+    export_request_batches(df, path, 2)
+    local = path.replace("file:", "")
+    assert sorted(p.rsplit("=", 1)[1] for p in glob.glob(f"{local}/batch_no=*")) == ["0", "1", "2"]
+    back = scan_csv(spark, path, schema="DATA_ID bigint, SYMBOL_NAME string, batch_no bigint")
+    assert sorted((r.DATA_ID, r.batch_no) for r in back.collect()) == \
+        [(1, 0), (5, 0), (9, 1), (12, 1), (30, 2)]
+
+
+def test_timestamp_text(spark):
+    from pyspark.sql import functions as F
+
+    from idweave.functions import day_end, timestamp_text
+
+    df = spark.createDataFrame([(dt.date(2024, 1, 3),)], "d date")
+    assert df.select(timestamp_text(day_end(F.col("d")))).first()[0] == "2024-01-03 23:59:00"
