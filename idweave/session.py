@@ -44,7 +44,11 @@ log = logging.getLogger("idweave")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set one only if unset."""
+    """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
+
+    Only a local session may fall back to a private temporary folder; on a
+    cluster the setting is required.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         try:
@@ -52,7 +56,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # a remote session has no SparkContext
             root = None
     if not root:
-        # Unset: a local run or a test. Choose one private folder per application.
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster: stage data "
+                "written to a machine-local folder would be lost with its executor")
+        # Unset in a local run or a test: one private folder per application.
         app = spark.conf.get("spark.app.id", "")
         root = _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="idweave-ckpt-"))
         try:
