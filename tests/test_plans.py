@@ -79,3 +79,25 @@ def test_checkpoint_root_is_read_from_the_session(spark):
     if conf:
         assert root == conf.rstrip("/")
     assert checkpoint_root(spark) == root
+
+
+def test_bucketed_security_master_is_not_shuffled(spark, src):
+    from idweave.session import scratch_path
+    from idweave.sinks import publish
+
+    publish(src.securities, "idweave_sec_bucketed", path=scratch_path(spark, "sec-bucketed"),
+            bucket_by=(8, "sec_id", "datadate"))
+    secs = spark.table("idweave_sec_bucketed")
+    alloc = plan.allocations_with_ids(src)
+    prev = previous_snapshot(alloc, src.snapshot_dates)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_snapshot(prev, secs)
+        p = _plan(joined)
+        assert joined.count() == prev.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [ln for ln in p.splitlines() if "idweave_sec_bucketed" in ln or "sec-bucketed" in ln]
+    assert scans and "SelectedBucketsCount: 8 out of 8" in p
+    # one exchange: the allocation side; the bucketed side is read as it is stored
+    assert p.count("Exchange hashpartitioning") == 1
