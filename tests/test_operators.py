@@ -285,3 +285,11 @@ def test_assign_ids_spreads_a_hot_tied_value(spark):
     # the hot value was written by several range partitions (files), not one task
     files = out.filter("k = 0").select(F.input_file_name()).distinct().count()
     assert files > 1
+
+
+def test_historic_result_does_not_depend_on_input_partitioning(spark, src):
+    from dataclasses import replace
+
+    a = plan.identifiers_historic(src)
+    b = plan.identifiers_historic(replace(src, allocations=src.allocations.repartition(7, "acct_id")))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -76,3 +76,33 @@ def test_batches_cover_every_request_once(spark, ids, size):
     assert len(got) == len(ids)
     rank = {v: r for r, v in enumerate(sorted(set(ids)))}
     assert all(r.batch_no == rank[r.DATA_ID] // size for r in got)
+
+
+TOKENS = ["ZZ", "BB", "YY", "XX", "XX*", "0A", "0B", "O", "DA", "-W", "/F", "A", "B", "Z", "X", "*"]
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.lists(st.sampled_from(TOKENS), max_size=4).map("".join),
+                               st.sampled_from(["AUD", "THB", "USD", None])), max_size=30),
+       mode=st.sampled_from(["always", "matched"]))
+def test_local_ticker_matches_python_regex(spark, rows, mode):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from idweave.constants import TICKER_RULES
+    from idweave.functions import local_ticker
+
+    df = spark.createDataFrame(rows, "t string, c string")
+    sym, base = local_ticker(F.col("t"), F.col("c"), TICKER_RULES, mode)
+    got = [(r[0], r[1]) for r in df.select(sym, base).collect()]
+    for (t, c), (s, b) in zip(rows, got):
+        if c not in TICKER_RULES:
+            assert (s, b) == (t, t)
+            continue
+        pattern, code = TICKER_RULES[c]
+        stripped = re.sub(pattern, "", t, count=1)
+        if mode == "always" or re.search(pattern, t):
+            assert (s, b) == (stripped + code, stripped)
+        else:
+            assert (s, b) == (t, t)
