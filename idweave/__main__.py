@@ -50,6 +50,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     h.add_argument("--snapshot-dates")
     h.add_argument("--ticker-mode", default="always", choices=["always", "matched"])
     h.add_argument("--dedup-keys", type=int, default=3, choices=[2, 3])
+    h.add_argument("--audit-dir", help="folder for the missing-identifier and preview CSVs")
     part = sub.add_parser("partitions")
     part.add_argument("--table", required=True)
     return p.parse_args(argv)
@@ -76,7 +77,7 @@ def main(argv=None, spark: SparkSession | None = None):
     keys = DEDUP_KEYS_3 if args.dedup_keys == 3 else DEDUP_KEYS_2
     return publish_identifiers(src, args.output, path=args.output_path,
                                ticker_mode=args.ticker_mode, offset_days=args.offset_days,
-                               keys=keys)
+                               keys=keys, audit_dir=args.audit_dir)
 
 
 if __name__ == "__main__":

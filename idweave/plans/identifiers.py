@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
 from ..fixtures import Sources
 from ..functions.columns import prefix_columns, tag
-from ..operators import (assign_ids, dedup_allocations, filter_allocations, join_reference,
-                         join_snapshot, lookup_symbols, observe_count, previous_snapshot,
-                         symbol_requests)
+from ..operators import (assign_ids, audit_missing, dedup_allocations, filter_allocations,
+                         join_reference, join_snapshot, lookup_symbols, observe_count,
+                         previous_snapshot, symbol_requests)
 from ..session import stage_scope
-from ..sinks import publish
+from ..sinks import export_requests, publish, write_preview
 
 log = logging.getLogger("idweave")
 
@@ -66,29 +66,32 @@ def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2)
 
 def publish_identifiers(src: Sources, table: str, path: str | None = None,
                         ticker_mode: str = "always", offset_days: int = 1, how: str = "inner",
-                        keys=DEDUP_KEYS_3) -> dict[str, int]:
+                        keys=DEDUP_KEYS_3, audit_dir: str | None = None) -> dict[str, int]:
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
-    (no extra pass) and returned. The intermediate stage folders (ids, day
-    map) are deleted once the table is written.
+    (no extra pass) and returned. With ``audit_dir``, two audit files are
+    written as CSV: every enriched row that lacks an external id, SEDOL or
+    ticker, and an ordered 100-row preview of the result. The intermediate
+    stage folders (ids, day map) are deleted once everything is written.
     """
     with stage_scope(src.allocations.sparkSession):
-        return _publish_identifiers(src, table, path, ticker_mode, offset_days, how, keys)
-
-
-def _publish_identifiers(src, table, path, ticker_mode, offset_days, how, keys):
-    enriched, obs_enriched = observe_count(enriched_historic(src, offset_days, how, keys),
-                                           "enriched")
-    requests, obs_requests = observe_count(
-        symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True), "requests")
-    carry = [c for c in enriched.columns if c != "DATA_ID"]
-    result, obs_result = observe_count(
-        tag(lookup_symbols(requests, src.symbology, carry=carry), process_type="historic"),
-        "result")
-    publish(result, table, path=path)
-    counts = {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
-              "result": obs_result.get["rows"]}
+        enriched = enriched_historic(src, offset_days, how, keys)
+        observed, obs_enriched = observe_count(enriched, "enriched")
+        requests, obs_requests = observe_count(
+            symbol_requests(observed, ticker_mode=ticker_mode, keep_input=True), "requests")
+        carry = [c for c in enriched.columns if c != "DATA_ID"]
+        result, obs_result = observe_count(
+            tag(lookup_symbols(requests, src.symbology, carry=carry), process_type="historic"),
+            "result")
+        publish(result, table, path=path)
+        counts = {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
+                  "result": obs_result.get["rows"]}
+        if audit_dir:
+            export_requests(audit_missing(enriched, ["ext_sec_id", "sedol", "ticker"], "any"),
+                            f"{audit_dir}/missing_identifiers")
+            write_preview(enriched.sparkSession.table(table), f"{audit_dir}/result_preview",
+                          ["DATA_ID", "prefix"], 100)
     log.info("published %s: %s", table, counts)
     return counts
 

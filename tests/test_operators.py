@@ -231,9 +231,14 @@ def test_publish_identifiers_counts_in_one_action(spark, src):
         return set(glob.glob(f"{root}/idweave/ids-*") + glob.glob(f"{root}/idweave/daymap-*"))
 
     before = stage_dirs()
-    counts = publish_identifiers(src, "idweave_test_result", path=scratch_path(spark, "result"))
+    audit = scratch_path(spark, "audit")
+    counts = publish_identifiers(src, "idweave_test_result", path=scratch_path(spark, "result"),
+                                 audit_dir=audit)
     assert counts == {"enriched": 3131, "requests": 4116, "result": 3410}
     assert spark.table("idweave_test_result").count() == 3410
+    from idweave.sources import scan_csv
+    assert scan_csv(spark, f"{audit}/missing_identifiers").count() == 431
+    assert scan_csv(spark, f"{audit}/result_preview").count() == 100
     # the intermediate stage folders (ids, day map) are deleted after the write
     assert stage_dirs() == before
 
