@@ -119,14 +119,18 @@ def ref_fund(spark: SparkSession, sf_dir: str) -> DataFrame:
 def symbology(spark: SparkSession, sf_dir: str, secs: DataFrame | None = None) -> DataFrame:
     """Stand-in for the external symbol service: one validity range per symbol."""
     secs = securities(spark, sf_dir) if secs is None else secs
-    sed = (secs.filter(F.col("sedol").isNotNull() & (F.col("sedol") != ""))
-           .select(F.lit(PREFIX_SEDOL).alias("prefix"), F.col("sedol").alias("symbol"), "datadate"))
     symbol, _ = local_ticker(F.col("ticker"), F.col("sec_currency"), TICKER_RULES, "always")
-    tick = (secs.filter(F.col("sec_currency").isin(list(TICKER_RULES)))
-            .select(F.lit(PREFIX_TICKER).alias("prefix"), symbol.alias("symbol"), "datadate"))
+    sed = F.when(F.col("sedol").isNotNull() & (F.col("sedol") != ""),
+                 F.struct(F.lit(PREFIX_SEDOL).alias("prefix"), F.col("sedol").alias("symbol")))
+    tick = F.when(F.col("sec_currency").isin(list(TICKER_RULES)),
+                  F.struct(F.lit(PREFIX_TICKER).alias("prefix"), symbol.alias("symbol")))
+    # one pass over the security master: each row gives its SEDOL and ticker symbols
+    pairs = (secs.select("datadate", F.explode(F.array(sed, tick)).alias("_s"))
+             .where(F.col("_s").isNotNull())
+             .select("_s.prefix", "_s.symbol", "datadate"))
     # The answer is a function of the symbol, so it is added after the
     # aggregation (which then stays a hash aggregate over fixed-width buffers).
-    return (sed.unionByName(tick).groupBy("prefix", "symbol")
+    return (pairs.groupBy("prefix", "symbol")
             .agg(F.min("datadate").alias("valid_from"),
                  F.date_add(F.max("datadate"), 120).alias("valid_to"))
             .withColumn("resolved", F.concat(
