@@ -298,3 +298,17 @@ def test_historic_result_does_not_depend_on_input_partitioning(spark, src):
     a = plan.identifiers_historic(src)
     b = plan.identifiers_historic(replace(src, allocations=src.allocations.repartition(7, "acct_id")))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_empty_inputs(src):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    no_trades = replace(src, allocations=src.allocations.filter(F.lit(False)))
+    out = plan.identifiers_historic(no_trades)
+    assert out.count() == 0 and "resolved" in out.columns
+    no_snaps = replace(src, snapshot_dates=src.snapshot_dates.filter(F.lit(False)))
+    assert plan.identifiers_historic(no_snaps).count() == 0
+    assert previous_snapshot(plan.allocations_with_ids(src), no_snaps.snapshot_dates,
+                             how="left").filter("snapshot_date IS NULL").count() == 3136
