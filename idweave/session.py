@@ -7,8 +7,11 @@ tests) is a private temporary folder chosen.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import logging
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +43,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _SCOPES: list[list[str]] = []
+_UNSCOPED: list[str] = []
 log = logging.getLogger("idweave")
 
 
@@ -87,8 +91,7 @@ def materialize(df: DataFrame, name: str = "stage", count: bool = False):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    (_SCOPES[-1] if _SCOPES else _UNSCOPED).append(path)
     if count:
         obs = Observation(f"{name}_rows")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -125,3 +128,15 @@ def _delete(spark: SparkSession, path: str) -> None:
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
     except Exception as e:  # a remote session cannot reach the file system API
         log.warning("could not delete stage folder %s: %s", path, e)
+
+
+@atexit.register
+def _drop_local_stages() -> None:
+    """Stage folders written outside a ``stage_scope`` (e.g. by a query that
+    returns a lazy DataFrame) live until the process ends. Folders on the
+    local file system are removed then; shared cluster folders are left to
+    that folder's own retention."""
+    for p in _UNSCOPED:
+        local = p[len("file:"):] if p.startswith("file:") else p
+        if "://" not in local and os.path.isdir(local):
+            shutil.rmtree(local, ignore_errors=True)
