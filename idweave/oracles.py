@@ -53,6 +53,16 @@ prev_all AS (
 ),
 prev AS (SELECT * FROM prev_all WHERE snapshot_date IS NOT NULL)"""
 
+PREV_BY_SEC = """
+prev AS (
+  SELECT * FROM (
+    SELECT i.*, (SELECT max(s.datadate) FROM securities s
+                 WHERE s.sec_id = CAST(i.sec_id AS VARCHAR)
+                   AND s.datadate < i.trade_date_est) AS snapshot_date
+    FROM ided i) x
+  WHERE snapshot_date IS NOT NULL
+)"""
+
 SNAP = """
 snap AS (
   SELECT p.*, s.ext_sec_id, s.sedol, s.cusip, s.isin_no, s.ticker, s.sec_currency
@@ -236,6 +246,9 @@ ORACLES: dict[str, str] = {
     "historic_identifiers_dated": _chain(LOOK, FILTERED, DEDUP2, IDED2, PREV, SNAP, REFS_PREV_DAY,
                                          ENRICHED, SED_REQ, TICK_REQ_M, RESP, RESULT)
     + " SELECT * FROM result",
+    "historic_identifiers_by_security": _chain(LOOK, FILTERED, DEDUP3, IDED, PREV_BY_SEC, SNAP,
+                                               REFS, ENRICHED, SED_REQ, TICK_REQ, RESP, RESULT)
+    + " SELECT * FROM result",
     "same_day_identifiers": _chain(("allocations", "securities", "ref_equity", "ref_fund"),
                                    FILTERED, DEDUP2, SAME_DAY_SNAP, REFS,
                                    _enrich("same_day_enriched", "same_day", "sec_id",

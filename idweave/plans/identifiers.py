@@ -19,7 +19,7 @@ from ..fixtures import Sources
 from ..functions.columns import prefix_columns, tag
 from ..operators import (assign_ids, audit_missing, dedup_allocations, filter_allocations,
                          join_reference, join_snapshot, lookup_symbols, observe_count,
-                         previous_snapshot, symbol_requests)
+                         previous_snapshot, previous_snapshot_by_key, symbol_requests)
 from ..session import stage_scope
 from ..sinks import export_requests, publish, write_preview
 
@@ -34,22 +34,33 @@ def allocations_with_ids(src: Sources, keys=DEDUP_KEYS_3) -> DataFrame:
 
 
 def enriched_historic(src: Sources, offset_days: int = 1, how: str = "inner",
-                      keys=DEDUP_KEYS_3) -> DataFrame:
+                      keys=DEDUP_KEYS_3, asof: str = "table") -> DataFrame:
+    """Allocations with ids, their snapshot identifiers and underlying identifiers.
+
+    ``asof="table"`` takes the latest snapshot date of the whole table before
+    the trade, which is what the original job does. ``asof="security"`` takes
+    the latest snapshot in which that security appears.
+    """
     alloc = allocations_with_ids(src, keys)
-    prev = previous_snapshot(alloc, src.snapshot_dates, how=how)
+    if asof == "table":
+        prev = previous_snapshot(alloc, src.snapshot_dates, how=how)
+    elif asof == "security":
+        prev = previous_snapshot_by_key(alloc, src.securities, how=how)
+    else:
+        raise ValueError(f"unknown as-of mode {asof!r}")
     snap = join_snapshot(prev, src.securities, on="snapshot_date")
     return join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days)
 
 
 def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days: int = 1,
-                         how: str = "inner", keys=DEDUP_KEYS_3) -> DataFrame:
+                         how: str = "inner", keys=DEDUP_KEYS_3, asof: str = "table") -> DataFrame:
     """Enriched rows joined to every symbol-table answer of their requests.
 
     Same rows as ``attach_symbols(enriched, responses)``, but requests carry
     the enriched columns, so the enriched frame is computed once and there is
     no join back by ``DATA_ID``.
     """
-    enriched = enriched_historic(src, offset_days, how, keys)
+    enriched = enriched_historic(src, offset_days, how, keys, asof)
     requests = symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True)
     carry = [c for c in enriched.columns if c != "DATA_ID"]
     return lookup_symbols(requests, src.symbology, carry=carry)
@@ -66,7 +77,8 @@ def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2)
 
 def publish_identifiers(src: Sources, table: str, path: str | None = None,
                         ticker_mode: str = "always", offset_days: int = 1, how: str = "inner",
-                        keys=DEDUP_KEYS_3, audit_dir: str | None = None) -> dict[str, int]:
+                        keys=DEDUP_KEYS_3, audit_dir: str | None = None,
+                        asof: str = "table") -> dict[str, int]:
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
@@ -76,7 +88,7 @@ def publish_identifiers(src: Sources, table: str, path: str | None = None,
     stage folders (ids, day map) are deleted once everything is written.
     """
     with stage_scope(src.allocations.sparkSession):
-        enriched = enriched_historic(src, offset_days, how, keys)
+        enriched = enriched_historic(src, offset_days, how, keys, asof)
         observed, obs_enriched = observe_count(enriched, "enriched")
         requests, obs_requests = observe_count(
             symbol_requests(observed, ticker_mode=ticker_mode, keep_input=True), "requests")

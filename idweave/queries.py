@@ -217,6 +217,12 @@ def historic_identifiers_dated(spark, sf_dir):
                                      keys=DEDUP_KEYS_2)
 
 
+@query
+def historic_identifiers_by_security(spark, sf_dir):
+    """The flagship with each security's own latest earlier snapshot."""
+    return plan.identifiers_historic(_src(spark, sf_dir), asof="security")
+
+
 @query
 def same_day_identifiers(spark, sf_dir):
     return plan.identifiers_same_day(_src(spark, sf_dir))
