@@ -53,6 +53,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     h.add_argument("--audit-dir", help="folder for the missing-identifier and preview CSVs")
     h.add_argument("--asof", default="table", choices=["table", "security"],
                    help="latest snapshot of the table (default) or of each security")
+    h.add_argument("--skew", default="aqe", choices=["aqe", "salt"],
+                   help="hot keys: split by AQE (default) or salted (clusters without AQE)")
     part = sub.add_parser("partitions")
     part.add_argument("--table", required=True)
     return p.parse_args(argv)
@@ -79,7 +81,8 @@ def main(argv=None, spark: SparkSession | None = None):
     keys = DEDUP_KEYS_3 if args.dedup_keys == 3 else DEDUP_KEYS_2
     return publish_identifiers(src, args.output, path=args.output_path,
                                ticker_mode=args.ticker_mode, offset_days=args.offset_days,
-                               keys=keys, audit_dir=args.audit_dir, asof=args.asof)
+                               keys=keys, audit_dir=args.audit_dir, asof=args.asof,
+                               skew=args.skew)
 
 
 if __name__ == "__main__":

@@ -9,22 +9,29 @@ from pyspark.sql import functions as F
 
 from ..constants import SECURITY_COLUMNS, UNDERLYING_COLUMNS
 from ..functions.dates import date_from_yyyymmdd
+from .skew import salted_join
 
 
 def join_snapshot(alloc: DataFrame, securities: DataFrame, on: str = "snapshot_date",
                   key: str = "sec_id", how: str = "left",
-                  columns: Sequence[str] = SECURITY_COLUMNS) -> DataFrame:
+                  columns: Sequence[str] = SECURITY_COLUMNS, skew: str = "aqe") -> DataFrame:
     """Left-join the snapshot row of the security on the chosen date.
 
     The allocation key is cast to text to meet the snapshot's text key. An
-    equi-join on (security, date): sort-merge at scale, with AQE splitting a
-    hot key; NULL keys never match and keep their row.
+    equi-join on (security, date): sort-merge at scale; a hot key is split by
+    AQE, or with ``skew="salt"`` by salting. NULL keys never match and keep
+    their row.
     """
     sec = securities.select(F.col("sec_id").alias("_sk"), F.col("datadate").alias("_sd"),
                             *columns)
     left = alloc.withColumn("_ak", F.col(key).cast("string"))
-    cond = (left["_ak"] == sec["_sk"]) & (left[on] == sec["_sd"])
-    return left.join(sec, cond, how).drop("_ak", "_sk", "_sd")
+    if skew == "salt":
+        joined = salted_join(left, sec, ["_ak", on], ["_sk", "_sd"], how)
+    elif skew == "aqe":
+        joined = left.join(sec, (left["_ak"] == sec["_sk"]) & (left[on] == sec["_sd"]), how)
+    else:
+        raise ValueError(f"unknown skew mode {skew!r}")
+    return joined.drop("_ak", "_sk", "_sd")
 
 
 def _prepare_reference(ref: DataFrame, tag: str, offset_days: int, date_col: str) -> DataFrame:

@@ -11,6 +11,7 @@ from ..constants import PREFIX_SEDOL, PREFIX_TICKER, TICKER_RULES
 from ..functions.dates import day_end, day_start
 from ..functions.tickers import local_ticker
 from .ids import dense_index
+from .skew import salted_join
 
 REQUEST_COLUMNS = ("DATA_ID", "prefix", "sec_id", "currency", "ticker", "sedol",
                    "order_start_date", "order_end_date", "sym_date",
@@ -109,19 +110,28 @@ def batch_requests(df: DataFrame, size: int, id_col: str = "DATA_ID") -> DataFra
 
 
 def lookup_symbols(requests: DataFrame, symbology: DataFrame,
-                   carry: Sequence[str] = ()) -> DataFrame:
+                   carry: Sequence[str] = (), skew: str = "aqe") -> DataFrame:
     """Resolve requests against a dated symbol table.
 
     Equi-join on (prefix, symbol) with the trade date inside
     [valid_from, valid_to] as a residual condition. NULL and empty symbols are
-    dropped first: they never match and would all hash to one task.
+    dropped first: they never match and would all hash to one task. A hot
+    symbol is split by AQE's skew join, or with ``skew="salt"`` by salting
+    (``salted_join``) when AQE is off.
     """
     req = valid_requests(requests)
     sym = symbology.select(F.col("prefix").alias("_p"), F.col("symbol").alias("_s"),
                            "valid_from", "valid_to", "resolved")
-    cond = ((req["prefix"] == sym["_p"]) & (req["SYMBOL_NAME"] == sym["_s"])
-            & (req["sym_date"] >= sym["valid_from"]) & (req["sym_date"] <= sym["valid_to"]))
-    return req.join(sym, cond, "inner").select(*RESPONSE_COLUMNS, *carry)
+    in_range = (req["sym_date"] >= sym["valid_from"]) & (req["sym_date"] <= sym["valid_to"])
+    if skew == "salt":
+        joined = salted_join(req, sym, ["prefix", "SYMBOL_NAME"], ["_p", "_s"], "inner",
+                             condition=in_range)
+    elif skew == "aqe":
+        cond = (req["prefix"] == sym["_p"]) & (req["SYMBOL_NAME"] == sym["_s"]) & in_range
+        joined = req.join(sym, cond, "inner")
+    else:
+        raise ValueError(f"unknown skew mode {skew!r}")
+    return joined.select(*RESPONSE_COLUMNS, *carry)
 
 
 def lookup_with_service(requests: DataFrame, service: Callable, schema: str,

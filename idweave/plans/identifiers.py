@@ -34,7 +34,7 @@ def allocations_with_ids(src: Sources, keys=DEDUP_KEYS_3) -> DataFrame:
 
 
 def enriched_historic(src: Sources, offset_days: int = 1, how: str = "inner",
-                      keys=DEDUP_KEYS_3, asof: str = "table") -> DataFrame:
+                      keys=DEDUP_KEYS_3, asof: str = "table", skew: str = "aqe") -> DataFrame:
     """Allocations with ids, their snapshot identifiers and underlying identifiers.
 
     ``asof="table"`` takes the latest snapshot date of the whole table before
@@ -48,22 +48,23 @@ def enriched_historic(src: Sources, offset_days: int = 1, how: str = "inner",
         prev = previous_snapshot_by_key(alloc, src.securities, how=how)
     else:
         raise ValueError(f"unknown as-of mode {asof!r}")
-    snap = join_snapshot(prev, src.securities, on="snapshot_date")
+    snap = join_snapshot(prev, src.securities, on="snapshot_date", skew=skew)
     return join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days)
 
 
 def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days: int = 1,
-                         how: str = "inner", keys=DEDUP_KEYS_3, asof: str = "table") -> DataFrame:
+                         how: str = "inner", keys=DEDUP_KEYS_3, asof: str = "table",
+                         skew: str = "aqe") -> DataFrame:
     """Enriched rows joined to every symbol-table answer of their requests.
 
     Same rows as ``attach_symbols(enriched, responses)``, but requests carry
     the enriched columns, so the enriched frame is computed once and there is
     no join back by ``DATA_ID``.
     """
-    enriched = enriched_historic(src, offset_days, how, keys, asof)
+    enriched = enriched_historic(src, offset_days, how, keys, asof, skew)
     requests = symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True)
     carry = [c for c in enriched.columns if c != "DATA_ID"]
-    return lookup_symbols(requests, src.symbology, carry=carry)
+    return lookup_symbols(requests, src.symbology, carry=carry, skew=skew)
 
 
 def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2) -> DataFrame:
@@ -78,7 +79,7 @@ def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2)
 def publish_identifiers(src: Sources, table: str, path: str | None = None,
                         ticker_mode: str = "always", offset_days: int = 1, how: str = "inner",
                         keys=DEDUP_KEYS_3, audit_dir: str | None = None,
-                        asof: str = "table") -> dict[str, int]:
+                        asof: str = "table", skew: str = "aqe") -> dict[str, int]:
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
@@ -88,13 +89,14 @@ def publish_identifiers(src: Sources, table: str, path: str | None = None,
     stage folders (ids, day map) are deleted once everything is written.
     """
     with stage_scope(src.allocations.sparkSession):
-        enriched = enriched_historic(src, offset_days, how, keys, asof)
+        enriched = enriched_historic(src, offset_days, how, keys, asof, skew)
         observed, obs_enriched = observe_count(enriched, "enriched")
         requests, obs_requests = observe_count(
             symbol_requests(observed, ticker_mode=ticker_mode, keep_input=True), "requests")
         carry = [c for c in enriched.columns if c != "DATA_ID"]
         result, obs_result = observe_count(
-            tag(lookup_symbols(requests, src.symbology, carry=carry), process_type="historic"),
+            tag(lookup_symbols(requests, src.symbology, carry=carry, skew=skew),
+                process_type="historic"),
             "result")
         publish(result, table, path=path)
         counts = {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],

@@ -312,3 +312,52 @@ def test_empty_inputs(src):
     assert plan.identifiers_historic(no_snaps).count() == 0
     assert previous_snapshot(plan.allocations_with_ids(src), no_snaps.snapshot_dates,
                              how="left").filter("snapshot_date IS NULL").count() == 3136
+
+
+def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from idweave.operators import hot_keys, salted_join
+
+    n = 40_000
+    big = spark.range(n).select(
+        F.col("id").alias("rid"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"),
+        (F.col("id") % 5).alias("d"))
+    small = spark.range(1000).select(F.col("id").alias("sk"), F.lit(2).alias("d_lo"),
+                                     F.concat(F.lit("v"), F.col("id")).alias("v"))
+    small = small.unionByName(small.withColumn("d_lo", F.lit(4)))  # two rows per key
+    hot = [r.k for r in hot_keys(big, ["k"], min_share=0.05, fraction=0.2).collect()]
+    assert hot == [7]
+    for how in ("inner", "left"):
+        plain = big.join(small, (big.k == small.sk) & (big.d >= small.d_lo), how)
+        salted = salted_join(big, small, ["k"], ["sk"], how, condition=big.d >= small.d_lo,
+                             salts=8, min_share=0.05)
+        cols = ["rid", "k", "d", "sk", "d_lo", "v"]
+        assert salted.select(*cols).exceptAll(plain.select(*cols)).count() == 0
+        assert plain.select(*cols).exceptAll(salted.select(*cols)).count() == 0
+    # without broadcast and without AQE's skew split, the hot key's rows are
+    # still spread over several join tasks by the salt
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "false",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        salted = salted_join(big, small, ["k"], ["sk"], "inner", salts=8, min_share=0.05)
+        spread = (salted.filter("k = 7").select(F.spark_partition_id().alias("p"))
+                  .distinct().count())
+        plain = big.join(small, big.k == small.sk, "inner")
+        one = (plain.filter("k = 7").select(F.spark_partition_id().alias("p"))
+               .distinct().count())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert one == 1 and spread > 1
+
+
+def test_salted_job_equals_default(src):
+    a = plan.identifiers_historic(src)
+    b = plan.identifiers_historic(src, skew="salt")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
