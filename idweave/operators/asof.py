@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .skew import salted_join
 
 # Size bounds. A frame of distinct DATE values can never exceed the number of
 # days in years 1-9999 (3,652,059 rows, about 15 MB of dates), whatever the
@@ -77,7 +78,7 @@ def previous_snapshot(alloc: DataFrame, dates: DataFrame, date_col: str = "trade
 def previous_snapshot_by_key(alloc: DataFrame, snaps: DataFrame, key: str = "sec_id",
                              date_col: str = "trade_date_est", snap_key: str = "sec_id",
                              snap_col: str = "datadate", out: str = "snapshot_date",
-                             how: str = "inner") -> DataFrame:
+                             how: str = "inner", skew: str = "aqe") -> DataFrame:
     """Per security: the latest snapshot of *that security* strictly before the trade.
 
     Distinct (security, trade date) pairs and (security, snapshot date) pairs
@@ -97,5 +98,10 @@ def previous_snapshot_by_key(alloc: DataFrame, snaps: DataFrame, key: str = "sec
              .where((F.col("_side") == 0) & F.col(out).isNotNull())
              .select("_k", "_d", out))
     left = alloc.withColumn("_k", F.col(key).cast("string"))
+    if skew == "salt":
+        found = found.withColumnRenamed("_k", "_fk")
+        return salted_join(left, found, ["_k", date_col], ["_fk", "_d"], how).drop("_k", "_fk", "_d")
+    if skew != "aqe":
+        raise ValueError(f"unknown skew mode {skew!r}")
     return (left.join(found, (left["_k"] == found["_k"]) & (left[date_col] == found["_d"]), how)
             .drop("_k", "_d"))

@@ -46,19 +46,28 @@ def _prepare_reference(ref: DataFrame, tag: str, offset_days: int, date_col: str
 
 
 def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_days: int = 1,
-                   key: str = "sec_id", date_col: str = "trade_date_est") -> DataFrame:
+                   key: str = "sec_id", date_col: str = "trade_date_est",
+                   skew: str = "aqe") -> DataFrame:
     """Left-join the equity and fund files where file date - offset = trade date.
 
     Both joins use the same keys (text security id, date), so the left side is
     shuffled once and the second join reuses that partitioning. The four
     underlying identifiers take the equity value first, then the fund value.
-    Each file is expected to hold one row per (security, file date).
+    Each file is expected to hold one row per (security, file date). With
+    ``skew="salt"`` hot (security, date) keys are salted instead of left to AQE.
     """
     eq = _prepare_reference(equity, "equity", offset_days, date_col)
     fu = _prepare_reference(fund, "fund", offset_days, date_col)
-    out = (df.withColumn("_k", F.col(key).cast("string"))
-           .join(eq, ["_k", date_col], "left")
-           .join(fu, ["_k", date_col], "left"))
+    keyed = df.withColumn("_k", F.col(key).cast("string"))
+    if skew == "salt":
+        out = keyed
+        for ref in (eq, fu):
+            r = ref.withColumnRenamed("_k", "_rk").withColumnRenamed(date_col, "_rd")
+            out = salted_join(out, r, ["_k", date_col], ["_rk", "_rd"], "left").drop("_rk", "_rd")
+    elif skew == "aqe":
+        out = keyed.join(eq, ["_k", date_col], "left").join(fu, ["_k", date_col], "left")
+    else:
+        raise ValueError(f"unknown skew mode {skew!r}")
     merged = {dst: F.coalesce(F.col(f"_equity_{src}"), F.col(f"_fund_{src}"))
               for src, dst in UNDERLYING_COLUMNS}
     drop = ["_k"] + [f"_{t}_{src}" for t in ("equity", "fund") for src, _ in UNDERLYING_COLUMNS]

@@ -45,11 +45,11 @@ def enriched_historic(src: Sources, offset_days: int = 1, how: str = "inner",
     if asof == "table":
         prev = previous_snapshot(alloc, src.snapshot_dates, how=how)
     elif asof == "security":
-        prev = previous_snapshot_by_key(alloc, src.securities, how=how)
+        prev = previous_snapshot_by_key(alloc, src.securities, how=how, skew=skew)
     else:
         raise ValueError(f"unknown as-of mode {asof!r}")
     snap = join_snapshot(prev, src.securities, on="snapshot_date", skew=skew)
-    return join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days)
+    return join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days, skew=skew)
 
 
 def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days: int = 1,

@@ -358,6 +358,8 @@ def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
 
 
 def test_salted_job_equals_default(src):
-    a = plan.identifiers_historic(src)
-    b = plan.identifiers_historic(src, skew="salt")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for asof in ("table", "security"):
+        a = plan.identifiers_historic(src, asof=asof)
+        b = plan.identifiers_historic(src, asof=asof, skew="salt")
+        assert a.columns == b.columns
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
