@@ -55,21 +55,25 @@ def _enriched(spark, sf_dir):
 
 @query
 def filter_allocations_q(spark, sf_dir):
+    """allocations of the kept security types with status ACCT."""
     return _filtered(spark, sf_dir)
 
 
 @query
 def dedup_allocations_q(spark, sf_dir):
+    """One allocation per (security, trade date EST, trade date local)."""
     return dedup_allocations(_filtered(spark, sf_dir), DEDUP_KEYS_3, tie=plan.TIE_KEYS)
 
 
 @query
 def dedup_allocations_two_keys(spark, sf_dir):
+    """One allocation per (security, trade date EST)."""
     return dedup_allocations(_filtered(spark, sf_dir), DEDUP_KEYS_2, tie=plan.TIE_KEYS)
 
 
 @query
 def dedup_allocations_by_account(spark, sf_dir):
+    """Dedup keyed on the account instead of the security (many more ties)."""
     return dedup_allocations(_filtered(spark, sf_dir),
                              ("acct_id", "trade_date_est", "trade_date_local"),
                              tie=("order_id", "line_no", "sec_id"))
@@ -77,6 +81,7 @@ def dedup_allocations_by_account(spark, sf_dir):
 
 @query
 def assign_ids_q(spark, sf_dir):
+    """DATA_ID = 1..n over the deduplicated allocations, in key order."""
     return _ided(spark, sf_dir)
 
 
@@ -84,24 +89,28 @@ def assign_ids_q(spark, sf_dir):
 
 @query
 def previous_snapshot_q(spark, sf_dir):
+    """Latest snapshot date strictly before each trade (inner)."""
     src = _src(spark, sf_dir)
     return previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
 
 
 @query
 def previous_snapshot_left(spark, sf_dir):
+    """J5 with allocations that have no earlier snapshot kept (NULL)."""
     src = _src(spark, sf_dir)
     return previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates, how="left")
 
 
 @query
 def previous_snapshot_by_key_q(spark, sf_dir):
+    """Per security: its own latest snapshot strictly before the trade."""
     src = _src(spark, sf_dir)
     return previous_snapshot_by_key(plan.allocations_with_ids(src), src.securities)
 
 
 @query
 def join_snapshot_same_day(spark, sf_dir):
+    """Snapshot identifiers of the trade date itself (left join)."""
     src = _src(spark, sf_dir)
     alloc = dedup_allocations(filter_allocations(src.allocations), DEDUP_KEYS_2, tie=plan.TIE_KEYS)
     return join_snapshot(alloc, src.securities, on="trade_date_est")
@@ -109,6 +118,7 @@ def join_snapshot_same_day(spark, sf_dir):
 
 @query
 def join_snapshot_previous(spark, sf_dir):
+    """Snapshot identifiers of the previous snapshot (left join)."""
     src = _src(spark, sf_dir)
     prev = previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
     return join_snapshot(prev, src.securities, on="snapshot_date")
@@ -116,18 +126,21 @@ def join_snapshot_previous(spark, sf_dir):
 
 @query
 def audit_missing_all(spark, sf_dir):
+    """rows where all five identifiers are NULL."""
     return audit_missing(join_snapshot_previous(spark, sf_dir),
                          ["ext_sec_id", "sedol", "cusip", "isin_no", "ticker"], mode="all")
 
 
 @query
 def audit_missing_any(spark, sf_dir):
+    """rows where the external id, SEDOL or ticker is NULL."""
     return audit_missing(join_snapshot_previous(spark, sf_dir),
                          ["ext_sec_id", "sedol", "ticker"], mode="any")
 
 
 @query
 def join_reference_q(spark, sf_dir):
+    """Underlying identifiers from the equity, then fund file."""
     return _enriched(spark, sf_dir)
 
 
@@ -144,21 +157,25 @@ def join_reference_previous_day(spark, sf_dir):
 
 @query
 def sedol_requests_q(spark, sf_dir):
+    """C4: SEDOL requests with day bounds (valid symbols only)."""
     return sedol_requests(_enriched(spark, sf_dir))
 
 
 @query
 def ticker_requests_q(spark, sf_dir):
+    """Local-ticker requests, suffix stripped and exchange code added."""
     return ticker_requests(_enriched(spark, sf_dir), mode="always")
 
 
 @query
 def ticker_requests_matched(spark, sf_dir):
+    """C5 (dated cut): only tickers ending in a suffix token are rewritten."""
     return ticker_requests(_enriched(spark, sf_dir), mode="matched")
 
 
 @query
 def valid_requests_q(spark, sf_dir):
+    """requests with a NULL or empty symbol dropped."""
     e = _enriched(spark, sf_dir)
     raw = sedol_requests(e, valid_only=False).unionByName(ticker_requests(e, valid_only=False))
     return valid_requests(raw)
@@ -166,23 +183,27 @@ def valid_requests_q(spark, sf_dir):
 
 @query
 def batch_requests_q(spark, sf_dir):
+    """Batch number from the dense rank of the request id."""
     return batch_requests(symbol_requests(_enriched(spark, sf_dir)), 500)
 
 
 @query
 def lookup_symbols_sedol(spark, sf_dir):
+    """SEDOL requests resolved against the dated symbol table."""
     src = _src(spark, sf_dir)
     return lookup_symbols(sedol_requests(plan.enriched_historic(src)), src.symbology)
 
 
 @query
 def lookup_symbols_ticker(spark, sf_dir):
+    """Ticker requests resolved against the dated symbol table."""
     src = _src(spark, sf_dir)
     return lookup_symbols(ticker_requests(plan.enriched_historic(src)), src.symbology)
 
 
 @query
 def merge_responses_q(spark, sf_dir):
+    """SEDOL and ticker responses unioned by name."""
     src = _src(spark, sf_dir)
     e = plan.enriched_historic(src)
     return merge_responses(lookup_symbols(sedol_requests(e), src.symbology),
@@ -191,6 +212,7 @@ def merge_responses_q(spark, sf_dir):
 
 @query
 def attach_symbols_q(spark, sf_dir):
+    """Responses joined back to the enriched rows by DATA_ID, prefixed."""
     src = _src(spark, sf_dir)
     e = plan.enriched_historic(src)
     resp = merge_responses(lookup_symbols(sedol_requests(e), src.symbology),
@@ -202,11 +224,13 @@ def attach_symbols_q(spark, sf_dir):
 
 @query
 def historic_identifiers(spark, sf_dir):
+    """C3 (flagship) through run('historic'): the published result rows."""
     return plan.run("historic", _src(spark, sf_dir))
 
 
 @query
 def historic_identifiers_matched(spark, sf_dir):
+    """C2 ticker rule inside the flagship."""
     return plan.identifiers_historic(_src(spark, sf_dir), ticker_mode="matched")
 
 
@@ -225,11 +249,13 @@ def historic_identifiers_by_security(spark, sf_dir):
 
 @query
 def same_day_identifiers(spark, sf_dir):
+    """Same-day snapshot, prefixed columns, equity/fund identifiers."""
     return plan.identifiers_same_day(_src(spark, sf_dir))
 
 
 @query
 def stage_counts_q(spark, sf_dir):
+    """A3: row count of every stage of the flagship."""
     src = _src(spark, sf_dir)
     filtered = filter_allocations(src.allocations)
     ided = plan.allocations_with_ids(src)
@@ -248,16 +274,19 @@ def stage_counts_q(spark, sf_dir):
 
 @query
 def prefix_columns_q(spark, sf_dir):
+    """Snapshot columns prefixed, the key left out."""
     return prefix_columns(fx.securities(spark, sf_dir), "snap_", drop=["sec_id"])
 
 
 @query
 def tag_q(spark, sf_dir):
+    """Constant source and process-type columns."""
     return tag(_filtered(spark, sf_dir), source="O", process_type="historic")
 
 
 @query
 def normalize_dates_q(spark, sf_dir):
+    """Dates from yyyyMMdd integers/text and from timestamps."""
     eq = fx.ref_equity(spark, sf_dir).withColumn("loaded", F.col("file_eff_dt").cast("string"))
     li = fx.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
@@ -272,6 +301,7 @@ def normalize_dates_q(spark, sf_dir):
 
 @query
 def union_snapshots_q(spark, sf_dir):
+    """U4: current and history snapshots unioned by name."""
     secs = fx.securities(spark, sf_dir)
     last = secs.agg(F.max("datadate")).scalar()
     current = secs.filter(F.col("datadate") == last)
@@ -283,6 +313,7 @@ def union_snapshots_q(spark, sf_dir):
 
 @query
 def sql_relation_q(spark, sf_dir):
+    """The snapshot join as SQL text over bound frames and :data_date."""
     src = _src(spark, sf_dir)
     prev = previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
     text = """
@@ -298,6 +329,7 @@ def sql_relation_q(spark, sf_dir):
 
 @query
 def snapshot_dates_q(spark, sf_dir):
+    """Snapshot dates from the partition listing of a published table."""
     secs = fx.securities(spark, sf_dir)
     name = "idweave_securities_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     publish(secs, name, partition_cols=["datadate"], path=scratch_path(spark, "securities"))
@@ -306,6 +338,7 @@ def snapshot_dates_q(spark, sf_dir):
 
 @query
 def publish_q(spark, sf_dir):
+    """K1-K3: a table replaced by one overwrite and read back."""
     df = _filtered(spark, sf_dir)
     name = "idweave_alloc_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     publish(df, name, path=scratch_path(spark, "alloc"))
@@ -314,6 +347,7 @@ def publish_q(spark, sf_dir):
 
 @query
 def export_requests_q(spark, sf_dir):
+    """Requests written as CSV and scanned back with their schema."""
     req = symbol_requests(_enriched(spark, sf_dir))
     path = scratch_path(spark, "requests-csv")
     export_requests(req, path)
@@ -346,6 +380,7 @@ def join_reference_from_csv(spark, sf_dir):
 
 @query
 def preview_q(spark, sf_dir):
+    """K4/L1: the first 100 enriched rows by DATA_ID."""
     return preview(_enriched(spark, sf_dir), ["DATA_ID"], 100)
 
 
