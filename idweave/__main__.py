@@ -20,8 +20,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3
-from .fixtures import Sources
-from .plans import identifiers_same_day, publish_identifiers
+from .plans import Sources, identifiers_same_day, publish_identifiers
 from .sinks import publish
 from .sources import snapshot_dates
 

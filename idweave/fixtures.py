@@ -8,12 +8,11 @@ their size grows with the scale factor.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.tickers import local_ticker
+from .plans.inputs import Sources
 from .constants import TICKER_RULES, PREFIX_SEDOL, PREFIX_TICKER
 
 
@@ -138,18 +137,6 @@ def symbology(spark: SparkSession, sf_dir: str, secs: DataFrame | None = None) -
                 F.col("symbol"))))
 
 
-@dataclass
-class Sources:
-    """The inputs of an identifier job."""
-
-    allocations: DataFrame
-    snapshot_dates: DataFrame
-    securities: DataFrame
-    ref_equity: DataFrame
-    ref_fund: DataFrame
-    symbology: DataFrame
-
-
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     dates = snapshot_dates(spark, sf_dir)
     secs = securities(spark, sf_dir, dates)

@@ -1,5 +1,6 @@
 """Assembled jobs."""
 
 from .identifiers import identifiers_historic, identifiers_same_day, publish_identifiers, run
+from .inputs import Sources
 
-__all__ = ["identifiers_historic", "identifiers_same_day", "publish_identifiers", "run"]
+__all__ = ["Sources", "identifiers_historic", "identifiers_same_day", "publish_identifiers", "run"]

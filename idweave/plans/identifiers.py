@@ -15,7 +15,7 @@ import logging
 from pyspark.sql import DataFrame
 
 from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
-from ..fixtures import Sources
+from .inputs import Sources
 from ..functions.columns import prefix_columns, tag
 from ..operators import (assign_ids, audit_missing, dedup_allocations, filter_allocations,
                          join_reference, join_snapshot, lookup_symbols, observe_count,
