@@ -31,6 +31,10 @@ def _read(spark: SparkSession, ref: str | None) -> DataFrame | None:
     return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
 
 
+def _cols(text: str) -> tuple:
+    return tuple(c.strip() for c in text.split(",") if c.strip())
+
+
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="idweave")
     sub = p.add_subparsers(dest="job", required=True)
@@ -43,6 +47,7 @@ def parse_args(argv=None) -> argparse.Namespace:
         j.add_argument("--output", required=True, help="catalog table to replace")
         j.add_argument("--output-path")
         j.add_argument("--offset-days", type=int, default=1)
+        j.add_argument("--partition-by", default="", help="comma-separated output partition columns")
     h = sub.choices["historic"]
     h.add_argument("--process-type", default="historic")
     h.add_argument("--symbology", required=True)
@@ -75,13 +80,13 @@ def main(argv=None, spark: SparkSession | None = None):
                   _read(spark, getattr(args, "symbology", None)))
     if args.job == "same-day":
         result = identifiers_same_day(src, offset_days=args.offset_days)
-        publish(result, args.output, path=args.output_path)
+        publish(result, args.output, partition_cols=_cols(args.partition_by), path=args.output_path)
         return {"published": args.output}
     keys = DEDUP_KEYS_3 if args.dedup_keys == 3 else DEDUP_KEYS_2
     return publish_identifiers(src, args.output, path=args.output_path,
                                ticker_mode=args.ticker_mode, offset_days=args.offset_days,
                                keys=keys, audit_dir=args.audit_dir, asof=args.asof,
-                               skew=args.skew)
+                               skew=args.skew, partition_cols=_cols(args.partition_by))
 
 
 if __name__ == "__main__":

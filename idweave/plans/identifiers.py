@@ -79,7 +79,8 @@ def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2)
 def publish_identifiers(src: Sources, table: str, path: str | None = None,
                         ticker_mode: str = "always", offset_days: int = 1, how: str = "inner",
                         keys=DEDUP_KEYS_3, audit_dir: str | None = None,
-                        asof: str = "table", skew: str = "aqe") -> dict[str, int]:
+                        asof: str = "table", skew: str = "aqe",
+                        partition_cols: tuple = ()) -> dict[str, int]:
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
@@ -98,7 +99,7 @@ def publish_identifiers(src: Sources, table: str, path: str | None = None,
             tag(lookup_symbols(requests, src.symbology, carry=carry, skew=skew),
                 process_type="historic"),
             "result")
-        publish(result, table, path=path)
+        publish(result, table, partition_cols=partition_cols, path=path)
         counts = {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
                   "result": obs_result.get["rows"]}
         if audit_dir:

@@ -84,10 +84,13 @@ def test_command_line_job(spark, src):
     argv = ["historic", "--process-type", "historic", "--allocations", paths["allocations"],
             "--securities", "idweave_cli_securities", "--equity", paths["ref_equity"],
             "--fund", paths["ref_fund"], "--symbology", paths["symbology"],
-            "--output", "idweave_cli_result", "--output-path", scratch_path(spark, "cli-out")]
+            "--output", "idweave_cli_result", "--output-path", scratch_path(spark, "cli-out"),
+            "--partition-by", "prefix"]
     counts = main(argv, spark=spark)
     assert counts["result"] == 3410
     assert spark.table("idweave_cli_result").count() == 3410
+    parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS idweave_cli_result").collect())
+    assert parts == ["prefix=BTKR", "prefix=SED"]
     daily = ["historic", "--process-type", "daily"] + argv[3:]
     assert main(daily, spark=spark) is None
     dates = main(["partitions", "--table", "idweave_cli_securities"], spark=spark)
