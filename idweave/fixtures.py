@@ -137,8 +137,18 @@ def symbology(spark: SparkSession, sf_dir: str, secs: DataFrame | None = None) -
                 F.col("symbol"))))
 
 
+_SOURCES: dict[tuple[str, str], Sources] = {}
+
+
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    dates = snapshot_dates(spark, sf_dir)
-    secs = securities(spark, sf_dir, dates)
-    return Sources(allocations(spark, sf_dir), dates, secs, ref_equity(spark, sf_dir),
-                   ref_fund(spark, sf_dir), symbology(spark, sf_dir, secs))
+    """The six views over ``sf_dir``. They are lazy plans over read-only tables,
+    so they are built once per session and reused; nothing is cached, and each
+    action reads the tables again."""
+    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+    if key not in _SOURCES:
+        dates = snapshot_dates(spark, sf_dir)
+        secs = securities(spark, sf_dir, dates)
+        _SOURCES[key] = Sources(allocations(spark, sf_dir), dates, secs,
+                                ref_equity(spark, sf_dir), ref_fund(spark, sf_dir),
+                                symbology(spark, sf_dir, secs))
+    return _SOURCES[key]
