@@ -16,14 +16,15 @@ from .plans.inputs import Sources
 from .constants import TICKER_RULES, PREFIX_SEDOL, PREFIX_TICKER
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[tuple[int, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The given read-only table; the scan (schema read) is set up once per session."""
-    key = (spark.conf.get("spark.app.id", ""), f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), spark.conf.get("spark.app.id", ""), path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(key[1])
+        _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
 
 
@@ -137,14 +138,14 @@ def symbology(spark: SparkSession, sf_dir: str, secs: DataFrame | None = None) -
                 F.col("symbol"))))
 
 
-_SOURCES: dict[tuple[str, str], Sources] = {}
+_SOURCES: dict[tuple[int, str, str], Sources] = {}
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The six views over ``sf_dir``. They are lazy plans over read-only tables,
     so they are built once per session and reused; nothing is cached, and each
     action reads the tables again."""
-    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _SOURCES:
         dates = snapshot_dates(spark, sf_dir)
         secs = securities(spark, sf_dir, dates)
