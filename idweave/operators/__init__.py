@@ -2,7 +2,7 @@
 
 from .allocations import dedup_allocations, filter_allocations
 from .asof import previous_snapshot, previous_snapshot_by_key
-from .audit import observe_count, stage_counts
+from .audit import duplicate_keys, observe_count, stage_counts
 from .enrich import audit_missing, join_reference, join_snapshot
 from .ids import assign_ids, dense_index
 from .setops import union_snapshots
@@ -13,7 +13,7 @@ from .symbols import (attach_symbols, batch_requests, lookup_symbols, lookup_wit
 
 __all__ = [
     "dedup_allocations", "filter_allocations", "previous_snapshot", "previous_snapshot_by_key",
-    "observe_count", "stage_counts", "audit_missing", "join_reference", "join_snapshot",
+    "observe_count", "stage_counts", "duplicate_keys", "audit_missing", "join_reference", "join_snapshot",
     "assign_ids", "dense_index", "union_snapshots", "hot_keys", "salted_join", "attach_symbols", "batch_requests",
     "lookup_symbols", "lookup_with_service", "merge_responses", "sedol_requests",
     "ticker_requests", "valid_requests", "symbol_requests",

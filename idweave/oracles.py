@@ -264,6 +264,12 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'ticker_requests', count(*) FROM tick_req WHERE {VALID}
       UNION ALL SELECT 'responses', count(*) FROM responses
       UNION ALL SELECT 'result', count(*) FROM result""",
+    "duplicate_keys": with_views("allocations", "ref_equity") + """
+      SELECT order_id, line_no, count(*) AS rows, 'allocations' AS source
+      FROM allocations GROUP BY order_id, line_no HAVING count(*) > 1
+      UNION ALL
+      SELECT CAST(sec_id AS BIGINT), file_eff_dt, count(*), 'ref_equity'
+      FROM ref_equity GROUP BY sec_id, file_eff_dt HAVING count(*) > 1""",
     "prefix_columns": with_views("securities") + """
       SELECT datadate AS snap_datadate, ext_sec_id AS snap_ext_sec_id, sedol AS snap_sedol,
              cusip AS snap_cusip, isin_no AS snap_isin_no, sec_currency AS snap_sec_currency,

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
 from .inputs import Sources
 from ..functions.columns import prefix_columns, tag
-from ..operators import (assign_ids, audit_missing, dedup_allocations, filter_allocations,
-                         join_reference, join_snapshot, lookup_symbols, observe_count,
-                         previous_snapshot, previous_snapshot_by_key, symbol_requests)
+from ..operators import (assign_ids, audit_missing, dedup_allocations, duplicate_keys,
+                         filter_allocations, join_reference, join_snapshot, lookup_symbols,
+                         observe_count, previous_snapshot, previous_snapshot_by_key,
+                         symbol_requests)
 from ..session import stage_scope
 from ..sinks import export_requests, publish, write_preview
 
@@ -84,9 +85,10 @@ def publish_identifiers(src: Sources, table: str, path: str | None = None,
     """Build the historic result and replace ``table`` with it in one action.
 
     Stage row counts are collected with ``observe`` during that same action
-    (no extra pass) and returned. With ``audit_dir``, two audit files are
+    (no extra pass) and returned. With ``audit_dir``, audit files are
     written as CSV: every enriched row that lacks an external id, SEDOL or
-    ticker, and an ordered 100-row preview of the result. The intermediate
+    ticker, an ordered 100-row preview of the result, and any (security, file
+    date) key that occurs more than once in the equity or fund file. The intermediate
     stage folders (ids, day map) are deleted once everything is written.
     """
     with stage_scope(src.allocations.sparkSession):
@@ -107,6 +109,9 @@ def publish_identifiers(src: Sources, table: str, path: str | None = None,
                             f"{audit_dir}/missing_identifiers")
             write_preview(enriched.sparkSession.table(table), f"{audit_dir}/result_preview",
                           ["DATA_ID", "prefix"], 100)
+            for name, ref in (("equity", src.ref_equity), ("fund", src.ref_fund)):
+                export_requests(duplicate_keys(ref, ["sec_id", "file_eff_dt"]),
+                                f"{audit_dir}/duplicate_{name}_keys")
     log.info("published %s: %s", table, counts)
     return counts
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from . import fixtures as fx
 from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
 from .functions import normalize_dates, prefix_columns, tag
-from .operators import (attach_symbols, audit_missing, batch_requests,
+from .operators import (attach_symbols, duplicate_keys, audit_missing, batch_requests,
                         dedup_allocations, filter_allocations, join_reference, join_snapshot,
                         lookup_symbols, merge_responses, previous_snapshot,
                         previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
@@ -270,6 +270,19 @@ def stage_counts_q(spark, sf_dir):
     })
 
 
+@query
+def duplicate_keys_q(spark, sf_dir):
+    """D8 check: (order, line) is not unique in the allocations; the reference
+    files are unique per (security, file date)."""
+    src = _src(spark, sf_dir)
+    return (duplicate_keys(src.allocations, ["order_id", "line_no"])
+            .withColumn("source", F.lit("allocations"))
+            .unionByName(duplicate_keys(src.ref_equity, ["sec_id", "file_eff_dt"])
+                         .select(F.col("sec_id").cast("bigint").alias("order_id"),
+                                 F.col("file_eff_dt").alias("line_no"), "rows")
+                         .withColumn("source", F.lit("ref_equity"))))
+
+
 # ---- columns and sets ----------------------------------------------------
 
 @query

@@ -239,6 +239,8 @@ def test_publish_identifiers_counts_in_one_action(spark, src):
     from idweave.sources import scan_csv
     assert scan_csv(spark, f"{audit}/missing_identifiers").count() == 431
     assert scan_csv(spark, f"{audit}/result_preview").count() == 100
+    assert scan_csv(spark, f"{audit}/duplicate_equity_keys").count() == 0
+    assert scan_csv(spark, f"{audit}/duplicate_fund_keys").count() == 0
     # the intermediate stage folders (ids, day map) are deleted after the write
     assert stage_dirs() == before
 
@@ -363,3 +365,10 @@ def test_salted_job_equals_default(src):
         b = plan.identifiers_historic(src, asof=asof, skew="salt")
         assert a.columns == b.columns
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_duplicate_keys(spark):
+    from idweave.operators import duplicate_keys
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "a")], "k int, v string")
+    assert sorted(tuple(r) for r in duplicate_keys(df, ["k", "v"]).collect()) == [(1, "a", 2)]
