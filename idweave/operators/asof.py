@@ -53,7 +53,9 @@ def _day_map(trade_days: DataFrame, snaps: DataFrame, out: str, strict: bool) ->
               .where(F.col("_side") == trade_side)
               .select(F.col("_d").alias("_t"), "_y", "_in"))
     year_last = snaps.groupBy(F.year("_s").alias("_sy")).agg(F.max("_s").alias("_ylast"))
-    carry = (within.select("_y").distinct()
+    # the years of the trade days (not of the window output), so the carry-in
+    # runs beside the window instead of after it
+    carry = (trade_days.select(F.year("_t").alias("_y")).distinct()
              .join(F.broadcast(year_last), F.col("_sy") < F.col("_y"), "inner")
              .groupBy("_y").agg(F.max("_ylast").alias("_carry")))
     return (within.join(carry, "_y", "left")
