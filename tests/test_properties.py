@@ -106,3 +106,40 @@ def test_local_ticker_matches_python_regex(spark, rows, mode):
             assert (s, b) == (stripped + code, stripped)
         else:
             assert (s, b) == (t, t)
+
+
+ref_rows = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6),
+                              st.one_of(st.none(), st.sampled_from(["a", "b"]))),
+                    max_size=10, unique_by=lambda r: (r[0], r[1]))
+
+
+@SETTINGS
+@given(trades=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6)), max_size=15),
+       eq=ref_rows, fu=ref_rows, offset=st.sampled_from([1, -1]))
+def test_join_reference_brute_force(spark, trades, eq, fu, offset):
+    from idweave.operators import join_reference
+
+    def day(d):
+        return BASE + dt.timedelta(days=d)
+
+    def ref(rows):
+        return spark.createDataFrame(
+            [(str(k), int(day(d).strftime("%Y%m%d")), v, f"S{k}{v}", None, v) for k, d, v in rows],
+            "sec_id string, file_eff_dt int, parent_id_undr string, sedol_id string, "
+            "ticker string, isin_id string")
+
+    alloc = spark.createDataFrame([(i, k, day(d)) for i, (k, d) in enumerate(trades)],
+                                  "id int, sec_id bigint, trade_date_est date")
+    got = {r.id: r for r in join_reference(alloc, ref(eq), ref(fu), offset_days=offset).collect()}
+    assert len(got) == len(trades)
+    for i, (k, d) in enumerate(trades):
+        # file date - offset = trade date  <=>  file date = trade date + offset
+        e = [r for r in eq if r[0] == k and r[1] == d + offset]
+        f = [r for r in fu if r[0] == k and r[1] == d + offset]
+        ev = e[0][2] if e else None
+        fv = f[0][2] if f else None
+        row = got[i]
+        assert row.underlying_parent_id == (ev if ev is not None else fv)
+        assert row.underlying_sedol == (f"S{k}{ev}" if e else (f"S{k}{fv}" if f else None))
+        assert row.equity_file_eff_dt == (int(day(d + offset).strftime("%Y%m%d")) if e else None)
+        assert row.fund_file_eff_dt_minus1 == (day(d) if f else None)
