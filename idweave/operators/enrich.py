@@ -14,16 +14,25 @@ from .skew import salted_join
 
 def join_snapshot(alloc: DataFrame, securities: DataFrame, on: str = "snapshot_date",
                   key: str = "sec_id", how: str = "left",
-                  columns: Sequence[str] = SECURITY_COLUMNS, skew: str = "aqe") -> DataFrame:
+                  columns: Sequence[str] = SECURITY_COLUMNS, skew: str = "aqe",
+                  prune: bool = True) -> DataFrame:
     """Left-join the snapshot row of the security on the chosen date.
 
     The allocation key is cast to text to meet the snapshot's text key. An
     equi-join on (security, date): sort-merge at scale; a hot key is split by
     AQE, or with ``skew="salt"`` by salting. NULL keys never match and keep
     their row.
+
+    With ``prune`` the security master is first semi-joined with the distinct
+    dates the allocations ask for, which are broadcast (at most one row per
+    DATE value). Snapshots no trade uses are dropped before the shuffle. A
+    master partitioned by date can also be pruned at the scan.
     """
     sec = securities.select(F.col("sec_id").alias("_sk"), F.col("datadate").alias("_sd"),
                             *columns)
+    if prune:
+        needed = alloc.select(F.col(on).alias("_need")).where(F.col("_need").isNotNull()).distinct()
+        sec = sec.join(F.broadcast(needed), sec["_sd"] == needed["_need"], "left_semi")
     left = alloc.withColumn("_ak", F.col(key).cast("string"))
     if skew == "salt":
         joined = salted_join(left, sec, ["_ak", on], ["_sk", "_sd"], how)

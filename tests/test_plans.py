@@ -99,5 +99,18 @@ def test_bucketed_security_master_is_not_shuffled(spark, src):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scans = [ln for ln in p.splitlines() if "idweave_sec_bucketed" in ln or "sec-bucketed" in ln]
     assert scans and "SelectedBucketsCount: 8 out of 8" in p
-    # one exchange: the allocation side; the bucketed side is read as it is stored
-    assert p.count("Exchange hashpartitioning") == 1
+    # the allocation side is shuffled (plus the tiny distinct of the dates it
+    # needs); the bucketed security master is read as it is stored
+    assert p.count("Exchange hashpartitioning(_ak") == 1
+    assert p.count("Exchange hashpartitioning") == 2 and "hashpartitioning(_need" in p
+    assert "hashpartitioning(_sk" not in p
+
+
+def test_snapshot_join_prunes_unused_snapshots(spark, src):
+    """Snapshots no trade asks for are dropped before the join's shuffle."""
+    alloc = plan.allocations_with_ids(src)
+    prev = previous_snapshot(alloc, src.snapshot_dates)
+    p = _plan(join_snapshot(prev, src.securities))
+    assert "LeftSemi" in p
+    assert join_snapshot(prev, src.securities).count() == \
+        join_snapshot(prev, src.securities, prune=False).count()
