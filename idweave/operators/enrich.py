@@ -56,7 +56,7 @@ def _prepare_reference(ref: DataFrame, tag: str, offset_days: int, date_col: str
 
 def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_days: int = 1,
                    key: str = "sec_id", date_col: str = "trade_date_est",
-                   skew: str = "aqe") -> DataFrame:
+                   skew: str = "aqe", prune: bool = True) -> DataFrame:
     """Left-join the equity and fund files where file date - offset = trade date.
 
     Both joins use the same keys (text security id, date), so the left side is
@@ -64,9 +64,16 @@ def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_day
     underlying identifiers take the equity value first, then the fund value.
     Each file is expected to hold one row per (security, file date). With
     ``skew="salt"`` hot (security, date) keys are salted instead of left to AQE.
+    With ``prune`` each file is first semi-joined with the broadcast distinct
+    trade dates of ``df`` (at most one row per DATE value), so file dates no
+    trade asks for are dropped before the shuffle.
     """
     eq = _prepare_reference(equity, "equity", offset_days, date_col)
     fu = _prepare_reference(fund, "fund", offset_days, date_col)
+    if prune:
+        needed = F.broadcast(df.select(date_col).where(F.col(date_col).isNotNull()).distinct())
+        eq = eq.join(needed, date_col, "left_semi")
+        fu = fu.join(needed, date_col, "left_semi")
     keyed = df.withColumn("_k", F.col(key).cast("string"))
     if skew == "salt":
         out = keyed
