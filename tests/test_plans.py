@@ -114,3 +114,15 @@ def test_snapshot_join_prunes_unused_snapshots(spark, src):
     assert "LeftSemi" in p
     assert join_snapshot(prev, src.securities).count() == \
         join_snapshot(prev, src.securities, prune=False).count()
+
+
+def test_flagship_has_no_single_partition_exchange(spark, src):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the full static plan
+    try:
+        p = _plan(plan.identifiers_historic(src))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "SinglePartition" not in p
+    # the only nested-loop joins build the fixture security master (part x dates)
+    nl = [ln for ln in p.splitlines() if "BroadcastNestedLoopJoin" in ln]
+    assert all("p_partkey" in ln for ln in nl)
