@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from idweave import oracles, queries
 from tools.check_oracles import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -18,12 +19,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(queries.queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, con, SF, name, E.queries()[name], E.oracle_sql()[name])
+    res = compare(spark, con, SF, name, queries.queries()[name], oracles.oracle_sql()[name])
     assert res["ok"], res
 
 
