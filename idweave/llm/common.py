@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,28 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python
+    tasks can import it wherever the library itself is not installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.basename(package)
+    with tempfile.NamedTemporaryFile(prefix=f"{name}-", suffix=".zip", delete=False) as f:
+        with zipfile.ZipFile(f, "w") as z:
+            for folder, _, files in os.walk(package):
+                for file in sorted(files):
+                    if file.endswith(".py"):
+                        path = os.path.join(folder, file)
+                        z.write(path, os.path.join(name, os.path.relpath(path, package)))
+    spark.sparkContext.addPyFile(f.name)
+    _SHIPPED.add(app)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,8 +49,9 @@ def ascii_lower(c: Column) -> Column:
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator works on, under fixed names, so that no
     other column of the caller can clash. A null text counts as empty."""
+    ship(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
-__all__ = ["read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]
+__all__ = ["ship", "read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import bpe_codec
-from .common import read_table
+from .common import LOWER, UPPER, read_table
+from .decontaminate import decontaminate
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,41 @@ def op4_bpe_codec(spark, sf_dir):
                      outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op10_decontaminate(spark, sf_dir):
+    """Benchmark windows of 10 words found in every whole document."""
+    return decontaminate(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "benchmark"), width=10).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLES["op10_decontaminate"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, k, k + least(len(w), 10) - 1) AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0)),
+place AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+  FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS MATERIALIZED (
+  SELECT p.doc_id, p.k, p.n, win.item_id
+  FROM place p JOIN win ON win.n = p.n AND list_slice(p.w, p.k, p.k + p.n - 1) = win.t),
+covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + n)) AS j FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
