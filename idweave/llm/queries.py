@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe_codec import bpe_codec
 from .common import LOWER, UPPER, read_table
 from .decontaminate import decontaminate
+from .simhash import simhash_components
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,12 @@ def op4_bpe_codec(spark, sf_dir):
                      outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query
+def op5_simhash(spark, sf_dir):
+    """SimHash components of all whole documents: 4-word shingles, 4 bits."""
+    return simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 @query
 def op10_decontaminate(spark, sf_dir):
     """Benchmark windows of 10 words found in every whole document."""
