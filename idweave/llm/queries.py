@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe_codec import bpe_codec
 from .common import LOWER, UPPER, read_table
 from .decontaminate import decontaminate
+from .quality import quality_scores
 from .simhash import simhash_components
 from .token_counts import token_counts
+from .topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +51,35 @@ def op5_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+@query
+def op8_topk(spark, sf_dir):
+    """The 5 best of all vectors for every vector whose id is divisible by 50."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+ORACLES["op8_topk"] = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@query
+def op9_quality(spark, sf_dir):
+    """Quality score of every whole document; labels of held-out ids are not read."""
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                          label_col="quality", parts=3, part=1)
+
+
 @query
 def op10_decontaminate(spark, sf_dir):
     """Benchmark windows of 10 words found in every whole document."""
