@@ -14,6 +14,8 @@ from .quality import quality_scores
 from .simhash import simhash_components
 from .token_counts import token_counts
 from .topk import top_k
+from .url_filter import oracle as url_filter_oracle
+from .url_filter import url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +53,20 @@ def op5_simhash(spark, sf_dir):
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"),
+             ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query
+def op6_url_filter(spark, sf_dir):
+    """Every page url: the rules, else the path-template tree learnt from them."""
+    return url_filter(read_table(spark, sf_dir, "pages"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "template")
+
+
+ORACLES["op6_url_filter"] = url_filter_oracle(URL_RULES)
+
+
 @query
 def op8_topk(spark, sf_dir):
     """The 5 best of all vectors for every vector whose id is divisible by 50."""
