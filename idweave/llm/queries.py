@@ -16,6 +16,7 @@ from .token_counts import token_counts
 from .topk import top_k
 from .url_filter import oracle as url_filter_oracle
 from .url_filter import url_filter
+from .warc import warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +41,13 @@ def op1_token_counts(spark, sf_dir):
                         tokenizer_file("piece_bpe_32k.model"), limit=4096)
 
 
+@query
+def op3_warc(spark, sf_dir):
+    """Every page written to WARC archives and read back through the capture index."""
+    return warc_round_trip(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_bpe_codec(spark, sf_dir):
     """Every whole document encoded and decoded; digests of both."""
