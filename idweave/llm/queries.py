@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_codec import bpe_codec
+from .class_lm import class_lm_scores
 from .common import LOWER, UPPER, read_table
 from .decontaminate import decontaminate
 from .quality import quality_scores
@@ -75,6 +76,12 @@ def op6_url_filter(spark, sf_dir):
 ORACLES["op6_url_filter"] = url_filter_oracle(URL_RULES)
 
 
+@query
+def op7_class_lm(spark, sf_dir):
+    """Class-model and base log10 probabilities of every whole document."""
+    return class_lm_scores(read_table(spark, sf_dir, "documents"), parts=7, part=2)
+
+
 @query
 def op8_topk(spark, sf_dir):
     """The 5 best of all vectors for every vector whose id is divisible by 50."""
