@@ -13,6 +13,7 @@ from .common import LOWER, UPPER, read_table
 from .decontaminate import decontaminate
 from .quality import quality_scores
 from .simhash import simhash_components
+from .substring_dedup import remove_repeats
 from .token_counts import token_counts
 from .topk import top_k
 from .url_filter import oracle as url_filter_oracle
@@ -42,6 +43,13 @@ def op1_token_counts(spark, sf_dir):
                         tokenizer_file("piece_bpe_32k.model"), limit=4096)
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    """Every byte of all whole documents within a repeated 200-byte string, removed."""
+    return remove_repeats(read_table(spark, sf_dir, "documents"), length=200,
+                          outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 @query
 def op3_warc(spark, sf_dir):
     """Every page written to WARC archives and read back through the capture index."""
