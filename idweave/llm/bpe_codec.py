@@ -7,7 +7,9 @@
    behind ASCII white space. White space yields no token, no special token,
    normalisation or merge reaches over it, so there the encoding of the whole text and
    of any part agree exactly. Each distinct interior is encoded once per
-   worker (bounded table) and reused for every document that holds it.
+   worker (bounded table) and reused for every document that holds it. A new one is put
+   together at the agreement points within it, so that only words new to
+   the worker reach the tokenizer.
 3. The joins are then repaired: the text between the last agreement point before a
    join and the first one behind it is encoded anew. A chunk without an
    agreement point joins the window, which so grows until both ends agree.
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import id_text
 
 CUT_BITS = 9              # a cut every 2**9 = 512 characters on average
-CACHE_CHARS = 24_000_000  # characters of chunk interiors a worker remembers
+CACHE_CHARS = 16_000_000  # characters of chunk interiors a worker remembers
+CACHE_WORDS = 300_000     # words in a generation of a worker's memory, which keeps two
+WORD_CHARS = 40           # a longer word is not remembered
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(128, bool)
 _SPACE[[9, 10, 13, 32]] = True
@@ -67,6 +71,8 @@ class ChunkCodec:
         self.number = [str(i) for i in range(size)]
         self.cache: dict[str, tuple] = {}
         self.held = 0
+        self.ids: list[dict[str, str]] = [{}, {}]     # word -> ids as text, in two generations
+        self.tokens: list[dict[str, str]] = [{}, {}]  # word -> tokens as text
 
     def pieces(self, text: str) -> list[str]:
         """Interiors and join windows in text order; together they are the text."""
@@ -88,16 +94,15 @@ class ChunkCodec:
         edges = edges.tolist()
         return [text[a:b] for a, b in zip(edges, edges[1:]) if b > a]
 
-    def encode(self, texts: list[str], want_ids: bool, want_text: bool):
-        """Per text: list of (n, ids, ids as text, tokens as text) of its pieces."""
+    def encode(self, texts: list[str], want_text: bool) -> list[list[tuple[str, str]]]:
+        """Per text: (ids as text, tokens as text) of its pieces."""
         split = [self.pieces(t) for t in texts]
-        new = list(dict.fromkeys(p for ps in split for p in ps if p not in self.cache))
-        fresh = {}
-        for p, e in zip(new, self.tk.encode_batch_fast(new, add_special_tokens=False)):
-            ids = e.ids
-            fresh[p] = (len(ids), np.array(ids, np.int32) if want_ids else None,
-                        " ".join([self.number[i] for i in ids]),
-                        " ".join([self.token[i] for i in ids]) if want_text and self.plain else "")
+        new = dict.fromkeys(p for ps in split for p in ps if p not in self.cache)
+        cut = [p.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for p in new]
+        self._learn(set().union(*cut), want_text)
+        ids, tokens = self.ids[0].__getitem__, self.tokens[0].__getitem__
+        fresh = {p: (_spaced(map(ids, words)), _spaced(map(tokens, words)) if want_text else "")
+                 for p, words in zip(new, cut)}
         out = [[fresh[p] if p in fresh else self.cache[p] for p in ps] for ps in split]
         for p, v in fresh.items():
             if len(p) <= 4096:
@@ -108,20 +113,45 @@ class ChunkCodec:
                 self.held += len(p)
         return out
 
-    def join(self, parts, decode: bool) -> tuple[int, str, str | None]:
+    def _learn(self, words: set[str], want_text: bool) -> None:
+        """Bring ``words`` into the young generation, new ones by the tokenizer."""
+        if len(self.ids[0]) > CACHE_WORDS:
+            self.ids = [{}, {w: v for w, v in self.ids[0].items() if len(w) <= WORD_CHARS}]
+            self.tokens = [{}, self.tokens[0]]
+        missing = words - self.ids[0].keys()
+        old = missing & self.ids[1].keys()
+        for w in old:
+            self.ids[0][w] = self.ids[1][w]
+            if want_text:
+                self.tokens[0][w] = self.tokens[1][w]
+        new = list(missing - old)
+        for w, e in zip(new, self.tk.encode_batch_fast(new, add_special_tokens=False)):
+            ids = e.ids
+            self.ids[0][w] = " ".join([self.number[i] for i in ids])
+            if want_text:
+                self.tokens[0][w] = " ".join([self.token[i] for i in ids])
+
+    def join(self, parts: list[tuple[str, str]], decode: bool) -> tuple[int, str, str | None]:
         """(number of tokens, ids as text, decoded text) of a document."""
-        parts = [p for p in parts if p[0]]
-        ids = " ".join([p[2] for p in parts])
+        ids = _spaced(p[0] for p in parts)
         text = None
         if decode and self.plain:  # without a decoder the library joins tokens by a space
-            text = " ".join([p[3] for p in parts])
+            text = _spaced(p[1] for p in parts)
         elif decode:
             text = self.tk.decode([int(i) for i in ids.split()], skip_special_tokens=False)
-        return sum(p[0] for p in parts), ids, text
+        return ids.count(" ") + 1 if ids else 0, ids, text
+
+
+def _spaced(parts) -> str:
+    """``parts`` joined by one space, empty ones left out; no token holds a space."""
+    text = " ".join(parts)
+    if "  " in text or text[:1] == " " or text[-1:] == " ":
+        return " ".join(filter(None, text.split(" ")))
+    return text
 
 
-def load(path: str, want: tuple) -> ChunkCodec:
-    key = f"{path}|{want}"
+def load(path: str, want_text: bool) -> ChunkCodec:
+    key = f"{path}|{want_text}"
     if key not in _CODECS:
         _CODECS[key] = ChunkCodec(path)
     return _CODECS[key]
@@ -146,23 +176,21 @@ def bpe_codec(docs: DataFrame, tokenizer_path: str,
     very long texts are encoded whole; other columns are left out.
     """
     outputs = tuple(outputs)
-    want_ids = "ids" in outputs
     want_text = any(o.startswith("decoded") for o in outputs)
     schema = ", ".join(["doc_id long", *(f"{o} {_TYPES[o]}" for o in outputs)])
 
     def run(batches):
-        codec = load(tokenizer_path, (want_ids, want_text))
+        codec = load(tokenizer_path, want_text)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 cols = {o: [] for o in outputs}
-                for parts in codec.encode(part.column("text").to_pylist(), want_ids, want_text):
+                for parts in codec.encode(part.column("text").to_pylist(), want_text):
                     n, ids, text = codec.join(parts, want_text)
                     for o in outputs:
                         cols[o].append(
                             n if o == "n_tokens"
-                            else np.concatenate([p[1] for p in parts]) if o == "ids" and n
-                            else [] if o == "ids"
+                            else np.array(ids.split(), np.int32) if o == "ids"
                             else hashlib.sha256(ids.encode()).hexdigest() if o == "ids_sha256"
                             else text if o == "decoded"
                             else hashlib.sha256(text.encode()).hexdigest())

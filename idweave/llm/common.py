@@ -46,12 +46,13 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator works on, under fixed names, so that no
-    other column of the caller can clash. A null text counts as empty."""
+def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """Only the two columns an operator works on (and ``more``), under fixed names, so that
+    no other column of the caller can clash. A null text counts as empty."""
     ship(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                     F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+                     F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                     *more)
 
 
 __all__ = ["ship", "read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]

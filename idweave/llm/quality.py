@@ -57,20 +57,16 @@ def statistics(text: str) -> list[float]:
             float(size.std()), sum(map(bytes.isalpha, words)) / w]
 
 
-def text_statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, one double per statistic) for every row of ``docs``."""
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                rows = np.array([statistics(t) for t in part.column("text").to_pylist()], float)
-                rows = rows.reshape(part.num_rows, len(FEATURES))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(rows[:, k]) for k in range(len(FEATURES)))],
-                    names=["doc_id", *FEATURES])
-
-    schema = ", ".join(["doc_id long", *(f"{f} double" for f in FEATURES)])
-    return id_text(docs, id_col, text_col).mapInArrow(run, schema)
+def statistics_of(text: Column) -> Column:
+    """A struct with one double per statistic of a text column."""
+    @F.arrow_udf("struct<" + ", ".join(f"{f}: double" for f in FEATURES) + ">")
+    def stats(texts: pa.Array) -> pa.Array:
+        rows = np.zeros((len(texts), len(FEATURES)))
+        for k, t in enumerate(texts):
+            rows[k] = statistics(t.as_py() or "")
+        return pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(len(FEATURES))], FEATURES)
+
+    return stats(text)
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -117,14 +113,28 @@ def fit_rules(train: DataFrame, *, trees: int = 24, depth: int = 3, penalty: flo
     return float(lasso.intercept), weights
 
 
-def rule_score(intercept: float, weights: list[tuple[str, float]]) -> Column:
-    """The ensemble as a column expression: probability of label 1."""
+def rule_score(intercept: float, weights: list[tuple[str, float]], prefix: str = "") -> Column:
+    """The ensemble as a column expression: probability of label 1. ``prefix`` stands before
+    the names of the statistics."""
     total = F.lit(intercept)
     for rule, w in weights:
+        rule = re.sub(r"\b(\w+) (<=|>) ", rf"{prefix}\1 \2 ", rule)
         total = total + F.when(F.expr(rule), F.lit(w)).otherwise(F.lit(0.0))
     return 1 / (1 + F.exp(-total))
 
 
+def fit_quality(stats: DataFrame, labels: DataFrame, label_col: str, id_col: str, parts: int,
+                part: int, sample_rows: int) -> tuple[float, list[tuple[str, float]]]:
+    """The rule ensemble of the labelled rows of ``stats`` (doc_id and statistics)."""
+    known = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                           F.col(f"`{label_col}`").cast("int").alias("mark")).dropna()
+             .where(~held_out(F.col("doc_id"), parts, part))
+             .groupBy("doc_id").agg((F.avg("mark") >= 0.5).cast("double").alias("label")))
+    sample = (stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES)
+              .limit(sample_rows))
+    return fit_rules(materialize(sample, "quality_sample"))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality",
                    parts: int = 3, part: int = 1, sample_rows: int = SAMPLE_ROWS,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,14 +148,26 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, label_col: str = "qual
     out; repeated rows are kept; other columns are left out. With no usable
     label every score is 0.5.
     """
-    stats = materialize(text_statistics(docs, id_col=id_col, text_col=text_col), "statistics")
-    known = (labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                           F.col(f"`{label_col}`").cast("int").alias("mark")).dropna()
-             .where(~held_out(F.col("doc_id"), parts, part))
-             .groupBy("doc_id").agg((F.avg("mark") >= 0.5).cast("double").alias("label")))
-    sample = (stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES)
-              .limit(sample_rows))
-    intercept, weights = fit_rules(materialize(sample, "quality_sample"))
+    stats = id_text(docs, id_col, text_col).select("doc_id", statistics_of(F.col("text")).alias("s"))
+    stats = materialize(stats.select("doc_id", "s.*"), "statistics")
+    model = fit_quality(stats, labels, label_col, id_col, parts, part, sample_rows)
     return (stats.select("doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"),
-                         rule_score(intercept, weights).alias("score"))
+                         rule_score(*model).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", parts: int = 3,
+              part: int = 1, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier predicts to be good, columns unchanged. Scores
+    are computed in the row, so nothing is joined back; the edge cases are those of
+    ``quality_scores``."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    stats = id_text(docs, id_col, text_col).select("doc_id", statistics_of(F.col("text")).alias("s"))
+    labelled = stats.join(labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id")).distinct(),
+                          "doc_id", "left_semi")
+    labelled = materialize(labelled.select("doc_id", "s.*"), "statistics")
+    model = fit_quality(labelled, labels, label_col, id_col, parts, part, sample_rows)
+    own = "statistics of the text"  # no other column has this name
+    return (docs.withColumn(own, statistics_of(text))
+            .where(rule_score(*model, prefix=f"`{own}`.") >= 0.5).drop(own))

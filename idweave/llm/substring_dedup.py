@@ -294,6 +294,8 @@ _DDL = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256"
 
 
 def _results(rows: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
+    carried = rows.schema["carry"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             cols = {c: [] for c in outputs}
@@ -310,18 +312,21 @@ def _results(rows: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
                 for c in outputs:
                     cols[c].append(values[c])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(cols[c], _COLUMNS[c]) for c in outputs)],
-                names=["doc_id", *outputs])
+                [batch.column("doc_id"), batch.column("carry"),
+                 *(pa.array(cols[c], _COLUMNS[c]) for c in outputs)],
+                names=["doc_id", "carry", *outputs])
 
-    return rows.select("doc_id", "text", "ranges").mapInArrow(
-        run, ", ".join(["doc_id long", *(f"{c} {_DDL[c]}" for c in outputs)]))
+    return rows.select("doc_id", "carry", "text", "ranges").mapInArrow(
+        run, ", ".join(["doc_id long", f"carry {carried}", *(f"{c} {_DDL[c]}" for c in outputs)]))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH,
                    outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept",
                                                "spans"), *,
-                   id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """One row per row of ``docs``: doc_id and ``outputs``.
+                   carry: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text",
+                   group: int = GROUP) -> DataFrame:
+    """One row per row of ``docs``: doc_id, ``outputs``, and the struct ``carry`` of the
+    columns of that name, if any is asked for.
 
     Every byte covered by a ``length``-byte string (at least 32) that also starts anywhere else,
     in the same or another document, is removed; strings are judged on the input.
@@ -334,7 +339,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH,
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     outputs = tuple(outputs)
-    docs = id_text(docs, id_col, text_col).withColumn("key", F.xxhash64("doc_id", "text"))
+    kept = F.struct(*(F.col(f"`{c}`") for c in carry or (id_col,))).alias("carry")
+    docs = id_text(docs, id_col, text_col, kept).withColumn("key", F.xxhash64("doc_id", "text"))
     long_texts = docs.where(F.octet_length("text") >= length)
     twice = materialize(_parse(long_texts, length, False).groupBy("core").agg(F.count(F.lit(1)).alias("n"))
                         .where("n > 1").select("core"), "cores")
@@ -345,7 +351,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH,
     marked = stored.where("marks is not null")
     ranges = (repeated_ranges(marked, length, group)
               .groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")))
-    ready = (marked.join(ranges, "key", "left").select("doc_id", "text", "ranges")
+    ready = (marked.join(ranges, "key", "left").select("doc_id", "carry", "text", "ranges")
              .unionByName(stored.where("marks is null").select(
-                 "doc_id", "text", F.lit(None).cast("array<struct<lo:long,hi:long>>").alias("ranges"))))
-    return _results(ready, outputs)
+                 "doc_id", "carry", "text", F.lit(None).cast("array<struct<lo:long,hi:long>>").alias("ranges"))))
+    out = _results(ready, outputs)
+    return out if carry else out.drop("carry")
