@@ -250,7 +250,7 @@ def best_class(own: int, succ: np.ndarray, pred: np.ndarray, loop: float, grid:
     succ, pred = succ.copy(), pred.copy()
     succ[own] -= loop
     pred[own] -= loop
-    left, right = g.sum(axis=1), g.sum(axis=0)
+    left, right = g.sum(axis=1) + pred, g.sum(axis=0) + succ  # the pairs stay, wherever the word goes
     gain = (_xlogx(g + succ) - _xlogx(g)).sum(axis=1) + (_xlogx(g + pred[:, None]) - _xlogx(g)).sum(axis=0)
     corner = np.diag(g)
     gain += _xlogx(corner + succ + pred + loop) + _xlogx(corner) - _xlogx(corner + succ) - _xlogx(corner + pred)
@@ -381,7 +381,8 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
     n_ends = ends.c if ends else 0
     words = words.where(F.col("h") != end_hash)
     h, c, cuts, total, kinds = frequent(words, [local, classed, exchanged])
-    m, e = int((c >= cuts[1]).sum()), int((c >= cuts[2]).sum())
+    # words that occur once stay without class, so that their class tells of unseen words
+    m, e = (int((c >= max(cut, 2)).sum()) for cut in cuts[1:])
     n_train, n_kinds = total + n_ends, kinds + (n_ends > 0)
 
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")

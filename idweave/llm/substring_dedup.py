@@ -15,8 +15,10 @@ A byte goes if a ``length``-byte string covers it that starts anywhere else too.
    these dictionary entries that start a window are sorted (a suffix array of the
    group, in the order of the corpus, as an extended text holds what the parse puts behind
    the phrase), and neighbours that agree in ``length`` bytes are repeated.
-   Cores with more than ``GROUP`` distinct phrases are resolved window by window, by
-   counting window digests, so that no group has to fit a task.
+   A core with more than ``GROUP`` distinct phrases is dealt out anew: its phrases are split
+   into parts of ``PART`` windows, which go through steps 2 to 4 with their longer cores. Groups
+   still too large are resolved window by window, by counting window digests, so
+   that no group has to fit a task.
 5. The ranges found are merged per document and cut out.
 """
 
@@ -36,6 +38,7 @@ LENGTH = 200
 GRAM = 16
 BLOCK = 1 << 18     # window starts parsed at a time
 GROUP = 2000        # distinct phrases of a core sorted together
+PART = 16           # windows of a part of a phrase whose core is too common
 _MASK = np.uint64((1 << 20) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -252,23 +255,69 @@ def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
             .select("key", "lo", (F.col("lo") + length).alias("hi")))
 
 
+def _parts(contexts: DataFrame, length: int) -> DataFrame:
+    """(core, phrase, key, loc, single, context) of the parts of phrases, cut at multiples
+    of ``PART`` before the trigger, so that equal windows lie in corresponding parts."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                t, first, last = _unpack(row["loc"])
+                for b in range((t - last) // PART, (t - first) // PART + 1):
+                    hi, lo = min(last, t - b * PART), max(first, t - (b + 1) * PART + 1)
+                    core = row["context"][t - b * PART - first:t - (b + 1) * PART + 1 + length - first]
+                    own = row["context"][lo - first:hi + length - first]
+                    loc = _pack(t, lo, hi)
+                    out.append((_digest(b)(core), _digest(1 + (loc & 0xFFFF))(own), row["key"], loc,
+                                row["n"] == 1, own))
+            core, phrase, key, loc, single, own = zip(*out) if out else [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_signed(core)), pa.array(_signed(phrase)), pa.array(key, pa.int64()),
+                 pa.array(loc, pa.int64()), pa.array(single, pa.bool_()), pa.array(own, pa.binary())],
+                names=["core", "phrase", "key", "loc", "single", "context"])
+
+    return contexts.mapInArrow(
+        run, "core long, phrase long, key long, loc long, single boolean, context binary")
+
+
+def _range(length: int) -> list:
+    """lo and hi of all windows of a phrase, from its packed place."""
+    t = F.shiftright("loc", 16)
+    return [(t - F.shiftright("loc", 8).bitwiseAND(255)).alias("lo"),
+            (t - F.col("loc").bitwiseAND(255) + length).alias("hi")]
+
+
+def _common_cores(contexts: DataFrame, length: int, group: int) -> DataFrame:
+    """(key, lo, hi) for the phrases of cores too common to be sorted at once."""
+    rows = materialize(_parts(contexts, length), "parts")
+    entry = rows.groupBy("core", "phrase").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("single", "key", "loc", "context")).alias("place"))
+    twice = entry.where("n > 1").select("core", "phrase")
+    whole = rows.where("single").join(twice, ["core", "phrase"]).select("key", *_range(length))
+    entry = entry.select("core", F.when(F.col("place.single") & (F.col("n") == 1), 1).otherwise(2)
+                         .cast("long").alias("n"), "place.key", "place.loc", "place.context")
+    mixed = (entry.groupBy("core").agg(F.count(F.lit(1)).alias("entries"), F.min("n").alias("least"))
+             .where("entries > 1 AND least = 1")
+             .select("core", (F.col("entries") > group).alias("many")))
+    wanted = materialize(entry.join(mixed, "core"), "part_contexts")
+    return (whole.unionByName(_sorted_groups(wanted.where("not many"), length))
+            .unionByName(_counted_windows(wanted.where("many"), length)))
+
+
 def repeated_ranges(stored: DataFrame, length: int, group: int) -> DataFrame:
     """(key, lo, hi): byte ranges covered by repeated windows, not merged."""
     rows = materialize(_extended(stored, length), "phrases")
     entry = rows.groupBy("core", "phrase").agg(F.count(F.lit(1)).alias("n"),
                                                F.min(F.struct("key", "loc")).alias("place"))
     twice = entry.where("n > 1").select("core", "phrase")
-    last = (F.shiftright("loc", 16) - F.col("loc").bitwiseAND(255))
-    whole = (rows.join(twice, ["core", "phrase"])
-             .select("key", (F.shiftright("loc", 16) - F.shiftright("loc", 8).bitwiseAND(255)).alias("lo"),
-                     (last + length).alias("hi")))
+    whole = rows.join(twice, ["core", "phrase"]).select("key", *_range(length))
     mixed = (entry.groupBy("core").agg(F.count(F.lit(1)).alias("entries"), F.min("n").alias("least"))
              .where("entries > 1 AND least = 1")
              .select("core", (F.col("entries") > group).alias("many")))
     wanted = entry.join(mixed, "core").select("core", "n", "many", "place.key", "place.loc")
     contexts = materialize(_contexts(stored, wanted, length), "contexts")
     return (whole.unionByName(_sorted_groups(contexts.where("not many"), length))
-            .unionByName(_counted_windows(contexts.where("many"), length)))
+            .unionByName(_common_cores(contexts.where("many"), length, group)))
 
 
 # ---- result ---------------------------------------------------------------

@@ -6,10 +6,9 @@
 2. *Wildcards.* Per host and depth, a segment that is rare among those at its place
    is variable and becomes ``*`` (its file extension stays); frequent ones stay literal.
    What lies deeper than ``DEPTH`` segments is one closing ``**``.
-3. *Merging.* The branches of a host below one parent are compared with their
-   siblings pooled: if neither the share of blocked labels (two-proportion z) nor
-   the mix of page shapes below (total variation) differs, the branch joins
-   the merged branch ``*``.
+3. *Merging.* The branches of a host that lead to the same page shape are ordered by their
+   share of blocked labels. Neighbours whose shares do not differ (two-proportion z) are
+   one branch, named ``a|b``; branches without labels are one branch as well.
 4. *Purity.* A template's share of blocked labels is smoothed towards its host's share, and
    that towards the share over all hosts. Templates that reach ``REJECT`` are blocked.
 
@@ -19,7 +18,7 @@ counts are joined back on (host, depth, segment).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, ascii_lower
@@ -28,7 +27,6 @@ DEPTH = 6
 SUPPORT = 3         # a literal segment occurs at least so often ...
 SHARE = 0.01        # ... and in at least this share of its host's urls of its depth
 Z = 2.58            # a difference of label shares counts from here on
-VARIATION = 0.25    # a difference of shape mixes counts from here on
 SMOOTH = 20.0       # weight of the level above, in urls
 REJECT = 0.8
 
@@ -84,28 +82,23 @@ def _shapes(urls: DataFrame) -> DataFrame:
 
 
 def _merged(leaf: DataFrame) -> DataFrame:
-    """(host, lead, branch): ``*`` for a branch that does not differ from its siblings."""
-    branch = leaf.groupBy("host", "lead").agg(F.sum("n").alias("n"), F.sum("marked").alias("marked"),
-                                              F.sum("blocked").alias("blocked"))
-    host = leaf.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("marked").alias("hmarked"),
-                                    F.sum("blocked").alias("hblocked"))
-    shape = leaf.groupBy("host", "tail").agg(F.sum("n").alias("shape_n"))
-    # total variation between the branch's mix of shapes and its siblings' mix
-    mix = (leaf.join(branch.select("host", "lead", F.col("n").alias("bn")), ["host", "lead"])
-           .join(shape, ["host", "tail"]).join(host.select("host", "hn"), "host")
-           .groupBy("host", "lead").agg(F.sum(F.greatest(
-               F.col("n") / F.col("bn")
-               - _ratio(F.col("shape_n") - F.col("n"), F.col("hn") - F.col("bn")), F.lit(0.0)))
-                .alias("variation")))
-    om, ob = F.col("hmarked") - F.col("marked"), F.col("hblocked") - F.col("blocked")
-    pool = _ratio(F.col("hblocked"), F.col("hmarked"))
-    spread = F.sqrt(pool * (1 - pool) * (_ratio(F.lit(1), F.col("marked")) + _ratio(F.lit(1), om)))
-    z = _ratio(F.abs(_ratio(F.col("blocked"), F.col("marked")) - _ratio(ob, om)), spread)
-    differs = F.coalesce(z >= Z, F.lit(False))  # null: one side has no label
-    return (branch.join(host, "host").join(mix, ["host", "lead"])
-            .select("host", "lead",
-                    F.when(differs | F.coalesce(F.col("variation") > VARIATION, F.lit(False)), F.col("lead"))
-                    .otherwise(F.lit("*")).alias("branch")))
+    """(host, lead, branch): similar neighbours under one name. A host has at most
+    1 / SHARE literal first segments and their wildcards, so the windows are small."""
+    branch = leaf.groupBy("host", "lead").agg(
+        F.sum("marked").alias("marked"), F.sum("blocked").alias("blocked"),
+        F.max(F.struct("n", "tail")).getField("tail").alias("shape"))
+    branch = branch.withColumn("share", _ratio(F.col("blocked"), F.col("marked")))
+    row = Window.partitionBy("host", "shape", F.col("share").isNull()).orderBy("share", "lead")
+    m, b = F.col("marked"), F.col("blocked")
+    lm, lb = F.lag("marked").over(row), F.lag("blocked").over(row)
+    pool = _ratio(lb + b, lm + m)
+    spread = F.sqrt(pool * (1 - pool) * (_ratio(F.lit(1), m) + _ratio(F.lit(1), lm)))
+    z = _ratio(F.abs(_ratio(b, m) - _ratio(lb, lm)), spread)
+    branch = branch.withColumn("new", F.coalesce((z >= Z).cast("int"), F.lit(0)))
+    branch = branch.withColumn("island", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("host", "shape", F.col("share").isNull(), "island")
+    return branch.select("host", "lead", F.array_join(F.array_sort(F.collect_list("lead").over(whole)), "|")
+                         .alias("branch"))
 
 
 def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], *, id_col: str = "page_id",
@@ -203,21 +196,28 @@ named AS MATERIALIZED (
 leaf AS MATERIALIZED (
   SELECT host, lead, tail, sum(n) AS n, sum(marked) AS marked, sum(blocked) AS blocked
   FROM named GROUP BY ALL),
-br AS (SELECT host, lead, sum(n) AS bn, sum(marked) AS bm, sum(blocked) AS bb FROM leaf GROUP BY ALL),
-ho AS (SELECT host, sum(n) AS hn, sum(marked) AS hm, sum(blocked) AS hb FROM leaf GROUP BY ALL),
-sh AS (SELECT host, tail, sum(n) AS sn FROM leaf GROUP BY ALL),
-mix AS (
-  SELECT host, lead, sum(greatest(leaf.n / bn - (sn - leaf.n) / nullif(hn - bn, 0), 0)) AS variation
-  FROM leaf JOIN br USING (host, lead) JOIN sh USING (host, tail) JOIN ho USING (host) GROUP BY ALL),
+br AS (
+  SELECT host, lead, sum(marked) AS m, sum(blocked) AS b, max(struct_pack(n := n, t := tail)).t AS shape,
+         sum(blocked) / nullif(sum(marked), 0) AS share
+  FROM leaf GROUP BY ALL),
+ho AS (SELECT host, sum(marked) AS hm, sum(blocked) AS hb FROM leaf GROUP BY ALL),
+near AS (
+  SELECT *, lag(m) OVER w AS lm, lag(b) OVER w AS lb FROM br
+  WINDOW w AS (PARTITION BY host, shape, share IS NULL ORDER BY share, lead)),
 tested AS (
-  SELECT host, lead, lead AS own, variation,
-         abs(bb / nullif(bm, 0) - (hb - bb) / nullif(hm - bm, 0)) / nullif(sqrt(
-           hb / nullif(hm, 0) * (1 - hb / nullif(hm, 0)) * (1 / nullif(bm, 0) + 1 / nullif(hm - bm, 0))), 0) AS z
-  FROM br JOIN ho USING (host) JOIN mix USING (host, lead)),
-merged AS MATERIALIZED (
-  SELECT leaf.*, CASE WHEN coalesce(z >= {Z}, false) OR coalesce(variation > {VARIATION}, false)
-                 THEN own ELSE '*' END AS branch
-  FROM leaf JOIN tested USING (host, lead)),
+  SELECT *, abs(b / nullif(m, 0) - lb / nullif(lm, 0)) / nullif(sqrt(
+      (lb + b) / nullif(lm + m, 0) * (1 - (lb + b) / nullif(lm + m, 0))
+      * (1 / nullif(m, 0) + 1 / nullif(lm, 0))), 0) AS z
+  FROM near),
+island AS (
+  SELECT *, sum(CASE WHEN z >= {Z} THEN 1 ELSE 0 END) OVER (
+      PARTITION BY host, shape, share IS NULL ORDER BY share, lead ROWS UNBOUNDED PRECEDING) AS island
+  FROM tested),
+named_branch AS (
+  SELECT host, lead, array_to_string(list_sort(list(lead) OVER (
+      PARTITION BY host, shape, share IS NULL, island)), '|') AS branch
+  FROM island),
+merged AS MATERIALIZED (SELECT leaf.*, branch FROM leaf JOIN named_branch USING (host, lead)),
 tree AS (SELECT host, branch, tail, sum(marked) AS m, sum(blocked) AS b FROM merged GROUP BY ALL),
 world AS (SELECT coalesce(sum(blocked) / nullif(sum(marked), 0), 0) AS share FROM leaf),
 pure AS (

@@ -1,0 +1,91 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from idweave.llm import decontaminate as d
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, width=10):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        if item is not None:
+            for k in range(max(1, len(w) - width + 1) if w else 0):
+                windows.setdefault(tuple(w[k:k + width]), set()).add(str(item))
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k:k + n]) in windows:
+                    hit |= set(range(k, k + n))
+                    found |= windows[tuple(w[k:k + n])]
+        names = ",".join(sorted(found))
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=repr)
+
+
+def run(docs, items, **more):
+    return sorted((tuple(r) for r in d.decontaminate(docs, items, **more).select(COLUMNS).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.createDataFrame(
+        [(1, "the the the"), (2, "Same text HERE, again"), (10, "again and again"), (None, "a"), (3, None),
+         (4, ""), (5, " ".join(f"w{k}" for k in range(30))), (5, "word " * 12), (6, "the the the")],
+        "item_id long, text string")
+
+
+@pytest.mark.parametrize("shard", [d.SHARD_WORDS, 12])
+def test_edges(spark, edge, items, shard):
+    texts = [" ".join(f"W{k}," for k in range(4, 17)) + " x " + " ".join(f"w{k}" for k in range(20, 30)),
+             " ".join(f"w{k}" for k in range(9))]
+    more = spark.createDataFrame([(50 + k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    docs = edge.unionByName(more, allowMissingColumns=True)
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], [tuple(r) for r in items.collect()])
+    assert sum(r[-1] for r in want) >= 4
+    assert run(docs, items, shard_words=shard) == want
+
+
+def test_documents(spark, documents):
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    want = brute([(r.doc_id, r.text) for r in documents.collect()],
+                 [(r.item_id, r.text) for r in bench.collect()])
+    assert any(r[-1] for r in want) and run(documents, bench) == want
+
+
+def test_empty_tables(edge, items):
+    assert run(edge.where("false"), items) == []
+    assert not any(r[-1] for r in run(edge, items.where("false")))
+
+
+def test_proximity(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha beta x gamma delta"), (2, "alpha x x x x beta gamma delta"),
+                                  (3, "alpha beta gamma delta")], "doc_id long, text string")
+    rows = d.decontaminate(docs, bench, slop=2).orderBy("doc_id").collect()
+    assert [(r.contaminated, r.n_near > 0) for r in rows] == [(False, True), (False, False), (True, False)]
+    assert rows[2].spans[0].asDict() == {"starts": 0, "ends": 4}
+
+
+def test_matches_against_scan():
+    rng = np.random.default_rng(3)
+    text = rng.integers(0, 6, 800)
+    windows = np.array([text[k:k + 4] for k in (5, 90, 700)] + [[9, 9, 9, 9], [0, 1, -1, -1]])
+    span = 1000
+    postings = np.sort(text * span + np.arange(800))
+    w, p = d.matches(postings, span, windows, 10, 0)
+    want = {(k, i) for k, x in enumerate(windows) for i in range(800)
+            if (n := (x >= 0).sum()) and i + n <= 800 and (text[i:i + n] == x[:n]).all()}
+    assert set(zip(w.tolist(), p.tolist())) == want
