@@ -149,9 +149,9 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
         fs.create_dir(root, recursive=True)
         name, out, at = None, None, 0
         try:
-            for batch in batches:
+            for part in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
                 done = []
-                for r in batch.to_pylist():
+                for r in part.to_pylist():
                     if out is None or at >= FILE_BYTES:
                         if out is not None:
                             out.close()
@@ -238,7 +238,7 @@ def lookup(index: CaptureIndex, requests: DataFrame, with_payload: bool = True)
 
     @F.arrow_udf("int")
     def index_file(keys: pa.Array, ids: pa.Array) -> pa.Array:
-        return pa.array([bisect.bisect_right(first, (k.encode(), i)) - 1
+        return pa.array([max(bisect.bisect_right(first, (k.encode(), i)) - 1, 0)
                          for k, i in zip(keys.to_pylist(), ids.to_pylist())], pa.int32())
 
     def run(batches):
@@ -280,7 +280,7 @@ def lookup(index: CaptureIndex, requests: DataFrame, with_payload: bool = True)
 
     ship(requests.sparkSession)
     asked = (requests.select("url_key", F.coalesce("page_id", F.lit(NO_ID)).alias("id"))
-             .select(index_file("url_key", "id").alias("n"), "url_key", "id").where("n >= 0"))
+             .select(index_file("url_key", "id").alias("n"), "url_key", "id"))
     return (asked.hint("rebalance", "n").sortWithinPartitions("n", "url_key", "id")
             .mapInArrow(run, _FOUND))
 
