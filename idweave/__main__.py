@@ -6,8 +6,9 @@
     python -m idweave same-day --allocations A --securities S --equity E --fund F --output T
     python -m idweave partitions --table S
 
-Each input is a catalog table name or a Parquet path (anything containing a
-``/``). Without ``--snapshot-dates`` the snapshot dates come from the
+Each input is a catalog table name, a Parquet path (anything containing a
+``/``), a CSV path (``csv:PATH``, or ending in ``.csv``; equity and fund files are read by the
+names in their header) or a file of SQL text (``sql:PATH``, or ending in ``.sql``). Without ``--snapshot-dates`` the snapshot dates come from the
 partition listing of the ``--securities`` catalog table.
 """
 
@@ -19,15 +20,18 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3
-from .plans import Sources, identifiers_same_day, publish_identifiers
-from .sinks import publish
-from .sources import snapshot_dates
+from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
+from .plans import Sources, publish_identifiers, publish_same_day
+from .sources import scan_csv, snapshot_dates, sql_script
 
 
-def _read(spark: SparkSession, ref: str | None) -> DataFrame | None:
+def _read(spark: SparkSession, ref: str | None, schema: str | None = None) -> DataFrame | None:
     if ref is None:
         return None
+    if ref.startswith("csv:") or ref.endswith(".csv"):
+        return scan_csv(spark, ref.removeprefix("csv:"), schema)
+    if ref.startswith("sql:") or ref.endswith(".sql"):
+        return sql_script(spark, ref.removeprefix("sql:"))
     return spark.read.parquet(ref) if "/" in ref else spark.table(ref)
 
 
@@ -48,13 +52,16 @@ def parse_args(argv=None) -> argparse.Namespace:
         j.add_argument("--output-path")
         j.add_argument("--offset-days", type=int, default=1)
         j.add_argument("--partition-by", default="", help="comma-separated output partition columns")
+        j.add_argument("--audit-dir", help="folder for the missing-identifier and preview CSVs")
+        j.add_argument("--preview-rows", type=int, default=100)
+        j.add_argument("--format", default="parquet", help="file or table format of the output")
     h = sub.choices["historic"]
     h.add_argument("--process-type", default="historic")
     h.add_argument("--symbology", required=True)
     h.add_argument("--snapshot-dates")
     h.add_argument("--ticker-mode", default="always", choices=["always", "matched"])
     h.add_argument("--dedup-keys", type=int, default=3, choices=[2, 3])
-    h.add_argument("--audit-dir", help="folder for the missing-identifier and preview CSVs")
+    h.add_argument("--stage-prefix", help="publish every stage as a table of this prefix")
     h.add_argument("--asof", default="table", choices=["table", "security"],
                    help="latest snapshot of the table (default) or of each security")
     h.add_argument("--skew", default="aqe", choices=["aqe", "salt"],
@@ -76,17 +83,22 @@ def main(argv=None, spark: SparkSession | None = None):
     dates = (_read(spark, args.snapshot_dates) if getattr(args, "snapshot_dates", None)
              else snapshot_dates(spark, args.securities) if args.job == "historic" else None)
     src = Sources(_read(spark, args.allocations), dates, _read(spark, args.securities),
-                  _read(spark, args.equity), _read(spark, args.fund),
+                  _read(spark, args.equity, REFERENCE_SCHEMA),
+                  _read(spark, args.fund, REFERENCE_SCHEMA),
                   _read(spark, getattr(args, "symbology", None)))
     if args.job == "same-day":
-        result = identifiers_same_day(src, offset_days=args.offset_days)
-        publish(result, args.output, partition_cols=_cols(args.partition_by), path=args.output_path)
-        return {"published": args.output}
+        counts = publish_same_day(src, args.output, path=args.output_path,
+                                  offset_days=args.offset_days, audit_dir=args.audit_dir,
+                                  partition_cols=_cols(args.partition_by),
+                                  preview_rows=args.preview_rows, fmt=args.format)
+        return {"published": args.output, **counts}
     keys = DEDUP_KEYS_3 if args.dedup_keys == 3 else DEDUP_KEYS_2
     return publish_identifiers(src, args.output, path=args.output_path,
                                ticker_mode=args.ticker_mode, offset_days=args.offset_days,
                                keys=keys, audit_dir=args.audit_dir, asof=args.asof,
-                               skew=args.skew, partition_cols=_cols(args.partition_by))
+                               skew=args.skew, partition_cols=_cols(args.partition_by),
+                               stage_prefix=args.stage_prefix, preview_rows=args.preview_rows,
+                               fmt=args.format)
 
 
 if __name__ == "__main__":

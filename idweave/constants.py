@@ -19,10 +19,10 @@ TICKER_RULES = {
 PREFIX_SEDOL = "SED"
 PREFIX_TICKER = "BTKR"
 
-# Day bounds of a request window, and preview sizes.
+# Day bounds of a request window, and the snapshot date of a SQL
+# relation that is given none.
 DAY_START = "00:00"
 DAY_END = "23:59"
-PREVIEW_SIZES = (20, 100, 1000, 10000)
 DEFAULT_SNAPSHOT_DATE = "2025-01-01"
 
 # Deduplication keys: the newest cut uses three, the earlier cuts two.
@@ -41,6 +41,11 @@ UNDERLYING_COLUMNS = (
     ("isin_id", "underlying_isin"),
 )
 
+# Identifiers whose absence is audited: rows that lack all of the first, or
+# any of the second.
+AUDIT_ALL = ("ext_sec_id", "sedol", "cusip", "isin_no", "ticker")
+AUDIT_ANY = ("ext_sec_id", "sedol", "ticker")
+
 # Schema of the equity / fund reference files when they arrive as CSV.
 REFERENCE_SCHEMA = ("sec_id STRING, file_eff_dt INT, parent_id_undr STRING, sedol_id STRING, "
                     "ticker STRING, isin_id STRING")

@@ -54,12 +54,10 @@ def allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    # One row count, answered from the Parquet footers, fixes the divisor
-    # (integer division, as the view's cast does).
-    step = max(orders.count() // 25, 1)
-    return (orders.filter(F.col("o_orderkey") % F.lit(step) == 7)
-            .select(F.col("o_orderdate").cast("date").alias("datadate")).distinct())
+    # A fixed calendar rule at every size: the last order date of each quarter.
+    day = F.col("o_orderdate").cast("date")
+    return (table(spark, sf_dir, "orders").groupBy(F.trunc(day, "quarter").alias("_quarter"))
+            .agg(F.max(day).alias("datadate")).select("datadate"))
 
 
 def securities(spark: SparkSession, sf_dir: str, dates: DataFrame | None = None) -> DataFrame:
@@ -71,7 +69,7 @@ def securities(spark: SparkSession, sf_dir: str, dates: DataFrame | None = None)
     sd = k + F.dayofmonth(dd)
     # The security master holds one row per security per snapshot, so this
     # test table is part x snapshot dates (minus the missing pairs). The date
-    # list is one row per snapshot partition (25 here): broadcast is bounded.
+    # list is one row per calendar quarter: broadcast is bounded.
     grid = part.join(F.broadcast(dates), (k + F.month(dd)) % 23 != 0, "inner")
     return grid.select(
         dd.alias("datadate"),

@@ -24,13 +24,14 @@ def join_snapshot(alloc: DataFrame, securities: DataFrame, on: str = "snapshot_d
     their row.
 
     With ``prune`` the security master is first semi-joined with the distinct
-    dates the allocations ask for, which are broadcast (at most one row per
-    DATE value). Snapshots no trade uses are dropped before the shuffle. A
-    master partitioned by date can also be pruned at the scan.
+    dates the allocations ask for, which are broadcast (only DATE values, so their
+    number is bounded by the calendar). Snapshots no trade uses are dropped before
+    the shuffle. A master partitioned by date can also be pruned at the scan. The
+    dates are read in a pass of their own: prune where ``alloc`` is stored.
     """
     sec = securities.select(F.col("sec_id").alias("_sk"), F.col("datadate").alias("_sd"),
                             *columns)
-    if prune:
+    if prune and dict(alloc.dtypes)[on] == "date":
         needed = alloc.select(F.col(on).alias("_need")).where(F.col("_need").isNotNull()).distinct()
         sec = sec.join(F.broadcast(needed), sec["_sd"] == needed["_need"], "left_semi")
     left = alloc.withColumn("_ak", F.col(key).cast("string"))
@@ -59,39 +60,36 @@ def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_day
                    skew: str = "aqe", prune: bool = True) -> DataFrame:
     """Left-join the equity and fund files where file date - offset = trade date.
 
-    Both joins use the same keys (text security id, date), so the left side is
-    shuffled once and the second join reuses that partitioning. The four
-    underlying identifiers take the equity value first, then the fund value.
-    Each file is expected to hold one row per (security, file date). With
-    ``skew="salt"`` hot (security, date) keys are salted instead of left to AQE.
-    With ``prune`` each file is first semi-joined with the broadcast distinct
-    trade dates of ``df`` (at most one row per DATE value), so file dates no
-    trade asks for are dropped before the shuffle.
+    The two files are first joined with each other (full outer, on security and
+    date) and their four underlying identifiers merged, the equity value
+    before the fund value. ``df`` is then joined once, so it is shuffled once and a
+    hot (security, date) key of it is split by AQE, or salted with ``skew="salt"``.
+    Each file is expected to hold one row per (security, file date). With ``prune``
+    each file is first semi-joined with the broadcast distinct trade dates of ``df``
+    (only if they are DATE values, so that their number is bounded by the calendar);
+    use it where ``df`` is stored, since its dates are read in a pass of their own.
     """
     eq = _prepare_reference(equity, "equity", offset_days, date_col)
     fu = _prepare_reference(fund, "fund", offset_days, date_col)
-    if prune:
+    if prune and dict(df.dtypes)[date_col] == "date":
         needed = F.broadcast(df.select(date_col).where(F.col(date_col).isNotNull()).distinct())
         eq = eq.join(needed, date_col, "left_semi")
         fu = fu.join(needed, date_col, "left_semi")
+    merged = {dst: F.coalesce(F.col(f"_equity_{src}"), F.col(f"_fund_{src}"))
+              for src, dst in UNDERLYING_COLUMNS}
+    extra = ["equity_file_eff_dt", "equity_file_eff_dt_minus1",
+             "fund_file_eff_dt", "fund_file_eff_dt_minus1"]
+    ref = (eq.join(fu, ["_k", date_col], "full")
+           .select(F.col("_k").alias("_rk"), F.col(date_col).alias("_rd"),
+                   *[c.alias(dst) for dst, c in merged.items()], *extra))
     keyed = df.withColumn("_k", F.col(key).cast("string"))
     if skew == "salt":
-        out = keyed
-        for ref in (eq, fu):
-            r = ref.withColumnRenamed("_k", "_rk").withColumnRenamed(date_col, "_rd")
-            out = salted_join(out, r, ["_k", date_col], ["_rk", "_rd"], "left").drop("_rk", "_rd")
+        out = salted_join(keyed, ref, ["_k", date_col], ["_rk", "_rd"], "left")
     elif skew == "aqe":
-        out = keyed.join(eq, ["_k", date_col], "left").join(fu, ["_k", date_col], "left")
+        out = keyed.join(ref, (keyed["_k"] == ref["_rk"]) & (keyed[date_col] == ref["_rd"]), "left")
     else:
         raise ValueError(f"unknown skew mode {skew!r}")
-    merged = {dst: F.coalesce(F.col(f"_equity_{src}"), F.col(f"_fund_{src}"))
-              for src, dst in UNDERLYING_COLUMNS}
-    drop = ["_k"] + [f"_{t}_{src}" for t in ("equity", "fund") for src, _ in UNDERLYING_COLUMNS]
-    base = [c for c in df.columns]
-    extra = ["equity_file_eff_dt", "equity_file_eff_dt_minus1",
-             "fund_file_eff_dt", "fund_file_eff_dt_minus1"]
-    return out.withColumns(merged).drop(*drop).select(
-        *base, *[dst for _, dst in UNDERLYING_COLUMNS], *extra)
+    return out.select(*df.columns, *merged, *extra)
 
 
 def audit_missing(df: DataFrame, cols: Sequence[str], mode: str = "all") -> DataFrame:

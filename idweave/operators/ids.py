@@ -43,7 +43,7 @@ def assign_ids(df: DataFrame, order: Sequence[str], name: str = "DATA_ID",
               else keyed.repartitionByRange(*range_cols))
     staged = materialize(
         ranged
-        .sortWithinPartitions(*range_cols)
+        .sortWithinPartitions(*range_cols).drop("_tie")
         .withColumn("_pid", F.spark_partition_id().cast("bigint"))
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))),
         "ids")
@@ -64,8 +64,9 @@ def assign_ids(df: DataFrame, order: Sequence[str], name: str = "DATA_ID",
 def dense_index(df: DataFrame, col: str, name: str) -> DataFrame:
     """Add ``name`` = dense rank (1..m, BIGINT) of ``col`` over the whole frame.
 
-    The distinct values are numbered by ``assign_ids``, which writes them once,
-    so an expensive upstream plan is not evaluated again for the numbering.
+    ``df`` is written once and read for both the numbering and the join, so an
+    expensive upstream plan is evaluated once.
     """
+    df = materialize(df, "dense")
     ranks = assign_ids(df.select(col).distinct(), [col], name)
     return df.join(ranks, col, "inner")

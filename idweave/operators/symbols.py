@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..constants import PREFIX_SEDOL, PREFIX_TICKER, TICKER_RULES
 from ..functions.dates import day_end, day_start
 from ..functions.tickers import local_ticker
-from .ids import dense_index
+from .ids import assign_ids
 from .skew import salted_join
 
 REQUEST_COLUMNS = ("DATA_ID", "prefix", "sec_id", "currency", "ticker", "sedol",
                    "order_start_date", "order_end_date", "sym_date",
-                   "SYMBOL_NAME", "SYMBOL_NAME_BASE")
+                   "SYMBOL_NAME", "SYMBOL_NAME_BASE", "process_type")
+BUCKET_MONTHS = {"month": 1, "quarter": 3, "year": 12}
 RESPONSE_COLUMNS = ("DATA_ID", "prefix", "SYMBOL_NAME", "resolved", "valid_from", "valid_to")
 
 
@@ -25,7 +26,7 @@ def valid_requests(df: DataFrame, col: str = "SYMBOL_NAME") -> DataFrame:
 
 
 def _request(df: DataFrame, prefix: str, symbol, base, date_col: str,
-             carry: Sequence[str]) -> DataFrame:
+             carry: Sequence[str], process_type: str) -> DataFrame:
     d = F.col(date_col)
     return df.select(
         F.col("DATA_ID"),
@@ -39,29 +40,33 @@ def _request(df: DataFrame, prefix: str, symbol, base, date_col: str,
         d.cast("date").alias("sym_date"),
         symbol.alias("SYMBOL_NAME"),
         base.alias("SYMBOL_NAME_BASE"),
+        F.lit(process_type).alias("process_type"),
         *carry,
     )
 
 
 def sedol_requests(df: DataFrame, date_col: str = "trade_date_local",
-                   carry: Sequence[str] = (), valid_only: bool = True) -> DataFrame:
+                   carry: Sequence[str] = (), valid_only: bool = True,
+                   process_type: str = "historic") -> DataFrame:
     """One SEDOL request per enriched row: the symbol is the snapshot SEDOL."""
-    out = _request(df, PREFIX_SEDOL, F.col("sedol"), F.lit(None).cast("string"), date_col, carry)
+    out = _request(df, PREFIX_SEDOL, F.col("sedol"), F.lit(None).cast("string"), date_col, carry,
+                   process_type)
     return valid_requests(out) if valid_only else out
 
 
 def ticker_requests(df: DataFrame, rules: dict = TICKER_RULES, mode: str = "always",
                     date_col: str = "trade_date_local", carry: Sequence[str] = (),
-                    valid_only: bool = True) -> DataFrame:
+                    valid_only: bool = True, process_type: str = "historic") -> DataFrame:
     """Local-ticker requests for the currencies in ``rules`` (NULL currency is dropped)."""
     src = df.filter(F.col("sec_currency").isin(list(rules)))
     symbol, base = local_ticker(F.col("ticker"), F.col("sec_currency"), rules, mode)
-    out = _request(src, PREFIX_TICKER, symbol, base, date_col, carry)
+    out = _request(src, PREFIX_TICKER, symbol, base, date_col, carry, process_type)
     return valid_requests(out) if valid_only else out
 
 
 def symbol_requests(df: DataFrame, rules: dict = TICKER_RULES, ticker_mode: str = "always",
-                    date_col: str = "trade_date_local", keep_input: bool = False) -> DataFrame:
+                    date_col: str = "trade_date_local", keep_input: bool = False,
+                    process_type: str = "historic") -> DataFrame:
     """SEDOL and local-ticker requests of every row in one pass.
 
     Each row yields up to two requests (an ``explode`` of a two-element array,
@@ -93,24 +98,29 @@ def symbol_requests(df: DataFrame, rules: dict = TICKER_RULES, ticker_mode: str
     return exploded.select(
         "DATA_ID", req["prefix"].alias("prefix"), "sec_id",
         F.col("sec_currency").alias("currency"), "ticker", "sedol",
-        *[v.alias(k) for k, v in req.items() if k != "prefix"])
+        *[v.alias(k) for k, v in req.items() if k != "prefix"],
+        F.lit(process_type).alias("process_type"))
 
 
 def batch_requests(df: DataFrame, size: int, id_col: str = "DATA_ID") -> DataFrame:
-    """Add ``batch_no`` = (dense rank of the id - 1) div ``size``.
+    """Add ``batch_no``: per prefix, the requests in id order in batches of ``size``.
 
-    Dense rank, not the raw id: ids have gaps after filters, and every request
-    must land in exactly one batch.
+    Every request is in one batch, and no batch holds two prefixes or more than
+    ``size`` requests. The requests are numbered once in the order (prefix, id)
+    and written (``assign_ids``); a prefix starts at its smallest number. The
+    input is evaluated once.
     """
     if size < 1:
         raise ValueError("batch size must be positive")
-    ranked = dense_index(df, id_col, "_rank")
-    return (ranked.withColumn("batch_no", F.floor((F.col("_rank") - 1) / F.lit(size)).cast("bigint"))
-            .drop("_rank"))
+    numbered = assign_ids(df, ["prefix", id_col], "_row")
+    first = numbered.groupBy("prefix").agg(F.min("_row").alias("_first"))  # one row per prefix
+    return (numbered.join(first, numbered["prefix"].eqNullSafe(first["prefix"])).drop(first["prefix"])
+            .withColumn("batch_no", F.floor((F.col("_row") - F.col("_first")) / F.lit(size)).cast("bigint"))
+            .drop("_row", "_first"))
 
 
-def lookup_symbols(requests: DataFrame, symbology: DataFrame,
-                   carry: Sequence[str] = (), skew: str = "aqe") -> DataFrame:
+def lookup_symbols(requests: DataFrame, symbology: DataFrame, carry: Sequence[str] = (),
+                   skew: str = "aqe", bucket: str | None = None) -> DataFrame:
     """Resolve requests against a dated symbol table.
 
     Equi-join on (prefix, symbol) with the trade date inside
@@ -118,16 +128,29 @@ def lookup_symbols(requests: DataFrame, symbology: DataFrame,
     dropped first: they never match and would all hash to one task. A hot
     symbol is split by AQE's skew join, or with ``skew="salt"`` by salting
     (``salted_join``) when AQE is off.
+
+    ``bucket="month"`` (or ``"quarter"``, ``"year"``) puts the calendar bucket of the
+    date into the key, and each validity range is copied to the buckets it spans. Use it
+    for a table with many validity rows per symbol: a request then meets the
+    rows of its bucket, not all rows of its symbol.
     """
     req = valid_requests(requests)
     sym = symbology.select(F.col("prefix").alias("_p"), F.col("symbol").alias("_s"),
                            "valid_from", "valid_to", "resolved")
+    left, right = ["prefix", "SYMBOL_NAME"], ["_p", "_s"]
+    if bucket is not None:
+        req = req.withColumn("_rb", F.trunc("sym_date", bucket))
+        sym = (sym.where("valid_from <= valid_to").withColumn("_sb", F.explode(F.sequence(
+            F.trunc("valid_from", bucket), F.trunc("valid_to", bucket),
+            F.expr(f"INTERVAL {BUCKET_MONTHS[bucket]} MONTH")))))
+        left, right = [*left, "_rb"], [*right, "_sb"]
     in_range = (req["sym_date"] >= sym["valid_from"]) & (req["sym_date"] <= sym["valid_to"])
     if skew == "salt":
-        joined = salted_join(req, sym, ["prefix", "SYMBOL_NAME"], ["_p", "_s"], "inner",
-                             condition=in_range)
+        joined = salted_join(req, sym, left, right, "inner", condition=in_range)
     elif skew == "aqe":
-        cond = (req["prefix"] == sym["_p"]) & (req["SYMBOL_NAME"] == sym["_s"]) & in_range
+        cond = in_range
+        for r, s in zip(left, right):
+            cond = cond & (req[r] == sym[s])
         joined = req.join(sym, cond, "inner")
     else:
         raise ValueError(f"unknown skew mode {skew!r}")
@@ -138,7 +161,7 @@ def lookup_with_service(requests: DataFrame, service: Callable, schema: str,
                         batch_size: int) -> DataFrame:
     """Resolve requests through an external service, one call per batch.
 
-    Batches come from ``batch_requests``; each batch is one group of
+    Batches come from ``batch_requests``; each batch of a prefix is one group of
     ``applyInPandas`` (at most ``batch_size`` rows, so no group is unbounded)
     and the groups are spread over the executors. ``service`` maps a pandas
     frame of requests to a pandas frame matching ``schema``. Nothing passes
@@ -149,7 +172,7 @@ def lookup_with_service(requests: DataFrame, service: Callable, schema: str,
     def call(pdf):
         return service(pdf.drop(columns=["batch_no"]).sort_values("DATA_ID"))
 
-    return batched.groupBy("batch_no").applyInPandas(call, schema)
+    return batched.groupBy("prefix", "batch_no").applyInPandas(call, schema)
 
 
 def merge_responses(*responses: DataFrame) -> DataFrame:

@@ -23,9 +23,9 @@ allocations AS (
 
 SNAPSHOT_DATES = """
 snapshot_dates AS (
-  SELECT DISTINCT CAST(o_orderdate AS DATE) AS datadate
+  SELECT max(CAST(o_orderdate AS DATE)) AS datadate
   FROM orders
-  WHERE o_orderkey % (SELECT greatest(count(*) // 25, 1) FROM orders) = 7
+  GROUP BY year(o_orderdate), quarter(o_orderdate)
 )"""
 
 SECURITIES = """

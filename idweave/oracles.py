@@ -8,6 +8,8 @@ dedup, and so on.
 
 from __future__ import annotations
 
+import re
+
 from .oracle_fixtures import with_views
 
 ALLOC_COLS = ("order_id, line_no, acct_id, gross, sec_id, sec_typ_cd, status, "
@@ -29,8 +31,8 @@ def _dedup(name: str, keys: str, tie: str) -> str:
 )"""
 
 
-DEDUP3 = _dedup("dedup", "sec_id, trade_date_est, trade_date_local", "order_id, line_no, acct_id")
-DEDUP2 = _dedup("dedup2", "sec_id, trade_date_est", "order_id, line_no, acct_id")
+DEDUP3 = _dedup("dedup", "sec_id, trade_date_est, trade_date_local", "order_id, line_no, acct_id, gross")
+DEDUP2 = _dedup("dedup2", "sec_id, trade_date_est", "order_id, line_no, acct_id, gross")
 
 IDED = """
 ided AS (
@@ -109,7 +111,7 @@ sed_req AS (
          CAST(trade_date_local AS TIMESTAMP) AS order_start_date,
          CAST(trade_date_local AS TIMESTAMP) + INTERVAL '23 hours 59 minutes' AS order_end_date,
          trade_date_local AS sym_date, sedol AS SYMBOL_NAME,
-         CAST(NULL AS VARCHAR) AS SYMBOL_NAME_BASE
+         CAST(NULL AS VARCHAR) AS SYMBOL_NAME_BASE, 'historic' AS process_type
   FROM enriched
 )"""
 
@@ -133,7 +135,8 @@ def _tick_req(name: str, mode: str) -> str:
   SELECT DATA_ID, 'BTKR' AS prefix, sec_id, sec_currency AS currency, ticker, sedol,
          CAST(trade_date_local AS TIMESTAMP) AS order_start_date,
          CAST(trade_date_local AS TIMESTAMP) + INTERVAL '23 hours 59 minutes' AS order_end_date,
-         trade_date_local AS sym_date, {sym} AS SYMBOL_NAME, {base} AS SYMBOL_NAME_BASE
+         trade_date_local AS sym_date, {sym} AS SYMBOL_NAME, {base} AS SYMBOL_NAME_BASE,
+         'historic' AS process_type
   FROM enriched WHERE sec_currency IN ('THB', 'AUD')
 )"""
 
@@ -164,7 +167,10 @@ result AS (SELECT e.*, r.prefix, r.SYMBOL_NAME, r.resolved, r.valid_from, r.vali
 
 
 def _chain(views: tuple[str, ...], *ctes: str) -> str:
-    return with_views(*views) + "," + ",".join(ctes)
+    """The CTEs behind the views they need; those that several others read are stored once."""
+    text = with_views(*views) + "," + ",".join(ctes)
+    return re.sub(r"\b(securities|symbology|ided|enriched|sed_req|tick_req|responses) AS \(",
+                  r"\1 AS MATERIALIZED (", text)
 
 
 HIST_VIEWS = ("allocations", "snapshot_dates", "securities", "ref_equity", "ref_fund")
@@ -225,10 +231,12 @@ ORACLES: dict[str, str] = {
     + f""" SELECT * FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u
            WHERE {VALID}""",
     "batch_requests": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
-      SELECT *, CAST(floor((dense_rank() OVER (ORDER BY DATA_ID) - 1) / 500) AS BIGINT) AS batch_no
+      SELECT *, CAST(floor((row_number() OVER (PARTITION BY prefix ORDER BY DATA_ID) - 1) / 500)
+             AS BIGINT) AS batch_no
       FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
     "export_request_batches": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
-      SELECT *, CAST(floor((dense_rank() OVER (ORDER BY DATA_ID) - 1) / 500) AS BIGINT) AS batch_no
+      SELECT *, CAST(floor((row_number() OVER (PARTITION BY prefix ORDER BY DATA_ID) - 1) / 500)
+             AS BIGINT) AS batch_no
       FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
     "lookup_symbols_sedol": _chain(LOOK, *HIST, SED_REQ, TICK_REQ, RESP) + " SELECT * FROM resp_sed",
     "lookup_symbols_ticker": _chain(LOOK, *HIST, SED_REQ, TICK_REQ, RESP)
@@ -264,12 +272,38 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'ticker_requests', count(*) FROM tick_req WHERE {VALID}
       UNION ALL SELECT 'responses', count(*) FROM responses
       UNION ALL SELECT 'result', count(*) FROM result""",
-    "duplicate_keys": with_views("allocations", "ref_equity") + """
+    "duplicate_keys": with_views("allocations", "ref_equity", "ref_fund") + """
       SELECT order_id, line_no, count(*) AS rows, 'allocations' AS source
       FROM allocations GROUP BY order_id, line_no HAVING count(*) > 1
       UNION ALL
       SELECT CAST(sec_id AS BIGINT), file_eff_dt, count(*), 'ref_equity'
-      FROM ref_equity GROUP BY sec_id, file_eff_dt HAVING count(*) > 1""",
+      FROM ref_equity GROUP BY sec_id, file_eff_dt HAVING count(*) > 1
+      UNION ALL
+      SELECT CAST(sec_id AS BIGINT), file_eff_dt, count(*), 'both files'
+      FROM (SELECT sec_id, file_eff_dt FROM ref_equity UNION ALL SELECT sec_id, file_eff_dt FROM ref_fund) u
+      GROUP BY sec_id, file_eff_dt HAVING count(*) > 1
+      UNION ALL
+      SELECT CAST(sec_id AS BIGINT), CAST(NULL AS INTEGER), count(*), 'ref_fund'
+      FROM ref_fund GROUP BY sec_id HAVING count(*) > 1""",
+    "date_texts": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
+      SELECT DATA_ID, prefix, strftime(sym_date, '%Y%m%d') AS sym_day,
+             strftime(order_start_date, '%Y-%m-%d %H:%M:%S') AS start_text,
+             strftime(order_end_date, '%Y-%m-%d %H:%M:%S') AS end_text
+      FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
+    "lookup_symbols_many_ranges": _chain(LOOK, *HIST, SED_REQ, TICK_REQ) + f""",
+      pieces AS (
+        SELECT prefix, symbol, resolved, CAST(s AS DATE) AS valid_from,
+               CAST(least(CAST(s AS DATE) + 29, valid_to) AS DATE) AS valid_to
+        FROM (SELECT *, unnest(generate_series(CAST(valid_from AS TIMESTAMP), CAST(valid_to AS TIMESTAMP),
+                                               INTERVAL 30 DAY)) AS s FROM symbology) x)
+      SELECT r.DATA_ID, r.prefix, r.SYMBOL_NAME, y.resolved, y.valid_from, y.valid_to
+      FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) r
+      JOIN pieces y ON y.prefix = r.prefix AND y.symbol = r.SYMBOL_NAME
+       AND r.sym_date BETWEEN y.valid_from AND y.valid_to
+      WHERE {VALID}""",
+    "join_reference_from_reordered_csv": _chain(HIST_VIEWS, *HIST) + " SELECT * FROM enriched",
+    "published_identifiers": _chain(LOOK, *HIST, SED_REQ, TICK_REQ, RESP, RESULT)
+    + " SELECT *, 'historic' AS process_type FROM result",
     "prefix_columns": with_views("securities") + """
       SELECT datadate AS snap_datadate, ext_sec_id AS snap_ext_sec_id, sedol AS snap_sedol,
              cusip AS snap_cusip, isin_no AS snap_isin_no, sec_currency AS snap_sec_currency,

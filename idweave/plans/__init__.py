@@ -1,6 +1,8 @@
 """Assembled jobs."""
 
-from .identifiers import identifiers_historic, identifiers_same_day, publish_identifiers, run
+from .identifiers import (identifiers_historic, identifiers_same_day, publish_identifiers,
+                          publish_same_day, run)
 from .inputs import Sources
 
-__all__ = ["Sources", "identifiers_historic", "identifiers_same_day", "publish_identifiers", "run"]
+__all__ = ["Sources", "identifiers_historic", "identifiers_same_day", "publish_identifiers",
+           "publish_same_day", "run"]

@@ -14,19 +14,19 @@ import logging
 
 from pyspark.sql import DataFrame
 
-from ..constants import DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
+from ..constants import AUDIT_ALL, AUDIT_ANY, DEDUP_KEYS_2, DEDUP_KEYS_3, SECURITY_COLUMNS
 from .inputs import Sources
 from ..functions.columns import prefix_columns, tag
 from ..operators import (assign_ids, audit_missing, dedup_allocations, duplicate_keys,
                          filter_allocations, join_reference, join_snapshot, lookup_symbols,
                          observe_count, previous_snapshot, previous_snapshot_by_key,
-                         symbol_requests)
-from ..session import stage_scope
+                         sedol_requests, symbol_requests, ticker_requests)
+from ..session import materialize, stage_scope
 from ..sinks import export_requests, publish, write_preview
 
 log = logging.getLogger("idweave")
 
-TIE_KEYS = ("order_id", "line_no", "acct_id")
+TIE_KEYS = ("order_id", "line_no", "acct_id", "gross")  # unique together
 
 
 def allocations_with_ids(src: Sources, keys=DEDUP_KEYS_3) -> DataFrame:
@@ -42,17 +42,19 @@ def enriched_historic(src: Sources, offset_days: int = 1, how: str = "inner",
     the trade, which is what the original job does. ``asof="security"`` takes
     the latest snapshot in which that security appears.
     """
-    alloc = allocations_with_ids(src, keys)
-    if asof == "table":
-        prev = previous_snapshot(alloc, src.snapshot_dates, how=how)
-    elif asof == "security":
-        prev = previous_snapshot_by_key(alloc, src.securities, how=how, skew=skew)
-    else:
-        raise ValueError(f"unknown as-of mode {asof!r}")
+    prev = _as_of(allocations_with_ids(src, keys), src, how, asof, skew)
     snap = join_snapshot(prev, src.securities, on="snapshot_date", skew=skew)
     return join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days, skew=skew)
 
 
+def _as_of(alloc: DataFrame, src: Sources, how: str, asof: str, skew: str) -> DataFrame:
+    if asof == "table":
+        return previous_snapshot(alloc, src.snapshot_dates, how=how)
+    if asof == "security":
+        return previous_snapshot_by_key(alloc, src.securities, how=how, skew=skew)
+    raise ValueError(f"unknown as-of mode {asof!r}")
+
+
 def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days: int = 1,
                          how: str = "inner", keys=DEDUP_KEYS_3, asof: str = "table",
                          skew: str = "aqe") -> DataFrame:
@@ -70,52 +72,101 @@ def identifiers_historic(src: Sources, ticker_mode: str = "always", offset_days:
 
 def identifiers_same_day(src: Sources, offset_days: int = 1, keys=DEDUP_KEYS_2) -> DataFrame:
     alloc = dedup_allocations(filter_allocations(src.allocations), keys=keys, tie=TIE_KEYS)
-    joined = join_snapshot(alloc, src.securities, on="trade_date_est", how="left")
+    # the deduplicated rows are not stored: pruning by their dates would run the dedup again
+    joined = join_snapshot(alloc, src.securities, on="trade_date_est", how="left", prune=False)
     named = prefix_columns(prefix_columns(joined, "snap_", keep=alloc.columns), "alloc_",
                            keep=["snap_" + c for c in SECURITY_COLUMNS])
     return join_reference(named, src.ref_equity, src.ref_fund, offset_days=offset_days,
-                          key="alloc_sec_id", date_col="alloc_trade_date_est")
+                          key="alloc_sec_id", date_col="alloc_trade_date_est", prune=False)
 
 
 def publish_identifiers(src: Sources, table: str, path: str | None = None,
                         ticker_mode: str = "always", offset_days: int = 1, how: str = "inner",
                         keys=DEDUP_KEYS_3, audit_dir: str | None = None,
-                        asof: str = "table", skew: str = "aqe",
-                        partition_cols: tuple = ()) -> dict[str, int]:
-    """Build the historic result and replace ``table`` with it in one action.
-
-    Stage row counts are collected with ``observe`` during that same action
-    (no extra pass) and returned. With ``audit_dir``, audit files are
-    written as CSV: every enriched row that lacks an external id, SEDOL or
-    ticker, an ordered 100-row preview of the result, and any (security, file
-    date) key that occurs more than once in the equity or fund file. The intermediate
-    stage folders (ids, day map) are deleted once everything is written.
+                        asof: str = "table", skew: str = "aqe", partition_cols: tuple = (),
+                        stage_prefix: str | None = None, preview_rows: int = 100,
+                        fmt: str = "parquet") -> dict[str, int]:
+    """Build the historic result and replace ``table`` with it.
+
+    Stage row counts are collected with ``observe`` while the stages are
+    written (no extra pass) and returned. With ``stage_prefix`` every stage is
+    published as a table of that prefix (allocations, snapshot, enriched,
+    sedol_requests, ticker_requests, responses) and the next one reads it. With
+    ``audit_dir``, audit files are written as CSV: every enriched row that lacks an
+    external id, SEDOL or ticker, an ordered preview of ``preview_rows`` rows of
+    the result, and any (security, file date) key that occurs more than once in the
+    equity or fund file. The audit reads the stored enriched rows, so nothing runs twice.
+    The intermediate stage folders are deleted once everything is written.
     """
-    with stage_scope(src.allocations.sparkSession):
-        enriched = enriched_historic(src, offset_days, how, keys, asof, skew)
-        observed, obs_enriched = observe_count(enriched, "enriched")
-        requests, obs_requests = observe_count(
-            symbol_requests(observed, ticker_mode=ticker_mode, keep_input=True), "requests")
+    spark = src.allocations.sparkSession
+    counts: dict[str, int] = {}
+
+    def keep(df: DataFrame, stage: str) -> DataFrame:
+        if stage_prefix is None:
+            return df
+        publish(df, f"{stage_prefix}_{stage}", fmt=fmt)
+        return spark.table(f"{stage_prefix}_{stage}")
+
+    with stage_scope(spark):
+        alloc = keep(allocations_with_ids(src, keys), "allocations")
+        prev = _as_of(alloc, src, how, asof, skew)
+        snap = keep(join_snapshot(prev, src.securities, on="snapshot_date", skew=skew), "snapshot")
+        enriched, seen_enriched = observe_count(
+            join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days, skew=skew),
+            "enriched")
+        if stage_prefix:
+            enriched = keep(enriched, "enriched")
+            keep(sedol_requests(enriched), "sedol_requests")
+            keep(ticker_requests(enriched, mode=ticker_mode), "ticker_requests")
+        elif audit_dir:
+            enriched = materialize(enriched, "enriched")
+        requests, seen_requests = observe_count(
+            symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True), "requests")
         carry = [c for c in enriched.columns if c != "DATA_ID"]
-        result, obs_result = observe_count(
-            tag(lookup_symbols(requests, src.symbology, carry=carry, skew=skew),
-                process_type="historic"),
-            "result")
-        publish(result, table, partition_cols=partition_cols, path=path)
-        counts = {"enriched": obs_enriched.get["rows"], "requests": obs_requests.get["rows"],
-                  "result": obs_result.get["rows"]}
+        answers = lookup_symbols(requests, src.symbology, carry=carry, skew=skew)
+        if stage_prefix:
+            answers = keep(answers, "responses")
+        result, seen_result = observe_count(tag(answers, process_type="historic"), "result")
+        publish(result, table, partition_cols=partition_cols, path=path, fmt=fmt)
+        counts = {"enriched": seen_enriched.get["rows"], "requests": seen_requests.get["rows"],
+                  "result": seen_result.get["rows"]}
         if audit_dir:
-            export_requests(audit_missing(enriched, ["ext_sec_id", "sedol", "ticker"], "any"),
-                            f"{audit_dir}/missing_identifiers")
-            write_preview(enriched.sparkSession.table(table), f"{audit_dir}/result_preview",
-                          ["DATA_ID", "prefix"], 100)
-            for name, ref in (("equity", src.ref_equity), ("fund", src.ref_fund)):
-                export_requests(duplicate_keys(ref, ["sec_id", "file_eff_dt"]),
-                                f"{audit_dir}/duplicate_{name}_keys")
+            _write_audit(src, audit_missing(enriched, AUDIT_ANY, "any"), spark.table(table),
+                         ["DATA_ID", "prefix"], audit_dir, preview_rows)
     log.info("published %s: %s", table, counts)
     return counts
 
 
+def publish_same_day(src: Sources, table: str, path: str | None = None, offset_days: int = 1,
+                     keys=DEDUP_KEYS_2, audit_dir: str | None = None, partition_cols: tuple = (),
+                     preview_rows: int = 100, fmt: str = "parquet") -> dict[str, int]:
+    """Build the same-day result and replace ``table`` with it. Returns the row counts of the
+    result and of its rows without any identifier, observed while it is written. With
+    ``audit_dir`` those rows and a preview are written from the published table."""
+    with stage_scope(src.allocations.sparkSession) as _:
+        spark = src.allocations.sparkSession
+        result, seen = observe_count(identifiers_same_day(src, offset_days, keys), "same_day")
+        publish(result, table, partition_cols=partition_cols, path=path, fmt=fmt)
+        missing, seen_missing = observe_count(
+            audit_missing(spark.table(table), ["snap_" + c for c in AUDIT_ALL], "all"), "missing")
+        counts = {"result": seen.get["rows"]}
+        if audit_dir:
+            _write_audit(src, missing, spark.table(table), list("alloc_" + k for k in keys), audit_dir,
+                         preview_rows)
+            counts["missing"] = seen_missing.get["rows"]
+    log.info("published %s: %s", table, counts)
+    return counts
+
+
+def _write_audit(src: Sources, missing: DataFrame, result: DataFrame, order: list[str],
+                 audit_dir: str, preview_rows: int) -> None:
+    export_requests(missing, f"{audit_dir}/missing_identifiers")
+    write_preview(result, f"{audit_dir}/result_preview", order, preview_rows)
+    for name, ref in (("equity", src.ref_equity), ("fund", src.ref_fund)):
+        export_requests(duplicate_keys(ref, ["sec_id", "file_eff_dt"]),
+                        f"{audit_dir}/duplicate_{name}_keys")
+
+
 def run(process_type: str, src: Sources, **options) -> DataFrame | None:
     """``historic`` builds the result; ``daily`` does nothing; anything else fails."""
     if process_type == "historic":

@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixtures as fx
-from .constants import DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
+from .constants import AUDIT_ALL, AUDIT_ANY, DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
 from .functions import normalize_dates, prefix_columns, tag
+from .functions.dates import timestamp_text, yyyymmdd_text
 from .operators import (attach_symbols, duplicate_keys, audit_missing, batch_requests,
                         dedup_allocations, filter_allocations, join_reference, join_snapshot,
                         lookup_symbols, merge_responses, previous_snapshot,
                         previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
                         ticker_requests, union_snapshots, valid_requests)
 from .plans import identifiers as plan
-from .session import scratch_path
+from .session import materialize, scratch_path
 from .sinks import export_request_batches, export_requests, preview, publish
 from .sources import scan_csv, snapshot_dates, sql_relation
 
@@ -51,6 +52,11 @@ def _enriched(spark, sf_dir):
     return plan.enriched_historic(_src(spark, sf_dir))
 
 
+def _stored(spark, sf_dir):
+    """The enriched rows written once, for queries that use them more than once."""
+    return materialize(_enriched(spark, sf_dir), "enriched")
+
+
 # ---- allocations ---------------------------------------------------------
 
 @query
@@ -127,15 +133,13 @@ def join_snapshot_previous(spark, sf_dir):
 @query
 def audit_missing_all(spark, sf_dir):
     """rows where all five identifiers are NULL."""
-    return audit_missing(join_snapshot_previous(spark, sf_dir),
-                         ["ext_sec_id", "sedol", "cusip", "isin_no", "ticker"], mode="all")
+    return audit_missing(join_snapshot_previous(spark, sf_dir), AUDIT_ALL, mode="all")
 
 
 @query
 def audit_missing_any(spark, sf_dir):
     """rows where the external id, SEDOL or ticker is NULL."""
-    return audit_missing(join_snapshot_previous(spark, sf_dir),
-                         ["ext_sec_id", "sedol", "ticker"], mode="any")
+    return audit_missing(join_snapshot_previous(spark, sf_dir), AUDIT_ANY, mode="any")
 
 
 @query
@@ -176,14 +180,14 @@ def ticker_requests_matched(spark, sf_dir):
 @query
 def valid_requests_q(spark, sf_dir):
     """requests with a NULL or empty symbol dropped."""
-    e = _enriched(spark, sf_dir)
+    e = _stored(spark, sf_dir)
     raw = sedol_requests(e, valid_only=False).unionByName(ticker_requests(e, valid_only=False))
     return valid_requests(raw)
 
 
 @query
 def batch_requests_q(spark, sf_dir):
-    """Batch number from the dense rank of the request id."""
+    """Batches of 500 requests per prefix, in id order."""
     return batch_requests(symbol_requests(_enriched(spark, sf_dir)), 500)
 
 
@@ -205,7 +209,7 @@ def lookup_symbols_ticker(spark, sf_dir):
 def merge_responses_q(spark, sf_dir):
     """SEDOL and ticker responses unioned by name."""
     src = _src(spark, sf_dir)
-    e = plan.enriched_historic(src)
+    e = _stored(spark, sf_dir)
     return merge_responses(lookup_symbols(sedol_requests(e), src.symbology),
                            lookup_symbols(ticker_requests(e), src.symbology))
 
@@ -214,7 +218,7 @@ def merge_responses_q(spark, sf_dir):
 def attach_symbols_q(spark, sf_dir):
     """Responses joined back to the enriched rows by DATA_ID, prefixed."""
     src = _src(spark, sf_dir)
-    e = plan.enriched_historic(src)
+    e = _stored(spark, sf_dir)
     resp = merge_responses(lookup_symbols(sedol_requests(e), src.symbology),
                            lookup_symbols(ticker_requests(e), src.symbology))
     return attach_symbols(e, resp, prefix="sym_")
@@ -258,11 +262,12 @@ def stage_counts_q(spark, sf_dir):
     """A3: row count of every stage of the flagship."""
     src = _src(spark, sf_dir)
     filtered = filter_allocations(src.allocations)
-    ided = plan.allocations_with_ids(src)
-    prev = previous_snapshot(ided, src.snapshot_dates)
-    enriched = join_reference(join_snapshot(prev, src.securities), src.ref_equity, src.ref_fund)
+    ided = plan.allocations_with_ids(src)  # stored
+    prev = materialize(previous_snapshot(ided, src.snapshot_dates), "previous")
+    enriched = materialize(join_reference(join_snapshot(prev, src.securities), src.ref_equity,
+                                          src.ref_fund), "enriched")
     sed, tick = sedol_requests(enriched), ticker_requests(enriched)
-    resp = merge_responses(lookup_symbols(sed, src.symbology), lookup_symbols(tick, src.symbology))
+    resp = materialize(lookup_symbols(symbol_requests(enriched), src.symbology), "responses")
     return stage_counts({
         "allocations": src.allocations, "filtered": filtered, "deduplicated": ided,
         "previous_snapshot": prev, "enriched": enriched, "sedol_requests": sed,
@@ -273,14 +278,73 @@ def stage_counts_q(spark, sf_dir):
 @query
 def duplicate_keys_q(spark, sf_dir):
     """D8 check: (order, line) is not unique in the allocations; the reference
-    files are unique per (security, file date)."""
+    files are unique per (security, file date), but not per security."""
     src = _src(spark, sf_dir)
     return (duplicate_keys(src.allocations, ["order_id", "line_no"])
             .withColumn("source", F.lit("allocations"))
             .unionByName(duplicate_keys(src.ref_equity, ["sec_id", "file_eff_dt"])
                          .select(F.col("sec_id").cast("bigint").alias("order_id"),
                                  F.col("file_eff_dt").alias("line_no"), "rows")
-                         .withColumn("source", F.lit("ref_equity"))))
+                         .withColumn("source", F.lit("ref_equity")))
+            .unionByName(duplicate_keys(src.ref_equity.unionByName(src.ref_fund), ["sec_id", "file_eff_dt"])
+                         .select(F.col("sec_id").cast("bigint").alias("order_id"),
+                                 F.col("file_eff_dt").alias("line_no"), "rows")
+                         .withColumn("source", F.lit("both files")))
+            .unionByName(duplicate_keys(src.ref_fund, ["sec_id"])
+                         .select(F.col("sec_id").cast("bigint").alias("order_id"),
+                                 F.lit(None).cast("int").alias("line_no"), "rows")
+                         .withColumn("source", F.lit("ref_fund"))))
+
+
+@query
+def date_texts(spark, sf_dir):
+    """DATE as yyyyMMdd text and timestamps as request-file text."""
+    req = symbol_requests(_enriched(spark, sf_dir))
+    return req.select("DATA_ID", "prefix", yyyymmdd_text(F.col("sym_date")).alias("sym_day"),
+                      timestamp_text(F.col("order_start_date")).alias("start_text"),
+                      timestamp_text(F.col("order_end_date")).alias("end_text"))
+
+
+def _many_ranges(symbology):
+    """The symbol table with each validity range cut into 30-day pieces."""
+    start = F.explode(F.sequence("valid_from", "valid_to", F.expr("INTERVAL 30 DAY"))).alias("_s")
+    return (symbology.select("*", start)
+            .select("prefix", "symbol", "resolved", F.col("_s").alias("valid_from"),
+                    F.least(F.date_add("_s", 29), "valid_to").alias("valid_to")))
+
+
+@query
+def lookup_symbols_many_ranges(spark, sf_dir):
+    """J10 over a table with many validity rows per symbol: the month is part of the key."""
+    src = _src(spark, sf_dir)
+    return lookup_symbols(symbol_requests(_enriched(spark, sf_dir)), _many_ranges(src.symbology),
+                          bucket="month")
+
+
+@query
+def join_reference_from_reordered_csv(spark, sf_dir):
+    """Reference files whose columns stand in another order, found by their header."""
+    src = _src(spark, sf_dir)
+    files = []
+    for name, df in (("equity", src.ref_equity), ("fund", src.ref_fund)):
+        files.append(scratch_path(spark, f"{name}-reordered"))
+        export_requests(df.select("isin_id", "file_eff_dt", "ticker", F.lit("x").alias("more"),
+                                  "sec_id", "sedol_id", "parent_id_undr"), files[-1])
+    prev = previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
+    return join_reference(join_snapshot(prev, src.securities),
+                          *[scan_csv(spark, f, schema=REFERENCE_SCHEMA) for f in files])
+
+
+@query
+def published_identifiers(spark, sf_dir):
+    """The whole historic job with every stage published, read back from its table."""
+    src, mark = _src(spark, sf_dir), scratch_path(spark, "t").rsplit("-", 1)[-1]
+    prefix = f"idweave_stage_{mark}"
+    plan.publish_identifiers(src, f"{prefix}_result", path=scratch_path(spark, "result"),
+                             stage_prefix=prefix)
+    for stage in ("allocations", "snapshot", "enriched", "sedol_requests", "ticker_requests", "responses"):
+        spark.sql(f"DROP TABLE {prefix}_{stage}")
+    return _read_and_forget(spark, f"{prefix}_result")
 
 
 # ---- columns and sets ----------------------------------------------------
@@ -346,16 +410,26 @@ def snapshot_dates_q(spark, sf_dir):
     secs = fx.securities(spark, sf_dir)
     name = "idweave_securities_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
     publish(secs, name, partition_cols=["datadate"], path=scratch_path(spark, "securities"))
-    return snapshot_dates(spark, name)
+    out = materialize(snapshot_dates(spark, name), "dates")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 @query
 def publish_q(spark, sf_dir):
-    """K1-K3: a table replaced by one overwrite and read back."""
-    df = _filtered(spark, sf_dir)
+    """K1-K3: a table published, then replaced by its own filtered rows, and read back."""
     name = "idweave_alloc_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
-    publish(df, name, path=scratch_path(spark, "alloc"))
-    return spark.table(name)
+    path = scratch_path(spark, "alloc")
+    publish(fx.allocations(spark, sf_dir), name, path=path)
+    publish(filter_allocations(spark.table(name)), name, path=path)
+    return _read_and_forget(spark, name)
+
+
+def _read_and_forget(spark, name):
+    """The rows of a table whose files outlive its catalog entry."""
+    path = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {name}")  # its location was given, so the files stay
+    return spark.read.parquet(path)
 
 
 @query
@@ -369,7 +443,7 @@ def export_requests_q(spark, sf_dir):
 
 @query
 def export_request_batches_q(spark, sf_dir):
-    """Requests written as one CSV folder per batch of 500 ids, read back."""
+    """Requests written as one CSV folder per prefix and batch of 500, read back."""
     req = symbol_requests(_enriched(spark, sf_dir))
     path = scratch_path(spark, "request-batches")
     export_request_batches(req, path, 500)

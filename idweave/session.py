@@ -11,6 +11,7 @@ import atexit
 import contextlib
 import logging
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -43,7 +44,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 _LOCAL_ROOTS: dict[str, str] = {}
 _SCOPES: list[list[str]] = []
-_UNSCOPED: list[str] = []
+_UNSCOPED: list[tuple[str, str]] = []
 log = logging.getLogger("idweave")
 
 
@@ -60,8 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # a remote session has no SparkContext
             root = None
     if not root:
-        master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        master = spark.conf.get("spark.master", None) or ""
+        if not re.fullmatch(r"local(\[.*\])?", master):  # an unknown master counts as a cluster
             raise RuntimeError(
                 "set spark.checkpoint.dir to a folder shared by the cluster: stage data "
                 "written to a machine-local folder would be lost with its executor")
@@ -91,7 +92,10 @@ def materialize(df: DataFrame, name: str = "stage", count: bool = False):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    (_SCOPES[-1] if _SCOPES else _UNSCOPED).append(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    else:
+        _UNSCOPED.append((spark.conf.get("spark.app.id", ""), path))
     if count:
         obs = Observation(f"{name}_rows")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -100,10 +104,6 @@ def materialize(df: DataFrame, name: str = "stage", count: bool = False):
     return (out, obs.get["rows"]) if count else out
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 @contextlib.contextmanager
 def stage_scope(spark: SparkSession):
     """Delete the stage folders written inside the block once it succeeds.
@@ -118,10 +118,19 @@ def stage_scope(spark: SparkSession):
     finally:
         _SCOPES.pop()
     for p in paths:
-        _delete(spark, p)
+        delete_folder(spark, p)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage folders that lazily returned frames of this application read.
+    Call it once those frames have been consumed; inside ``stage_scope`` it is not needed."""
+    app = spark.conf.get("spark.app.id", "")
+    for entry in [e for e in _UNSCOPED if e[0] == app]:
+        _UNSCOPED.remove(entry)
+        delete_folder(spark, entry[1])
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -134,9 +143,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 def _drop_local_stages() -> None:
     """Stage folders written outside a ``stage_scope`` (e.g. by a query that
     returns a lazy DataFrame) live until the process ends. Folders on the
-    local file system are removed then; shared cluster folders are left to
-    that folder's own retention."""
-    for p in _UNSCOPED:
+    local file system are removed then; on a shared folder ``drop_stages`` removes them."""
+    for _, p in _UNSCOPED:
         local = p[len("file:"):] if p.startswith("file:") else p
         if "://" not in local and os.path.isdir(local):
             shutil.rmtree(local, ignore_errors=True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # No CSV field is ever this character, so only an unquoted empty field is NULL.
 _NO_NULL_TEXT = "\u0000"
@@ -14,12 +16,19 @@ def scan_csv(spark: SparkSession, path: str, schema=None, null_value: str | None
     An unquoted empty field reads as NULL and a quoted one (``""``) as the
     empty string, so the two stay apart through a write/read round trip.
     Without a schema every column is text (no inference pass over the data).
+    With one, columns are found by their header name, in any order, and cast; a
+    value that does not fit its type reads as NULL, a column that the header
+    lacks is an error, and columns the schema does not name are left out.
     """
     reader = (spark.read.option("header", True).option("delimiter", ",")
               .option("quote", '"').option("escape", '"')
               .option("emptyValue", "")
-              .option("nullValue", _NO_NULL_TEXT if null_value is None else null_value)
-              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+              .option("nullValue", _NO_NULL_TEXT if null_value is None else null_value))
+    if schema is None:
+        return reader.csv(path)
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    text = reader.option("inferSchema", False).csv(path)
+    missing = [f.name for f in fields if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields])

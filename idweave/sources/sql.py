@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import DEFAULT_SNAPSHOT_DATE
+
 
 def sql_relation(spark: SparkSession, text: str, args: dict | None = None,
                  **frames: DataFrame) -> DataFrame:
     """Run SQL text. Frames are bound as ``{name}`` references (no global views)
-    and values as named parameters (``:data_date``), never by string formatting."""
+    and values as named parameters (``:data_date``), never by string formatting.
+    A text that names ``:data_date`` without a value for it gets the default date."""
+    if ":data_date" in text and "data_date" not in (args or {}):
+        args = {**(args or {}), "data_date": datetime.date.fromisoformat(DEFAULT_SNAPSHOT_DATE)}
     return spark.sql(text, args=args, **frames)
 
 

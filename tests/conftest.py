@@ -23,6 +23,19 @@ def spark():
     yield spark
 
 
+@pytest.fixture(scope="session")
+def expected():
+    """Row counts of the flagship's stages at SF_SMALL, counted by DuckDB."""
+    import duckdb
+
+    from idweave.oracles import oracle_sql
+
+    con = duckdb.connect()
+    for t in ("lineitem", "orders", "part"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return dict(con.sql(oracle_sql()["stage_counts"]).fetchall())
+
+
 @pytest.fixture(scope="session")
 def src(spark):
     from idweave import fixtures

@@ -88,13 +88,14 @@ def test_assign_ids_dense_and_stable(spark, src):
 
 
 def test_dense_index_and_batches(spark):
-    df = spark.createDataFrame([(1,), (5,), (9,), (5,)], "DATA_ID bigint")
-    got = sorted((r.DATA_ID, r.batch_no) for r in batch_requests(df, 2).collect())
-    assert got == [(1, 0), (5, 0), (5, 0), (9, 1)]
+    rows = [(1, "A"), (5, "A"), (9, "A"), (5, "B"), (2, "B"), (7, None)]
+    df = spark.createDataFrame(rows, "DATA_ID bigint, prefix string")
+    got = sorted((r.prefix or "", r.DATA_ID, r.batch_no) for r in batch_requests(df, 2).collect())
+    assert got == [("", 7, 0), ("A", 1, 0), ("A", 5, 0), ("A", 9, 1), ("B", 2, 0), ("B", 5, 0)]
     with pytest.raises(ValueError):
         batch_requests(df, 0)
-    assert sorted(tuple(r) for r in dense_index(df, "DATA_ID", "r").collect()) == \
-        [(1, 1), (5, 2), (5, 2), (9, 3)]
+    assert sorted(tuple(r) for r in dense_index(df.select("DATA_ID"), "DATA_ID", "r").collect()) == \
+        [(1, 1), (2, 2), (5, 3), (5, 3), (7, 4), (9, 5)]
     text = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "k string")
     assert sorted(tuple(r) for r in dense_index(text, "k", "r").collect()) == \
         [("a", 1), ("b", 2), ("b", 2), ("c", 3)]
@@ -219,7 +220,18 @@ def test_historic_equals_attach_by_id(src):
     assert slow.exceptAll(fast).count() == 0 and fast.exceptAll(slow).count() == 0
 
 
-def test_publish_identifiers_counts_in_one_action(spark, src):
+def test_batches_evaluate_their_input_once(spark):
+    """The numbering reads what it wrote: the input's scan is not in the returned plan."""
+    df = spark.range(1000).selectExpr("id AS DATA_ID", "CASE WHEN id % 3 = 0 THEN 'A' ELSE 'B' END AS prefix")
+    out = batch_requests(df, 100)
+    assert "Range (" not in out._jdf.queryExecution().executedPlan().toString()
+    size = {}
+    for r in out.collect():
+        size[r.prefix, r.batch_no] = size.get((r.prefix, r.batch_no), 0) + 1
+    assert max(size.values()) == 100 and len(size) == 4 + 7
+
+
+def test_publish_identifiers_counts_in_one_action(spark, src, expected):
     import glob
 
     from idweave.plans import publish_identifiers
@@ -234,15 +246,17 @@ def test_publish_identifiers_counts_in_one_action(spark, src):
     audit = scratch_path(spark, "audit")
     counts = publish_identifiers(src, "idweave_test_result", path=scratch_path(spark, "result"),
                                  audit_dir=audit)
-    assert counts == {"enriched": 3131, "requests": 4116, "result": 3410}
-    assert spark.table("idweave_test_result").count() == 3410
+    requests = expected["sedol_requests"] + expected["ticker_requests"]
+    assert counts == {"enriched": expected["enriched"], "requests": requests, "result": expected["result"]}
+    assert spark.table("idweave_test_result").count() == expected["result"]
     from idweave.sources import scan_csv
-    assert scan_csv(spark, f"{audit}/missing_identifiers").count() == 431
     assert scan_csv(spark, f"{audit}/result_preview").count() == 100
     assert scan_csv(spark, f"{audit}/duplicate_equity_keys").count() == 0
     assert scan_csv(spark, f"{audit}/duplicate_fund_keys").count() == 0
     # the intermediate stage folders (ids, day map) are deleted after the write
     assert stage_dirs() == before
+    missing = audit_missing(plan.enriched_historic(src), ["ext_sec_id", "sedol", "ticker"], "any")
+    assert scan_csv(spark, f"{audit}/missing_identifiers").count() == missing.count() > 0
 
 
 def test_hot_security_is_split_by_aqe(spark):
@@ -334,7 +348,7 @@ def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
     for how in ("inner", "left"):
         plain = big.join(small, (big.k == small.sk) & (big.d >= small.d_lo), how)
         salted = salted_join(big, small, ["k"], ["sk"], how, condition=big.d >= small.d_lo,
-                             salts=8, min_share=0.05)
+                             min_share=0.05)
         cols = ["rid", "k", "d", "sk", "d_lo", "v"]
         assert salted.select(*cols).exceptAll(plain.select(*cols)).count() == 0
         assert plain.select(*cols).exceptAll(salted.select(*cols)).count() == 0
@@ -347,7 +361,7 @@ def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        salted = salted_join(big, small, ["k"], ["sk"], "inner", salts=8, min_share=0.05)
+        salted = salted_join(big, small, ["k"], ["sk"], "inner", min_share=0.05)
         spread = (salted.filter("k = 7").select(F.spark_partition_id().alias("p"))
                   .distinct().count())
         plain = big.join(small, big.k == small.sk, "inner")
@@ -359,6 +373,84 @@ def test_salted_join_equals_plain_join_and_spreads_the_hot_key(spark):
     assert one == 1 and spread > 1
 
 
+def test_salted_join_spreads_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    from idweave.operators import salted_join
+
+    big = spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    small = spark.range(50).select(F.col("id").alias("sk"))
+    keep = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keep}
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+    try:
+        out = salted_join(big, small, ["k"], ["sk"], "left")
+        rows = out.select("id", "k", "sk", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 20_000 and sum(r.sk is not None for r in rows) == 25
+    assert len({r.p for r in rows if r.k is None}) > 1
+
+
+def test_hot_key_of_the_reference_join_is_split_by_aqe(spark):
+    """A third of the rows on one (security, date): the one join of the large side is split."""
+    n = 60_000
+    rows = spark.range(n).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS sec_id",
+                                     "DATE'2024-01-02' AS trade_date_est")
+    ref = spark.range(n).selectExpr("CAST(id AS STRING) AS sec_id", "20240103 AS file_eff_dt",
+                                    *(f"concat('{c}', id) AS {c}" for c in
+                                      ("parent_id_undr", "sedol_id", "ticker", "isin_id")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = join_reference(rows, ref, ref.where("file_eff_dt = 0"), prune=False)
+        assert len(out.collect()) == n
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_bucketed_lookup_equals_plain(spark):
+    from datetime import timedelta
+
+    req = spark.createDataFrame(
+        [(i, "SED", f"S{i % 3}", D(2024, 1 + i % 12, 1 + i % 28)) for i in range(60)],
+        "DATA_ID bigint, prefix string, SYMBOL_NAME string, sym_date date")
+    sym = spark.createDataFrame(
+        [("SED", f"S{k % 3}", D(2023, 11, 20) + timedelta(days=9 * k),
+          D(2023, 11, 25) + timedelta(days=9 * k + 40 * (k % 4)), f"X{k}") for k in range(60)]
+        + [("SED", "S1", D(2024, 5, 2), D(2024, 5, 1), "never")],
+        "prefix string, symbol string, valid_from date, valid_to date, resolved string")
+    plain = sorted(map(tuple, lookup_symbols(req, sym).collect()))
+    assert plain
+    for bucket in ("month", "quarter", "year"):
+        assert sorted(map(tuple, lookup_symbols(req, sym, bucket=bucket).collect())) == plain
+
+
+def test_stages_are_published(spark, src, expected):
+    counts = plan.publish_identifiers(src, "idweave_staged_result", stage_prefix="idweave_staged")
+    assert counts["result"] == expected["result"] == spark.table("idweave_staged_result").count()
+    for stage, rows in (("allocations", "deduplicated"), ("enriched", "enriched"),
+                        ("sedol_requests", "sedol_requests"), ("ticker_requests", "ticker_requests"),
+                        ("responses", "responses")):
+        assert spark.table(f"idweave_staged_{stage}").count() == expected[rows]
+    assert "process_type" in spark.table("idweave_staged_sedol_requests").columns
+
+
+def test_same_day_plan_runs_the_dedup_once(spark, src):
+    text = plan.identifiers_same_day(src)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Window [") == 1 and text.count("l_shipdate") > 0
+
+
 def test_salted_job_equals_default(src):
     for asof in ("table", "security"):
         a = plan.identifiers_historic(src, asof=asof)

@@ -37,7 +37,7 @@ def test_no_single_partition_or_nested_loop_over_allocations(src):
     assert "BroadcastNestedLoopJoin" not in p  # the nested loop only touched the day map
 
 
-def test_reference_joins_share_one_shuffle_of_the_left_side(spark, src):
+def test_reference_files_join_the_left_side_once(spark, src):
     alloc = plan.allocations_with_ids(src)
     snap = join_snapshot(previous_snapshot(alloc, src.snapshot_dates), src.securities)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -45,6 +45,8 @@ def test_reference_joins_share_one_shuffle_of_the_left_side(spark, src):
         p = _plan(join_reference(snap, src.ref_equity, src.ref_fund))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the two files meet each other first, then the left side once
+    assert p.count("SortMergeJoin [_k") == 2 and p.count("FullOuter") == 1
     assert p.count("hashpartitioning(_k") == 3  # left once, equity once, fund once
 
 

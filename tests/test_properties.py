@@ -71,11 +71,12 @@ def test_assign_ids_is_row_number(spark, keys, parts):
 @SETTINGS
 @given(ids=st.lists(st.integers(1, 200), max_size=40), size=st.integers(1, 7))
 def test_batches_cover_every_request_once(spark, ids, size):
-    df = spark.createDataFrame([(i,) for i in ids], "DATA_ID bigint")
+    df = spark.createDataFrame([(i, "AB"[i % 2]) for i in ids], "DATA_ID bigint, prefix string")
     got = batch_requests(df, size).collect()
     assert len(got) == len(ids)
-    rank = {v: r for r, v in enumerate(sorted(set(ids)))}
-    assert all(r.batch_no == rank[r.DATA_ID] // size for r in got)
+    for p in "AB":
+        own = sorted((r.DATA_ID, r.batch_no) for r in got if r.prefix == p)
+        assert [b for _, b in own] == [k // size for k in range(len(own))]
 
 
 TOKENS = ["ZZ", "BB", "YY", "XX", "XX*", "0A", "0B", "O", "DA", "-W", "/F", "A", "B", "Z", "X", "*"]
