@@ -233,6 +233,8 @@ _FOUND = ("page_id long, payload_bytes long, payload_digest string, record_type
 def lookup(index: CaptureIndex, requests: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records of ``requests`` (url_key, page_id; each key once); keys that
     were never captured give no row."""
+    if not index.files:
+        requests = requests.where("false")
     first, names = [k for k, _ in index.files], [n for _, n in index.files]
     folder = index.folder
 
