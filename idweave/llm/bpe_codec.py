@@ -28,18 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, worker_table
 
 CUT_BITS = 9              # a cut every 2**9 = 512 characters on average
 CACHE_CHARS = 16_000_000  # characters of chunk interiors a worker remembers
-CACHE_WORDS = 300_000     # words in a generation of a worker's memory, which keeps two
+CACHE_WORDS = 400_000     # words in a generation of a worker's memory, which keeps two
 WORD_CHARS = 40           # a longer word is not remembered
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(128, bool)
 _SPACE[[9, 10, 13, 32]] = True
 
-_CODECS: dict[str, "ChunkCodec"] = {}
-
 
 def rolling_cuts(cp: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
     """Places where the hash of the 16 characters before is 0 in its top bits."""
@@ -67,12 +65,12 @@ class ChunkCodec:
         with open(path, encoding="utf-8") as f:
             self.plain = json.load(f).get("decoder") is None
         size = max(self.tk.get_vocab(with_added_tokens=True).values()) + 1
-        self.token = [self.tk.id_to_token(i) for i in range(size)]
         self.number = [str(i) for i in range(size)]
-        self.cache: dict[str, tuple] = {}
+        self.token = {str(i): self.tk.id_to_token(i) for i in range(size)}
+        self.cache: dict[str, str] = {}  # chunk interior -> its ids as text
         self.held = 0
-        self.ids: list[dict[str, str]] = [{}, {}]     # word -> ids as text, in two generations
-        self.tokens: list[dict[str, str]] = [{}, {}]  # word -> tokens as text
+        self.young: dict[str, str] = {}  # word -> its ids as text, in two generations
+        self.old: dict[str, str] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Interiors and join windows in text order; together they are the text."""
@@ -94,16 +92,15 @@ class ChunkCodec:
         edges = edges.tolist()
         return [text[a:b] for a, b in zip(edges, edges[1:]) if b > a]
 
-    def encode(self, texts: list[str], want_text: bool) -> list[list[tuple[str, str]]]:
-        """Per text: (ids as text, tokens as text) of its pieces."""
+    def encode(self, texts: list[str]) -> list[str]:
+        """The ids of each text, as decimals joined by a space."""
         split = [self.pieces(t) for t in texts]
         new = dict.fromkeys(p for ps in split for p in ps if p not in self.cache)
         cut = [p.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for p in new]
-        self._learn(set().union(*cut), want_text)
-        ids, tokens = self.ids[0].__getitem__, self.tokens[0].__getitem__
-        fresh = {p: (_spaced(map(ids, words)), _spaced(map(tokens, words)) if want_text else "")
-                 for p, words in zip(new, cut)}
-        out = [[fresh[p] if p in fresh else self.cache[p] for p in ps] for ps in split]
+        self._learn(set().union(*cut))
+        ids = self.young.__getitem__
+        fresh = {p: _spaced(map(ids, words)) for p, words in zip(new, cut)}
+        out = [_spaced([fresh[p] if p in fresh else self.cache[p] for p in ps]) for ps in split]
         for p, v in fresh.items():
             if len(p) <= 4096:
                 if self.held > CACHE_CHARS:
@@ -113,33 +110,25 @@ class ChunkCodec:
                 self.held += len(p)
         return out
 
-    def _learn(self, words: set[str], want_text: bool) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Bring ``words`` into the young generation, new ones by the tokenizer."""
-        if len(self.ids[0]) > CACHE_WORDS:
-            self.ids = [{}, {w: v for w, v in self.ids[0].items() if len(w) <= WORD_CHARS}]
-            self.tokens = [{}, self.tokens[0]]
-        missing = words - self.ids[0].keys()
-        old = missing & self.ids[1].keys()
-        for w in old:
-            self.ids[0][w] = self.ids[1][w]
-            if want_text:
-                self.tokens[0][w] = self.tokens[1][w]
-        new = list(missing - old)
+        if len(self.young) > CACHE_WORDS:
+            self.old = {w: v for w, v in self.young.items() if len(w) <= WORD_CHARS}
+            self.young = {}
+        missing = words - self.young.keys()
+        known = missing & self.old.keys()
+        for w in known:
+            self.young[w] = self.old[w]
+        new, number = list(missing - known), self.number
         for w, e in zip(new, self.tk.encode_batch_fast(new, add_special_tokens=False)):
-            ids = e.ids
-            self.ids[0][w] = " ".join([self.number[i] for i in ids])
-            if want_text:
-                self.tokens[0][w] = " ".join([self.token[i] for i in ids])
-
-    def join(self, parts: list[tuple[str, str]], decode: bool) -> tuple[int, str, str | None]:
-        """(number of tokens, ids as text, decoded text) of a document."""
-        ids = _spaced(p[0] for p in parts)
-        text = None
-        if decode and self.plain:  # without a decoder the library joins tokens by a space
-            text = _spaced(p[1] for p in parts)
-        elif decode:
-            text = self.tk.decode([int(i) for i in ids.split()], skip_special_tokens=False)
-        return ids.count(" ") + 1 if ids else 0, ids, text
+            self.young[w] = " ".join([number[i] for i in e.ids])
+
+    def decode(self, ids: str) -> str:
+        """The decoded text of ids as text, special tokens kept."""
+        if not self.plain:
+            return self.tk.decode([int(i) for i in ids.split()], skip_special_tokens=False)
+        # without a decoder the library joins the tokens by a space
+        return " ".join(map(self.token.__getitem__, ids.split(" "))) if ids else ""
 
 
 def _spaced(parts) -> str:
@@ -150,11 +139,11 @@ def _spaced(parts) -> str:
     return text
 
 
-def load(path: str, want_text: bool) -> ChunkCodec:
-    key = f"{path}|{want_text}"
-    if key not in _CODECS:
-        _CODECS[key] = ChunkCodec(path)
-    return _CODECS[key]
+def load(path: str) -> ChunkCodec:
+    codecs = worker_table("bpe_codec")
+    if path not in codecs:
+        codecs[path] = ChunkCodec(path)
+    return codecs[path]
 
 
 _TYPES = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string",
@@ -180,16 +169,16 @@ def bpe_codec(docs: DataFrame, tokenizer_path: str,
     schema = ", ".join(["doc_id long", *(f"{o} {_TYPES[o]}" for o in outputs)])
 
     def run(batches):
-        codec = load(tokenizer_path, want_text)
+        codec = load(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 cols = {o: [] for o in outputs}
-                for parts in codec.encode(part.column("text").to_pylist(), want_text):
-                    n, ids, text = codec.join(parts, want_text)
+                for ids in codec.encode(part.column("text").to_pylist()):
+                    text = codec.decode(ids) if want_text else None
                     for o in outputs:
                         cols[o].append(
-                            n if o == "n_tokens"
+                            (ids.count(" ") + 1 if ids else 0) if o == "n_tokens"
                             else np.array(ids.split(), np.int32) if o == "ids"
                             else hashlib.sha256(ids.encode()).hexdigest() if o == "ids_sha256"
                             else text if o == "decoded"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize
+from .common import id_text, materialize, worker_table
 
 LOCAL = 1 << 18
 CLASSED = 1 << 15
@@ -110,6 +110,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def count_words(train: DataFrame) -> DataFrame:
     """(h, c) over all texts of ``train``, the end token included."""
     def run(batches):
+        worker_table("class_lm")
         held, size, docs = [], 0, 0
 
         def merge():

@@ -37,6 +37,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+_TABLES: dict[str, dict] = {}
+
+
+def worker_table(owner: str) -> dict:
+    """In a task: what ``owner`` remembers in this Python worker. Spark reuses workers, so the
+    tables of operators that ran there before are dropped."""
+    for other in [o for o in _TABLES if o != owner]:
+        del _TABLES[other]
+    return _TABLES.setdefault(owner, {})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,4 +66,4 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
                      *more)
 
 
-__all__ = ["ship", "read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]
+__all__ = ["ship", "worker_table", "read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize
+from .common import id_text, materialize, worker_table
 
 SHARD_WORDS = 2_000_000    # words of the test set sent to the tasks at a time
 BLOCK_WORDS = 1_000_000    # a block ends with the document that reaches this
@@ -78,6 +78,7 @@ def build_index(docs: DataFrame, test: TestSet) -> DataFrame:
                 "postings": np.sort(own * span + at).tobytes()}
 
     def run(batches):
+        worker_table("decontaminate")
         number = terms.value.get
         ids, lengths, found, held = [], [], [], 0
         schema = pa.schema([("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),

@@ -25,7 +25,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize
+from .common import id_text, materialize, worker_table
 
 SAMPLE_ROWS = 20_000
 FEATURES = ["log_bytes", "log_words", "word_bytes", "long_words", "short_words", "upper", "lower",
@@ -61,6 +61,7 @@ def statistics_of(text: Column) -> Column:
     """A struct with one double per statistic of a text column."""
     @F.arrow_udf("struct<" + ", ".join(f"{f}: double" for f in FEATURES) + ">")
     def stats(texts: pa.Array) -> pa.Array:
+        worker_table("quality")
         rows = np.zeros((len(texts), len(FEATURES)))
         for k, t in enumerate(texts):
             rows[k] = statistics(t.as_py() or "")

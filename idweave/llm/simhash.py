@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_text, materialize
+from .common import id_text, materialize, worker_table
 from .graph import connected_components
 
 CELL = 8192        # fingerprints of a masked pattern dealt with together
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, *, id_col: str = "doc_id",
     """(doc_id, fp): the fingerprint as a signed long; null and empty texts have 0."""
     @F.arrow_udf("long")
     def simhash(texts: pa.Array) -> pa.Array:
+        worker_table("simhash")
         fp = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
         return pa.array(fp.view(np.int64))
 

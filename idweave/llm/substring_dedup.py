@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize
+from .common import id_text, materialize, worker_table
 
 LENGTH = 200
 GRAM = 16
@@ -115,6 +115,7 @@ def _unpack(loc):
 def _parse(docs: DataFrame, length: int, places: bool) -> DataFrame:
     """(core) or (core, key, loc) of every phrase."""
     def run(batches):
+        worker_table("substring_dedup")
         for batch in batches:
             keys = batch.column("key").to_pylist() if places else None
             for lo in range(0, batch.num_rows, 512):
@@ -143,6 +144,7 @@ def _extended(stored: DataFrame, length: int) -> DataFrame:
     """(core, phrase, key, loc) of the phrases with a repeated core; ``phrase`` digests the
     extended text and where its windows lie."""
     def run(batches):
+        worker_table("substring_dedup")
         for batch in batches:
             cores, found, keys, locs = [], [], [], []
             for key, text, marks in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "marks"))):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import id_text, worker_table
 
 MARK = "▁"
 CACHE_UNITS = 500_000   # short units whose count a worker remembers
@@ -30,7 +30,6 @@ CACHE_CHARS = 48        # a longer unit is counted anew each time
 NORMAL, USER_DEFINED = 1, 4
 
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_MODELS: dict[str, "UnitCounter"] = {}
 
 
 class UnitCounter(dict):
@@ -112,9 +111,10 @@ def count_symbols(s: str, rank: dict[str, float]) -> int:
 
 
 def load(path: str) -> UnitCounter:
-    if path not in _MODELS:
-        _MODELS[path] = UnitCounter(path)
-    return _MODELS[path]
+    models = worker_table("token_counts")
+    if path not in models:
+        models[path] = UnitCounter(path)
+    return models[path]
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, *,

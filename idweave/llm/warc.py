@@ -36,6 +36,7 @@ from .common import materialize, scratch_path, ship
 
 FILE_BYTES = 256 << 20  # an archive file ends with the record that reaches this
 BLOCK_LINES = 1000      # captures in a block of the index
+READ_TASK = 5000        # captures a look-up task reads on average, if all are asked for
 LEVEL = 4               # of gzip
 DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
 NO_ID = -(1 << 63)      # sorts a null id first
@@ -180,6 +181,7 @@ _RECORDS = pa.schema([("url_key", pa.string()), ("page_id", pa.int64()), ("file"
 class CaptureIndex:
     folder: str                        # of archives and index files
     files: list[tuple[tuple, str]]     # (first key, index file): the upper level
+    captures: int
 
 
 def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> CaptureIndex:
@@ -192,12 +194,13 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
         fs, root = file_system(folder)
         fs.create_dir(root, recursive=True)
         name, at, blocks, lines, first = f"{uuid.uuid4().hex}.idx", 0, [], [], None
-        out = None
+        out, n = None, 0
         for batch in batches:
             for k, i, file, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     out = fs.open_output_stream(f"{root}/{name}", compression=None)
                 lines.append(f"{k}\t{i}\t{file}\t{offset}\t{length}")
+                n += 1
                 first = first or (k, i)
                 if len(lines) == block_lines:
                     at = _put(out, at, blocks, lines, first)
@@ -209,12 +212,14 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
         out.close()
         with fs.open_output_stream(f"{root}/{name}.dir", compression=None) as f:
             f.write(json.dumps(blocks).encode())
-        yield pa.RecordBatch.from_pylist([{"url_key": blocks[0][0], "id": blocks[0][1], "name": name}])
+        yield pa.RecordBatch.from_pylist([{"url_key": blocks[0][0], "id": blocks[0][1], "name": name,
+                                           "n": n}])
 
     # one row per index file, so as many as the shuffle has partitions
-    made = materialize(rows.mapInArrow(run, "url_key string, id long, name string"), "index_files")
-    files = sorted(((r.url_key.encode(), r.id), r.name) for r in made.collect())
-    return CaptureIndex(folder, files)
+    made = materialize(rows.mapInArrow(run, "url_key string, id long, name string, n long"),
+                       "index_files").collect()
+    files = sorted(((r.url_key.encode(), r.id), r.name) for r in made)
+    return CaptureIndex(folder, files, sum(r.n for r in made))
 
 
 def _put(out, at: int, blocks: list, lines: list[str], first: tuple) -> int:
@@ -283,7 +288,10 @@ def lookup(index: CaptureIndex, requests: DataFrame, with_payload: bool = True)
     ship(requests.sparkSession)
     asked = (requests.select("url_key", F.coalesce("page_id", F.lit(NO_ID)).alias("id"))
              .select(index_file("url_key", "id").alias("n"), "url_key", "id"))
-    return (asked.hint("rebalance", "n").sortWithinPartitions("n", "url_key", "id")
+    # contiguous key ranges, so few tasks read the same block; the rows are small but each
+    # stands for a range read, so the number of tasks follows the captures
+    tasks = max(len(names), -(-index.captures // READ_TASK), 1)
+    return (asked.repartitionByRange(tasks, "n", "url_key", "id").sortWithinPartitions("n", "url_key", "id")
             .mapInArrow(run, _FOUND))
 
 
