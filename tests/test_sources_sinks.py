@@ -215,3 +215,18 @@ def test_an_unknown_master_needs_a_checkpoint_folder(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_stage_folders_can_be_dropped(spark):
+    import os
+
+    from idweave import session
+
+    kept = session.materialize(spark.range(3), "droptest")
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0].replace("file://", "").replace("file:", "")
+    assert os.path.isdir(folder) and kept.count() == 3
+    held = list(session._UNSCOPED)
+    session._UNSCOPED[:] = [e for e in held if "droptest" in e[1]]  # leave the other tests' stages
+    session.drop_stages(spark)
+    session._UNSCOPED[:] = [e for e in held if "droptest" not in e[1]]
+    assert not os.path.exists(folder)
