@@ -26,7 +26,6 @@ import os
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import id_text, worker_table
 

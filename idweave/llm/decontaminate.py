@@ -17,7 +17,6 @@ to the tasks in shards of at most ``shard_words`` words, one pass for each.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np

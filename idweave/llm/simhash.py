@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import id_text, materialize, worker_table
 from .graph import connected_components
