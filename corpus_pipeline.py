@@ -17,6 +17,7 @@ from idweave.llm.queries import tokenizer_file
 from idweave.llm.simhash import simhash_components
 from idweave.llm.substring_dedup import remove_repeats
 
+TOKEN_MEMORY = 20_000  # words a worker remembers: its executor's memory also serves the other stages
 KEY = "key of the row"  # no column of documents has this name
 
 
@@ -61,7 +62,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, with digests of the ids and of their decoding."""
     return bpe_codec(docs, tokenizer_file("word_bpe_49k.json"),
-                     outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+                     outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"),
+                     memory_words=TOKEN_MEMORY)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates),

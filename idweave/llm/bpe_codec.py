@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from .common import id_text, worker_table
 
 CUT_BITS = 9              # a cut every 2**9 = 512 characters on average
-CACHE_CHARS = 16_000_000  # characters of chunk interiors a worker remembers
-CACHE_WORDS = 400_000     # words in a generation of a worker's memory, which keeps two
+MEMORY_WORDS = 400_000    # words in a generation of a worker's memory, which keeps two;
+CHUNK_CHARS = 32          # and for each, characters of chunk interiors it remembers
 WORD_CHARS = 40           # a longer word is not remembered
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(128, bool)
@@ -54,7 +54,8 @@ def rolling_cuts(cp: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
 
 
 class ChunkCodec:
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
+        self.memory_words = memory_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -102,7 +103,7 @@ class ChunkCodec:
         out = [_spaced([fresh[p] if p in fresh else self.cache[p] for p in ps]) for ps in split]
         for p, v in fresh.items():
             if len(p) <= 4096:
-                if self.held > CACHE_CHARS:
+                if self.held > self.memory_words * CHUNK_CHARS:
                     self.cache.clear()
                     self.held = 0
                 self.cache[p] = v
@@ -111,7 +112,7 @@ class ChunkCodec:
 
     def _learn(self, words: set[str]) -> None:
         """Bring ``words`` into the young generation, new ones by the tokenizer."""
-        if len(self.young) > CACHE_WORDS:
+        if len(self.young) > self.memory_words:
             self.old = {w: v for w, v in self.young.items() if len(w) <= WORD_CHARS}
             self.young = {}
         missing = words - self.young.keys()
@@ -138,11 +139,11 @@ def _spaced(parts) -> str:
     return text
 
 
-def load(path: str) -> ChunkCodec:
+def load(path: str, memory_words: int = MEMORY_WORDS) -> ChunkCodec:
     codecs = worker_table("bpe_codec")
-    if path not in codecs:
-        codecs[path] = ChunkCodec(path)
-    return codecs[path]
+    if (path, memory_words) not in codecs:
+        codecs[path, memory_words] = ChunkCodec(path, memory_words)
+    return codecs[path, memory_words]
 
 
 _TYPES = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string",
@@ -153,7 +154,7 @@ _ARROW = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.
 
 def bpe_codec(docs: DataFrame, tokenizer_path: str,
               outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), *,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+              memory_words: int = MEMORY_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id and ``outputs``, in that order.
 
     ``ids`` are those of the tokenizers library without special tokens added,
@@ -161,14 +162,15 @@ def bpe_codec(docs: DataFrame, tokenizer_path: str,
     columns digest them where they arise (ids as decimals joined by a space), so
     that a caller who needs digests only moves no ids. Null and empty texts have no
     ids and decode to the empty string; a null id stays null; repeated rows and
-    very long texts are encoded whole; other columns are left out.
+    very long texts are encoded whole; other columns are left out. ``memory_words``
+    bounds what a worker remembers (about 600 bytes for each) and changes no result.
     """
     outputs = tuple(outputs)
     want_text = any(o.startswith("decoded") for o in outputs)
     schema = ", ".join(["doc_id long", *(f"{o} {_TYPES[o]}" for o in outputs)])
 
     def run(batches):
-        codec = load(tokenizer_path)
+        codec = load(tokenizer_path, memory_words)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

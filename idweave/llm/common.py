@@ -15,6 +15,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -24,6 +25,9 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
+    # texts make long rows: smaller Arrow batches than by default, unless the session has its own
+    if spark.conf.get(BATCH_CONF) == "67108864b":
+        spark.conf.set(BATCH_CONF, "4m")
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     name = os.path.basename(package)
     with tempfile.NamedTemporaryFile(prefix=f"{name}-", suffix=".zip", delete=False) as f:

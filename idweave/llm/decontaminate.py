@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import id_text, materialize, worker_table
 
 SHARD_WORDS = 2_000_000    # words of the test set sent to the tasks at a time
-BLOCK_WORDS = 1_000_000    # a block ends with the document that reaches this
+BLOCK_WORDS = 500_000    # a block ends with the document that reaches this
 WINDOWS_AT_ONCE = 1024     # windows searched together, for bounded memory
 
 # A-Z to a-z, every other byte that is no word byte to a space
