@@ -57,6 +57,21 @@ def op3_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+ORACLES["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT x, min(page_id) AS first_id FROM p GROUP BY x),
+d AS (
+  SELECT x, first_id, array_to_string(list_transform(range(0, 8), lambda j: array_to_string(
+      list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST(((CAST('0x' || substr(x, 5 * j + 1, 5) AS BIGINT) >> s) & 31) + 1 AS BIGINT), 1)), '')), '') AS digest
+  FROM f)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN d USING (x)"""
+
+
 @query
 def op4_bpe_codec(spark, sf_dir):
     """Every whole document encoded and decoded; digests of both."""
