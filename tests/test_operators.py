@@ -437,13 +437,19 @@ def test_bucketed_lookup_equals_plain(spark):
 
 
 def test_stages_are_published(spark, src, expected):
-    counts = plan.publish_identifiers(src, "idweave_staged_result", stage_prefix="idweave_staged")
-    assert counts["result"] == expected["result"] == spark.table("idweave_staged_result").count()
+    import uuid
+
+    mark = f"idweave_staged_{uuid.uuid4().hex}"
+    counts = plan.publish_identifiers(src, f"{mark}_result", stage_prefix=mark)
+    assert counts["result"] == expected["result"] == spark.table(f"{mark}_result").count()
     for stage, rows in (("allocations", "deduplicated"), ("enriched", "enriched"),
                         ("sedol_requests", "sedol_requests"), ("ticker_requests", "ticker_requests"),
                         ("responses", "responses")):
-        assert spark.table(f"idweave_staged_{stage}").count() == expected[rows]
-    assert "process_type" in spark.table("idweave_staged_sedol_requests").columns
+        assert spark.table(f"{mark}_{stage}").count() == expected[rows]
+    assert "process_type" in spark.table(f"{mark}_sedol_requests").columns
+    for stage in ("allocations", "snapshot", "enriched", "sedol_requests", "ticker_requests", "responses",
+                  "result"):
+        spark.sql(f"DROP TABLE {mark}_{stage}")
 
 
 def test_same_day_plan_runs_the_dedup_once(spark, src):

@@ -158,11 +158,12 @@ def _raising(spark):
 
 def test_a_failed_publish_leaves_the_old_table(spark):
     import glob
+    import uuid
 
     import pytest
 
     for path in (None, scratch_path(spark, "replaced")):
-        name = "idweave_replaced_" + ("managed" if path is None else "at_path")
+        name = f"idweave_replaced_{uuid.uuid4().hex}"
         publish(spark.range(5), name, path=path)
         with pytest.raises(Exception, match="the write fails"):
             publish(_raising(spark), name, path=path)
