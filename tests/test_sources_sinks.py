@@ -174,6 +174,8 @@ def test_a_failed_publish_leaves_the_old_table(spark):
         if path:
             assert len(glob.glob(path.replace("file:", "") + "/*/")) == 1  # older versions are gone
         assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(name + "_")]
+        home = spark.catalog.getDatabase("default").locationUri.replace("file:", "")
+        assert not glob.glob(f"{home}/{name}_*")  # nor does the failed write leave files
         publish(spark.range(3), name, path=path, fmt="orc")
         assert spark.table(name).count() == 3
         spark.sql(f"DROP TABLE {name}")
