@@ -5,18 +5,17 @@ Words are known by a 64-bit hash, so any length costs the same.
 
 1. *Counts.* Tasks count their words and Spark sums them: every word of every
    training text is in the table, however rare.
-2. *Vocabularies*, by frequency and of bounded size: ``LOCAL`` words whose counts are sent to the
-   tasks, ``CLASSED`` of them that get a class, ``EXCHANGED`` of these whose classes are
-   found by exchange. Other words form one class of their own, whose emissions are
-   their add-one counts, so every word has its count in its probability; rare ones
-   get it by a join.
-3. *Exchange clustering.* From the bigrams of the exchanged words: in turn a third of them moves, each to
+2. *Vocabulary.* Every word that occurs at least twice gets a class, and the number of classes is the
+   cube root of theirs. The counts of the ``LOCAL`` most frequent are sent to the tasks;
+   rarer words get count and number by a join. Words that occur once form one class of their own, together with
+   unseen ones, whose emissions are their add-one counts.
+3. *Exchange clustering.* From the bigrams of all neighbouring words, unclassed ones and the end
+   token included: in turn a third of the words moves, each to
    the class that raises the likelihood of the class bigrams most while the others
-   stay. A round is one Spark job over the bigrams, stored word by word; what
-   it returns is a class for each exchanged word. The remaining classed words take the
-   class that fits the classes before them best.
+   stay. A round is two Spark jobs over the bigrams, stored by word: the class grid, then the moves. Tasks
+   return the words that change; the label array (4 bytes a classed word) is sent to them.
 4. *Scores.* Class transitions are smoothed towards the classes' shares. The history of a token is
-   the class of the last classed word before it, at the start that of the end token.
+   the class of the word before it, at the start that of the end token.
 """
 
 from __future__ import annotations
@@ -31,13 +30,12 @@ from pyspark.sql import functions as F
 from .common import id_text, materialize, worker_table
 
 LOCAL = 1 << 18
-CLASSED = 1 << 15
-EXCHANGED = 1 << 11
-CLASSES = 32
 ROUNDS = 12
 ALPHA = 50.0       # weight of the classes' shares in a transition
-OTHER = 0xFFFF     # the mark of a word without class
-STOP = 0xFFFE      # the mark of the end token
+RARE = -1          # the mark of a word that is not in the local table
+HOT = 256          # words whose bigrams are dealt to many tasks ...
+SALTS = 64         # ... at most so many
+CHUNK = 1 << 14    # bigrams stored together, at least
 PIECE = 4 << 20    # bytes of text hashed together
 
 _SEP = np.zeros(256, bool)
@@ -142,10 +140,11 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def frequent(words: DataFrame, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, list[int], int, int]:
-    """(hashes, counts, cutoffs, N, V): the words whose count reaches the first cutoff, most
+def frequent(words: DataFrame, sizes: list[float]):
+    """(hashes, counts, cutoffs, numbers, N, V): the words whose count reaches the first cutoff, most
     frequent first. A cutoff is the lowest count that at most ``size`` words reach, found from
-    a histogram of counts: exact below 256, then in steps of 1/64 octave."""
+    a histogram of counts: exact below 256, then in steps of 1/64 octave. The cutoffs after the
+    first are 2 at least; ``numbers`` has how many words reach them."""
     c = F.col("c")
     step = F.when(c < 256, c).otherwise(F.floor(F.log2(c.cast("double")) * 64) - 256)
     rows = (words.groupBy(step.alias("step")).agg(F.min("c").alias("low"), F.count(F.lit(1)).alias("n"),
@@ -159,20 +158,38 @@ def frequent(words: DataFrame, sizes: list[int]) -> tuple[np.ndarray, np.ndarray
             if n > size:
                 break
             cutoff = r.low
-        cutoffs.append(cutoff)
+        cutoffs.append(max(cutoff, 2) if cutoffs else cutoff)
     top = words.where(c >= cutoffs[0]).orderBy(F.desc("c"), "h").toPandas()
-    return (top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), cutoffs,
+    numbers = [sum(r.n for r in rows if r.low >= cutoff) for cutoff in cutoffs[1:]]
+    return (top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), cutoffs, numbers,
             sum(r.total for r in rows), sum(r.n for r in rows))
 
 
 # ---- texts as numbers -----------------------------------------------------
 
-def encode(docs: DataFrame, h: np.ndarray, c: np.ndarray, classed: int) -> DataFrame:
-    """Per text: numbers of its classed words (OTHER else), hashes of the words that are not
-    in the local table, and the sums of log10(c + 1) that the local table gives."""
+def number_rare(rare: DataFrame, floor: int, start: int) -> DataFrame:
+    """(h, c, id) of the words that are not in the local table: from ``start`` on, most frequent
+    first; no number for those below ``floor``."""
+    row = F.monotonically_increasing_id()
+    classed = materialize(rare.where(F.col("c") >= floor).orderBy(F.desc("c"), "h").withColumn("at", row), "numbers")
+    part = F.shiftright("at", 33)
+    found = classed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    first, at = [], start
+    for r in found:  # one row for each partition
+        first.append((r.part, at))
+        at += r.n
+    offset = rare.sparkSession.createDataFrame(first, "part long, first long")
+    classed = (classed.withColumn("part", part).join(F.broadcast(offset), "part")
+               .select("h", "c", (F.col("first") + F.col("at") - F.shiftleft("part", 33)).alias("id")))
+    return classed.unionByName(rare.where(F.col("c") < floor).withColumn("id", F.lit(None).cast("long")))
+
+
+def encode(docs: DataFrame, h: np.ndarray, c: np.ndarray, classed: int, other: int) -> DataFrame:
+    """Per text: numbers of its words (``other`` for those without class, RARE for those not in the
+    local table), hashes of the latter in order, and the sum of log10(c + 1) that the local table gives."""
     order = np.argsort(h)
     sent = docs.sparkSession.sparkContext.broadcast(
-        (h[order], np.where(order < classed, order, OTHER).astype(np.uint16), np.log10(c[order] + 1.0)))
+        (h[order], np.where(order < classed, order, other).astype(np.int32), np.log10(c[order] + 1.0)))
 
     def run(batches):
         key, number, log_c = sent.value
@@ -182,26 +199,55 @@ def encode(docs: DataFrame, h: np.ndarray, c: np.ndarray, classed: int) -> DataF
                 words, count = word_hashes(part.column("text").to_pylist())
                 place = np.minimum(np.searchsorted(key, words), max(len(key) - 1, 0))
                 known = key[place] == words if len(key) else np.zeros(len(words), bool)
-                ids = np.full(len(words), OTHER, np.uint16)
+                ids = np.full(len(words), RARE, np.int32)
                 gain = np.zeros(len(words))
                 if len(key):
                     ids[known], gain[known] = number[place[known]], log_c[place[known]]
                 edge = np.concatenate([[0], np.cumsum(count)])
                 pairs = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
-                unclassed = np.where(ids == OTHER, gain, 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(x) for x in ("row", "doc_id", "held_out")), pa.array(count),
                      pa.array([int(known[a:b].sum()) for a, b in pairs], pa.int64()),
                      pa.array([float(gain[a:b].sum()) for a, b in pairs], pa.float64()),
-                     pa.array([float(unclassed[a:b].sum()) for a, b in pairs], pa.float64()),
                      pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()),
                      pa.array([words[a:b][~known[a:b]].view(np.int64).tolist() for a, b in pairs],
                               pa.list_(pa.int64()))],
-                    names=["row", "doc_id", "held_out", "n_words", "n_local", "log_local", "log_other",
-                           "ids", "rare"])
+                    names=["row", "doc_id", "held_out", "n_words", "n_local", "log_local", "ids", "rare"])
 
     return docs.mapInArrow(run, "row long, doc_id long, held_out boolean, n_words long, n_local long, "
-                                "log_local double, log_other double, ids binary, rare array<long>")
+                                "log_local double, ids binary, rare array<long>")
+
+
+def fill_rare(texts: DataFrame, rare: DataFrame, other: int) -> DataFrame:
+    """(doc_id, held_out, n_words, n_known, log_sum, ids): the words that are not in the local
+    table get their numbers by a join."""
+    place = F.when(F.col("id").isNotNull(), F.struct("at", "id"))
+    found = (texts.select("row", F.posexplode("rare").alias("at", "h")).join(rare, "h").groupBy("row")
+             .agg(F.sum(F.log10(F.col("c") + 1)).alias("log_rare"), F.count(F.lit(1)).alias("n_rare"),
+                  F.sort_array(F.collect_list(place)).alias("places")))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for ids, at, number in zip(*(batch.column(x).to_pylist() for x in ("ids", "at", "id"))):
+                x = np.frombuffer(ids, np.int32).copy()
+                gap = np.flatnonzero(x == RARE)
+                x[gap] = other
+                if at:
+                    x[gap[at]] = number
+                out.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in ("doc_id", "held_out", "n_words", "n_known", "log_sum")),
+                 pa.array(out, pa.binary())],
+                names=["doc_id", "held_out", "n_words", "n_known", "log_sum", "ids"])
+
+    return (texts.drop("rare").join(found, "row", "left")
+            .select("doc_id", "held_out", "n_words",
+                    (F.col("n_local") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+                    (F.col("log_local") + F.coalesce("log_rare", F.lit(0.0))).alias("log_sum"), "ids",
+                    F.col("places.at").alias("at"), F.col("places.id").alias("id"))
+            .mapInArrow(run, "doc_id long, held_out boolean, n_words long, n_known long, log_sum double, "
+                             "ids binary"))
 
 
 def _counted(texts: DataFrame, keys, name: str) -> DataFrame:
@@ -210,7 +256,7 @@ def _counted(texts: DataFrame, keys, name: str) -> DataFrame:
         held, size = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
-                part = [np.frombuffer(b, np.uint16) for b in batch.column("ids").slice(at, 2048).to_pylist()]
+                part = [np.frombuffer(b, np.int32) for b in batch.column("ids").slice(at, 2048).to_pylist()]
                 held.append(np.unique(keys(part), return_counts=True))
                 size += len(held[-1][0])
                 if size > 4_000_000:
@@ -228,9 +274,9 @@ def _sum(held, name: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(n)], names=[name, "n"])
 
 
-def _sentences(part: list[np.ndarray]) -> np.ndarray:
+def _sentences(part: list[np.ndarray], end: int) -> np.ndarray:
     """The texts one after another, each closed (and so the next one begun) by the end token."""
-    stop = np.array([STOP], np.uint16)
+    stop = np.array([end], np.int32)
     return np.concatenate([stop, *(x for ids in part for x in (ids, stop))])
 
 
@@ -240,130 +286,190 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
+def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.ndarray, grid: np.ndarray,
+                 classes: int) -> np.ndarray:
+    """For each word the class below ``classes`` that raises the likelihood of the class bigrams
+    ``grid`` most while all other words stay. A row of ``succ`` and ``pred`` has the word's counts
+    by class behind and before it; ``loop`` are its pairs with itself, counted in both. Words
+    of a class that is none of these get one in any case."""
+    rows = np.arange(len(own))
+    left, right, corner = grid.sum(axis=1), grid.sum(axis=0), np.diag(grid)
+    gain, stay = np.zeros((len(own), classes)), np.zeros(len(own))
+    for counts, before, g in ((succ, pred, grid), (pred, succ, grid.T)):
+        apart = counts.copy()
+        apart[rows, own] = 0
+        word, k = np.nonzero(apart)
+        n = apart[word, k]
+        if len(word):
+            start = np.flatnonzero(np.diff(word, prepend=-1))
+            gain[word[start]] += np.add.reduceat(_xlogx(g[:classes, k].T + n[:, None]) - _xlogx(g)[:classes, k].T, start)
+            stay += np.bincount(word, _xlogx(g[own[word], k]) - _xlogx(g[own[word], k] - n), len(own))
+        # the cells towards the word's own class lack what the word itself has there
+        cell = g[:classes, own].T - before[:, :classes]
+        gain += _xlogx(cell + (counts[rows, own] - loop)[:, None]) - _xlogx(cell)
+    d, s, p = corner[:classes], succ[:, :classes], pred[:, :classes]
+    gain += _xlogx(d + s + p + loop[:, None]) + _xlogx(d) - _xlogx(d + s) - _xlogx(d + p)
+    stay += _xlogx(corner[own]) - _xlogx(corner[own] - succ[rows, own] - pred[rows, own] + loop)
+    for margin, n in ((left, succ.sum(axis=1)), (right, pred.sum(axis=1))):
+        gain -= _xlogx(margin[:classes] + n[:, None]) - _xlogx(margin[:classes])
+        stay -= _xlogx(margin[own]) - _xlogx(margin[own] - n)
+    inside = own < classes
+    gain[rows[inside], own[inside]] = stay[inside]
+    best = gain.argmax(axis=1)
+    return np.where(~inside | (gain[rows, best] > stay + 1e-9), best, own)
+
+
 def best_class(own: int, succ: np.ndarray, pred: np.ndarray, loop: float, grid: np.ndarray) -> int:
-    """The class that raises the likelihood of the class bigrams ``grid`` most for a word
-    of class ``own`` with the class counts behind (succ) and before it (pred);
-    ``loop`` are its pairs with itself, counted in both."""
-    g = grid.copy()
-    g[own] -= succ
-    g[:, own] -= pred
-    g[own, own] += loop
-    succ, pred = succ.copy(), pred.copy()
-    succ[own] -= loop
-    pred[own] -= loop
-    left, right = g.sum(axis=1) + pred, g.sum(axis=0) + succ  # the pairs stay, wherever the word goes
-    gain = (_xlogx(g + succ) - _xlogx(g)).sum(axis=1) + (_xlogx(g + pred[:, None]) - _xlogx(g)).sum(axis=0)
-    corner = np.diag(g)
-    gain += _xlogx(corner + succ + pred + loop) + _xlogx(corner) - _xlogx(corner + succ) - _xlogx(corner + pred)
-    gain -= _xlogx(left + succ.sum() + loop) - _xlogx(left)
-    gain -= _xlogx(right + pred.sum() + loop) - _xlogx(right)
-    best = int(np.argmax(gain))
-    return best if gain[best] > gain[own] + 1e-9 else own
-
-
-def exchange(pairs: DataFrame, size: int, classes: int, rounds: int) -> np.ndarray:
-    """Classes of the words 0..size-1 from their bigrams (pair = first * size + second, n)."""
-    label = np.arange(size) % classes
-    if size < 2:
-        return label
-    first, second = F.floor(F.col("pair") / size).cast("int"), (F.col("pair") % size).cast("int")
-    sides = F.array(F.struct(first.alias("w"), second.alias("other"), F.lit(0).alias("side")),
-                    F.struct(second.alias("w"), first.alias("other"), F.lit(1).alias("side")))
-    rows = (pairs.select(F.explode(sides).alias("s"), "n").select("s.w", "s.other", "s.side", "n")
-            .repartition("w").sortWithinPartitions("w"))
-
-    def pack(batches):  # one row per Arrow batch and word: its neighbours as arrays
+    """``best_classes`` of one word."""
+    return int(best_classes(np.array([own]), succ[None].astype(float), pred[None].astype(float),
+                            np.array([float(loop)]), grid, len(grid))[0])
+
+
+def _neighbours(pairs: DataFrame, size: int) -> DataFrame:
+    """The bigrams (pair = first * (size + 2) + second, n) of either word, as arrays: w ascending, code = 2 * other +
+    (1 if the other word is before w), n. All rows of a word are in one array, but those of
+    the HOT most frequent ones and of the two marks, which are dealt to many tasks."""
+    base = size + 2
+    first, second = F.expr(f"pair div {base}L"), F.expr(f"pair % {base}L")
+    sides = F.array(F.struct(first.alias("w"), (second * 2).alias("code")),
+                    F.struct(second.alias("w"), (first * 2 + 1).alias("code")))
+    rows = (pairs.select(F.explode(sides).alias("s"), "n").select("s.w", "s.code", "n")
+            .where((F.col("w") <= size) | (F.col("code") % 2 == 0)))  # unclassed words do not move
+    hot = (F.col("w") < HOT) | (F.col("w") >= size)
+    deal = F.when(hot, F.pmod(F.xxhash64("code"), F.lit(SALTS))).otherwise(0)
+    rows = rows.repartition("w", deal).sortWithinPartitions("w")
+
+    def pack(batches):
+        def emit(arrays):
+            return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays],
+                                              names=["w", "code", "n"])
+
+        held = [np.zeros(0, np.int64)] * 3
         for batch in batches:
-            w, other, side, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            cut = np.flatnonzero(np.diff(w)) + 1
-            out = [{"w": int(a[0]), "other": o.astype(np.int32).tobytes(),
-                    "side": s.astype(np.int8).tobytes(), "n": c.astype(np.float64).tobytes()}
-                   for a, o, s, c in zip(*(np.split(x, cut) for x in (w, other, side, n))) if len(a)]
-            yield pa.RecordBatch.from_pylist(out, pa.schema(
-                [("w", pa.int32()), ("other", pa.binary()), ("side", pa.binary()), ("n", pa.binary())]))
-
-    stored = materialize(rows.mapInArrow(pack, "w int, other binary, side binary, n binary"), "bigrams")
+            held = [np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip(held, batch.columns)]
+            if len(held[0]) >= CHUNK:
+                cut = int(np.searchsorted(held[0], held[0][-1]))
+                if cut:
+                    yield emit([x[:cut] for x in held])
+                    held = [x[cut:] for x in held]
+        if len(held[0]):
+            yield emit(held)
+
+    return materialize(rows.mapInArrow(pack, "w binary, code binary, n binary"), "bigrams")
+
+
+def _arrays(batches):
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            yield [np.frombuffer(x, np.int64) for x in row]
+
+
+def class_grid(stored: DataFrame, label: np.ndarray, kinds: int) -> np.ndarray:
+    """Counts of (class, class of the next word); each task returns kinds ** 2 numbers."""
+    sent = stored.sparkSession.sparkContext.broadcast(label)
+
+    def run(batches):
+        own, grid = sent.value, np.zeros(kinds * kinds)
+        for w, code, n in _arrays(batches):
+            ahead = code & 1 == 0
+            cell = own[w[ahead]].astype(np.int64) * kinds + own[code[ahead] >> 1]
+            grid += np.bincount(cell, n[ahead], kinds * kinds)
+        yield pa.RecordBatch.from_arrays([pa.array([grid.tobytes()], pa.binary())], names=["grid"])
+
+    grid = np.zeros(kinds * kinds)
+    for r in stored.mapInArrow(run, "grid binary").collect():
+        grid += np.frombuffer(r.grid)
+    sent.unpersist()
+    return grid.reshape(kinds, kinds)
+
+
+def _class_sums(w, code, n, label, kinds):
+    """(words, succ, pred, loop) of rows sorted by word."""
+    edge = np.flatnonzero(np.diff(w, prepend=-1))
+    row = np.cumsum(np.diff(w, prepend=-1) != 0) - 1
+    cell = row * (2 * kinds) + (code & 1) * kinds + label[code >> 1]
+    sums = np.bincount(cell, n, len(edge) * 2 * kinds).reshape(-1, 2 * kinds)
+    loop = np.bincount(row, n * (code == 2 * w), len(edge))
+    return w[edge], sums[:, :kinds], sums[:, kinds:], loop
+
+
+def moved(stored: DataFrame, label: np.ndarray, grid: np.ndarray, size: int, chosen) -> np.ndarray:
+    """The labels after every word ``chosen(words)`` has moved to its best class, all against the same
+    ``grid``. Tasks return the words that change, and partial sums of the HOT ones."""
+    kinds = len(grid)
+    sent = stored.sparkSession.sparkContext.broadcast((label, grid))
+
+    def run(batches):
+        own, grid = sent.value
+        words, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        hot = {}
+        for w, code, n in _arrays(batches):
+            take = chosen(w)
+            if not take.any():
+                continue
+            w, succ, pred, loop = _class_sums(w[take], code[take], n[take], own, kinds)
+            dealt = (w < HOT) | (w >= size)
+            for k in np.flatnonzero(dealt):
+                sums = np.concatenate([succ[k], pred[k], loop[k:k + 1]])
+                hot[int(w[k])] = hot.get(int(w[k]), 0) + sums
+            w, succ, pred, loop = (x[~dealt] for x in (w, succ, pred, loop))
+            for at in range(0, len(w), 1024):
+                part = slice(at, at + 1024)
+                was = own[w[part]].astype(np.int64)
+                to = best_classes(was, succ[part], pred[part], loop[part], grid, kinds - 1)
+                words.append(w[part][to != was])
+                found.append(to[to != was])
+        sums = np.array(list(hot.values()), float)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x.tobytes()], pa.binary()) for x in
+             (np.concatenate(words), np.concatenate(found), np.array(list(hot), np.int64), sums)],
+            names=["w", "class", "hot", "sums"])
+
+    out, hot = label.copy(), {}
+    for r in stored.mapInArrow(run, "w binary, class binary, hot binary, sums binary").collect():
+        out[np.frombuffer(r["w"], np.int64)] = np.frombuffer(r["class"], np.int64)
+        for w, sums in zip(np.frombuffer(r.hot, np.int64).tolist(), np.frombuffer(r.sums).reshape(-1, 2 * kinds + 1)):
+            hot[w] = hot.get(w, 0) + sums
+    sent.unpersist()
+    if hot:
+        w, sums = np.array(list(hot)), np.array(list(hot.values()))
+        out[w] = best_classes(label[w].astype(np.int64), sums[:, :kinds], sums[:, kinds:-1], sums[:, -1], grid, kinds - 1)
+    return out
+
+
+def exchange(pairs: DataFrame, size: int, exchanged: int, classes: int,
+             rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(labels of the words 0..size-1, of the end token ``size`` and of the unclassed words
+    size + 1, class grid) from the bigrams (pair = first * (size + 2) + second, n)."""
+    stored = _neighbours(pairs, size)
+    label = (np.arange(size + 2) % classes).astype(np.int32)
+    label[exchanged:size] = label[size + 1] = classes
     best, most = label, -np.inf
     for turn in range(rounds + 1):
-        # at most one row of 16 * classes bytes for each exchanged word
-        seen = stored.mapInArrow(_context_job(label, classes), "w int, counts binary").toPandas()
-        counts = np.zeros((size, 2 * classes + 1))
-        for w, c in zip(seen["w"], seen["counts"]):
-            counts[w] += np.frombuffer(c)
-        succ, pred, loop = counts[:, :classes], counts[:, classes:-1], counts[:, -1]
-        grid = np.zeros((classes, classes))
-        np.add.at(grid, label, succ)
+        grid = class_grid(stored, label, classes + 1)
         value = _xlogx(grid).sum() - _xlogx(grid.sum(axis=0)).sum() - _xlogx(grid.sum(axis=1)).sum()
         if value > most:
-            best, most = label, value
+            best, most, best_grid = label, value, grid
         if turn == rounds:
             break
-        label = label.copy()
-        for w in range(turn % 3, size, 3):
-            label[w] = best_class(label[w], succ[w], pred[w], loop[w], grid)
-    return best
-
-
-def _context_job(label: np.ndarray, classes: int):
-    """Per word its counts by class behind it, before it, and with itself."""
-    def run(batches):
-        for batch in batches:
-            rows, counts = [], []
-            for w, other, side, n in zip(*(c.to_pylist() for c in batch.columns)):
-                other, side = np.frombuffer(other, np.int32), np.frombuffer(side, np.int8)
-                n = np.frombuffer(n)
-                both = np.bincount(label[other] + classes * side, n, 2 * classes)
-                rows.append(w)
-                counts.append(np.append(both, n[(other == w) & (side == 0)].sum()).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(counts, pa.binary())],
-                                             names=["w", "counts"])
-    return run
+        label = moved(stored, label, grid, size, lambda w, turn=turn: (
+            ((w < exchanged) | (w == size)) & (w % 3 == turn % 3)))
+    if exchanged < size:  # the others join the class that fits both their sides best
+        best = moved(stored, best, best_grid, size, lambda w: (w >= exchanged) & (w < size))
+        best_grid = class_grid(stored, best, classes + 1)
+    return best, best_grid
 
 
 # ---- model ----------------------------------------------------------------
 
-def _pairs(part, exchanged: int):
-    x = _sentences(part)
-    x = x[(x < exchanged) | (x == STOP)].astype(np.int64)
-    x[x == STOP] = exchanged
-    return x[:-1] * (exchanged + 1) + x[1:]
-
-
-def _contexts(part, exchanged: int, label: np.ndarray):
-    """(word, class before) of the classed words that were not exchanged."""
-    x = _sentences(part)
-    x = x[x != OTHER].astype(np.int64)
-    before, word = x[:-1], x[1:]
-    ok = ((before < exchanged) | (before == STOP)) & (word >= exchanged) & (word != STOP)
-    before = np.minimum(before[ok], exchanged)
-    return word[ok] * CLASSES + label[before]
-
-
-def _steps(x: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(class of the history, class) of every token behind the first; ``table`` gives the
-    class of every uint16."""
-    kind = table[x]
-    at = np.maximum.accumulate(np.where(x != OTHER, np.arange(len(x)), 0))
-    return kind[at[:-1]], kind[1:]
-
-
-def fit_remaining(contexts: DataFrame, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, classes): the class that the classes before a word make likeliest."""
-    g = grid + 0.5
-    fit = np.log(g * g.sum() / (g.sum(axis=1)[:, None] * g.sum(axis=0)))
-    before = (F.col("context") % CLASSES).cast("int")
-    sums = [F.sum(F.col("n") * F.element_at(F.array(*map(F.lit, fit[:, b].tolist())), before + 1)).alias(f"s{b}")
-            for b in range(CLASSES)]
-    found = contexts.groupBy(F.floor(F.col("context") / CLASSES).cast("int").alias("w")).agg(*sums)
-    all_sums = F.array(*(f"s{b}" for b in range(CLASSES)))
-    rows = found.select("w", (F.array_position(all_sums, F.array_max(all_sums)) - 1).cast("int")
-                        .alias("class")).toPandas()
-    return rows["w"].to_numpy(), rows["class"].to_numpy()
+def class_count(words: int) -> int:
+    """The number of classes of a vocabulary: its cube root."""
+    return max(2, round(words ** (1 / 3)))
 
 
 def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: str = "doc_id",
-                    text_col: str = "text", local: int = LOCAL, classed: int = CLASSED,
-                    exchanged: int = EXCHANGED, rounds: int = ROUNDS) -> DataFrame:
+                    text_col: str = "text", local: int = LOCAL, classed: float = math.inf,
+                    exchanged: float = math.inf, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigram) and score (class model), both log10 of the text.
 
@@ -371,7 +477,8 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
     a null id is not held out. Null and empty texts are one end token. Repeated
     rows are counted and scored each; words and texts of any length are read whole; other
     columns are left out. If all rows are held out, every count is 0 and the scores are
-    those of the smoothing alone; an empty table gives no rows.
+    those of the smoothing alone; an empty table gives no rows. ``classed`` and ``exchanged``
+    bound the words that get a class and that exchange; by default all that occur twice do both.
     """
     spark = docs.sparkSession
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))
@@ -381,75 +488,50 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
     ends = words.where(F.col("h") == end_hash).first()
     n_ends = ends.c if ends else 0
     words = words.where(F.col("h") != end_hash)
-    h, c, cuts, total, kinds = frequent(words, [local, classed, exchanged])
     # words that occur once stay without class, so that their class tells of unseen words
-    m, e = (int((c >= max(cut, 2)).sum()) for cut in cuts[1:])
+    h, c, cuts, (size, movable), total, kinds = frequent(words, [local, classed, exchanged])
     n_train, n_kinds = total + n_ends, kinds + (n_ends > 0)
+    near = int((c >= cuts[1]).sum())  # the classed words of the local table
+    movable = min(movable, size)
+    classes = class_count(size)
 
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    texts = materialize(encode(docs, h, c, m), "encoded")
-    train = texts.where(~F.col("held_out"))
-    pairs = _counted(train, lambda p: _pairs(p, e), "pair")
-    label = exchange(pairs, e + 1, CLASSES, rounds)
-
-    # classes of every uint16: exchanged words and the end token, then the remaining words
-    table = np.zeros(1 << 16, np.int64)
-    table[:e], table[STOP], table[OTHER] = label[:e], label[e], CLASSES
-    if m > e:
-        grid = _grid(train, table)
-        word, kind = fit_remaining(_counted(train, lambda p: _contexts(p, e, label), "context"),
-                                   grid[:CLASSES, :CLASSES])
-        table[word] = kind
-    grid = _grid(train, table)
-    share = (grid.sum(axis=0) + 1) / (grid.sum() + CLASSES + 1)
-    step = np.log10((grid + ALPHA * share) / (grid.sum(axis=1, keepdims=True) + ALPHA))
+    coded = materialize(encode(docs, h, c, near, size + 1), "encoded")
+    rare = number_rare(words.where(F.col("c") < cuts[0]), cuts[1], near)
+    texts = materialize(fill_rare(coded, rare, size + 1), "numbered")
 
+    def keys(part):
+        x = _sentences(part, size).astype(np.int64)
+        return x[:-1] * (size + 2) + x[1:]
+
+    label, grid = exchange(_counted(texts.where(~F.col("held_out")), keys, "pair"), size, movable, classes, rounds)
+    tokens = grid.sum(axis=0)
+    share = (tokens + 1) / (grid.sum() + classes + 1)
+    step = np.log10((grid + ALPHA * share) / (grid.sum(axis=1, keepdims=True) + ALPHA))
     # emissions: add-one within a class; the class of the other words also holds unseen ones
-    count = np.zeros(1 << 16)
-    count[:m], count[STOP] = c[:m], n_ends
-    used = np.r_[np.arange(m), STOP]
-    mass = np.bincount(table[used], count[used] + 1, CLASSES + 1)
-    emit = np.zeros(1 << 16)
-    emit[used] = np.log10((count[used] + 1) / mass[table[used]])
-    other = math.log10(total - int(c[:m].sum()) + kinds - m + 1)
-    sent = spark.sparkContext.broadcast((table, step, emit, other))
+    mass = tokens + np.bincount(label[:size + 1], minlength=classes + 1)
+    mass[classes] += kinds - size + 1
+    step -= np.log10(np.maximum(mass, 1))  # a class may be empty
+    sent = spark.sparkContext.broadcast((label, step))
 
     def run(batches):
-        kind, step, emit, other = sent.value
+        label, step = sent.value
         for batch in batches:
             score = []
             for ids in batch.column("ids").to_pylist():
-                x = _sentences([np.frombuffer(ids, np.uint16)])
-                was, now = _steps(x, kind)
-                score.append(float(step[was, now].sum() + emit[x[1:]].sum() - other * (x == OTHER).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score, pa.float64())],
-                                             names=["row", "own"])
-
-    own = texts.select("row", "ids").mapInArrow(run, "row long, own double")
-    rare = (texts.select("row", F.explode("rare").alias("h"))
-            .join(words.where(F.col("c") < cuts[0]), "h")
-            .groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("log_rare"),
-                                F.count(F.lit(1)).alias("n_rare")))
-    zero = F.lit(0.0)
+                x = label[_sentences([np.frombuffer(ids, np.int32)], size)]
+                score.append(float(step[x[:-1], x[1:]].sum()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x) for x in ("doc_id", "held_out", "n_words", "n_known", "log_sum")),
+                 pa.array(score, pa.float64())],
+                names=["doc_id", "held_out", "n_words", "n_known", "log_sum", "own"])
+
     n_tokens = F.col("n_words") + 1
-    return (texts.select("row", "doc_id", "held_out", "n_words", "n_local", "log_local", "log_other")
-            .join(own, "row").join(rare, "row", "left")
+    log_sum = F.col("log_sum") + math.log10(n_ends + 1)
+    return (texts.mapInArrow(run, "doc_id long, held_out boolean, n_words long, n_known long, log_sum double, "
+                                  "own double")
             .select("doc_id", "held_out", n_tokens.alias("n_tokens"),
-                    (F.col("n_local") + F.coalesce("n_rare", F.lit(0)) + int(n_ends > 0)).alias("n_known"),
+                    (F.col("n_known") + int(n_ends > 0)).alias("n_known"),
                     F.lit(n_train).cast("long").alias("train_tokens"),
-                    (F.col("log_local") + F.coalesce("log_rare", zero) + math.log10(n_ends + 1)
-                     - n_tokens * math.log10(n_train + n_kinds + 1)).alias("base_score"),
-                    (F.col("own") + F.col("log_other") + F.coalesce("log_rare", zero)).alias("score")))
-
-
-def _grid(train: DataFrame, table: np.ndarray) -> np.ndarray:
-    """Counts of (class of the history, class), at most (CLASSES + 1) ** 2 numbers."""
-    def keys(part):
-        was, now = _steps(_sentences(part), table)
-        return was * (CLASSES + 1) + now
-
-    rows = _counted(train, keys, "cell").collect()
-    grid = np.zeros((CLASSES + 1) ** 2)
-    for r in rows:
-        grid[r.cell] = r.n
-    return grid.reshape(CLASSES + 1, CLASSES + 1)
+                    (log_sum - n_tokens * math.log10(n_train + n_kinds + 1)).alias("base_score"),
+                    (F.col("own") + log_sum).alias("score")))

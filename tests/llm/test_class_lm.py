@@ -89,3 +89,19 @@ def test_one_move_raises_the_likelihood_as_computed():
         best = m.best_class(label[w], succ, pred, pairs[w, w], grid(label))
         values = [value(np.where(np.arange(12) == w, c, label)) for c in range(4)]
         assert values[best] == pytest.approx(max(values))
+
+
+def repeated(spark):
+    """Texts of 240 words that occur twice or more, few of them often, and of some that occur once."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:120]
+    texts = [f"w{k % 3} r{k} v{k % 40} s{k} w{k % 2}" + (f" once{k}" if k % 5 == 0 else "") for k in range(120)]
+    return spark.createDataFrame([*zip(ids, texts), *zip(ids, texts[60:] + [f"r{k} s{k}" for k in range(60)])],
+                                 "doc_id long, text string")
+
+
+def test_words_beyond_the_local_table_have_classes(spark):
+    docs = repeated(spark)
+    few, all_ = (sorted((r.doc_id, r.n_known, round(r.score, 6)) for r in m.class_lm_scores(
+        docs, rounds=3, **local).collect()) for local in ({"local": 5}, {}))
+    assert few == all_
+    assert [m.class_count(n) for n in (0, 1000, 29_507, 166_347)] == [2, 10, 31, 55]
