@@ -10,9 +10,10 @@ Words are known by a 64-bit hash, so any length costs the same.
    rarer words get count and number by a join. Words that occur once form one class of their own, together with
    unseen ones, whose emissions are their add-one counts.
 3. *Exchange clustering.* From the bigrams of all neighbouring words, unclassed ones and the end
-   token included: in turn a third of the words moves, each to
-   the class that raises the likelihood of the class bigrams most while the others
-   stay. A round is two Spark jobs over the bigrams, stored by word: the class grid, then the moves. Tasks
+   token included: each word moves to the class that raises the likelihood of the class bigrams most while the
+   others stay. Where so many moves at once lower it, they are taken back and from then on half as many words
+   move in a turn. Turns end when all words have had theirs and the likelihood rose by less than ``RISE``. A turn is
+   two Spark jobs over the bigrams, stored by word: the moves, then the class grid. Tasks
    return the words that change; the label array (4 bytes a classed word) is sent to them.
 4. *Scores.* Class transitions are smoothed towards the classes' shares. The history of a token is
    the class of the word before it, at the start that of the end token.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import id_text, materialize, worker_table
 
 LOCAL = 1 << 18
-ROUNDS = 12
+RISE = 1e-3        # turns end when all words have moved and the likelihood rose by less than this share
 ALPHA = 50.0       # weight of the classes' shares in a transition
 RARE = -1          # the mark of a word that is not in the local table
 HOT = 256          # words whose bigrams are dealt to many tasks ...
@@ -286,6 +287,13 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
+def _likelihood(grid: np.ndarray) -> float:
+    """The part of the log likelihood that classes change: the pairs times the information that a class
+    gives of the next one."""
+    margins = _xlogx(grid.sum(axis=0)).sum() + _xlogx(grid.sum(axis=1)).sum()
+    return float(_xlogx(grid).sum() - margins + _xlogx(grid.sum()))
+
+
 def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.ndarray, grid: np.ndarray,
                  classes: int) -> np.ndarray:
     """For each word the class below ``classes`` that raises the likelihood of the class bigrams
@@ -438,22 +446,28 @@ def moved(stored: DataFrame, label: np.ndarray, grid: np.ndarray, size: int, cho
 
 
 def exchange(pairs: DataFrame, size: int, exchanged: int, classes: int,
-             rounds: int) -> tuple[np.ndarray, np.ndarray]:
+             rounds: int | None) -> tuple[np.ndarray, np.ndarray]:
     """(labels of the words 0..size-1, of the end token ``size`` and of the unclassed words
     size + 1, class grid) from the bigrams (pair = first * (size + 2) + second, n)."""
     stored = _neighbours(pairs, size)
     label = (np.arange(size + 2) % classes).astype(np.int32)
     label[exchanged:size] = label[size + 1] = classes
-    best, most = label, -np.inf
-    for turn in range(rounds + 1):
+    best, most, before = label, -np.inf, -np.inf
+    parts, part, turn = 1, 0, 0
+    while True:
         grid = class_grid(stored, label, classes + 1)
-        value = _xlogx(grid).sum() - _xlogx(grid.sum(axis=0)).sum() - _xlogx(grid.sum(axis=1)).sum()
-        if value > most:
+        value = _likelihood(grid)
+        if value < most - 1e-9 * abs(most):  # too many words moved at once: back, and fewer from now on
+            parts, part = parts * 2, 0
+        else:
             best, most, best_grid = label, value, grid
-        if turn == rounds:
+        if turn == rounds or (part == 0 and turn > 0 and value >= most and most <= before + RISE * abs(most)):
             break
-        label = moved(stored, label, grid, size, lambda w, turn=turn: (
-            ((w < exchanged) | (w == size)) & (w % 3 == turn % 3)))
+        if part == 0:
+            before = most
+        label = moved(stored, best, best_grid, size, lambda w, parts=parts, part=part: (
+            ((w < exchanged) | (w == size)) & (w % parts == part)))
+        part, turn = (part + 1) % parts, turn + 1
     if exchanged < size:  # the others join the class that fits both their sides best
         best = moved(stored, best, best_grid, size, lambda w: (w >= exchanged) & (w < size))
         best_grid = class_grid(stored, best, classes + 1)
@@ -469,7 +483,7 @@ def class_count(words: int) -> int:
 
 def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: str = "doc_id",
                     text_col: str = "text", local: int = LOCAL, classed: float = math.inf,
-                    exchanged: float = math.inf, rounds: int = ROUNDS) -> DataFrame:
+                    exchanged: float = math.inf, rounds: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score (add-one unigram) and score (class model), both log10 of the text.
 
@@ -478,7 +492,7 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
     rows are counted and scored each; words and texts of any length are read whole; other
     columns are left out. If all rows are held out, every count is 0 and the scores are
     those of the smoothing alone; an empty table gives no rows. ``classed`` and ``exchanged``
-    bound the words that get a class and that exchange; by default all that occur twice do both.
+    bound the words that get a class and that exchange; by default all that occur twice do both. ``rounds`` bounds the turns of the exchange, by default it runs until it converges.
     """
     spark = docs.sparkSession
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == part, F.lit(False))

@@ -105,3 +105,44 @@ def test_words_beyond_the_local_table_have_classes(spark):
         docs, rounds=3, **local).collect()) for local in ({"local": 5}, {}))
     assert few == all_
     assert [m.class_count(n) for n in (0, 1000, 29_507, 166_347)] == [2, 10, 31, 55]
+
+
+def captured(monkeypatch, docs, **options):
+    """What the exchange was given and what it found."""
+    seen, exchange = [], m.exchange
+
+    def spy(pairs, *rest):
+        found = exchange(pairs, *rest)
+        seen.append((sorted(r.n for r in pairs.collect()), found))
+        return found
+
+    monkeypatch.setattr(m, "exchange", spy)
+    m.class_lm_scores(docs, **options).count()
+    return seen[0]
+
+
+def test_bigrams_are_those_of_the_corpus(spark, monkeypatch):
+    docs = repeated(spark)
+    texts = [r.text.split() for r in docs.collect()]
+    count = collections.Counter(w for t in texts for w in t)
+    known = [["", *(w if count[w] > 1 else None for w in t), ""] for t in texts]
+    pairs = collections.Counter(p for t in known for p in zip(t, t[1:]))
+    for options in ({}, {"exchanged": 4}):
+        assert captured(monkeypatch, docs, rounds=1, **options)[0] == sorted(pairs.values())
+        monkeypatch.undo()
+
+
+def test_exchange_ends_when_the_likelihood_stays(spark, monkeypatch):
+    docs = repeated(spark)
+    value = []
+    for options in ({"rounds": 1}, {"rounds": None}):
+        value.append(m._likelihood(captured(monkeypatch, docs, **options)[1][1]))
+        monkeypatch.undo()
+    assert value[1] > value[0]
+
+
+def test_words_outside_the_exchange_fit_both_sides():
+    grid = np.array([[40., 2, 3], [1, 30, 4], [5, 2, 9]])  # the last class is the unclassed one
+    succ, pred = np.array([[0., 5, 0], [4, 0, 0]]), np.array([[0., 5, 0], [4, 0, 0]])
+    own = np.array([2, 2])
+    assert m.best_classes(own, succ, pred, np.zeros(2), grid + 5, 2).tolist() == [1, 0]
