@@ -5,7 +5,6 @@
    (other labels may be given instead).
 2. *Wildcards.* Per host and depth, a segment that is rare among those at its place
    is variable and becomes ``*`` (its file extension stays); frequent ones stay literal.
-   What lies deeper than ``DEPTH`` segments is one closing ``**``.
 3. *Merging.* The branches of a host that lead to the same page shape are ordered by their
    share of blocked labels. Neighbours whose shares do not differ (two-proportion z) are
    one branch, named ``a|b``; branches without labels are one branch as well.
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, ascii_lower
 
-DEPTH = 6
+DEPTH = 6           # the oracle SQL reads so many segments, the operator all
 SUPPORT = 3         # a literal segment occurs at least so often ...
 SHARE = 0.01        # ... and in at least this share of its host's urls of its depth
 Z = 2.58            # a difference of label shares counts from here on
@@ -62,7 +61,8 @@ def _ratio(a, b) -> Column:
 def _shapes(urls: DataFrame) -> DataFrame:
     """Distinct urls (host, path, ...) plus ``lead``, the first segment or its wildcard, and
     ``tail``, the shape of the rest."""
-    at = urls.select("host", "path", F.posexplode(F.slice(F.split("path", "/"), 2, DEPTH))
+    segments = F.split("path", "/")
+    at = urls.select("host", "path", F.posexplode(F.slice(segments, 2, F.size(segments)))
                      .alias("depth", "segment"))
     count = at.groupBy("host", "depth", "segment").agg(F.count(F.lit(1)).alias("n"))
     total = count.groupBy("host", "depth").agg(F.sum("n").alias("total"))
@@ -74,10 +74,9 @@ def _shapes(urls: DataFrame) -> DataFrame:
     named = (at.join(literal, ["host", "depth", "segment"], "left").groupBy("host", "path")
              .agg(F.array_sort(F.collect_list(F.struct("depth", part.alias("part")))).alias("parts")))
     parts = F.coalesce(F.col("parts.part"), F.array().cast("array<string>"))
-    deep = F.when(F.size(F.split("path", "/")) > DEPTH + 1, F.lit("/**")).otherwise(F.lit(""))
     return (urls.join(named, ["host", "path"], "left").withColumn("parts", parts)
             .withColumn("lead", F.when(F.size("parts") > 0, F.col("parts")[0]).otherwise(""))
-            .withColumn("tail", F.concat(F.array_join(F.slice("parts", 2, DEPTH), "/"), deep))
+            .withColumn("tail", F.array_join(F.slice("parts", 2, F.size("parts")), "/"))
             .drop("parts"))
 
 

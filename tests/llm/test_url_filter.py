@@ -57,3 +57,10 @@ def test_no_python_in_the_plan(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("x", F.lit(1))
     plan = u.url_filter(pages, URL_RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_segments_of_any_depth_tell_branches_apart(spark):
+    rows = [(k, f"http://h.net/a/b/c/d/e/f/g/{('bad', 'good')[k % 2]}/{k}", k % 2 == 0) for k in range(400)]
+    out = u.url_filter(spark.createDataFrame(rows, "page_id long, url string, bad boolean"), [], bad_col="bad")
+    found = {r.template: r.verdict for r in out.select("template", "verdict").distinct().collect()}
+    assert found == {"/a/b/c/d/e/f/g/bad/*": "block", "/a/b/c/d/e/f/g/good/*": "allow"}
