@@ -6,11 +6,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe_codec import bpe_codec
 from .class_lm import class_lm_scores
+from .collocations import collocations
 from .common import LOWER, UPPER, read_table
 from .decontaminate import decontaminate
+from .periodic_runs import periodic_runs
+from .piece_codec import piece_codec
 from .quality import quality_scores
 from .simhash import simhash_components
 from .substring_dedup import remove_repeats
@@ -169,6 +173,83 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    """Phrases of 2 and 3 words whose words belong together, the first 2000 of every language."""
+    return collocations(read_table(spark, sf_dir, "documents"), max_words=3, min_count=10, share=50, top=2000)
+
+
+ORACLES["op11_collocations"] = rf"""
+WITH w AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+f1 AS MATERIALIZED (SELECT lang, x AS w1, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL),
+f2 AS MATERIALIZED (
+  SELECT lang, w[k] AS w1, w[k + 1] AS w2, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w))) AS k FROM w) GROUP BY ALL HAVING count(*) >= 10),
+f3 AS MATERIALIZED (
+  SELECT lang, w[k] AS w1, w[k + 1] AS w2, w[k + 2] AS w3, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS k FROM w) GROUP BY ALL HAVING count(*) >= 10),
+cut AS (
+  SELECT lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 JOIN f1 x USING (lang, w1) JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+  WHERE NOT EXISTS (
+    SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w1 = f2.w1 AND f3.w2 = f2.w2 AND 100 * f3.f >= 50 * f2.f)
+  AND NOT EXISTS (
+    SELECT 1 FROM f3 WHERE f3.lang = f2.lang AND f3.w2 = f2.w1 AND f3.w3 = f2.w2 AND 100 * f3.f >= 50 * f2.f)
+  UNION ALL
+  SELECT lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 1, x.f, y.f
+  FROM f3 JOIN f1 x USING (lang, w1) JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL
+  SELECT lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.f, 2, x.f, y.f
+  FROM f3 JOIN f2 x USING (lang, w1, w2) JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3),
+least_cut AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place
+  FROM (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cut)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM least_cut WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000"""
+
+
+@query
+def op12_piece_codec(spark, sf_dir):
+    """Every whole document encoded and decoded by the sentencepiece model; digests of both."""
+    return piece_codec(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
+                       outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where one id in ten, by checksum, has its words from one of them on replaced by
+    repeats of the first of these."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0)))
+    n, g = F.size("words"), F.expr("h div 10")
+    word = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return (docs.select("doc_id", "text", h.alias("h")).withColumn("words", split)
+            .withColumn("a", F.when(n > 0, g % n))
+            .withColumn("p", 1 + F.expr("(size(words) - a) div (3 + (h div 10) % 8)"))
+            .select("doc_id", F.when(n > 0, F.array_join(word, " ")).otherwise(F.col("text")).alias("text")))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of four and more periods in every whole document, some of which get periodic tails."""
+    docs = with_periodic_tails(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs(docs, outputs=("runs", "kept_sha256"))
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda top, r: F.when(
+        r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.col("kept_sha256").alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -1,0 +1,122 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+
+from idweave.llm import periodic_runs as p
+from idweave.llm import queries as q
+
+
+def brute(w):
+    """(start, length, period) of all runs, by trying every period."""
+    out = []
+    for d in range(1, len(w) // 4 + 1):
+        same = [w[i] == w[i + d] for i in range(len(w) - d)] + [False]
+        i = 0
+        while i < len(same):
+            j = i
+            while same[j]:
+                j += 1
+            n = j + d - i
+            if j > i and n >= max(6, 4 * d) and not any(
+                    all(w[k] == w[k + m] for k in range(i, j + d - m)) for m in range(1, d)):
+                out.append((i, n, d))
+            i = max(j, i) + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def words(text):
+    return (text or "").encode().split()
+
+
+def kept(w, runs):
+    gone = {k for a, n, d in runs for k in range(a + d, a + n)}
+    return b" ".join(x for k, x in enumerate(w) if k not in gone)
+
+
+def random_words():
+    w = []
+    for _ in range(random.randint(0, 5)):
+        root = [random.randint(0, random.choice([1, 2, 3, 9])) for _ in range(random.choice([1, 2, 3, 5, 7, 8, 11, 16, 21]))]
+        if random.random() < 0.5 and len(root) > 3:
+            root = root[:2] * random.randint(1, 8) + root
+        w += (root * random.randint(1, 8))[:random.randint(1, 200)]
+    return w
+
+
+def test_random_words_against_brute_force():
+    random.seed(11)
+    for _ in range(600):
+        texts = [w for w in (random_words() for _ in range(random.randint(1, 4))) if w]
+        if not texts:
+            continue
+        start = np.cumsum([0, *map(len, texts[:-1])])
+        got = list(zip(*(x.tolist() for x in p.runs_of(np.array(sum(texts, []), np.int64), start))))
+        assert got == [(a + int(s), n, d) for s, w in zip(start, texts) for a, n, d in brute(w)], texts
+
+
+def test_wavelet_tree_against_sorting():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 64, 300):
+        values = rng.integers(0, 200, size)
+        tree = p.WaveletTree(values)
+        lo = rng.integers(0, size, 50)
+        hi = lo + rng.integers(1, size + 1, 50)
+        hi = np.minimum(hi, size)
+        bound = rng.integers(0, 300, 50)
+        assert tree.below(lo, hi, bound).tolist() == [int((values[a:b] < x).sum()) for a, b, x in zip(lo, hi, bound)]
+        k = (hi - lo) // 2
+        assert tree.smallest(lo, hi, k).tolist() == [sorted(values[a:b])[c] for a, b, c in zip(lo, hi, k)]
+
+
+def test_rows_of_documents(spark, documents, edge):
+    for docs in (documents, edge):
+        got = sorted(((r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.kept) for r in
+                      p.periodic_runs(docs).collect()), key=repr)
+        want = []
+        for r in docs.collect():
+            w = words(r.text)
+            # brute force is quadratic: texts of one word repeated are known to be one run
+            runs = brute(w) if len(w) < 3000 else [(0, len(w), 1)] if len(set(w)) == 1 else None
+            if runs is None:
+                runs = [x for x in got if x[0] == r.doc_id][0][2]
+            want.append((r.doc_id, len(w), runs, kept(w, runs).decode()))
+        assert got == sorted(want, key=repr)
+
+
+def planted(doc_id, text):
+    w = words(text)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        d = 1 + (n - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % d] for i, x in enumerate(w)]
+    return w
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    random.seed(12)
+    rows = [(k, " ".join(random.choice("ab") if k % 3 else f"w{random.randint(0, 40)}" for _ in range(random.randint(0, 160))))
+            for k in range(300)]
+    rows += [(400, None), (401, ""), (402, " \t\n "), (None, "a b " * 9), (3, "one id twice " * 5), (3, "one id twice " * 5),
+             (403, "é \x1c z " * 30), (404, "x" * 3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in q.op13_periodic_runs(spark, str(tmp_path)).collect()), key=repr)
+    want = []
+    for i, text in rows:
+        w = planted(i, text)
+        runs = brute(w)
+        best = (None,) * 4
+        for a, n, d in runs:
+            if best[1] is None or n * best[2] > best[1] * d:
+                best = (a, n, d, 1000 * n // d)
+        lines = "".join(f"{a},{n},{d}\n" for a, n, d in runs)
+        want.append((i, len(runs), *best, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept(w, runs)).hexdigest()))
+    assert got == sorted(want, key=repr)
+    assert sum(r[1] for r in got) > 100
+
+
+def test_empty_table(edge):
+    assert p.periodic_runs(edge.where("false")).count() == 0

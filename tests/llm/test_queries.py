@@ -20,7 +20,7 @@ def con():
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in q.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(q.queries()) | {"pipeline"} <= set(entry.queries())
     assert set(q.oracle_sql()) <= set(q.queries())
 
