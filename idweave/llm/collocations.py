@@ -30,14 +30,14 @@ from pyspark.sql import functions as F
 
 from .common import materialize, ship, worker_table
 
-RANKED = 1 << 18      # words, and phrases of each length, that are numbered
+RANKED = 1 << 17      # words, and phrases of each length, that are numbered
 HASH_BITS = 62        # of the key of a word without number
 REMEMBERED = 1 << 16  # words without number of a language whose key a worker remembers ...
 LANGUAGES = 16        # ... of so many languages
-FILTER_BITS = 26      # log2 of the bits of the map of frequent keys
+FILTER_BITS = 25      # log2 of the bits of the map of frequent keys
 SIDE = 256            # cells a side of a tile
-TILES = 64            # dense tiles of a task, at most
-CHUNK = 1 << 21       # pairs that a task gathers before it sorts them
+TILES = 32            # dense tiles of a task, at most
+CHUNK = 1 << 20       # pairs that a task gathers before it sorts them
 PIECE = 4 << 20       # characters of text split together
 WORDS_HELD = 400_000  # distinct words that a task holds before it passes their counts on
 EMIT = 1 << 18        # counts that a task hands to Spark at a time
@@ -137,17 +137,24 @@ class Vocabulary:
         shared = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("most"))
                   .where((F.col("n") > 1) & (F.col("most") >= min_count)).select("key"))
         twins = keyed.where(F.col("a") < least).join(shared, "key", "left_semi").select("lang", "word", "a")
-        local = (words.where(F.col("a") >= least).unionByName(twins)
-                 .orderBy(F.desc("a"), "lang", "word").toPandas())
+        # at most ``ranked`` words and the twins, numbered in one partition
+        local = materialize(words.where(F.col("a") >= least).unionByName(twins).repartition(1)
+                            .sortWithinPartitions(F.desc("a"), "lang", "word")
+                            .withColumn("number", F.when(F.col("a") >= min_count, F.monotonically_increasing_id())
+                                        .otherwise(F.lit(NONE))), "numbers")
+        found = local.orderBy("lang", "word").toArrow()
         self.bits = bits
-        self.size = int((local["a"] >= min_count).sum())  # the first ones are numbered, the others too rare
-        local["number"] = np.where(local["a"] >= min_count, np.arange(len(local)), NONE)
-        self.by_lang = {lang: (" ".join(part["word"]).encode(), part["number"].to_numpy(np.int64))
-                        for lang, part in local.groupby("lang")}
-        numbers = words.sparkSession.createDataFrame(local[["lang", "word", "number"]], "lang string, word string, number long")
+        number = found.column("number").to_numpy()
+        self.size = int((number != NONE).sum())
+        self.by_lang = {}
+        langs = found.column("lang").to_pylist()
+        edges = [k for k in range(len(langs)) if k == 0 or langs[k] != langs[k - 1]] + [len(langs)]
+        for at, stop in zip(edges, edges[1:]):
+            listed = found.column("word").slice(at, stop - at).to_pylist()
+            self.by_lang[langs[at]] = " ".join(listed).encode(), number[at:stop]
         none = F.array().cast("array<long>")
         self.table = materialize(
-            words.where(F.col("a") >= min_count).join(F.broadcast(numbers), ["lang", "word"], "left")
+            words.where(F.col("a") >= min_count).join(local.drop("a"), ["lang", "word"], "left")
             .select("lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
                     none.alias("first"), none.alias("rest"), F.coalesce("number", hash_key(bits)).alias("k1")), "words")
 
@@ -208,9 +215,9 @@ def key_bitmap(table: DataFrame, columns: list[str], bits: int) -> np.ndarray:
                                                  names=["cell", "value"])
 
     found = (table.select(*columns).mapInArrow(run, "cell long, value long")
-             .groupBy("cell").agg(F.bit_or("value").alias("value")).toPandas())
+             .groupBy("cell").agg(F.bit_or("value").alias("value")).toArrow())
     out = np.zeros(1 << max(bits - 6, 0), np.uint64)
-    out[found["cell"].to_numpy(np.int64)] = found["value"].to_numpy(np.int64).view(np.uint64)
+    out[found.column("cell").to_numpy()] = found.column("value").to_numpy().view(np.uint64)
     return out
 
 
@@ -313,7 +320,7 @@ class Numbered:
         columns = [f"k{j + 1}" for j in range(size)]
         plain = counts.where(F.least(*columns, F.lit(1 << 62)) >= 0)
         least = _least_count(plain, ranked, min_count)
-        top = plain.where(F.col("a") >= least).orderBy(F.desc("a"), *columns).select(*columns).toPandas()
+        top = plain.where(F.col("a") >= least).orderBy(F.desc("a"), *columns).select(*columns).toArrow().to_pandas()
         if shorter is not None:
             first = pd.DataFrame(shorter.keys, columns=columns[:-1]).assign(number=np.arange(len(shorter.keys)))
             top = top.merge(first, on=columns[:-1], how="inner")
