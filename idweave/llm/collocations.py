@@ -501,6 +501,8 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, share
         scored = _scored(kept, size)
         found = scored if found is None else found.unionByName(scored)
     place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = found.withColumn("rank", F.row_number().over(place).cast("long")).where(F.col("rank") <= top)
+    # without a cast, so that Spark keeps the first ``top`` of a language already in the tasks that send them
+    best = (found.withColumn("place", F.row_number().over(place)).where(F.col("place") <= top)
+            .withColumn("rank", F.col("place").cast("long")))
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
