@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_SNAPSHOT_DATE
+from ..versions import current_version
 
 
 def sql_relation(spark: SparkSession, text: str, args: dict | None = None,
@@ -30,10 +31,15 @@ def sql_script(spark: SparkSession, path: str, args: dict | None = None,
 def snapshot_dates(spark: SparkSession, table: str, column: str = "datadate") -> DataFrame:
     """Snapshot dates of a partitioned catalog table, from its partition listing.
 
-    Reads metadata only. Values may be ISO dates or ``yyyyMMdd``.
+    Reads metadata only. Values may be ISO dates or ``yyyyMMdd``. A versioned name
+    (``idweave.versions``) gives the partitions of its current version.
     """
-    raw = spark.sql(f"SHOW PARTITIONS {table}")
-    raw = raw.withColumnRenamed(raw.columns[0], "partition")
+    version = current_version(spark, table)
+    raw = None
+    for part in version.parts if version else (table,):
+        listed = spark.sql(f"SHOW PARTITIONS {part}")
+        listed = listed.withColumnRenamed(listed.columns[0], "partition")
+        raw = listed if raw is None else raw.unionByName(listed)
     value = F.regexp_extract(F.col("partition"), f"(^|/){column}=([^/]*)", 2)
     return raw.select(
         F.coalesce(F.try_to_date(value, "yyyy-MM-dd"),
