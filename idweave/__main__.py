@@ -55,7 +55,12 @@ def parse_args(argv=None) -> argparse.Namespace:
         j.add_argument("--audit-dir", help="folder for the missing-identifier and preview CSVs")
         j.add_argument("--preview-rows", type=int, default=100)
         j.add_argument("--format", default="parquet", help="file or table format of the output")
+        j.add_argument("--versioned", action="store_true",
+                       help="publish the output as the next version behind its name, without a gap for readers")
+        j.add_argument("--on-duplicates", default="fail", choices=["fail", "audit"],
+                       help="a reference file with several rows of a trade's key: stop (default) or go on")
     h = sub.choices["historic"]
+    h.add_argument("--id-registry", help="table of the ids given so far; new allocations are appended to it")
     h.add_argument("--process-type", default="historic")
     h.add_argument("--symbology", required=True)
     h.add_argument("--snapshot-dates")
@@ -90,7 +95,8 @@ def main(argv=None, spark: SparkSession | None = None):
         counts = publish_same_day(src, args.output, path=args.output_path,
                                   offset_days=args.offset_days, audit_dir=args.audit_dir,
                                   partition_cols=_cols(args.partition_by),
-                                  preview_rows=args.preview_rows, fmt=args.format)
+                                  preview_rows=args.preview_rows, fmt=args.format,
+                                  versioned=args.versioned, on_duplicates=args.on_duplicates)
         return {"published": args.output, **counts}
     keys = DEDUP_KEYS_3 if args.dedup_keys == 3 else DEDUP_KEYS_2
     return publish_identifiers(src, args.output, path=args.output_path,
@@ -98,7 +104,8 @@ def main(argv=None, spark: SparkSession | None = None):
                                keys=keys, audit_dir=args.audit_dir, asof=args.asof,
                                skew=args.skew, partition_cols=_cols(args.partition_by),
                                stage_prefix=args.stage_prefix, preview_rows=args.preview_rows,
-                               fmt=args.format)
+                               fmt=args.format, versioned=args.versioned, registry=args.id_registry,
+                               on_duplicates=args.on_duplicates)
 
 
 if __name__ == "__main__":

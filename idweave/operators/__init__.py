@@ -5,6 +5,7 @@ from .asof import previous_snapshot, previous_snapshot_by_key
 from .audit import duplicate_keys, observe_count, stage_counts
 from .enrich import audit_missing, join_reference, join_snapshot
 from .ids import assign_ids, dense_index
+from .registry import registered_ids
 from .setops import union_snapshots
 from .skew import hot_keys, salted_join
 from .symbols import (attach_symbols, batch_requests, lookup_symbols, lookup_with_service,
@@ -14,7 +15,7 @@ from .symbols import (attach_symbols, batch_requests, lookup_symbols, lookup_wit
 __all__ = [
     "dedup_allocations", "filter_allocations", "previous_snapshot", "previous_snapshot_by_key",
     "observe_count", "stage_counts", "duplicate_keys", "audit_missing", "join_reference", "join_snapshot",
-    "assign_ids", "dense_index", "union_snapshots", "hot_keys", "salted_join", "attach_symbols", "batch_requests",
+    "assign_ids", "dense_index", "registered_ids", "union_snapshots", "hot_keys", "salted_join", "attach_symbols", "batch_requests",
     "lookup_symbols", "lookup_with_service", "merge_responses", "sedol_requests",
     "ticker_requests", "valid_requests", "symbol_requests",
 ]

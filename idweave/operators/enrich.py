@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SECURITY_COLUMNS, UNDERLYING_COLUMNS
 from ..functions.dates import date_from_yyyymmdd
 from .skew import salted_join
 
+LAST_DATE = datetime.date(9999, 12, 31)
+
 
 def join_snapshot(alloc: DataFrame, securities: DataFrame, on: str = "snapshot_date",
                   key: str = "sec_id", how: str = "left",
@@ -26,13 +29,17 @@ def join_snapshot(alloc: DataFrame, securities: DataFrame, on: str = "snapshot_d
     With ``prune`` the security master is first semi-joined with the distinct
     dates the allocations ask for, which are broadcast (only DATE values, so their
     number is bounded by the calendar). Snapshots no trade uses are dropped before
-    the shuffle. A master partitioned by date can also be pruned at the scan. The
+    the shuffle, and of a master that is stored partitioned by date their files are not read: the
+    broadcast dates become a partition filter at run time. The
     dates are read in a pass of their own: prune where ``alloc`` is stored.
     """
     sec = securities.select(F.col("sec_id").alias("_sk"), F.col("datadate").alias("_sd"),
                             *columns)
     if prune and dict(alloc.dtypes)[on] == "date":
-        needed = alloc.select(F.col(on).alias("_need")).where(F.col("_need").isNotNull()).distinct()
+        # Spark prunes partitions by the other side of a join only if that side is filtered by a comparison;
+        # this one holds for every date
+        needed = (alloc.select(F.col(on).alias("_need"))
+                  .where(F.col("_need").isNotNull() & (F.col("_need") <= F.lit(LAST_DATE))).distinct())
         sec = sec.join(F.broadcast(needed), sec["_sd"] == needed["_need"], "left_semi")
     left = alloc.withColumn("_ak", F.col(key).cast("string"))
     if skew == "salt":
@@ -57,14 +64,17 @@ def _prepare_reference(ref: DataFrame, tag: str, offset_days: int, date_col: str
 
 def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_days: int = 1,
                    key: str = "sec_id", date_col: str = "trade_date_est",
-                   skew: str = "aqe", prune: bool = True) -> DataFrame:
+                   skew: str = "aqe", prune: bool = True, key_rows: str | None = None) -> DataFrame:
     """Left-join the equity and fund files where file date - offset = trade date.
 
     The two files are first joined with each other (full outer, on security and
     date) and their four underlying identifiers merged, the equity value
     before the fund value. ``df`` is then joined once, so it is shuffled once and a
     hot (security, date) key of it is split by AQE, or salted with ``skew="salt"``.
-    Each file is expected to hold one row per (security, file date). With ``prune``
+    Each file is expected to hold one row per (security, file date); with ``key_rows`` a column of that name
+    has how many the fuller of the files holds for the row's key (NULL: none), so that a job can
+    observe it while the join runs. It is counted by a window over the partitioning that the join of the files
+    needs anyway. With ``prune``
     each file is first semi-joined with the broadcast distinct trade dates of ``df``
     (only if they are DATE values, so that their number is bounded by the calendar);
     use it where ``df`` is stored, since its dates are read in a pass of their own.
@@ -75,13 +85,19 @@ def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_day
         needed = F.broadcast(df.select(date_col).where(F.col(date_col).isNotNull()).distinct())
         eq = eq.join(needed, date_col, "left_semi")
         fu = fu.join(needed, date_col, "left_semi")
+    count = ()
+    if key_rows:
+        per_key = Window.partitionBy("_k", date_col)
+        eq = eq.withColumn("_equity_rows", F.count(F.lit(1)).over(per_key))
+        fu = fu.withColumn("_fund_rows", F.count(F.lit(1)).over(per_key))
+        count = (F.greatest("_equity_rows", "_fund_rows").alias(key_rows),)
     merged = {dst: F.coalesce(F.col(f"_equity_{src}"), F.col(f"_fund_{src}"))
               for src, dst in UNDERLYING_COLUMNS}
     extra = ["equity_file_eff_dt", "equity_file_eff_dt_minus1",
              "fund_file_eff_dt", "fund_file_eff_dt_minus1"]
     ref = (eq.join(fu, ["_k", date_col], "full")
            .select(F.col("_k").alias("_rk"), F.col(date_col).alias("_rd"),
-                   *[c.alias(dst) for dst, c in merged.items()], *extra))
+                   *[c.alias(dst) for dst, c in merged.items()], *extra, *count))
     keyed = df.withColumn("_k", F.col(key).cast("string"))
     if skew == "salt":
         out = salted_join(keyed, ref, ["_k", date_col], ["_rk", "_rd"], "left")
@@ -89,7 +105,7 @@ def join_reference(df: DataFrame, equity: DataFrame, fund: DataFrame, offset_day
         out = keyed.join(ref, (keyed["_k"] == ref["_rk"]) & (keyed[date_col] == ref["_rd"]), "left")
     else:
         raise ValueError(f"unknown skew mode {skew!r}")
-    return out.select(*df.columns, *merged, *extra)
+    return out.select(*df.columns, *merged, *extra, *([key_rows] if key_rows else []))
 
 
 def audit_missing(df: DataFrame, cols: Sequence[str], mode: str = "all") -> DataFrame:

@@ -41,6 +41,14 @@ ided AS (
   FROM dedup
 )"""
 
+# ids given in two runs: the trades before 1998 in the first
+IDED_RUNS = """
+ided AS (
+  SELECT CAST(row_number() OVER (ORDER BY trade_date_local >= DATE '1998-01-01', sec_id, trade_date_est,
+                                          trade_date_local) AS BIGINT) AS DATA_ID, *
+  FROM dedup
+)"""
+
 IDED2 = """
 ided AS (
   SELECT CAST(row_number() OVER (ORDER BY sec_id, trade_date_est) AS BIGINT) AS DATA_ID, *
@@ -337,6 +345,14 @@ ORACLES: dict[str, str] = {
       WHERE a.trade_date_est <= DATE '1996-06-30'""",
     "snapshot_dates": with_views("snapshot_dates") + " SELECT datadate FROM snapshot_dates",
     "publish": _chain(("allocations",), FILTERED) + " SELECT * FROM filtered",
+    "publish_versions": with_views("allocations")
+    + " SELECT * FROM allocations WHERE status = 'ACCT' OR sec_typ_cd = 'COM'",
+    "assign_ids_across_runs": _chain(("allocations",), FILTERED, DEDUP3, IDED_RUNS) + " SELECT * FROM ided",
+    "join_snapshot_partitioned": _chain(HIST_VIEWS, FILTERED, DEDUP3, IDED, PREV, SNAP)
+    + " SELECT * FROM snap WHERE year(trade_date_est) = 1996",
+    "published_versions_of_identifiers": _chain(LOOK, FILTERED, DEDUP3, IDED_RUNS, PREV, SNAP, REFS, ENRICHED,
+                                                SED_REQ, TICK_REQ, RESP, RESULT)
+    + " SELECT *, 'historic' AS process_type FROM result",
     "export_requests": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
       SELECT * FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
     "join_reference_from_csv": _chain(HIST_VIEWS, *HIST) + " SELECT * FROM enriched",

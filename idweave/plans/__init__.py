@@ -1,8 +1,8 @@
 """Assembled jobs."""
 
-from .identifiers import (identifiers_historic, identifiers_same_day, publish_identifiers,
+from .identifiers import (DuplicateKeys, identifiers_historic, identifiers_same_day, publish_identifiers,
                           publish_same_day, run)
 from .inputs import Sources
 
-__all__ = ["Sources", "identifiers_historic", "identifiers_same_day", "publish_identifiers",
+__all__ = ["Sources", "DuplicateKeys", "identifiers_historic", "identifiers_same_day", "publish_identifiers",
            "publish_same_day", "run"]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from .plans import identifiers as plan
 from .session import materialize, scratch_path
 from .sinks import export_request_batches, export_requests, preview, publish
 from .sources import scan_csv, snapshot_dates, sql_relation
+from .versions import append_version, drop_versions, publish_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -425,6 +427,68 @@ def publish_q(spark, sf_dir):
     return _read_and_forget(spark, name)
 
 
+def _scratch_name(spark, what: str) -> str:
+    return f"idweave_{what}_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+
+
+def _stored_rows(spark, name):
+    """The rows of a versioned table, stored before its versions go."""
+    out = materialize(spark.table(name), "versioned")
+    drop_versions(spark, name)
+    return out
+
+
+@query
+def publish_versions(spark, sf_dir):
+    """K1-K3 without a gap: a first version, a second that reads it, and a part appended to that."""
+    name = _scratch_name(spark, "versioned")
+    alloc = fx.allocations(spark, sf_dir)
+    accepted = F.col("status") == "ACCT"
+    publish_version(alloc, name, path=scratch_path(spark, "versioned"))
+    publish_version(spark.table(name).where(accepted), name, partition_cols=["sec_typ_cd"],
+                    path=scratch_path(spark, "versioned"))
+    append_version(alloc.where(~accepted & (F.col("sec_typ_cd") == "COM")), name,
+                   path=scratch_path(spark, "versioned"))
+    return _stored_rows(spark, name)
+
+
+@query
+def assign_ids_across_runs(spark, sf_dir):
+    """Ids from a registry: the allocations of the first years, then all; the first keep their ids."""
+    src, name = _src(spark, sf_dir), _scratch_name(spark, "ids")
+    first = replace(src, allocations=src.allocations.where("trade_date_local < DATE'1998-01-01'"))
+    plan.allocations_with_ids(first, registry=name)
+    out = materialize(plan.allocations_with_ids(src, registry=name), "registered")
+    drop_versions(spark, name)
+    return out
+
+
+@query
+def join_snapshot_partitioned(spark, sf_dir):
+    """The security master stored by snapshot date, its dates from the listing; only the
+    partitions that trades ask for are read."""
+    src, name = _src(spark, sf_dir), _scratch_name(spark, "master")
+    publish_version(src.securities, name, partition_cols=["datadate"], path=scratch_path(spark, "master"))
+    alloc = plan.allocations_with_ids(src).where(F.year("trade_date_est") == 1996)
+    prev = previous_snapshot(alloc, snapshot_dates(spark, name))
+    out = materialize(join_snapshot(prev, spark.table(name)), "snapshot")
+    drop_versions(spark, name)
+    return out
+
+
+@query
+def published_versions_of_identifiers(spark, sf_dir):
+    """C3 with K1-K3: the historic job twice, on a part of the trades and on all, as versions of
+    one name and with ids from one registry."""
+    src, name = _src(spark, sf_dir), _scratch_name(spark, "result")
+    options = {"versioned": True, "registry": f"{name}_ids", "partition_cols": ("prefix",)}
+    first = replace(src, allocations=src.allocations.where("trade_date_local < DATE'1998-01-01'"))
+    plan.publish_identifiers(first, name, path=scratch_path(spark, "result"), **options)
+    plan.publish_identifiers(src, name, path=scratch_path(spark, "result"), **options)
+    drop_versions(spark, f"{name}_ids")
+    return _stored_rows(spark, name)
+
+
 def _read_and_forget(spark, name):
     """The rows of a table whose files outlive its catalog entry."""
     path = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]

@@ -1,5 +1,5 @@
 """Sinks: catalog tables, previews and request exports."""
 
-from .tables import export_request_batches, export_requests, preview, publish, write_preview
+from .tables import FILE_FORMATS, export_request_batches, export_requests, preview, publish, write_preview
 
-__all__ = ["publish", "preview", "write_preview", "export_requests", "export_request_batches"]
+__all__ = ["FILE_FORMATS", "publish", "preview", "write_preview", "export_requests", "export_request_batches"]
