@@ -8,7 +8,8 @@ from .ids import assign_ids, dense_index
 from .registry import registered_ids
 from .setops import union_snapshots
 from .skew import hot_keys, salted_join
-from .symbols import (attach_symbols, batch_requests, lookup_symbols, lookup_with_service,
+from .symbols import (ServiceFailed, attach_symbols, batch_requests, lookup_symbols,
+                      lookup_with_ledger, lookup_with_service,
                       merge_responses, sedol_requests, symbol_requests, ticker_requests,
                       valid_requests)
 
@@ -16,6 +17,7 @@ __all__ = [
     "dedup_allocations", "filter_allocations", "previous_snapshot", "previous_snapshot_by_key",
     "observe_count", "stage_counts", "duplicate_keys", "audit_missing", "join_reference", "join_snapshot",
     "assign_ids", "dense_index", "registered_ids", "union_snapshots", "hot_keys", "salted_join", "attach_symbols", "batch_requests",
-    "lookup_symbols", "lookup_with_service", "merge_responses", "sedol_requests",
+    "lookup_symbols", "lookup_with_service",
+    "lookup_with_ledger", "ServiceFailed", "merge_responses", "sedol_requests",
     "ticker_requests", "valid_requests", "symbol_requests",
 ]

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import PREFIX_SEDOL, PREFIX_TICKER, TICKER_RULES
 from ..functions.dates import day_end, day_start
 from ..functions.tickers import local_ticker
+from ..session import materialize
+from ..versions import append_version, current_version
 from .ids import assign_ids
 from .skew import salted_join
 
@@ -175,6 +179,78 @@ def lookup_with_service(requests: DataFrame, service: Callable, schema: str,
     return batched.groupBy("prefix", "batch_no").applyInPandas(call, schema)
 
 
+class ServiceFailed(RuntimeError):
+    """Batches that the service did not answer; all others are in the ledger."""
+
+
+REQUEST_KEY = ("DATA_ID", "prefix", "SYMBOL_NAME")
+
+
+def lookup_with_ledger(requests: DataFrame, service: Callable, schema: str, batch_size: int, ledger: str,
+                       wave: int = 1000, max_failures: int = 100) -> DataFrame:
+    """``lookup_with_service`` that goes on where an earlier run stopped.
+
+    ``ledger`` is a versioned table (``versions.append_version``) of the requests that were answered, by their key
+    (``DATA_ID``, prefix, symbol), and of the answers. Requests that it holds are not asked again, whatever batch
+    they would fall into; a request without an answer row counts as answered all the same. The
+    others are asked in batches as in ``lookup_with_service``, ``wave`` batches of each prefix to a job; when a job
+    ends, its answered batches become a version of the ledger in one step, requests and answers together. A batch on which
+    the service raises loses its own answers only: the job commits all others, and ``ServiceFailed`` is
+    raised at the end, or as soon as ``max_failures`` batches have failed. What an executor
+    was asking when it died is asked again.
+
+    Returns the answers of ``requests`` from the ledger, earlier ones included, with the columns of ``schema``; that must
+    name ``DATA_ID``, which the answers carry.
+    """
+    spark = requests.sparkSession
+    fields = T.StructType.fromDDL(schema)
+    valid = materialize(valid_requests(requests), "to-ask")
+    keys = valid.select(*REQUEST_KEY).distinct()
+
+    def entries(kind: str) -> DataFrame | None:
+        return (spark.table(ledger).where(F.col("kind") == kind) if current_version(spark, ledger) else None)
+
+    answered = entries("request")
+    todo = valid if answered is None else valid.join(answered.select(*REQUEST_KEY), list(REQUEST_KEY), "left_anti")
+    todo = batch_requests(todo, batch_size)
+    last = todo.agg(F.max("batch_no")).first()[0]
+    entry = (f"kind string, prefix string, DATA_ID bigint, SYMBOL_NAME string, batch_no bigint, "
+             f"error string, answer struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in fields)}>")
+
+    def call(pdf):
+        batch, prefix = int(pdf["batch_no"].iloc[0]), pdf["prefix"].iloc[0]
+        empty = {"kind": None, "prefix": prefix, "DATA_ID": None, "SYMBOL_NAME": None, "batch_no": batch,
+                 "error": None, "answer": None}
+        asked = pdf.drop(columns=["batch_no"]).sort_values("DATA_ID")
+        try:
+            answers = service(asked)
+        except Exception as e:  # this batch fails, the others of the job are kept
+            return pd.DataFrame([{**empty, "kind": "failed", "error": f"{type(e).__name__}: {e}"}])
+        rows = [{**empty, "kind": "request", "DATA_ID": int(i), "SYMBOL_NAME": s}
+                for i, s in zip(asked["DATA_ID"], asked["SYMBOL_NAME"])]
+        values = answers[fields.names].astype(object).where(answers[fields.names].notna(), None)
+        rows += [{**empty, "kind": "answer", "DATA_ID": int(r["DATA_ID"]), "answer": r}
+                 for r in values.to_dict("records")]
+        return pd.DataFrame(rows, columns=list(empty))
+
+    failed = []
+    for first in range(0, (-1 if last is None else last) + 1, wave):
+        asked = todo.where(F.col("batch_no").between(first, first + wave - 1))
+        found = materialize(asked.groupBy("prefix", "batch_no").applyInPandas(call, entry), "answers")
+        failed += found.where("kind = 'failed'").select("prefix", "batch_no", "error").collect()  # a row for each batch
+        append_version(found.where("kind <> 'failed'").drop("error"), ledger)
+        if len(failed) >= max_failures:
+            break
+    if failed:
+        some = "; ".join(f"{r.prefix} {r.batch_no}: {r.error}" for r in failed[:3])
+        raise ServiceFailed(f"{len(failed)} batches were not answered, for example {some}")
+    answers = entries("answer")
+    if answers is None:
+        return spark.createDataFrame([], fields)
+    ids = keys.select("DATA_ID", "prefix").distinct()
+    return answers.join(ids, ["DATA_ID", "prefix"], "left_semi").select("answer.*")
+
+
 def merge_responses(*responses: DataFrame) -> DataFrame:
     """Union responses by name (missing columns NULL); ids as BIGINT."""
     out = responses[0]

@@ -353,6 +353,23 @@ ORACLES: dict[str, str] = {
     "published_versions_of_identifiers": _chain(LOOK, FILTERED, DEDUP3, IDED_RUNS, PREV, SNAP, REFS, ENRICHED,
                                                 SED_REQ, TICK_REQ, RESP, RESULT)
     + " SELECT *, 'historic' AS process_type FROM result",
+    "scan_csv_with_rejects": with_views("ref_equity") + """
+      SELECT CASE WHEN good THEN sec_id END AS sec_id, CASE WHEN good THEN file_eff_dt END AS file_eff_dt,
+             CASE WHEN good THEN parent_id_undr END AS parent_id_undr,
+             CASE WHEN good THEN sedol_id END AS sedol_id, CASE WHEN good THEN ticker END AS ticker,
+             CASE WHEN good THEN isin_id END AS isin_id,
+             CASE WHEN NOT good THEN concat_ws(',', sec_id, day, coalesce(parent_id_undr, ''), sedol_id, ticker)
+               || CASE WHEN short THEN '' ELSE ',' || coalesce(isin_id, '') END END AS line,
+             CASE WHEN short THEN 'not the 6 fields of the header'
+                  WHEN NOT good THEN 'file_eff_dt: n/a is no int' END AS reason
+      FROM (SELECT *, k % 70 = 2 AS short, k % 50 <> 1 AND k % 70 <> 2 AS good,
+                   CASE WHEN k % 50 = 1 THEN 'n/a' ELSE CAST(file_eff_dt AS VARCHAR) END AS day
+            FROM (SELECT *, CAST(sec_id AS BIGINT) AS k FROM ref_equity) x) y""",
+    "lookup_symbols_resumed": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f""",
+      asked AS (SELECT DATA_ID, prefix, SYMBOL_NAME, substr(prefix, 1, 1) || SYMBOL_NAME AS resolved
+                FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID})
+      SELECT * FROM asked WHERE DATA_ID % 7 <> 0
+      UNION ALL SELECT DATA_ID, prefix, SYMBOL_NAME, resolved || '+' FROM asked WHERE DATA_ID % 5 = 0""",
     "export_requests": _chain(HIST_VIEWS, *HIST, SED_REQ, TICK_REQ) + f"""
       SELECT * FROM (SELECT * FROM sed_req UNION ALL SELECT * FROM tick_req) u WHERE {VALID}""",
     "join_reference_from_csv": _chain(HIST_VIEWS, *HIST) + " SELECT * FROM enriched",

@@ -18,15 +18,15 @@ from . import fixtures as fx
 from .constants import AUDIT_ALL, AUDIT_ANY, DEDUP_KEYS_2, DEDUP_KEYS_3, REFERENCE_SCHEMA
 from .functions import normalize_dates, prefix_columns, tag
 from .functions.dates import timestamp_text, yyyymmdd_text
-from .operators import (attach_symbols, duplicate_keys, audit_missing, batch_requests,
+from .operators import (ServiceFailed, attach_symbols, duplicate_keys, audit_missing, batch_requests,
                         dedup_allocations, filter_allocations, join_reference, join_snapshot,
-                        lookup_symbols, merge_responses, previous_snapshot,
+                        lookup_symbols, lookup_with_ledger, merge_responses, previous_snapshot,
                         previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
                         ticker_requests, union_snapshots, valid_requests)
 from .plans import identifiers as plan
 from .session import materialize, scratch_path
 from .sinks import export_request_batches, export_requests, preview, publish
-from .sources import scan_csv, snapshot_dates, sql_relation
+from .sources import scan_csv, scan_csv_checked, snapshot_dates, sql_relation
 from .versions import append_version, drop_versions, publish_version
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -489,6 +489,61 @@ def published_versions_of_identifiers(spark, sf_dir):
     return _stored_rows(spark, name)
 
 
+def _flawed_lines(df):
+    """Text lines of a reference file; some lack a field, others have a text in place of the date."""
+    k = F.col("sec_id").cast("bigint")
+    day = F.when(k % 50 == 1, F.lit("n/a")).otherwise(F.col("file_eff_dt").cast("string"))
+    cells = [F.col("sec_id"), day, *(F.coalesce(c, F.lit("")) for c in ("parent_id_undr", "sedol_id", "ticker"))]
+    last = F.when(k % 70 == 2, F.array().cast("array<string>")).otherwise(F.array(F.coalesce("isin_id", F.lit(""))))
+    return F.array_join(F.concat(F.array(*cells), last), ",")
+
+
+@query
+def scan_csv_with_rejects(spark, sf_dir):
+    """A reference file with bad lines: its good rows, typed, and its rejects with their reasons."""
+    path, name = scratch_path(spark, "flawed-csv"), _scratch_name(spark, "rejects")
+    header = ",".join(f.split()[0] for f in REFERENCE_SCHEMA.split(", "))
+    equity = fx.ref_equity(spark, sf_dir)
+    (equity.select(_flawed_lines(equity).alias(header)).write.option("header", True)
+     .option("sep", "\u0001").option("quote", "\u0000").option("emptyValue", "").csv(path))
+    scan = scan_csv_checked(spark, path, REFERENCE_SCHEMA, quarantine=name)
+    bad = _stored_rows(spark, name) if scan.counts["rejects"] else scan.rejects
+    good = scan.rows.columns
+    return (scan.rows.withColumns({"line": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")})
+            .unionByName(bad.select(*(F.lit(None).cast(t).alias(c) for c, t in scan.rows.dtypes), "line", "reason"))
+            .select(*good, "line", "reason"))
+
+
+def _stand_in_service(first_run: bool):
+    """Stands in for the external symbol service: it answers by rule, nothing for some symbols and twice for others, and
+    in the first run it breaks down on some batches."""
+    def service(pdf):
+        import pandas as pd
+
+        if first_run and int(pdf["DATA_ID"].iloc[0]) % 3 == 0:
+            raise ConnectionError("the service is away")
+        out = pd.DataFrame({"DATA_ID": pdf["DATA_ID"], "prefix": pdf["prefix"], "SYMBOL_NAME": pdf["SYMBOL_NAME"],
+                            "resolved": pdf["prefix"].str[0] + pdf["SYMBOL_NAME"]})
+        twice = out[out["DATA_ID"] % 5 == 0].assign(resolved=lambda x: x["resolved"] + "+")
+        return pd.concat([out[out["DATA_ID"] % 7 != 0], twice])
+
+    return service
+
+
+@query
+def lookup_symbols_resumed(spark, sf_dir):
+    """Batches asked of a service that breaks down on the way; a second run asks for the rest."""
+    requests = materialize(symbol_requests(_enriched(spark, sf_dir)), "requests")
+    name, schema = _scratch_name(spark, "ledger"), "DATA_ID bigint, prefix string, SYMBOL_NAME string, resolved string"
+    try:
+        lookup_with_ledger(requests, _stand_in_service(True), schema, 500, name)
+    except ServiceFailed:
+        pass  # the batches that were answered are in the ledger
+    out = materialize(lookup_with_ledger(requests, _stand_in_service(False), schema, 500, name), "responses")
+    drop_versions(spark, name)
+    return out
+
+
 def _read_and_forget(spark, name):
     """The rows of a table whose files outlive its catalog entry."""
     path = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
