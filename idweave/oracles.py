@@ -353,6 +353,9 @@ ORACLES: dict[str, str] = {
     "published_versions_of_identifiers": _chain(LOOK, FILTERED, DEDUP3, IDED_RUNS, PREV, SNAP, REFS, ENRICHED,
                                                 SED_REQ, TICK_REQ, RESP, RESULT)
     + " SELECT *, 'historic' AS process_type FROM result",
+    "daily_identifiers": _chain(LOOK, FILTERED, DEDUP3, IDED_RUNS, PREV, SNAP, REFS, ENRICHED,
+                                SED_REQ, TICK_REQ, RESP, RESULT)
+    + " SELECT *, 'historic' AS process_type FROM result",
     "scan_csv_with_rejects": with_views("ref_equity") + """
       SELECT CASE WHEN good THEN sec_id END AS sec_id, CASE WHEN good THEN file_eff_dt END AS file_eff_dt,
              CASE WHEN good THEN parent_id_undr END AS parent_id_undr,

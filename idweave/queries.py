@@ -24,6 +24,7 @@ from .operators import (ServiceFailed, attach_symbols, duplicate_keys, audit_mis
                         previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
                         ticker_requests, union_snapshots, valid_requests)
 from .plans import identifiers as plan
+from .plans import publish_daily, publish_state
 from .session import materialize, scratch_path
 from .sinks import export_request_batches, export_requests, preview, publish
 from .sources import scan_csv, scan_csv_checked, snapshot_dates, sql_relation
@@ -544,6 +545,21 @@ def lookup_symbols_resumed(spark, sf_dir):
     return out
 
 
+@query
+def daily_identifiers(spark, sf_dir):
+    """A full run over the inputs before 1998, then a daily run with all that came later."""
+    src, name = _src(spark, sf_dir), _scratch_name(spark, "daily")
+    path = scratch_path(spark, "daily")
+    conditions = {"allocations": "trade_date_local < DATE'1998-01-01'", "snapshot_dates": "datadate < DATE'1998-01-01'",
+                  "securities": "datadate < DATE'1998-01-01'", "ref_equity": "file_eff_dt < 19980101",
+                  "ref_fund": "file_eff_dt < 19980101", "symbology": "valid_from < DATE'1996-01-01'"}
+    publish_state(fx.Sources(*(getattr(src, n).where(c) for n, c in conditions.items())), name, path=path)
+    changes = fx.Sources(*(getattr(src, n).where(f"NOT ({c})") for n, c in conditions.items()))
+    publish_daily(src, changes, name, path=path)
+    drop_versions(spark, f"{name}_ids")
+    return _stored_rows(spark, name)
+
+
 def _read_and_forget(spark, name):
     """The rows of a table whose files outlive its catalog entry."""
     path = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]

@@ -6,6 +6,10 @@ are the manifest: number, parts and properties of the version, and the versions
 are still stored. So the pointer and the manifest change in the same step, and a reader meets the rows of
 one version, whole, at any time. Versions that nobody needs are dropped after the step.
 
+Tables that belong to a version without being its rows, such as what an incremental run needs to know of
+the last one, are its *companions*: they are written with it, listed in its manifest and dropped with it,
+so that all of them change in the one step (``companion`` reads them).
+
 ``publish_version`` replaces the rows. ``append_version`` adds a part to those of the version before and
 rewrites nothing; when there are many parts they are stored as one.
 """
@@ -30,22 +34,27 @@ log = logging.getLogger("idweave")
 @dataclass(frozen=True)
 class Version:
     """A version of a table: its number from 1, the tables that hold its rows, values its writer noted,
-    and the stored versions before it as (number, parts)."""
+    the stored versions before it as (number, tables), and its companions by name."""
 
     number: int
     parts: tuple[str, ...]
     properties: dict = field(default_factory=dict)
     before: tuple[tuple[int, tuple[str, ...]], ...] = ()
+    companions: dict = field(default_factory=dict)
 
     def text(self) -> str:
         return json.dumps({"number": self.number, "parts": self.parts, "properties": self.properties,
-                           "before": self.before})
+                           "before": self.before, "companions": self.companions})
+
+    def tables(self) -> tuple[str, ...]:
+        """All tables of this version, not those of the versions before."""
+        return (*self.parts, *self.companions.values())
 
     @staticmethod
     def parse(text: str) -> Version:
         d = json.loads(text)
         return Version(d["number"], tuple(d["parts"]), d["properties"],
-                       tuple((n, tuple(parts)) for n, parts in d["before"]))
+                       tuple((n, tuple(parts)) for n, parts in d["before"]), d["companions"])
 
 
 class ConcurrentWrite(RuntimeError):
@@ -62,7 +71,8 @@ def current_version(spark: SparkSession, name: str) -> Version | None:
 
 def publish_version(df: DataFrame, name: str, partition_cols: Sequence[str] = (), path: str | None = None,
                     bucket_by: tuple | None = None, fmt: str = "parquet", keep: int = 1,
-                    check: Callable[[], None] | None = None, properties: dict | None = None) -> Version:
+                    check: Callable[[], None] | None = None, properties: dict | None = None,
+                    companions: dict[str, DataFrame] | None = None) -> Version:
     """Make the rows of ``df`` the next version of ``name``, and return it.
 
     Readers see the version before until all rows are written and the new one whole from then on.
@@ -74,8 +84,24 @@ def publish_version(df: DataFrame, name: str, partition_cols: Sequence[str] = ()
     """
     spark = df.sparkSession
     before = _found(spark, name)
-    part = _write(df, name, before.number + 1, partition_cols, path, bucket_by, fmt)
-    return _commit(spark, name, before, [part], [part], keep, check, properties)
+    written, beside = [], {}
+    try:
+        for key, extra in (companions or {}).items():
+            beside[key] = _write(extra, name, before.number + 1, (), path, None, fmt)
+            written.append(beside[key])
+        part = _write(df, name, before.number + 1, partition_cols, path, bucket_by, fmt)
+    except Exception:
+        _drop(spark, written)
+        raise
+    return _commit(spark, name, before, [part], [part, *written], keep, check, properties, beside)
+
+
+def companion(spark: SparkSession, name: str, key: str) -> DataFrame:
+    """The companion ``key`` of the current version of ``name``."""
+    version = current_version(spark, name)
+    if version is None or key not in version.companions:
+        raise ValueError(f"{name} has no companion {key!r}")
+    return spark.table(version.companions[key])
 
 
 def append_version(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet", keep: int = 1,
@@ -100,7 +126,7 @@ def drop_before(spark: SparkSession, name: str) -> None:
     version = current_version(spark, name)
     if version and version.before:
         _point(spark, name, replace(version, before=()))
-        _drop(spark, {p for _, parts in version.before for p in parts} - set(version.parts))
+        _drop(spark, {p for _, tables in version.before for p in tables} - set(version.tables()))
 
 
 def drop_versions(spark: SparkSession, name: str) -> None:
@@ -108,13 +134,13 @@ def drop_versions(spark: SparkSession, name: str) -> None:
     version = current_version(spark, name)
     if version:
         spark.sql(f"DROP VIEW {name}")
-        _drop(spark, {*version.parts, *(p for _, parts in version.before for p in parts)})
+        _drop(spark, {*version.tables(), *(p for _, tables in version.before for p in tables)})
 
 
 def unlisted_parts(spark: SparkSession, name: str) -> list[str]:
     """Parts that no stored version lists: of a writer that is still writing, or that has died."""
     version = current_version(spark, name) or Version(0, ())
-    listed = {p.rpartition(".")[2] for p in (*version.parts, *(p for _, parts in version.before for p in parts))}
+    listed = {p.rpartition(".")[2] for p in (*version.tables(), *(p for _, ts in version.before for p in ts))}
     db, _, own = name.rpartition(".")
     tables = spark.catalog.listTables(db) if db else spark.catalog.listTables()
     prefix = f"{own}__v".lower()
@@ -157,13 +183,13 @@ def _write(df: DataFrame, name: str, number: int, partition_cols, path, bucket_b
 
 
 def _commit(spark: SparkSession, name: str, before: Version, parts: list[str], written: list[str], keep: int,
-            check: Callable[[], None] | None, properties: dict | None) -> Version:
+            check: Callable[[], None] | None, properties: dict | None, companions: dict | None = None) -> Version:
     plain = name in before.parts
     moved = f"{name}__v0_{uuid.uuid4().hex[:12]}"
     if plain:
         before, parts = replace(before, parts=(moved,)), [moved if p == name else p for p in parts]
-    stored = ((before.number, before.parts), *before.before) if before.parts else ()
-    new = Version(before.number + 1, tuple(parts), properties or {}, stored[:keep])
+    stored = ((before.number, before.tables()), *before.before) if before.parts else ()
+    new = Version(before.number + 1, tuple(parts), properties or {}, stored[:keep], companions or {})
     try:
         if check is not None:
             check()
@@ -181,7 +207,7 @@ def _commit(spark: SparkSession, name: str, before: Version, parts: list[str], w
     except Exception:
         _drop(spark, written)
         raise
-    needed = {*new.parts, *(p for _, ps in new.before for p in ps)}
+    needed = {*new.tables(), *(p for _, ps in new.before for p in ps)}
     _drop(spark, {p for _, ps in stored for p in ps} - needed)
     log.info("%s is at version %d: %s", name, new.number, ", ".join(parts))
     return new
