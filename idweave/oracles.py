@@ -353,6 +353,20 @@ ORACLES: dict[str, str] = {
     "published_versions_of_identifiers": _chain(LOOK, FILTERED, DEDUP3, IDED_RUNS, PREV, SNAP, REFS, ENRICHED,
                                                 SED_REQ, TICK_REQ, RESP, RESULT)
     + " SELECT *, 'historic' AS process_type FROM result",
+    "compressed_snapshots": with_views("securities") + """,
+      days AS (SELECT datadate, CAST(row_number() OVER (ORDER BY datadate) AS INTEGER) AS no FROM snapshot_dates),
+      rows AS (SELECT s.*, no, concat_ws('|', ext_sec_id, coalesce(cusip, '-'), coalesce(isin_no, '-'), sec_currency,
+                                         ticker) AS v
+               FROM securities s JOIN days USING (datadate)),
+      firsts AS (SELECT a.* FROM rows a WHERE NOT EXISTS (
+        SELECT 1 FROM rows b WHERE b.sec_id = a.sec_id AND b.no = a.no - 1 AND b.v = a.v))
+      SELECT f.sec_id, f.datadate AS valid_from, l.datadate AS valid_to, f.no AS first_no, l.no AS last_no,
+             f.ext_sec_id, f.cusip, f.isin_no, f.sec_currency, f.ticker
+      FROM firsts f JOIN rows l ON l.sec_id = f.sec_id AND l.no = (
+        SELECT min(e.no) FROM rows e WHERE e.sec_id = f.sec_id AND e.no >= f.no AND NOT EXISTS (
+          SELECT 1 FROM rows g WHERE g.sec_id = e.sec_id AND g.no = e.no + 1 AND g.v = e.v))""",
+    "expanded_snapshots": with_views("securities") + " SELECT * FROM securities",
+    "join_snapshot_intervals": _chain(HIST_VIEWS, FILTERED, DEDUP3, IDED, PREV, SNAP) + " SELECT * FROM snap",
     "daily_identifiers": _chain(LOOK, FILTERED, DEDUP3, IDED_RUNS, PREV, SNAP, REFS, ENRICHED,
                                 SED_REQ, TICK_REQ, RESP, RESULT)
     + " SELECT *, 'historic' AS process_type FROM result",

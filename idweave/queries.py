@@ -19,9 +19,11 @@ from .constants import AUDIT_ALL, AUDIT_ANY, DEDUP_KEYS_2, DEDUP_KEYS_3, REFEREN
 from .functions import normalize_dates, prefix_columns, tag
 from .functions.dates import timestamp_text, yyyymmdd_text
 from .operators import (ServiceFailed, attach_symbols, duplicate_keys, audit_missing, batch_requests,
-                        dedup_allocations, filter_allocations, join_reference, join_snapshot,
+                        compress_snapshots, dedup_allocations, expand_intervals, filter_allocations,
+                        join_intervals, join_reference, join_snapshot,
                         lookup_symbols, lookup_with_ledger, merge_responses, previous_snapshot,
-                        previous_snapshot_by_key, sedol_requests, stage_counts, symbol_requests,
+                        previous_snapshot_by_key, sedol_requests, snapshot_calendar, stage_counts,
+                        symbol_requests,
                         ticker_requests, union_snapshots, valid_requests)
 from .plans import identifiers as plan
 from .plans import publish_daily, publish_state
@@ -545,6 +547,33 @@ def lookup_symbols_resumed(spark, sf_dir):
     return out
 
 
+STEADY = ("ext_sec_id", "cusip", "isin_no", "sec_currency", "ticker")  # the fixture's sedol changes every quarter
+
+
+@query
+def compressed_snapshots(spark, sf_dir):
+    """U4: the security master as validity ranges of the identifiers that stay."""
+    src = _src(spark, sf_dir)
+    return compress_snapshots(src.securities, snapshot_calendar(src.snapshot_dates), columns=STEADY)
+
+
+@query
+def expanded_snapshots(spark, sf_dir):
+    """U4: the ranges of all identifiers, and the snapshots that come back from them."""
+    src = _src(spark, sf_dir)
+    calendar = snapshot_calendar(src.snapshot_dates)
+    return expand_intervals(materialize(compress_snapshots(src.securities, calendar), "ranges"), calendar)
+
+
+@query
+def join_snapshot_intervals(spark, sf_dir):
+    """J7 on the ranges: the identifiers of the previous snapshot."""
+    src = _src(spark, sf_dir)
+    ranges = materialize(compress_snapshots(src.securities, snapshot_calendar(src.snapshot_dates)), "ranges")
+    prev = previous_snapshot(plan.allocations_with_ids(src), src.snapshot_dates)
+    return join_intervals(prev, ranges, on="snapshot_date")
+
+
 @query
 def daily_identifiers(spark, sf_dir):
     """A full run over the inputs before 1998, then a daily run with all that came later."""
