@@ -11,9 +11,11 @@ Words are known by a 64-bit hash, so any length costs the same.
    unseen ones, whose emissions are their add-one counts.
 3. *Exchange clustering.* From the bigrams of all neighbouring words, unclassed ones and the end
    token included: each word moves to the class that raises the likelihood of the class bigrams most while the
-   others stay. Where so many moves at once lower it, they are taken back and from then on half as many words
-   move in a turn. Turns end when all words have had theirs and the likelihood rose by less than ``RISE``. A turn is
-   two Spark jobs over the bigrams, stored by word: the moves, then the class grid. Tasks
+   others stay. Where so many moves at once lower it, they are taken back and half as many words, chosen by
+   hash, move in the turns that follow. A pass are turns that together give every word its chance on average; the exchange ends
+   when a pass raised the likelihood by less than ``RISE``, or fewer than ``LEAST`` of the words may move. A turn is
+   two Spark jobs over the bigrams: the moves, then the class grid, which Spark sums. Tasks
+   count bigrams and shuffle them once, packed, in blocks of the words of a bucket. Tasks
    return the words that change; the label array (4 bytes a classed word) is sent to them.
 4. *Scores.* Class transitions are smoothed towards the classes' shares. The history of a token is
    the class of the word before it, at the start that of the end token.
@@ -25,18 +27,22 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, materialize, worker_table
 
 LOCAL = 1 << 18
-RISE = 1e-3        # turns end when all words have moved and the likelihood rose by less than this share
+RISE = 5e-3        # the exchange ends when a pass raised the likelihood by less than this share ...
+LEAST = 1 / 16     # ... or when no more than this share of the words may move in a turn
 ALPHA = 50.0       # weight of the classes' shares in a transition
 RARE = -1          # the mark of a word that is not in the local table
-HOT = 256          # words whose bigrams are dealt to many tasks ...
-SALTS = 64         # ... at most so many
-CHUNK = 1 << 14    # bigrams stored together, at least
+HOT = 256          # words whose bigrams are dealt to all buckets
+BUCKET = 1 << 20   # tokens whose bigrams are stored together, on average
+CHUNK = 1 << 21    # bigrams that a task holds before it passes them on
+MOST_WORDS = (1 << 31) - 4
+FEW = 16           # counts up to this are looked up when a word is moved
 PIECE = 4 << 20    # bytes of text hashed together
 
 _SEP = np.zeros(256, bool)
@@ -251,30 +257,6 @@ def fill_rare(texts: DataFrame, rare: DataFrame, other: int) -> DataFrame:
                              "ids binary"))
 
 
-def _counted(texts: DataFrame, keys, name: str) -> DataFrame:
-    """Sum over all texts of the keys ``keys(arrays of ids)`` gives: (name, n)."""
-    def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = [np.frombuffer(b, np.int32) for b in batch.column("ids").slice(at, 2048).to_pylist()]
-                held.append(np.unique(keys(part), return_counts=True))
-                size += len(held[-1][0])
-                if size > 4_000_000:
-                    yield _sum(held, name)
-                    held, size = [], 0
-        if held:
-            yield _sum(held, name)
-
-    return texts.select("ids").mapInArrow(run, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n"))
-
-
-def _sum(held, name: str) -> pa.RecordBatch:
-    key, at = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-    n = np.bincount(at, np.concatenate([x[1] for x in held]), len(key)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(n)], names=[name, "n"])
-
-
 def _sentences(part: list[np.ndarray], end: int) -> np.ndarray:
     """The texts one after another, each closed (and so the next one begun) by the end token."""
     stop = np.array([end], np.int32)
@@ -294,8 +276,14 @@ def _likelihood(grid: np.ndarray) -> float:
     return float(_xlogx(grid).sum() - margins + _xlogx(grid.sum()))
 
 
+def move_tables(grid: np.ndarray, classes: int):
+    """For counts up to ``FEW`` what a cell gains in x log x: per direction [count, neighbour's class, own class]."""
+    few = np.arange(min(FEW, (1 << 22) // max(grid.size, 1)) + 1.0)[:, None, None]
+    return [_xlogx(g[:classes].T[None] + few) - _xlogx(g[:classes].T)[None] for g in (grid, grid.T)]
+
+
 def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.ndarray, grid: np.ndarray,
-                 classes: int) -> np.ndarray:
+                 classes: int, tables=None) -> np.ndarray:
     """For each word the class below ``classes`` that raises the likelihood of the class bigrams
     ``grid`` most while all other words stay. A row of ``succ`` and ``pred`` has the word's counts
     by class behind and before it; ``loop`` are its pairs with itself, counted in both. Words
@@ -303,14 +291,21 @@ def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.n
     rows = np.arange(len(own))
     left, right, corner = grid.sum(axis=1), grid.sum(axis=0), np.diag(grid)
     gain, stay = np.zeros((len(own), classes)), np.zeros(len(own))
-    for counts, before, g in ((succ, pred, grid), (pred, succ, grid.T)):
+    tables = tables or move_tables(grid, classes)
+    for counts, before, g, table in ((succ, pred, grid, tables[0]), (pred, succ, grid.T, tables[1])):
         apart = counts.copy()
         apart[rows, own] = 0
         word, k = np.nonzero(apart)
         n = apart[word, k]
+        for part in (n < len(table), n >= len(table)):
+            at, to, m = word[part], k[part], n[part]
+            if not len(at):
+                continue
+            more = (table[m.astype(np.int64), to] if m[0] < len(table)
+                    else _xlogx(g[:classes, to].T + m[:, None]) - _xlogx(g[:classes, to].T))
+            start = np.flatnonzero(np.diff(at, prepend=-1))
+            gain[at[start]] += np.add.reduceat(more, start)
         if len(word):
-            start = np.flatnonzero(np.diff(word, prepend=-1))
-            gain[word[start]] += np.add.reduceat(_xlogx(g[:classes, k].T + n[:, None]) - _xlogx(g)[:classes, k].T, start)
             stay += np.bincount(word, _xlogx(g[own[word], k]) - _xlogx(g[own[word], k] - n), len(own))
         # the cells towards the word's own class lack what the word itself has there
         cell = g[:classes, own].T - before[:, :classes]
@@ -333,68 +328,130 @@ def best_class(own: int, succ: np.ndarray, pred: np.ndarray, loop: float, grid:
                             np.array([float(loop)]), grid, len(grid))[0])
 
 
-def _neighbours(pairs: DataFrame, size: int) -> DataFrame:
-    """The bigrams (pair = first * (size + 2) + second, n) of either word, as arrays: w ascending, code = 2 * other +
-    (1 if the other word is before w), n. All rows of a word are in one array, but those of
-    the HOT most frequent ones and of the two marks, which are dealt to many tasks."""
-    base = size + 2
-    first, second = F.expr(f"pair div {base}L"), F.expr(f"pair % {base}L")
-    sides = F.array(F.struct(first.alias("w"), (second * 2).alias("code")),
-                    F.struct(second.alias("w"), (first * 2 + 1).alias("code")))
-    rows = (pairs.select(F.explode(sides).alias("s"), "n").select("s.w", "s.code", "n")
-            .where((F.col("w") <= size) | (F.col("code") % 2 == 0)))  # unclassed words do not move
-    hot = (F.col("w") < HOT) | (F.col("w") >= size)
-    deal = F.when(hot, F.pmod(F.xxhash64("code"), F.lit(SALTS))).otherwise(0)
-    rows = rows.repartition("w", deal).sortWithinPartitions("w")
-
-    def pack(batches):
-        def emit(arrays):
-            return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays],
-                                              names=["w", "code", "n"])
-
-        held = [np.zeros(0, np.int64)] * 3
+def _packed(w: np.ndarray, code: np.ndarray, n: np.ndarray) -> bytes:
+    """Rows sorted by word and code: differences, byte by byte of equal weight, compressed."""
+    planes = [np.diff(x.astype(np.uint32), prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T for x in (w, code)]
+    planes.append(n.astype(np.int64).view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(np.concatenate(planes).tobytes())
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(16, -1)
+    w, code = (np.cumsum(np.ascontiguousarray(planes[k:k + 4].T).view(np.uint32).ravel(), dtype=np.uint32).astype(np.int64)
+               for k in (0, 4))
+    return w, code, np.ascontiguousarray(planes[8:].T).view(np.int64).ravel()
+
+
+def _merged(parts) -> tuple[np.ndarray, ...]:
+    """Rows (key columns, the first one leading, then n) in order, equal keys once with the sum of their n."""
+    *keys, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort(keys[::-1])
+    keys, n = [k[order] for k in keys], n[order]
+    new = np.ones(len(n), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    start = np.flatnonzero(new)
+    return (*(k[start] for k in keys), np.add.reduceat(n, start) if len(start) else n)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    h = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(32))
+
+
+def bigrams(texts: DataFrame, size: int, tokens: int) -> DataFrame:
+    """The bigrams of either word: rows (bucket, data), data holding w ascending, code = 2 * other + (1 if the
+    other word is before w), and n. All rows of a word are in one bucket, but those of the HOT most
+    frequent ones and of the two marks, which are dealt to all. A bucket has those of about ``BUCKET`` tokens."""
+    base, buckets = size + 2, max(8, tokens // BUCKET)
+
+    def count(batches):
+        worker_table("class_lm")
+        held, waiting = [], 0
+
+        def emit():
+            pair, n = _merged(held)
+            first, second = pair // base, pair % base
+            w, code = np.concatenate([first, second]), np.concatenate([second * 2, first * 2 + 1])
+            n = np.concatenate([n, n])
+            keep = (w <= size) | (code % 2 == 0)  # unclassed words do not move
+            w, code, n = w[keep], code[keep], n[keep]
+            dealt = (w < HOT) | (w >= size)
+            bucket = (_mixed(np.where(dealt, code, w)) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((code, w, bucket))
+            bucket, w, code, n = bucket[order], w[order], code[order], n[order]
+            edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+            for at in range(0, len(edge) - 1, 256):
+                spans = list(zip(edge[at:at + 256].tolist(), edge[at + 1:at + 257].tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[[a for a, _ in spans]]),
+                     pa.array([_packed(w[a:b], code[a:b], n[a:b]) for a, b in spans], pa.binary())],
+                    names=["bucket", "data"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                x = _sentences([np.frombuffer(b, np.int32) for b in batch.column("ids").slice(at, 2048).to_pylist()],
+                               size).astype(np.int64)
+                held.append(np.unique(x[:-1] * base + x[1:], return_counts=True))
+                waiting += len(held[-1][0])
+                if waiting > 2 * CHUNK:
+                    held = [_merged(held)]
+                    waiting = len(held[0][0])
+                    if waiting > CHUNK:
+                        yield from emit()
+                        held, waiting = [], 0
+        if held:
+            yield from emit()
+
+    def merge(batches):
+        at, held = None, []
         for batch in batches:
-            held = [np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip(held, batch.columns)]
-            if len(held[0]) >= CHUNK:
-                cut = int(np.searchsorted(held[0], held[0][-1]))
-                if cut:
-                    yield emit([x[:cut] for x in held])
-                    held = [x[cut:] for x in held]
-        if len(held[0]):
-            yield emit(held)
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
+                if held and bucket != at:
+                    yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([_packed(*_merged(held))], pa.binary())],
+                                                     names=["bucket", "data"])
+                    held = []
+                at = bucket
+                held.append(_unpacked(data))
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([_packed(*_merged(held))], pa.binary())],
+                                             names=["bucket", "data"])
 
-    return materialize(rows.mapInArrow(pack, "w binary, code binary, n binary"), "bigrams")
+    schema = "bucket long, data binary"
+    rows = texts.select("ids").mapInArrow(count, schema).repartition("bucket").sortWithinPartitions("bucket")
+    return materialize(rows.mapInArrow(merge, schema), "bigrams")
 
 
 def _arrays(batches):
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            yield [np.frombuffer(x, np.int64) for x in row]
+        for data in batch.column("data").to_pylist():
+            yield _unpacked(data)
 
 
 def class_grid(stored: DataFrame, label: np.ndarray, kinds: int) -> np.ndarray:
-    """Counts of (class, class of the next word); each task returns kinds ** 2 numbers."""
+    """Counts of (class, class of the next word), summed by Spark: ``kinds`` ** 2 numbers reach the driver."""
     sent = stored.sparkSession.sparkContext.broadcast(label)
 
     def run(batches):
-        own, grid = sent.value, np.zeros(kinds * kinds)
+        own, grid = sent.value, np.zeros(kinds * kinds, np.int64)
         for w, code, n in _arrays(batches):
             ahead = code & 1 == 0
             cell = own[w[ahead]].astype(np.int64) * kinds + own[code[ahead] >> 1]
-            grid += np.bincount(cell, n[ahead], kinds * kinds)
-        yield pa.RecordBatch.from_arrays([pa.array([grid.tobytes()], pa.binary())], names=["grid"])
+            grid += np.bincount(cell, n[ahead], kinds * kinds).astype(np.int64)
+        some = np.flatnonzero(grid)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(grid[some])], names=["cell", "n"])
 
-    grid = np.zeros(kinds * kinds)
-    for r in stored.mapInArrow(run, "grid binary").collect():
-        grid += np.frombuffer(r.grid)
+    found = (stored.select("data").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+             .toArrow())
     sent.unpersist()
+    grid = np.zeros(kinds * kinds)
+    grid[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return grid.reshape(kinds, kinds)
 
 
 def _class_sums(w, code, n, label, kinds):
     """(words, succ, pred, loop) of rows sorted by word."""
-    edge = np.flatnonzero(np.diff(w, prepend=-1))
-    row = np.cumsum(np.diff(w, prepend=-1) != 0) - 1
+    new = np.diff(w, prepend=-1) != 0
+    edge, row = np.flatnonzero(new), np.cumsum(new) - 1
     cell = row * (2 * kinds) + (code & 1) * kinds + label[code >> 1]
     sums = np.bincount(cell, n, len(edge) * 2 * kinds).reshape(-1, 2 * kinds)
     loop = np.bincount(row, n * (code == 2 * w), len(edge))
@@ -409,23 +466,26 @@ def moved(stored: DataFrame, label: np.ndarray, grid: np.ndarray, size: int, cho
 
     def run(batches):
         own, grid = sent.value
+        tables = move_tables(grid, kinds - 1)
         words, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         hot = {}
         for w, code, n in _arrays(batches):
             take = chosen(w)
             if not take.any():
                 continue
-            w, succ, pred, loop = _class_sums(w[take], code[take], n[take], own, kinds)
-            dealt = (w < HOT) | (w >= size)
-            for k in np.flatnonzero(dealt):
-                sums = np.concatenate([succ[k], pred[k], loop[k:k + 1]])
-                hot[int(w[k])] = hot.get(int(w[k]), 0) + sums
-            w, succ, pred, loop = (x[~dealt] for x in (w, succ, pred, loop))
-            for at in range(0, len(w), 1024):
-                part = slice(at, at + 1024)
-                was = own[w[part]].astype(np.int64)
-                to = best_classes(was, succ[part], pred[part], loop[part], grid, kinds - 1)
-                words.append(w[part][to != was])
+            w, code, n = w[take], code[take], n[take]
+            edge = np.append(np.flatnonzero(np.diff(w, prepend=-1)), len(w))
+            for at in range(0, len(edge) - 1, 4096):  # so many words together
+                span = slice(edge[at], edge[min(at + 4096, len(edge) - 1)])
+                k, succ, pred, loop = _class_sums(w[span], code[span], n[span], own, kinds)
+                dealt = (k < HOT) | (k >= size)
+                for j in np.flatnonzero(dealt):
+                    sums = np.concatenate([succ[j], pred[j], loop[j:j + 1]])
+                    hot[int(k[j])] = hot.get(int(k[j]), 0) + sums
+                k, succ, pred, loop = (x[~dealt] for x in (k, succ, pred, loop))
+                was = own[k].astype(np.int64)
+                to = best_classes(was, succ, pred, loop, grid, kinds - 1, tables)
+                words.append(k[to != was])
                 found.append(to[to != was])
         sums = np.array(list(hot.values()), float)
         yield pa.RecordBatch.from_arrays(
@@ -434,7 +494,7 @@ def moved(stored: DataFrame, label: np.ndarray, grid: np.ndarray, size: int, cho
             names=["w", "class", "hot", "sums"])
 
     out, hot = label.copy(), {}
-    for r in stored.mapInArrow(run, "w binary, class binary, hot binary, sums binary").collect():
+    for r in stored.select("data").mapInArrow(run, "w binary, class binary, hot binary, sums binary").collect():
         out[np.frombuffer(r["w"], np.int64)] = np.frombuffer(r["class"], np.int64)
         for w, sums in zip(np.frombuffer(r.hot, np.int64).tolist(), np.frombuffer(r.sums).reshape(-1, 2 * kinds + 1)):
             hot[w] = hot.get(w, 0) + sums
@@ -445,29 +505,39 @@ def moved(stored: DataFrame, label: np.ndarray, grid: np.ndarray, size: int, cho
     return out
 
 
-def exchange(pairs: DataFrame, size: int, exchanged: int, classes: int,
+def exchange(stored: DataFrame, size: int, exchanged: int, classes: int,
              rounds: int | None) -> tuple[np.ndarray, np.ndarray]:
     """(labels of the words 0..size-1, of the end token ``size`` and of the unclassed words
-    size + 1, class grid) from the bigrams (pair = first * (size + 2) + second, n)."""
-    stored = _neighbours(pairs, size)
-    label = (np.arange(size + 2) % classes).astype(np.int32)
-    label[exchanged:size] = label[size + 1] = classes
-    best, most, before = label, -np.inf, -np.inf
-    parts, part, turn = 1, 0, 0
-    while True:
+    size + 1, class grid) from the stored ``bigrams``."""
+    best = (np.arange(size + 2) % classes).astype(np.int32)
+    best[exchanged:size] = best[size + 1] = classes
+    best_grid = class_grid(stored, best, classes + 1)
+    most = before = _likelihood(best_grid)
+    share, had, turn = 1.0, 0.0, 0
+    while share >= LEAST and turn != rounds:
+        turn += 1
+        limit, salt = np.uint64(int(share * 1024)), np.uint64(turn * 0x632BE5AB)
+
+        def chosen(w, limit=limit, salt=salt):
+            here = _mixed(w.astype(np.uint64) ^ salt) >> np.uint64(7) & np.uint64(1023)
+            return ((w < exchanged) | (w == size)) & (here < limit)
+
+        label = moved(stored, best, best_grid, size, chosen)
+        if (label == best).all():
+            if share == 1:
+                break  # no word has a better class
+            had += share
+            continue
         grid = class_grid(stored, label, classes + 1)
         value = _likelihood(grid)
-        if value < most - 1e-9 * abs(most):  # too many words moved at once: back, and fewer from now on
-            parts, part = parts * 2, 0
-        else:
-            best, most, best_grid = label, value, grid
-        if turn == rounds or (part == 0 and turn > 0 and value >= most and most <= before + RISE * abs(most)):
-            break
-        if part == 0:
-            before = most
-        label = moved(stored, best, best_grid, size, lambda w, parts=parts, part=part: (
-            ((w < exchanged) | (w == size)) & (w % parts == part)))
-        part, turn = (part + 1) % parts, turn + 1
+        if value <= most:  # too many words moved at once: back, and fewer from now on
+            share /= 2
+            continue
+        best, best_grid, most, had = label, grid, value, had + share
+        if had >= 1:
+            if most - before < RISE * abs(most):
+                break
+            before, had = most, 0.0
     if exchanged < size:  # the others join the class that fits both their sides best
         best = moved(stored, best, best_grid, size, lambda w: (w >= exchanged) & (w < size))
         best_grid = class_grid(stored, best, classes + 1)
@@ -508,17 +578,15 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
     near = int((c >= cuts[1]).sum())  # the classed words of the local table
     movable = min(movable, size)
     classes = class_count(size)
+    if size >= MOST_WORDS:
+        raise ValueError(f"{size} words occur twice; numbers of words end at {MOST_WORDS}")
 
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     coded = materialize(encode(docs, h, c, near, size + 1), "encoded")
     rare = number_rare(words.where(F.col("c") < cuts[0]), cuts[1], near)
     texts = materialize(fill_rare(coded, rare, size + 1), "numbered")
 
-    def keys(part):
-        x = _sentences(part, size).astype(np.int64)
-        return x[:-1] * (size + 2) + x[1:]
-
-    label, grid = exchange(_counted(texts.where(~F.col("held_out")), keys, "pair"), size, movable, classes, rounds)
+    label, grid = exchange(bigrams(texts.where(~F.col("held_out")), size, n_train), size, movable, classes, rounds)
     tokens = grid.sum(axis=0)
     share = (tokens + 1) / (grid.sum() + classes + 1)
     step = np.log10((grid + ALPHA * share) / (grid.sum(axis=1, keepdims=True) + ALPHA))
