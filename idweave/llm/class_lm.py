@@ -11,8 +11,8 @@ Words are known by a 64-bit hash, so any length costs the same.
    unseen ones, whose emissions are their add-one counts.
 3. *Exchange clustering.* From the bigrams of all neighbouring words, unclassed ones and the end
    token included: each word moves to the class that raises the likelihood of the class bigrams most while the
-   others stay. Where so many moves at once lower it, they are taken back and half as many words, chosen by
-   hash, move in the turns that follow. A pass are turns that together give every word its chance on average; the exchange ends
+   others stay. Where so many moves at once lower it, they are taken
+   back, and half as many words, chosen by hash, may move in the turns that follow. A pass are turns that together give every word its chance on average; the exchange ends
    when a pass raised the likelihood by less than ``RISE``, or fewer than ``LEAST`` of the words may move. A turn is
    two Spark jobs over the bigrams: the moves, then the class grid, which Spark sums. Tasks
    count bigrams and shuffle them once, packed, in blocks of the words of a bucket. Tasks
@@ -31,18 +31,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize, worker_table
+from ..session import delete_folder
+from .common import id_text, materialize, scratch_path, worker_table
 
 LOCAL = 1 << 18
-RISE = 5e-3        # the exchange ends when a pass raised the likelihood by less than this share ...
+RISE = 1e-2        # the exchange ends when a pass raised the likelihood by less than this share ...
 LEAST = 1 / 16     # ... or when no more than this share of the words may move in a turn
 ALPHA = 50.0       # weight of the classes' shares in a transition
 RARE = -1          # the mark of a word that is not in the local table
 HOT = 256          # words whose bigrams are dealt to all buckets
 BUCKET = 1 << 20   # tokens whose bigrams are stored together, on average
 CHUNK = 1 << 21    # bigrams that a task holds before it passes them on
-MOST_WORDS = (1 << 31) - 4
-FEW = 16           # counts up to this are looked up when a word is moved
+MOST_WORDS = (1 << 30) - 4  # word and code share 64 bits
+TOGETHER = 512     # words that are moved together in a task
+FEW = 40           # counts up to this are looked up when a word is moved
 PIECE = 4 << 20    # bytes of text hashed together
 
 _SEP = np.zeros(256, bool)
@@ -216,7 +218,7 @@ def encode(docs: DataFrame, h: np.ndarray, c: np.ndarray, classed: int, other: i
                     [*(part.column(x) for x in ("row", "doc_id", "held_out")), pa.array(count),
                      pa.array([int(known[a:b].sum()) for a, b in pairs], pa.int64()),
                      pa.array([float(gain[a:b].sum()) for a, b in pairs], pa.float64()),
-                     pa.array([ids[a:b].tobytes() for a, b in pairs], pa.binary()),
+                     pa.array([_planes(ids[a:b]) for a, b in pairs], pa.binary()),
                      pa.array([words[a:b][~known[a:b]].view(np.int64).tolist() for a, b in pairs],
                               pa.list_(pa.int64()))],
                     names=["row", "doc_id", "held_out", "n_words", "n_local", "log_local", "ids", "rare"])
@@ -237,12 +239,12 @@ def fill_rare(texts: DataFrame, rare: DataFrame, other: int) -> DataFrame:
         for batch in batches:
             out = []
             for ids, at, number in zip(*(batch.column(x).to_pylist() for x in ("ids", "at", "id"))):
-                x = np.frombuffer(ids, np.int32).copy()
+                x = _numbers(ids)
                 gap = np.flatnonzero(x == RARE)
                 x[gap] = other
                 if at:
                     x[gap[at]] = number
-                out.append(x.tobytes())
+                out.append(_planes(x))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(x) for x in ("doc_id", "held_out", "n_words", "n_known", "log_sum")),
                  pa.array(out, pa.binary())],
@@ -257,6 +259,15 @@ def fill_rare(texts: DataFrame, rare: DataFrame, other: int) -> DataFrame:
                              "ids binary"))
 
 
+def _planes(ids: np.ndarray) -> bytes:
+    """32-bit numbers, bytes of equal weight together: what is mostly zero then compresses well."""
+    return ids.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view(np.int32).ravel()
+
+
 def _sentences(part: list[np.ndarray], end: int) -> np.ndarray:
     """The texts one after another, each closed (and so the next one begun) by the end token."""
     stop = np.array([end], np.int32)
@@ -279,7 +290,7 @@ def _likelihood(grid: np.ndarray) -> float:
 def move_tables(grid: np.ndarray, classes: int):
     """For counts up to ``FEW`` what a cell gains in x log x: per direction [count, neighbour's class, own class]."""
     few = np.arange(min(FEW, (1 << 22) // max(grid.size, 1)) + 1.0)[:, None, None]
-    return [_xlogx(g[:classes].T[None] + few) - _xlogx(g[:classes].T)[None] for g in (grid, grid.T)]
+    return [(_xlogx(g[:classes].T[None] + few) - _xlogx(g[:classes].T)[None]).astype(np.float32) for g in (grid, grid.T)]
 
 
 def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.ndarray, grid: np.ndarray,
@@ -293,6 +304,7 @@ def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.n
     gain, stay = np.zeros((len(own), classes)), np.zeros(len(own))
     tables = tables or move_tables(grid, classes)
     for counts, before, g, table in ((succ, pred, grid, tables[0]), (pred, succ, grid.T, tables[1])):
+        logs = _xlogx(g)
         apart = counts.copy()
         apart[rows, own] = 0
         word, k = np.nonzero(apart)
@@ -302,19 +314,24 @@ def best_classes(own: np.ndarray, succ: np.ndarray, pred: np.ndarray, loop: np.n
             if not len(at):
                 continue
             more = (table[m.astype(np.int64), to] if m[0] < len(table)
-                    else _xlogx(g[:classes, to].T + m[:, None]) - _xlogx(g[:classes, to].T))
+                    else _xlogx(g.T[to, :classes] + m[:, None]) - logs.T[to, :classes])
             start = np.flatnonzero(np.diff(at, prepend=-1))
             gain[at[start]] += np.add.reduceat(more, start)
         if len(word):
-            stay += np.bincount(word, _xlogx(g[own[word], k]) - _xlogx(g[own[word], k] - n), len(own))
+            stay += np.bincount(word, logs[own[word], k] - _xlogx(g[own[word], k] - n), len(own))
         # the cells towards the word's own class lack what the word itself has there
-        cell = g[:classes, own].T - before[:, :classes]
-        gain += _xlogx(cell + (counts[rows, own] - loop)[:, None]) - _xlogx(cell)
-    d, s, p = corner[:classes], succ[:, :classes], pred[:, :classes]
-    gain += _xlogx(d + s + p + loop[:, None]) + _xlogx(d) - _xlogx(d + s) - _xlogx(d + p)
+        within = counts[rows, own] - loop
+        at = np.flatnonzero(within)
+        cell = g[:classes, own[at]].T - before[at, :classes]
+        gain[at] += _xlogx(cell + within[at, None]) - _xlogx(cell)
+    # the cell of a class with itself gets both sides; without any there nothing changes
+    word, k = np.nonzero((succ[:, :classes] + pred[:, :classes] > 0) | (loop > 0)[:, None])
+    d, s, p = corner[k], succ[word, k], pred[word, k]
+    gain[word, k] += _xlogx(d + s + p + loop[word]) + _xlogx(d) - _xlogx(d + s) - _xlogx(d + p)
     stay += _xlogx(corner[own]) - _xlogx(corner[own] - succ[rows, own] - pred[rows, own] + loop)
     for margin, n in ((left, succ.sum(axis=1)), (right, pred.sum(axis=1))):
-        gain -= _xlogx(margin[:classes] + n[:, None]) - _xlogx(margin[:classes])
+        total, which = np.unique(n, return_inverse=True)
+        gain -= (_xlogx(margin[:classes] + total[:, None]) - _xlogx(margin[:classes]))[which]
         stay -= _xlogx(margin[own]) - _xlogx(margin[own] - n)
     inside = own < classes
     gain[rows[inside], own[inside]] = stay[inside]
@@ -342,15 +359,15 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return w, code, np.ascontiguousarray(planes[8:].T).view(np.int64).ravel()
 
 
-def _merged(parts) -> tuple[np.ndarray, ...]:
-    """Rows (key columns, the first one leading, then n) in order, equal keys once with the sum of their n."""
-    *keys, n = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort(keys[::-1])
-    keys, n = [k[order] for k in keys], n[order]
-    new = np.ones(len(n), bool)
-    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+def _merged(parts) -> tuple[np.ndarray, np.ndarray]:
+    """(key, n) of several in order of the key, equal keys once with the sum of their n."""
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     start = np.flatnonzero(new)
-    return (*(k[start] for k in keys), np.add.reduceat(n, start) if len(start) else n)
+    return key[start], np.add.reduceat(n, start) if len(start) else n
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -371,13 +388,16 @@ def bigrams(texts: DataFrame, size: int, tokens: int) -> DataFrame:
         def emit():
             pair, n = _merged(held)
             first, second = pair // base, pair % base
-            w, code = np.concatenate([first, second]), np.concatenate([second * 2, first * 2 + 1])
-            n = np.concatenate([n, n])
-            keep = (w <= size) | (code % 2 == 0)  # unclassed words do not move
+            # word and code in one number, in order
+            key, n = np.concatenate([first << 32 | second << 1, second << 32 | first << 1 | 1]), np.concatenate([n, n])
+            order = np.argsort(key)
+            key, n = key[order], n[order]
+            w, code = key >> 32, key & 0xFFFFFFFF
+            keep = (w <= size) | (code & 1 == 0)  # unclassed words do not move
             w, code, n = w[keep], code[keep], n[keep]
             dealt = (w < HOT) | (w >= size)
             bucket = (_mixed(np.where(dealt, code, w)) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((code, w, bucket))
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
             bucket, w, code, n = bucket[order], w[order], code[order], n[order]
             edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
             for at in range(0, len(edge) - 1, 256):
@@ -389,7 +409,7 @@ def bigrams(texts: DataFrame, size: int, tokens: int) -> DataFrame:
 
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
-                x = _sentences([np.frombuffer(b, np.int32) for b in batch.column("ids").slice(at, 2048).to_pylist()],
+                x = _sentences([_numbers(b) for b in batch.column("ids").slice(at, 2048).to_pylist()],
                                size).astype(np.int64)
                 held.append(np.unique(x[:-1] * base + x[1:], return_counts=True))
                 waiting += len(held[-1][0])
@@ -404,17 +424,22 @@ def bigrams(texts: DataFrame, size: int, tokens: int) -> DataFrame:
 
     def merge(batches):
         at, held = None, []
+
+        def emit():
+            key, n = _merged(held)
+            return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([_packed(key >> 32, key & 0xFFFFFFFF, n)], pa.binary())],
+                                              names=["bucket", "data"])
+
         for batch in batches:
             for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data").to_pylist()):
                 if held and bucket != at:
-                    yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([_packed(*_merged(held))], pa.binary())],
-                                                     names=["bucket", "data"])
+                    yield emit()
                     held = []
                 at = bucket
-                held.append(_unpacked(data))
+                w, code, n = _unpacked(data)
+                held.append((w << 32 | code, n))
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([_packed(*_merged(held))], pa.binary())],
-                                             names=["bucket", "data"])
+            yield emit()
 
     schema = "bucket long, data binary"
     rows = texts.select("ids").mapInArrow(count, schema).repartition("bucket").sortWithinPartitions("bucket")
@@ -475,8 +500,8 @@ def moved(stored: DataFrame, label: np.ndarray, grid: np.ndarray, size: int, cho
                 continue
             w, code, n = w[take], code[take], n[take]
             edge = np.append(np.flatnonzero(np.diff(w, prepend=-1)), len(w))
-            for at in range(0, len(edge) - 1, 4096):  # so many words together
-                span = slice(edge[at], edge[min(at + 4096, len(edge) - 1)])
+            for at in range(0, len(edge) - 1, TOGETHER):
+                span = slice(edge[at], edge[min(at + TOGETHER, len(edge) - 1)])
                 k, succ, pred, loop = _class_sums(w[span], code[span], n[span], own, kinds)
                 dealt = (k < HOT) | (k >= size)
                 for j in np.flatnonzero(dealt):
@@ -513,7 +538,7 @@ def exchange(stored: DataFrame, size: int, exchanged: int, classes: int,
     best[exchanged:size] = best[size + 1] = classes
     best_grid = class_grid(stored, best, classes + 1)
     most = before = _likelihood(best_grid)
-    share, had, turn = 1.0, 0.0, 0
+    share, had, still, turn = 1.0, 0.0, 0.0, 0
     while share >= LEAST and turn != rounds:
         turn += 1
         limit, salt = np.uint64(int(share * 1024)), np.uint64(turn * 0x632BE5AB)
@@ -524,10 +549,11 @@ def exchange(stored: DataFrame, size: int, exchanged: int, classes: int,
 
         label = moved(stored, best, best_grid, size, chosen)
         if (label == best).all():
-            if share == 1:
+            had, still = had + share, still + share
+            if still >= 1:
                 break  # no word has a better class
-            had += share
             continue
+        still = 0.0
         grid = class_grid(stored, label, classes + 1)
         value = _likelihood(grid)
         if value <= most:  # too many words moved at once: back, and fewer from now on
@@ -582,9 +608,12 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
         raise ValueError(f"{size} words occur twice; numbers of words end at {MOST_WORDS}")
 
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    coded = materialize(encode(docs, h, c, near, size + 1), "encoded")
+    path = scratch_path(spark, "encoded")
+    encode(docs, h, c, near, size + 1).write.parquet(path)
+    coded = spark.read.parquet(path)
     rare = number_rare(words.where(F.col("c") < cuts[0]), cuts[1], near)
     texts = materialize(fill_rare(coded, rare, size + 1), "numbered")
+    delete_folder(spark, path)
 
     label, grid = exchange(bigrams(texts.where(~F.col("held_out")), size, n_train), size, movable, classes, rounds)
     tokens = grid.sum(axis=0)
@@ -601,7 +630,7 @@ def class_lm_scores(docs: DataFrame, *, parts: int = 7, part: int = 2, id_col: s
         for batch in batches:
             score = []
             for ids in batch.column("ids").to_pylist():
-                x = label[_sentences([np.frombuffer(ids, np.int32)], size)]
+                x = label[_sentences([_numbers(ids)], size)]
                 score.append(float(step[x[:-1], x[1:]].sum()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(x) for x in ("doc_id", "held_out", "n_words", "n_known", "log_sum")),
