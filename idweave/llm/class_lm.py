@@ -41,7 +41,7 @@ ALPHA = 50.0       # weight of the classes' shares in a transition
 RARE = -1          # the mark of a word that is not in the local table
 HOT = 256          # words whose bigrams are dealt to all buckets
 BUCKET = 1 << 20   # tokens whose bigrams are stored together, on average
-CHUNK = 1 << 21    # bigrams that a task holds before it passes them on
+CHUNK = 1 << 19    # bigrams that a task holds before it passes them on
 MOST_WORDS = (1 << 30) - 4  # word and code share 64 bits
 TOGETHER = 512     # words that are moved together in a task
 FEW = 40           # counts up to this are looked up when a word is moved
