@@ -61,15 +61,15 @@ class TestSet:
         return cls(terms, windows, [sorted(x) for x in found.values()])
 
 
-def build_index(docs: DataFrame, test: TestSet) -> DataFrame:
+def build_index(docs: DataFrame, test: TestSet, slop: int = 0) -> DataFrame:
     """Blocks of documents with the postings of the test terms."""
     terms = docs.sparkSession.sparkContext.broadcast(test.terms)
-    width = test.windows.shape[1]
+    gap = _gap(test.windows, slop)
 
     def block(ids, lengths, found):
         lengths = np.array(lengths, np.int64)
-        starts = np.concatenate([[0], np.cumsum(lengths + width)[:-1]])
-        span = int(starts[-1] + lengths[-1] + width)
+        starts = np.concatenate([[0], np.cumsum(lengths + gap)[:-1]])
+        span = int(starts[-1] + lengths[-1] + gap)
         own = np.fromiter((t for d in found for t in d[1]), np.int64)
         at = np.fromiter((p for d in found for p in d[0]), np.int64)
         at += np.repeat(starts, [len(d[0]) for d in found])
@@ -90,7 +90,7 @@ def build_index(docs: DataFrame, test: TestSet) -> DataFrame:
                 ids.append(doc_id)
                 lengths.append(len(t))
                 found.append((at, t[at]))
-                held += len(t) + width
+                held += len(t) + gap
                 if held >= BLOCK_WORDS or len(ids) >= 4096:
                     yield pa.RecordBatch.from_pylist([block(ids, lengths, found)], schema)
                     ids, lengths, found, held = [], [], [], 0
@@ -101,6 +101,12 @@ def build_index(docs: DataFrame, test: TestSet) -> DataFrame:
         run, "doc_ids array<long>, lengths array<long>, span long, postings binary")
 
 
+def _gap(windows: np.ndarray, slop: int) -> int:
+    """Places between two documents of a block: no match reaches from one to the other, its terms being off
+    by ``slop`` on either side."""
+    return windows.shape[1] + 2 * slop
+
+
 def matches(postings: np.ndarray, span: int, windows: np.ndarray, n_terms: int, slop: int):
     """(window, position) of every match, exact for ``slop`` 0."""
     first = np.searchsorted(postings, np.arange(n_terms + 1) * span)
@@ -150,15 +156,16 @@ def search_index(index: DataFrame, test: TestSet, slop: int = 0) -> DataFrame:
             for row in batch.to_pylist():
                 postings = np.frombuffer(row["postings"], np.int64)
                 span, lengths = row["span"], np.array(row["lengths"])
-                base = np.concatenate([[0], np.cumsum(lengths + windows.shape[1])[:-1]])
+                base = np.concatenate([[0], np.cumsum(lengths + _gap(windows, slop))[:-1]])
                 w, p = matches(postings, span, windows, n_terms, 0)
                 doc = np.searchsorted(base, p, side="right") - 1
                 near = np.zeros(len(lengths), np.int64)
                 if slop:
                     nw, np_ = matches(postings, span, windows, n_terms, slop)
                     exact = np.isin(nw * (span + 1) + np_, w * (span + 1) + p)
-                    nd = np.searchsorted(base, np.maximum(np_[~exact], 0), side="right") - 1
-                    near = np.bincount(nd, minlength=len(lengths))
+                    # a match may begin up to ``slop`` places before its document
+                    nd = np.searchsorted(base, np_[~exact] + slop, side="right") - 1
+                    near = np.bincount(np.maximum(nd, 0), minlength=len(lengths))
                 order = np.lexsort((p, doc))
                 w, p, doc = w[order], p[order] - base[doc[order]], doc[order]
                 edge = np.searchsorted(doc, np.arange(len(lengths) + 1))
@@ -210,7 +217,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = 10, slo
     docs = id_text(docs, id_col, text_col)
     tests = benchmark.select(F.col(f"`{item_col}`").alias("item_id"),
                              F.col(f"`{item_text_col}`").cast("string").alias("text")).dropna()
-    size = tests.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    # words are apart by a byte at least, so a text of n bytes has at most n / 2 + 1
+    size = int(tests.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0)
     shards = max(1, -(-size // shard_words))
     found = None
     for k in range(shards):
@@ -225,9 +233,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = 10, slo
                 keys = materialize(keys, "decontam_docs")
                 whole = keys
             hits = search_index(materialize(build_index(
-                whole.select(F.col("row").alias("doc_id"), "text"), test), "postings"), test, slop)
+                whole.select(F.col("row").alias("doc_id"), "text"), test, slop), "postings"), test, slop)
         else:
-            hits = search_index(materialize(build_index(docs, test), "postings"), test, slop)
+            hits = search_index(materialize(build_index(docs, test, slop), "postings"), test, slop)
         found = hits if found is None else found.unionByName(hits)
     if shards > 1:
         merged = found.groupBy("doc_id").agg(

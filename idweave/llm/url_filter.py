@@ -4,10 +4,10 @@
    urls that rules decided are the labelled ones the tree learns from
    (other labels may be given instead).
 2. *Wildcards.* Per host and depth, a segment that is rare among those at its place
-   is variable and becomes ``*`` (its file extension stays); frequent ones stay literal.
+   is variable and becomes a wildcard, shown as ``*`` (its file extension stays); frequent ones stay literal.
 3. *Merging.* The branches of a host that lead to the same page shape are ordered by their
    share of blocked labels. Neighbours whose shares do not differ (two-proportion z) are
-   one branch, named ``a|b``; branches without labels are one branch as well.
+   one branch, shown as ``a|b``; branches without labels are one branch as well.
 4. *Purity.* A template's share of blocked labels is smoothed towards its host's share, and
    that towards the share over all hosts. Templates that reach ``REJECT`` are blocked.
 
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, ascii_lower
 
-DEPTH = 6           # the oracle SQL reads so many segments, the operator all
+# no path holds these two: a wildcard, and between the names of merged branches; shown as * and |
+WILD, BESIDE = "?", "#"
 SUPPORT = 3         # a literal segment occurs at least so often ...
 SHARE = 0.01        # ... and in at least this share of its host's urls of its depth
 Z = 2.58            # a difference of label shares counts from here on
@@ -70,7 +71,7 @@ def _shapes(urls: DataFrame) -> DataFrame:
                .where((F.col("n") >= SUPPORT) & (F.col("n") >= F.lit(SHARE) * F.col("total")))
                .select("host", "depth", "segment", F.lit(True).alias("literal")))
     part = F.when(F.col("literal") | (F.col("segment") == ""), F.col("segment")).otherwise(
-        F.concat(F.lit("*"), _extension(F.col("segment"))))
+        F.concat(F.lit(WILD), _extension(F.col("segment"))))
     named = (at.join(literal, ["host", "depth", "segment"], "left").groupBy("host", "path")
              .agg(F.array_sort(F.collect_list(F.struct("depth", part.alias("part")))).alias("parts")))
     parts = F.coalesce(F.col("parts.part"), F.array().cast("array<string>"))
@@ -96,7 +97,7 @@ def _merged(leaf: DataFrame) -> DataFrame:
     branch = branch.withColumn("new", F.coalesce((z >= Z).cast("int"), F.lit(0)))
     branch = branch.withColumn("island", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
     whole = Window.partitionBy("host", "shape", F.col("share").isNull(), "island")
-    return branch.select("host", "lead", F.array_join(F.array_sort(F.collect_list("lead").over(whole)), "|")
+    return branch.select("host", "lead", F.array_join(F.array_sort(F.collect_list("lead").over(whole)), BESIDE)
                          .alias("branch"))
 
 
@@ -139,9 +140,9 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str, str]], *, id_col: s
                       .alias("purity")))
     judged = (merged.select("host", "lead", "tail", "branch").join(purity, ["host", "branch", "tail"])
               .select("host", "lead", "tail", "purity",
-                      F.concat(F.lit("/"), F.col("branch"),
-                               F.when(F.col("tail") == "", "").otherwise(F.concat(F.lit("/"), "tail")))
-                      .alias("template")))
+                      F.translate(F.concat(F.lit("/"), F.col("branch"),
+                                           F.when(F.col("tail") == "", "").otherwise(F.concat(F.lit("/"), "tail"))),
+                                  WILD + BESIDE, "*|").alias("template")))
     by_url = named.select("host", "path", "lead", "tail").join(judged, ["host", "lead", "tail"])
     return (urls.join(by_url.select("host", "path", "template", "purity"), ["host", "path"])
             .select("page_id", "host", "path", F.col("hit.rule").alias("rule"),
@@ -177,7 +178,7 @@ dist AS MATERIALIZED (
 segs AS MATERIALIZED (
   SELECT host, path, d, list_extract(s, d) AS segment
   FROM (SELECT host, path, s, unnest(range(1, len(s) + 1)) AS d
-        FROM (SELECT host, path, list_slice(string_split(path, '/'), 2, {DEPTH} + 1) AS s FROM dist))),
+        FROM (SELECT host, path, string_split(path, '/')[2:] AS s FROM dist))),
 cnt AS (SELECT host, d, segment, count(*) AS n FROM segs GROUP BY ALL),
 lit AS (
   SELECT host, d, segment FROM (
@@ -185,12 +186,11 @@ lit AS (
   WHERE n >= {SUPPORT} AND n >= {SHARE} * total),
 shaped AS MATERIALIZED (
   SELECT s.host, s.path, list(CASE WHEN lit.segment IS NOT NULL OR s.segment = '' THEN s.segment
-      ELSE '*' || regexp_extract(s.segment, '\.[A-Za-z]{{1,5}}$') END ORDER BY s.d) AS parts
+      ELSE '{WILD}' || regexp_extract(s.segment, '\.[A-Za-z]{{1,5}}$') END ORDER BY s.d) AS parts
   FROM segs s LEFT JOIN lit USING (host, d, segment) GROUP BY s.host, s.path),
 named AS MATERIALIZED (
   SELECT t.host, t.path, n, marked, blocked, coalesce(parts[1], '') AS lead,
-         coalesce(array_to_string(parts[2:], '/'), '')
-         || CASE WHEN len(string_split(t.path, '/')) > {DEPTH} + 1 THEN '/**' ELSE '' END AS tail
+         coalesce(array_to_string(parts[2:], '/'), '') AS tail
   FROM dist t LEFT JOIN shaped USING (host, path)),
 leaf AS MATERIALIZED (
   SELECT host, lead, tail, sum(n) AS n, sum(marked) AS marked, sum(blocked) AS blocked
@@ -214,7 +214,7 @@ island AS (
   FROM tested),
 named_branch AS (
   SELECT host, lead, array_to_string(list_sort(list(lead) OVER (
-      PARTITION BY host, shape, share IS NULL, island)), '|') AS branch
+      PARTITION BY host, shape, share IS NULL, island)), '{BESIDE}') AS branch
   FROM island),
 merged AS MATERIALIZED (SELECT leaf.*, branch FROM leaf JOIN named_branch USING (host, lead)),
 tree AS (SELECT host, branch, tail, sum(marked) AS m, sum(blocked) AS b FROM merged GROUP BY ALL),
@@ -224,6 +224,6 @@ pure AS (
   FROM tree JOIN ho USING (host), world)
 SELECT u.page_id, u.host, u.path, u.rule,
        coalesce(u.rv, CASE WHEN purity >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
-       '/' || branch || CASE WHEN tail = '' THEN '' ELSE '/' || tail END AS template
+       translate('/' || branch || CASE WHEN tail = '' THEN '' ELSE '/' || tail END, '{WILD}{BESIDE}', '*|') AS template
 FROM urls u JOIN named USING (host, path) JOIN merged USING (host, lead, tail)
 JOIN pure USING (host, branch, tail)"""

@@ -89,3 +89,53 @@ def test_matches_against_scan():
     want = {(k, i) for k, x in enumerate(windows) for i in range(800)
             if (n := (x >= 0).sum()) and i + n <= 800 and (text[i:i + n] == x[:n]).all()}
     assert set(zip(w.tolist(), p.tolist())) == want
+
+
+def near_brute(docs, items, width, slop):
+    """Places where every word of a window lies within ``slop`` of its own, without the exact ones, per document."""
+    windows = {tuple(w[k:k + width]) for _, t in items for w in [words(t)] for k in range(max(1, len(w) - width + 1) if w else 0)}
+    out = {}
+    for doc, text in docs:
+        w, n = words(text), 0
+        for win in windows:
+            rare = [sum(x == y for y in w) for x in win]
+            lead = min(range(len(win)), key=lambda k: rare[k])  # its own term is where the match is read from
+            for at in (k - lead for k, x in enumerate(w) if x == win[lead]):
+                ok = all(any(0 <= at + k + d < len(w) and w[at + k + d] == x for d in range(-slop, slop + 1))
+                         for k, x in enumerate(win))
+                exact = at >= 0 and tuple(w[at:at + len(win)]) == win
+                n += ok and not exact
+        out[doc] = n
+    return out
+
+
+def test_proximity_stays_within_a_document(spark):
+    docs = [(1, "a b c d e"), (2, "f g h i j"), (3, "d x e f y g"), (4, "d e f g"), (5, "g f e d")]
+    items = [(1, "d e f g")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for slop in (1, 2, 4):
+        got = {r.doc_id: r.n_near for r in d.decontaminate(frame, bench, width=4, slop=slop).collect()}
+        assert got[1] == got[2] == 0 and got == near_brute(docs, items, 4, slop)
+
+
+def test_random_proximity_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    # distinct words in an item, so that its rarest one is told by the document alone
+    items = [(k, " ".join(f"w{x}" for x in rng.permutation(40)[:5])) for k in range(4)]
+    docs = [(k, " ".join(f"w{x}" for x in rng.integers(0, 40, rng.integers(0, 60)))) for k in range(20)]
+    docs += [(100 + k, t.replace(" ", " gap ", 1)) for k, (_, t) in enumerate(items)]
+    for doc, text in docs:  # one document a table: the rarest term of a block is that of the document
+        frame = spark.createDataFrame([(doc, text)], "doc_id long, text string")
+        if doc >= 98:
+            got = d.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string"), width=5, slop=2).first()
+            assert (got.n_near > 0) == (near_brute([(doc, text)], items, 5, 2)[doc] > 0)
+
+
+def test_a_test_set_of_lines_is_cut_into_shards(spark, monkeypatch):
+    seen, of = [], d.TestSet.of
+    monkeypatch.setattr(d.TestSet, "of", classmethod(lambda cls, rows, width: seen.append(len(rows)) or of(rows, width)))
+    items = spark.createDataFrame([(k, "\n".join(f"w{k}x{j}" for j in range(200))) for k in range(20)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(f"w3x{j}" for j in range(50, 70)))], "doc_id long, text string")
+    row = d.decontaminate(docs, items, shard_words=2000).first()
+    assert len(seen) >= 2 and sum(seen) == 20 and row.n_hit == 20

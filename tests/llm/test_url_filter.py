@@ -64,3 +64,45 @@ def test_segments_of_any_depth_tell_branches_apart(spark):
     out = u.url_filter(spark.createDataFrame(rows, "page_id long, url string, bad boolean"), [], bad_col="bad")
     found = {r.template: r.verdict for r in out.select("template", "verdict").distinct().collect()}
     assert found == {"/a/b/c/d/e/f/g/bad/*": "block", "/a/b/c/d/e/f/g/good/*": "allow"}
+
+
+def verdicts(spark, rows):
+    out = u.url_filter(spark.createDataFrame(rows, "page_id long, url string, bad boolean"), [], bad_col="bad")
+    return {(r.host, r.path): r.verdict for r in out.collect()}
+
+
+def test_merged_branches_are_not_mistaken_for_a_literal_name(spark):
+    rows = [(k, f"http://h.net/{'ab'[k % 2]}/{k}", True) for k in range(400)]
+    rows += [(400 + k, f"http://h.net/a|b/{k}", False) for k in range(400)]
+    got = verdicts(spark, rows)
+    assert {got["h.net", f"/{'ab'[k % 2]}/{k}"] for k in range(400)} == {"block"}
+    assert {got["h.net", f"/a|b/{k}"] for k in range(400)} == {"allow"}
+
+
+def test_a_literal_star_is_no_wildcard(spark):
+    rows = [(k, f"http://h.net/x/*/{k}", False) for k in range(300)]
+    rows += [(300 + k, f"http://h.net/x/v{k}/{k}", True) for k in range(300)]
+    got = verdicts(spark, rows)
+    assert {got["h.net", f"/x/*/{k}"] for k in range(300)} == {"allow"}
+    assert {got["h.net", f"/x/v{k}/{k}"] for k in range(300)} == {"block"}
+
+
+def test_null_and_repeated_ids_are_kept(spark):
+    rows = [(None, "http://h.net/a/1", True), (None, "http://h.net/a/1", True), (7, "http://h.net/a/2", None), (7, None, None)]
+    out = u.url_filter(spark.createDataFrame(rows, "page_id long, url string, bad boolean"), [], bad_col="bad")
+    assert sorted(((r.page_id, r.host) for r in out.collect()), key=repr) == [(7, ""), (7, "h.net"), (None, "h.net"), (None, "h.net")]
+
+
+def test_the_sql_reads_deep_paths_too(spark):
+    import duckdb
+
+    paths = [f"/a/b/c/d/e/f/g/{('de', 'fr')[k % 2]}/{k}" for k in range(60)] + [f"/{'de' if k % 2 else '*'}/{k}" for k in range(60)]
+    rows = [(k, f"http://x.com{p}") for k, p in enumerate(paths)] + [(900 + k, f"http://y.net/a|b/{k}") for k in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = sorted(tuple(r) for r in u.url_filter(pages, URL_RULES).select(
+        "page_id", "host", "path", F.coalesce("rule", F.lit("")), "verdict", "template").collect())
+    con = duckdb.connect()
+    frame = pages.toPandas()
+    con.register("pages", frame)
+    want = con.sql(u.oracle(URL_RULES)).fetchall()
+    assert got == sorted((*r[:3], r[3] or "", *r[4:]) for r in want)
