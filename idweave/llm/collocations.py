@@ -40,6 +40,7 @@ TILES = 32            # dense tiles of a task, at most
 CHUNK = 1 << 20       # pairs that a task gathers before it sorts them
 PIECE = 4 << 20       # characters of text split together
 WORDS_HELD = 400_000  # distinct words that a task holds before it passes their counts on
+SHARES = 64           # in which the candidates of a language are ranked first
 EMIT = 1 << 18        # counts that a task hands to Spark at a time
 NONE = -1             # no word: the end of a piece, or a word that is too rare
 
@@ -500,9 +501,12 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, share
             kept = shorter
         scored = _scored(kept, size)
         found = scored if found is None else found.unionByName(scored)
-    place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # without a cast, so that Spark keeps the first ``top`` of a language already in the tasks that send them
-    best = (found.withColumn("place", F.row_number().over(place)).where(F.col("place") <= top)
-            .withColumn("rank", F.col("place").cast("long")))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # a language may hold most candidates: the first ones of each share of them, then of the language
+    shares = Window.partitionBy("lang", "share").orderBy(*order)
+    best = (found.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+            .withColumn("place", F.row_number().over(shares)).where(F.col("place") <= top)
+            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+            .where(F.col("rank") <= top))
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
