@@ -35,7 +35,7 @@ from ..session import delete_folder
 from .common import id_text, materialize, scratch_path, worker_table
 
 LOCAL = 1 << 18
-RISE = 1e-2        # the exchange ends when a pass raised the likelihood by less than this share ...
+RISE = 1e-3        # the exchange ends when a pass raised the likelihood by less than this share ...
 LEAST = 1 / 16     # ... or when no more than this share of the words may move in a turn
 ALPHA = 50.0       # weight of the classes' shares in a transition
 RARE = -1          # the mark of a word that is not in the local table
