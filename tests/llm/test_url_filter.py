@@ -106,3 +106,42 @@ def test_the_sql_reads_deep_paths_too(spark):
     con.register("pages", frame)
     want = con.sql(u.oracle(URL_RULES)).fetchall()
     assert got == sorted((*r[:3], r[3] or "", *r[4:]) for r in want)
+
+
+def test_branches_below_the_first_segment_merge(spark):
+    rows = [(k, f"http://h.net/shop/s{k % 5}/{k}.html", True) for k in range(200)]
+    rows += [(200 + k, f"http://h.net/news/{k % 4}/x/{k}", False) for k in range(400)]
+    out = u.url_filter(spark.createDataFrame(rows, "page_id long, url string, bad boolean"), [], bad_col="bad")
+    found = {(r.template, r.verdict) for r in out.select("template", "verdict").distinct().collect()}
+    assert found == {("/shop/s0|s1|s2|s3|s4/*.html", "block"), ("/news/0|1|2|3/x/*", "allow")}
+
+
+def test_segments_are_counted_below_their_parent(spark):
+    # "new" is frequent below /shop, a single article below /news
+    rows = [(k, f"http://h.net/shop/{('new', 'old')[k % 2]}/{k}", k % 2 == 0) for k in range(200)]
+    rows += [(200 + k, f"http://h.net/news/{'new' if k == 0 else k}/{k}", False) for k in range(300)]
+    rows += [(600 + k, f"http://h.net/news/{k}/comments", True) for k in range(300)]
+    out = u.url_filter(spark.createDataFrame(rows, "page_id long, url string, bad boolean"), [], bad_col="bad")
+    found = {(r.template, r.verdict) for r in out.select("template", "verdict").distinct().collect()}
+    assert found == {("/shop/new/*", "block"), ("/shop/old/*", "allow"), ("/news/*/*", "allow"),
+                     ("/news/*/comments", "block")}
+
+
+def test_random_trees_against_the_sql(spark):
+    import random
+
+    import duckdb
+
+    draw = random.Random(4)
+    pages = []
+    for k in range(1500):
+        parts = [draw.choice(["de", "fr", "a", "b", "x|y", "*", "", f"v{draw.randrange(60)}"])
+                 for _ in range(draw.randrange(6))]
+        pages.append((k, f"http://{draw.choice('pqr')}.com/" + "/".join([*parts, f"{k}{draw.choice(['', '.html'])}"])))
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    rules = [("com", "/de/", "block"), ("com", "/fr/", "allow"), ("p.com", "/a/b", "block"), ("q.com", "/b/", "block"), ("com", "/a/v", "allow")]
+    got = sorted(tuple(r) for r in u.url_filter(frame, rules).select("page_id", "verdict", "template").collect())
+    con = duckdb.connect()
+    con.register("pages", frame.toPandas())
+    assert got == sorted(con.sql(f"SELECT page_id, verdict, template FROM ({u.oracle(rules)})").fetchall())
+    assert len({t for _, _, t in got}) > 50 and any("|" in t.split("/")[-2] for _, _, t in got if t.count("/") > 2)
