@@ -9,10 +9,13 @@
 2. *Search.* A window of the test set starts from the block's list of its rarest
    term; the lists of the other terms, rarest first, are shifted by their offset
    and intersected with it. What is left are the exact phrase matches.
-   For proximity every term may be off by up to ``slop`` words.
+   For proximity every term may be off by up to ``slop`` words from its place, seen from the
+   window's *anchor*: its longest term (in bytes), the first of several, which tends to be
+   rare. So what is near depends neither on the blocks nor on the shards.
 
 A block holds whole documents, so the search needs no shuffle. The test set is sent
-to the tasks in shards of at most ``shard_words`` words, one pass for each.
+to the tasks in shards of about ``shard_words`` words, one pass for each; an item longer than an
+eighth of that is dealt out in pieces that share ``width - 1`` words, so no window is lost.
 """
 
 from __future__ import annotations
@@ -46,6 +49,7 @@ class TestSet:
     terms: dict[bytes, int]
     windows: np.ndarray
     items: list[list[str]]
+    anchor: np.ndarray  # for each window, the place of its anchor
 
     @classmethod
     def of(cls, rows: list[tuple], width: int) -> "TestSet":
@@ -58,7 +62,8 @@ class TestSet:
         windows = np.full((len(found), width), -1, np.int32)
         for k, w in enumerate(found):
             windows[k, :len(w)] = w
-        return cls(terms, windows, [sorted(x) for x in found.values()])
+        size = np.array([len(x) for x in terms] + [-1], np.int64)  # the last one serves the fills
+        return cls(terms, windows, [sorted(x) for x in found.values()], size[windows].argmax(axis=1))
 
 
 def build_index(docs: DataFrame, test: TestSet, slop: int = 0) -> DataFrame:
@@ -107,16 +112,20 @@ def _gap(windows: np.ndarray, slop: int) -> int:
     return windows.shape[1] + 2 * slop
 
 
-def matches(postings: np.ndarray, span: int, windows: np.ndarray, n_terms: int, slop: int):
-    """(window, position) of every match, exact for ``slop`` 0."""
+def matches(postings: np.ndarray, span: int, windows: np.ndarray, n_terms: int, slop: int,
+            anchor: np.ndarray | None = None):
+    """(window, position) of every match, exact for ``slop`` 0. The lists are intersected from
+    the rarest in the block, or from that of the ``anchor``."""
     first = np.searchsorted(postings, np.arange(n_terms + 1) * span)
     count = np.diff(first)
     out_w, out_p = [], []
     for lo in range(0, len(windows), WINDOWS_AT_ONCE):
         win = windows[lo:lo + WINDOWS_AT_ONCE]
         n = np.where(win >= 0, count[win], np.iinfo(np.int64).max)  # a fill never is the rarest
+        alive = np.flatnonzero(n.min(axis=1) > 0)
+        if anchor is not None:
+            n[np.arange(len(win)), anchor[lo:lo + len(win)]] = -1
         order = np.argsort(n, axis=1, kind="stable")
-        alive = np.flatnonzero(n[np.arange(len(win)), order[:, 0]] > 0)
         if not len(alive):
             continue
         rare = win[alive, order[alive, 0]]
@@ -144,10 +153,10 @@ def matches(postings: np.ndarray, span: int, windows: np.ndarray, n_terms: int,
 
 def search_index(index: DataFrame, test: TestSet, slop: int = 0) -> DataFrame:
     """One row per document: doc_id, n_words, hit ranges, items (and near matches)."""
-    sent = index.sparkSession.sparkContext.broadcast((test.windows, test.items, len(test.terms)))
+    sent = index.sparkSession.sparkContext.broadcast((test.windows, test.items, len(test.terms), test.anchor))
 
     def run(batches):
-        windows, items, n_terms = sent.value
+        windows, items, n_terms, anchor = sent.value
         size = (windows >= 0).sum(axis=1)
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                             ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
@@ -161,7 +170,7 @@ def search_index(index: DataFrame, test: TestSet, slop: int = 0) -> DataFrame:
                 doc = np.searchsorted(base, p, side="right") - 1
                 near = np.zeros(len(lengths), np.int64)
                 if slop:
-                    nw, np_ = matches(postings, span, windows, n_terms, slop)
+                    nw, np_ = matches(postings, span, windows, n_terms, slop, anchor)
                     exact = np.isin(nw * (span + 1) + np_, w * (span + 1) + p)
                     # a match may begin up to ``slop`` places before its document
                     nd = np.searchsorted(base, np_[~exact] + slop, side="right") - 1
@@ -200,12 +209,22 @@ def _summary(found: DataFrame) -> DataFrame:
                     F.arrays_zip("starts", "ends").alias("spans"), "n_near"))
 
 
+def _pieces(tests: DataFrame, step: int, width: int) -> DataFrame:
+    """Items of more than ``step`` windows in pieces, each window in one of them."""
+    word = F.regexp_replace("text", r"[\x00-/:-@\[-`{-\x7f]+", " ")
+    words = F.filter(F.split(word, " "), lambda w: w != "")
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - width, F.lit(0)), F.lit(step))
+    return (tests.withColumn("words", words).withColumn("start", F.explode(starts))
+            .select("item_id", F.array_join(F.expr(f"slice(words, start + 1, {step + width - 1})"), " ").alias("text")))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = 10, slop: int = 0,
                   shard_words: int = SHARD_WORDS, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items,
     items_sha256, contaminated, spans (word ranges) and n_near (proximity matches
-    that are not exact, for ``slop`` > 0).
+    that are not exact, for ``slop`` > 0: places of a window's anchor with every other term at most
+    ``slop`` words off its place in the same document).
 
     Windows are ``width`` consecutive words of an item, or the whole item if it is
     shorter. Null and empty texts have no words: such documents have no hit, such
@@ -220,9 +239,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = 10, slo
     # words are apart by a byte at least, so a text of n bytes has at most n / 2 + 1
     size = int(tests.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0)
     shards = max(1, -(-size // shard_words))
+    if shards > 1:
+        tests = _pieces(tests, max(shard_words // 8, width), width)
     found = None
     for k in range(shards):
-        own = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k)
+        own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k)
         test = TestSet.of([tuple(r) for r in own.collect()], width)
         if shards > 1:  # repeated rows stay apart from others by their text
             part = docs.withColumn("text_id", F.xxhash64("text"))

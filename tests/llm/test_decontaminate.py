@@ -98,8 +98,7 @@ def near_brute(docs, items, width, slop):
     for doc, text in docs:
         w, n = words(text), 0
         for win in windows:
-            rare = [sum(x == y for y in w) for x in win]
-            lead = min(range(len(win)), key=lambda k: rare[k])  # its own term is where the match is read from
+            lead = max(range(len(win)), key=lambda k: len(win[k].encode() if isinstance(win[k], str) else win[k]))  # the anchor
             for at in (k - lead for k, x in enumerate(w) if x == win[lead]):
                 ok = all(any(0 <= at + k + d < len(w) and w[at + k + d] == x for d in range(-slop, slop + 1))
                          for k, x in enumerate(win))
@@ -121,15 +120,29 @@ def test_proximity_stays_within_a_document(spark):
 
 def test_random_proximity_against_brute_force(spark):
     rng = np.random.default_rng(8)
-    # distinct words in an item, so that its rarest one is told by the document alone
-    items = [(k, " ".join(f"w{x}" for x in rng.permutation(40)[:5])) for k in range(4)]
-    docs = [(k, " ".join(f"w{x}" for x in rng.integers(0, 40, rng.integers(0, 60)))) for k in range(20)]
+    items = [(k, " ".join(f"w{x}" for x in rng.integers(0, 14, 7))) for k in range(30)]
+    docs = [(k, " ".join(f"w{x}" for x in rng.integers(0, 14, rng.integers(0, 300)))) for k in range(40)]
     docs += [(100 + k, t.replace(" ", " gap ", 1)) for k, (_, t) in enumerate(items)]
-    for doc, text in docs:  # one document a table: the rarest term of a block is that of the document
-        frame = spark.createDataFrame([(doc, text)], "doc_id long, text string")
-        if doc >= 98:
-            got = d.decontaminate(frame, spark.createDataFrame(items, "item_id long, text string"), width=5, slop=2).first()
-            assert (got.n_near > 0) == (near_brute([(doc, text)], items, 5, 2)[doc] > 0)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for slop, width, tasks in ((1, 5, 1), (2, 5, 7), (2, 9, 3)):
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(tasks)
+        got = {r.doc_id: r.n_near for r in d.decontaminate(frame, bench, width=width, slop=slop).collect()}
+        assert got == near_brute(docs, items, width, slop) and sum(got.values()) > 20
+
+
+def test_an_item_longer_than_a_shard_is_dealt_out_in_pieces(spark, monkeypatch):
+    seen, of = [], d.TestSet.of
+    monkeypatch.setattr(d.TestSet, "of", classmethod(lambda cls, rows, width: seen.extend(len(words(t)) for _, t in rows) or of(rows, width)))
+    rng = np.random.default_rng(9)
+    book = [f"w{x}" for x in rng.integers(0, 50, 3000)]
+    items = [(1, "\n".join(book)), (2, "A b"), (3, "..")]
+    docs = [(k, " ".join(book[k * 40:k * 40 + rng.integers(5, 30)]) + " a-B") for k in range(70)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    cut = sorted(map(tuple, d.decontaminate(frame, bench, shard_words=800).select("doc_id", "n_hit", "n_items", "items").collect()))
+    assert max(seen) <= 800 // 8 + 9
+    whole = sorted(map(tuple, d.decontaminate(frame, bench).select("doc_id", "n_hit", "n_items", "items").collect()))
+    assert cut == whole and any(r[1] for r in whole)
 
 
 def test_a_test_set_of_lines_is_cut_into_shards(spark, monkeypatch):
