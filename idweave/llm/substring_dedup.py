@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import id_text, materialize, worker_table
 
@@ -345,7 +346,9 @@ _DDL = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256"
 
 
 def _results(rows: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
-    carried = rows.schema["carry"].dataType.simpleString()
+    schema = StructType.fromDDL("doc_id long").add(rows.schema["carry"])  # its names may hold any character
+    for field in StructType.fromDDL(", ".join(f"{c} {_DDL[c]}" for c in outputs)):
+        schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -368,7 +371,7 @@ def _results(rows: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
                 names=["doc_id", "carry", *outputs])
 
     return rows.select("doc_id", "carry", "text", "ranges").mapInArrow(
-        run, ", ".join(["doc_id long", f"carry {carried}", *(f"{c} {_DDL[c]}" for c in outputs)]))
+        run, schema)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH,

@@ -91,3 +91,19 @@ def test_edge_rows_pass_every_stage(spark, edge, tmp_path):
             assert out.columns == docs.columns and len(rows) <= docs.count()
         else:
             assert len(rows) == docs.count()
+
+
+def test_clashing_columns_pass_every_stage(spark, edge):
+    docs = edge.selectExpr("*", "'en' AS lang", "'s' AS source", "cast(length(text) AS long) AS n_chars",
+                           "1 AS `a.b`", "2 AS carry_", "map('k', 1) AS tags")
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and all(r.tags == {"k": 1} and r["a.b"] == 1 for r in out.collect())
+    assert p.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_of_repeated_rows_the_first_by_its_other_columns_stays(spark):
+    rows = [(1, "one and the same text here", s) for s in "cab"] + [(2, "some other words of no likeness", "z")]
+    for order in (rows, rows[::-1]):
+        out = p.near_duplicates(spark, spark.createDataFrame(order, "doc_id long, text string, source string").repartition(3), SF)
+        assert sorted(map(tuple, out.select("doc_id", "source").collect())) == [(1, "a"), (2, "z")]
