@@ -4,15 +4,18 @@
    bits are zero. The cuts depend on content only, so a passage that
    documents share is cut alike in each, whatever stands before it.
 2. A chunk's interior runs from its first to its last *agreement point*: a place
-   behind ASCII white space. White space yields no token, no special token,
-   normalisation or merge reaches over it, so there the encoding of the whole text and
-   of any part agree exactly. Each distinct interior is encoded once per
+   behind ASCII white space. Each distinct interior is encoded once per
    worker (bounded table) and reused for every document that holds it. A new one is put
    together at the agreement points within it, so that only words new to
    the worker reach the tokenizer.
-3. The joins are then repaired: the text between the last agreement point before a
-   join and the first one behind it is encoded anew. A chunk without an
-   agreement point joins the window, which so grows until both ends agree.
+3. The joins are then repaired: what lies between two interiors is encoded anew together with
+   the nearest word of either. Where its ids begin and end with those that the interiors have there,
+   both sides agree exactly and the ids between are those of the join. Where they do not, the
+   context grows to 2, 4, ... words; if even the whole interiors do not agree, the
+   text is encoded whole. A chunk without an agreement point belongs to the join.
+
+A tokenizer is refused unless no token, special token or normalisation of it can reach over
+white space, which is what makes an interior's encoding independent of its surroundings.
 
 Documents are never shuffled: a worker's table is the only thing they share.
 """
@@ -20,11 +23,13 @@ Documents are never shuffled: a worker's table is the only thing they share.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from .common import id_text, worker_table
@@ -36,6 +41,8 @@ WORD_CHARS = 40           # a longer word is not remembered
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(128, bool)
 _SPACE[[9, 10, 13, 32]] = True
+_SPLITS = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+_NORMAL = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
 
 
 def rolling_cuts(cp: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
@@ -53,6 +60,87 @@ def rolling_cuts(cp: np.ndarray, bits: int = CUT_BITS) -> np.ndarray:
     return np.flatnonzero(h >> np.uint64(64 - bits) == 0) + 16
 
 
+def _parts(step: dict | None, many: str) -> list[dict]:
+    if step is None:
+        return []
+    return step[many] if step["type"] == "Sequence" else [step]
+
+
+def _holds_no_space(pattern: str) -> bool:
+    """Whether no match of ``pattern`` holds white space, in any string of up to four characters
+    of every kind. What looks around itself is not judged, and so refused."""
+    if "(?" in pattern or "\\b" in pattern.lower():
+        return False
+    find = regex.compile(pattern)
+    for size in range(1, 5):
+        for text in itertools.product("ast'1._ \n\t\r" if size < 4 else "s'1. \n", repeat=size):
+            if any(c in " \t\r\n" for m in find.finditer("".join(text)) for c in m[0]):
+                return False
+    return True
+
+
+def check_tokenizer(spec: dict) -> None:
+    """Raise ValueError unless texts may be taken apart behind ASCII white space."""
+    model = spec["model"]
+    if model["type"] != "BPE" or model.get("dropout"):
+        raise ValueError("the model is not a plain BPE")
+    for n in _parts(spec.get("normalizer"), "normalizers"):
+        # a run of spaces may become one: it yields no token either way
+        if n["type"] not in _NORMAL and not (n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"}
+                                             and n["content"] == " "):
+            raise ValueError(f"a normalizer may reach over white space: {n['type']}")
+    split = _parts(spec.get("pre_tokenizer"), "pretokenizers")
+    first, rest = (split[0], split[1:]) if split else ({"type": None}, [])
+    pattern = first.get("pattern", {}).get("Regex")
+    if first["type"] not in _SPLITS and not (
+            first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"]
+            and pattern and _holds_no_space(pattern)):
+        raise ValueError(f"tokens may reach over white space: {first['type']}")
+    if any(p["type"] not in _SPLITS | {"Split", "Digits", "Punctuation", "ByteLevel"} or p.get("add_prefix_space")
+           for p in rest):
+        raise ValueError("a pre-tokenizer may add to words")
+    for t in spec.get("added_tokens") or ():
+        if t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(" \t\r\n"):
+            raise ValueError(f"an added token may reach over white space: {t['content']!r}")
+
+
+def _words(text: str) -> list[str]:
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+
+def _tail(text: str, k: int) -> str:
+    """The last ``k`` words of an interior, with the white space it ends with."""
+    near = 64 * k
+    while True:
+        part = text[-near:]
+        words = _words(part)
+        if len(words) > k + 1:
+            return part[-sum(map(len, words[-k - 1:])) - k:]
+        if len(part) == len(text):
+            return text
+        near *= 8
+
+
+def _head(text: str, k: int) -> str:
+    """The first ``k`` words of an interior, with the white space behind them."""
+    near = 64 * k
+    while True:
+        words = _words(text[:near])
+        if len(words) > k:
+            return text[:sum(map(len, words[:k])) + k]
+        if near >= len(text):
+            return text
+        near *= 8
+
+
+def _begins(ids: str, part: str) -> bool:
+    return not part or ids == part or ids.startswith(part + " ")
+
+
+def _ends(ids: str, part: str) -> bool:
+    return not part or ids == part or ids.endswith(" " + part)
+
+
 class ChunkCodec:
     def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
         self.memory_words = memory_words
@@ -63,53 +151,100 @@ class ChunkCodec:
         self.tk.no_truncation()
         self.tk.no_padding()
         with open(path, encoding="utf-8") as f:
-            self.plain = json.load(f).get("decoder") is None
+            spec = json.load(f)
+        check_tokenizer(spec)
+        self.plain = spec.get("decoder") is None
         size = max(self.tk.get_vocab(with_added_tokens=True).values()) + 1
         self.number = [str(i) for i in range(size)]
         self.token = {str(i): self.tk.id_to_token(i) for i in range(size)}
         self.cache: dict[str, str] = {}  # chunk interior -> its ids as text
+        self.joins: dict[tuple[str, str, str], str] = {}  # word, join, word -> ids of the three
         self.held = 0
         self.young: dict[str, str] = {}  # word -> its ids as text, in two generations
         self.old: dict[str, str] = {}
 
     def pieces(self, text: str) -> list[str]:
-        """Interiors and join windows in text order; together they are the text."""
-        if not text:
-            return []
+        """Interiors and the joins between them, in turn; together they are the text. A join is
+        empty where the cut is an agreement point itself."""
         cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         cuts = rolling_cuts(cp)
-        if not len(cuts):
-            return [text]
-        agree = np.flatnonzero(_SPACE[np.minimum(cp, 127)]) + 1
+        agree = np.flatnonzero(_SPACE[np.minimum(cp, 127)]) + 1 if len(cuts) else cuts
         if not len(agree):
             return [text]
-        # the agreement points next to each cut; a window reaches from one to the other
+        # the agreement points next to each cut; a join reaches from one to the other
         at = np.searchsorted(agree, cuts, side="right")
         first = np.where(at > 0, agree[np.maximum(at - 1, 0)], 0)
         last = np.where(at < len(agree), agree[np.minimum(at, len(agree) - 1)], len(cp))
-        exact = first == cuts  # the cut is an agreement point itself: nothing to repair
-        edges = np.unique(np.concatenate([[0], first, np.where(exact, first, last), [len(cp)]]))
-        edges = edges.tolist()
-        return [text[a:b] for a, b in zip(edges, edges[1:]) if b > a]
+        last = np.where(first == cuts, first, last)
+        # joins that meet are one
+        new = np.flatnonzero(np.diff(first, prepend=-1) * (np.append(-1, last[:-1]) < first))
+        edges = np.column_stack([first[new], last[np.append(new[1:], len(first)) - 1]]).ravel().tolist()
+        return [text[a:b] for a, b in zip([0, *edges], [*edges, len(text)])]
 
     def encode(self, texts: list[str]) -> list[str]:
         """The ids of each text, as decimals joined by a space."""
         split = [self.pieces(t) for t in texts]
-        new = dict.fromkeys(p for ps in split for p in ps if p not in self.cache)
-        cut = [p.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for p in new]
-        self._learn(set().union(*cut))
+        new = dict.fromkeys(p for ps in split for p in ps[::2] if p not in self.cache)
+        cut = [_words(p) for p in new]
+        near = [[(_tail(a, 1), w, _head(b, 1)) for a, w, b in zip(ps[::2], ps[1::2], ps[2::2])] for ps in split]
+        joins = list(dict.fromkeys(j for js in near for j in js if j not in self.joins))
+        self._learn(set().union(*cut, *(_words(x) for js in near for j in js for x in (j[0], j[2]))))
         ids = self.young.__getitem__
         fresh = {p: _spaced(map(ids, words)) for p, words in zip(new, cut)}
-        out = [_spaced([fresh[p] if p in fresh else self.cache[p] for p in ps]) for ps in split]
-        for p, v in fresh.items():
-            if len(p) <= 4096:
-                if self.held > self.memory_words * CHUNK_CHARS:
-                    self.cache.clear()
-                    self.held = 0
-                self.cache[p] = v
-                self.held += len(p)
+        number = self.number
+        anew = {j: " ".join([number[i] for i in e.ids]) for j, e in zip(
+            joins, self.tk.encode_batch_fast(["".join(j) for j in joins], add_special_tokens=False))}
+        out = []
+        for text, ps, js in zip(texts, split, near):
+            done = [fresh[p] if p in fresh else self.cache[p] for p in ps[::2]]
+            found = [self._between(done[k], done[k + 1], j, anew[j] if j in anew else self.joins[j])
+                     for k, j in enumerate(js)]
+            for k, x in enumerate(found):
+                if x is None:
+                    found[k] = self._grown(*ps[2 * k:2 * k + 3], *done[k:k + 2])
+            if None in found:
+                out.append(" ".join([number[i] for i in self.tk.encode(text, add_special_tokens=False).ids]))
+                continue
+            order = [done[0]]
+            for x, y in zip(found, done[1:]):
+                order += (x, y)
+            out.append(_spaced(order))
+        for table, more, size in ((self.cache, fresh, len), (self.joins, anew, lambda j: sum(map(len, j)))):
+            for p, v in more.items():
+                n = size(p)
+                if n <= 4096:
+                    if self.held > self.memory_words * CHUNK_CHARS:
+                        self.cache.clear()
+                        self.joins.clear()
+                        self.held = 0
+                    table[p] = v
+                    self.held += n
         return out
 
+    def _between(self, left: str, right: str, join: tuple[str, str, str], ids: str) -> str | None:
+        """The ids of a join, of ``ids`` for it and its context; None if they do not agree with
+        ``left`` and ``right``, those of the interiors, in at least one id on either side."""
+        a, b = (_spaced(map(self.young.__getitem__, _words(x))) for x in (join[0], join[2]))
+        if (left and not a) or (right and not b) or not (_ends(left, a) and _begins(right, b)):
+            return None
+        if not (_begins(ids, a) and _ends(ids, b)) or len(a) + len(b) > len(ids):
+            return None
+        return ids[len(a):len(ids) - len(b)].strip(" ")
+
+    def _grown(self, before: str, join: str, behind: str, left: str, right: str) -> str | None:
+        """The ids of a join with as much context as agrees; None if the whole interiors do not."""
+        k, context = 1, None
+        while context != (before, behind):
+            k *= 2
+            context = (_tail(before, k), _head(behind, k))
+            self._learn({w for x in context for w in _words(x)})
+            ids = self.tk.encode(context[0] + join + context[1], add_special_tokens=False).ids
+            found = self._between(left, right, (context[0], join, context[1]),
+                                  " ".join([self.number[i] for i in ids]))
+            if found is not None:
+                return found
+        return None
+
     def _learn(self, words: set[str]) -> None:
         """Bring ``words`` into the young generation, new ones by the tokenizer."""
         if len(self.young) > self.memory_words:

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import public_tokenizers
@@ -61,3 +62,47 @@ def test_shared_passages_share_chunks():
 
 def test_empty_table(edge):
     assert b.bpe_codec(edge.where("false"), PATH).count() == 0
+
+
+def test_pieces_are_the_text_and_joins_lie_between():
+    random.seed(5)
+    codec = b.ChunkCodec(PATH)
+    for chars in ("ab \n", "abcdefgh", "a  ", "xyz\t\r é"):
+        text = "".join(random.choice(chars) for _ in range(20_000))
+        pieces = codec.pieces(text)
+        assert "".join(pieces) == text and len(pieces) % 2 == 1
+        assert all(p and p[-1] in " \n\t\r" for p in pieces[2:-1:2])  # interiors end at agreement points
+
+
+def test_a_join_that_does_not_agree_is_repaired(library):
+    """A wrong id in the memory of words is noticed wherever such a word is next to a join."""
+    random.seed(6)
+    text = " ".join("".join(random.choice("abcdefgh") for _ in range(random.randint(2, 9))) for _ in range(3000))
+    codec = b.ChunkCodec(PATH)
+    pieces = codec.pieces(text)
+    word = pieces[0].split()[-1]
+    codec.young[word] = "7 7 7"
+    assert codec.encode([text])[0] == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
+
+
+def changed(**parts):
+    with open(PATH, encoding="utf-8") as f:
+        return json.load(f) | parts
+
+
+@pytest.mark.parametrize("parts", [
+    {"pre_tokenizer": None},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}},
+    {"pre_tokenizer": {"type": "Metaspace", "replacement": "_", "prepend_scheme": "always", "split": True}},
+    {"pre_tokenizer": {"type": "Split", "pattern": {"Regex": " ?[a-z]+"}, "behavior": "Removed", "invert": True}},
+    {"pre_tokenizer": {"type": "Split", "pattern": {"Regex": r"\S+(?=\s)"}, "behavior": "Removed", "invert": True}},
+    {"normalizer": {"type": "Replace", "pattern": {"String": " "}, "content": "_"}},
+    {"normalizer": {"type": "Prepend", "prepend": "_"}},
+    {"added_tokens": [{"id": 1, "content": "<a b>", "single_word": False, "lstrip": False, "rstrip": False,
+                       "normalized": False, "special": True}]},
+    {"added_tokens": [{"id": 1, "content": "<a>", "single_word": False, "lstrip": True, "rstrip": False,
+                       "normalized": False, "special": True}]}])
+def test_tokenizers_that_reach_over_white_space_are_refused(parts):
+    b.check_tokenizer(changed())
+    with pytest.raises(ValueError):
+        b.check_tokenizer(changed(**parts))
