@@ -141,6 +141,16 @@ def _ends(ids: str, part: str) -> bool:
     return not part or ids == part or ids.endswith(" " + part)
 
 
+def _between(left: str, right: str, before: str, behind: str, ids: str) -> str | None:
+    """The ids of a join, of ``ids`` for it and its context, which has ``before`` and ``behind``
+    alone; None if they do not agree with the interiors' ids ``left`` and ``right`` in at least one id on either side."""
+    if (left and not before) or (right and not behind) or len(before) + len(behind) > len(ids):
+        return None
+    if not (_ends(left, before) and _begins(right, behind) and _begins(ids, before) and _ends(ids, behind)):
+        return None
+    return ids[len(before):len(ids) - len(behind)].strip(" ")
+
+
 class ChunkCodec:
     def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
         self.memory_words = memory_words
@@ -188,8 +198,10 @@ class ChunkCodec:
         cut = [_words(p) for p in new]
         near = [[(_tail(a, 1), w, _head(b, 1)) for a, w, b in zip(ps[::2], ps[1::2], ps[2::2])] for ps in split]
         joins = list(dict.fromkeys(j for js in near for j in js if j not in self.joins))
-        self._learn(set().union(*cut, *(_words(x) for js in near for j in js for x in (j[0], j[2]))))
+        context = {x for js in near for j in js for x in (j[0], j[2])}
+        self._learn(set().union(*cut, *map(_words, context)))
         ids = self.young.__getitem__
+        context = {x: _spaced(map(ids, _words(x))) for x in context}
         fresh = {p: _spaced(map(ids, words)) for p, words in zip(new, cut)}
         number = self.number
         anew = {j: " ".join([number[i] for i in e.ids]) for j, e in zip(
@@ -197,7 +209,8 @@ class ChunkCodec:
         out = []
         for text, ps, js in zip(texts, split, near):
             done = [fresh[p] if p in fresh else self.cache[p] for p in ps[::2]]
-            found = [self._between(done[k], done[k + 1], j, anew[j] if j in anew else self.joins[j])
+            found = [_between(done[k], done[k + 1], context[j[0]], context[j[2]],
+                              anew[j] if j in anew else self.joins[j])
                      for k, j in enumerate(js)]
             for k, x in enumerate(found):
                 if x is None:
@@ -221,16 +234,6 @@ class ChunkCodec:
                     self.held += n
         return out
 
-    def _between(self, left: str, right: str, join: tuple[str, str, str], ids: str) -> str | None:
-        """The ids of a join, of ``ids`` for it and its context; None if they do not agree with
-        ``left`` and ``right``, those of the interiors, in at least one id on either side."""
-        a, b = (_spaced(map(self.young.__getitem__, _words(x))) for x in (join[0], join[2]))
-        if (left and not a) or (right and not b) or not (_ends(left, a) and _begins(right, b)):
-            return None
-        if not (_begins(ids, a) and _ends(ids, b)) or len(a) + len(b) > len(ids):
-            return None
-        return ids[len(a):len(ids) - len(b)].strip(" ")
-
     def _grown(self, before: str, join: str, behind: str, left: str, right: str) -> str | None:
         """The ids of a join with as much context as agrees; None if the whole interiors do not."""
         k, context = 1, None
@@ -239,8 +242,8 @@ class ChunkCodec:
             context = (_tail(before, k), _head(behind, k))
             self._learn({w for x in context for w in _words(x)})
             ids = self.tk.encode(context[0] + join + context[1], add_special_tokens=False).ids
-            found = self._between(left, right, (context[0], join, context[1]),
-                                  " ".join([self.number[i] for i in ids]))
+            found = _between(left, right, *(_spaced(map(self.young.__getitem__, _words(x))) for x in context),
+                             " ".join([self.number[i] for i in ids]))
             if found is not None:
                 return found
         return None
