@@ -70,4 +70,23 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
                      *more)
 
 
-__all__ = ["ship", "worker_table", "read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], total: int, spread: list[str],
+                 how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has one row for each key and in ``n`` how many of the ``total``
+    rows hold it; ``n`` is dropped. No task gets all rows of a key that holds more than a shuffle
+    partition's share: such rows are dealt by a hash of their ``spread`` columns, and the key's row of
+    ``table`` is copied as often. Fewer keys than there are shuffle partitions are that hot, and only
+    they are broadcast."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, total // parts)
+    deals, deal = "deals of the key", "deal of the row"  # no column of an operator has these names
+    hot = table.where(F.col("n") > share).select(*keys, F.ceil(F.col("n") / share).cast("int").alias(deals))
+    copies = F.when(F.col("n") > share, F.ceil(F.col("n") / share).cast("int")).otherwise(1)
+    dealt = F.explode(F.sequence(F.lit(0), copies - 1)).alias(deal)
+    table = table.select(*(c for c in table.columns if c != "n"), dealt)
+    rows = (rows.join(F.broadcast(hot), keys, "left")
+            .withColumn(deal, F.coalesce(F.pmod(F.xxhash64(*spread), F.col(deals)).cast("int"), F.lit(0))).drop(deals))
+    return rows.join(table, [*keys, deal], how).drop(deal)
+
+
+__all__ = ["join_counted", "ship", "worker_table", "read_table", "ascii_lower", "id_text", "materialize", "scratch_path"]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialize, worker_table
+from .common import id_text, join_counted, materialize, worker_table
 from .graph import connected_components
 
 CELL = 8192        # fingerprints of a masked pattern dealt with together
@@ -260,13 +260,13 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, *,
     ids are kept each; other columns are left out; an empty table gives no rows.
     """
     own = materialize(fingerprints(docs, shingle, id_col=id_col, text_col=text_col), "fingerprints")
-    distinct = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    distinct = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     roots = connected_components(near_links(distinct.select("fp"), max_bits, cell))
     linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     linked = linked.join(distinct, linked.node == distinct.fp).select("fp", "root", "first_id")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = linked.join(least, "root").select(F.col("fp").alias("linked_fp"), "component_id")
     place = (distinct.join(linked, F.col("fp") == F.col("linked_fp"), "left")
-             .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
-    return own.join(place, "fp").select(
+             .select("fp", F.coalesce("component_id", "first_id").alias("component_id"), "n"))
+    return join_counted(own, place, ["fp"], own.count(), ["doc_id"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

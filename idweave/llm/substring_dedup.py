@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import id_text, materialize, worker_table
+from .common import id_text, join_counted, materialize, worker_table
 
 LENGTH = 200
 GRAM = 16
@@ -312,8 +312,8 @@ def repeated_ranges(stored: DataFrame, length: int, group: int) -> DataFrame:
     rows = materialize(_extended(stored, length), "phrases")
     entry = rows.groupBy("core", "phrase").agg(F.count(F.lit(1)).alias("n"),
                                                F.min(F.struct("key", "loc")).alias("place"))
-    twice = entry.where("n > 1").select("core", "phrase")
-    whole = rows.join(twice, ["core", "phrase"]).select("key", *_range(length))
+    twice = entry.where("n > 1").select("core", "phrase", "n")
+    whole = join_counted(rows, twice, ["core", "phrase"], rows.count(), ["key", "loc"]).select("key", *_range(length))
     mixed = (entry.groupBy("core").agg(F.count(F.lit(1)).alias("entries"), F.min("n").alias("least"))
              .where("entries > 1 AND least = 1")
              .select("core", (F.col("entries") > group).alias("many")))
@@ -397,8 +397,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH,
     docs = id_text(docs, id_col, text_col, kept).withColumn("key", F.xxhash64("doc_id", "text"))
     long_texts = docs.where(F.octet_length("text") >= length)
     twice = materialize(_parse(long_texts, length, False).groupBy("core").agg(F.count(F.lit(1)).alias("n"))
-                        .where("n > 1").select("core"), "cores")
-    marks = (_parse(long_texts, length, True).join(twice, "core")
+                        .where("n > 1"), "cores")
+    total = twice.agg(F.sum("n")).first()[0] or 0
+    marks = (join_counted(_parse(long_texts, length, True), twice, ["core"], total, ["key", "loc"])
              .groupBy("key").agg(F.collect_set(F.struct("core", "loc")).alias("marks")))
     # the texts move once; those without a mark are done
     stored = materialize(docs.join(marks, "key", "left"), "marked")

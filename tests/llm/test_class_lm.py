@@ -147,3 +147,42 @@ def test_words_outside_the_exchange_fit_both_sides():
     succ, pred = np.array([[0., 5, 0], [4, 0, 0]]), np.array([[0., 5, 0], [4, 0, 0]])
     own = np.array([2, 2])
     assert m.best_classes(own, succ, pred, np.zeros(2), grid + 5, 2).tolist() == [1, 0]
+
+
+def test_scores_are_those_of_a_plain_class_model(spark, monkeypatch):
+    """Transitions and emissions counted in plain Python for the classes that were found."""
+    found, exchange = [], m.exchange
+    monkeypatch.setattr(m, "exchange", lambda *a: found.append(exchange(*a)) or found[0])
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    docs = repeated(spark).unionByName(spark.createDataFrame(
+        [(held, "w1 R3 nowhere v2"), (held, "once0 w0 elsewhere elsewhere"), (held, None)], "doc_id long, text string"))
+    got = sorted((r.n_tokens, round(r.score, 6)) for r in m.class_lm_scores(docs).collect())
+    texts = [(r.doc_id, [*(r.text or "").lower().split(), None]) for r in docs.collect()]
+    train = [t for i, t in texts if i != held]
+    count = collections.Counter(w for t in train for w in t)
+    often = [w for w in count if w is not None and count[w] > 1]
+    often.sort(key=lambda w: (-count[w], int(m.word_hashes([w])[0].view(np.int64)[0])))
+    label, classes = found[0][0].tolist(), m.class_count(len(often))
+    of = dict(zip([*often, None], label))  # the end token is numbered after the words
+    pairs = collections.Counter((of.get(a, classes), of.get(b, classes)) for t in train for a, b in zip([None, *t], t))
+    ahead, tokens, kinds = (collections.Counter() for _ in range(3))
+    for (a, b), n in pairs.items():
+        ahead[a] += n
+        tokens[b] += n
+    for w in {*count, "a word never seen"}:
+        kinds[of.get(w, classes)] += 1
+    total = sum(tokens.values())
+
+    def chance(a, b):
+        a, k = of.get(a, classes), of.get(b, classes)
+        share = (tokens[k] + 1) / (total + classes + 1)
+        step = (pairs[a, k] + m.ALPHA * share) / (ahead[a] + m.ALPHA)
+        return step * (count[b] + 1) / (tokens[k] + kinds[k])
+
+    want = sorted((len(t), round(sum(math.log10(chance(a, b)) for a, b in zip([None, *t], t)), 6)) for _, t in texts)
+    assert [n for n, _ in got] == [n for n, _ in want]
+    assert np.allclose([x for _, x in got], [x for _, x in want], atol=2e-6)
+    for before in (None, often[0], "a word never seen"):
+        mass = sum(chance(before, w) for w in {*count, "a word never seen"})
+        empty = set(range(classes + 1)) - {of.get(w, classes) for w in count}
+        assert mass <= 1 + 1e-9 and (empty or mass == pytest.approx(1))

@@ -75,3 +75,21 @@ def test_edges(spark, edge, rows):
     assert len(out) == edge.count() and all(0 < r.score < 1 for r in out)
     assert q.quality_scores(edge.where("false"), labels).count() == 0
     assert set(q.keep_good(edge, labels).columns) == set(edge.columns)
+
+
+def test_scores_are_those_of_the_rules_in_plain_python(spark, documents, monkeypatch):
+    found, fit = [], q.fit_quality
+    monkeypatch.setattr(q, "fit_quality", lambda *a: found.append(fit(*a)) or found[0])
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    scores = {r.doc_id: r.score for r in q.quality_scores(documents, labels).collect()}
+    intercept, weights = found[0]
+    assert weights
+
+    def holds(rule, values):
+        parts = [p.split() for p in rule.split(" AND ")]
+        return all(values[f] <= float(x[:-1]) if op == "<=" else values[f] > float(x[:-1]) for f, op, x in parts)
+
+    for r in documents.collect():
+        values = dict(zip(q.FEATURES, q.statistics(r.text or "")))
+        total = intercept + sum(w for rule, w in weights if holds(rule, values))
+        assert scores[r.doc_id] == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-9)

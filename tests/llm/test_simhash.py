@@ -81,3 +81,17 @@ def test_chain_links_through_others(spark):
 
 def test_empty_table(edge):
     assert rows_of(s.simhash_components(edge.where("false"))) == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_dealt_and_joined_once(spark, how):
+    from pyspark.sql import functions as F
+
+    from idweave.llm.common import join_counted
+    rows = spark.range(3000).select(F.col("id").alias("row"), F.when(F.col("id") < 1000, 7).otherwise(
+        F.col("id") % 400).cast("long").alias("k"))
+    table = rows.where("k <> 9").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("most"))
+    got = join_counted(rows, table, ["k"], 3000, ["row"], how)
+    assert sorted(got.columns) == ["k", "most", "row"]
+    assert rows_of(got.select("row", "k", "most")) == rows_of(rows.join(table.drop("n"), "k", how).select("row", "k", "most"))
+    assert join_counted(rows.where("false"), table, ["k"], 0, ["row"]).count() == 0
