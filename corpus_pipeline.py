@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of every SimHash component the document with the smallest id stays; ids are null last, and
     of equal ids the smaller key of the row stays. Texts without words, null ones too, have fingerprint zero and
     are copies of one another. Of rows that repeat id and text one stays, that whose other columns
-    come first as JSON."""
+    come first as JSON. Two texts whose keys collide are both kept if either is."""
     keyed = _keyed(docs)
     found = simhash_components(keyed, shingle=4, max_bits=4, id_col=KEY)
     ids = keyed.select(F.col(KEY).alias("k"), F.col("doc_id").alias("id")).distinct()
@@ -50,7 +50,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
              .select(F.col("least.k").alias(KEY)))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     rank = F.to_json(F.struct(F.col("doc_id"), *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text"))))
-    return keyed.join(stays, KEY, "left_semi").groupBy(KEY).agg(F.min_by(row, rank).alias("row")).select(
+    return keyed.join(stays, KEY, "left_semi").groupBy(
+        KEY, "doc_id", F.xxhash64(F.lit(KEY), "text")).agg(F.min_by(row, rank).alias("row")).select(
         *(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
