@@ -1,0 +1,36 @@
+"""Shuffles and tasks whose size follows the input: more partitions, not larger ones."""
+
+import pytest
+
+from idweave import fixtures as fx
+from idweave import session
+from idweave.operators import batch_requests, compress_snapshots, intervals, snapshot_calendar
+
+SF = "/root/testdata/sf0.001"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_batches_do_not_bring_all_requests_of_a_prefix_to_one_task(spark, no_broadcast):
+    df = spark.createDataFrame([(i, "AB"[i % 2] if i % 7 else None) for i in range(20)], "DATA_ID bigint, prefix string")
+    out = batch_requests(df, 3)
+    assert "SortMergeJoin" not in plan(out) and "BroadcastHashJoin" in plan(out)
+    got = rows(out.select("prefix", "DATA_ID", "batch_no"))
+    for prefix in ("A", "B", None):
+        mine = sorted(i for p, i, _ in got if p == prefix)
+        assert [b for p, i, b in sorted(got, key=lambda r: r[1]) if p == prefix] == [k // 3 for k in range(len(mine))]
+    assert len(got) == 20
