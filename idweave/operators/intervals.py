@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SECURITY_COLUMNS
-from ..session import materialize
+from ..session import materialize, task_count
 
 RANGE = ("valid_from", "valid_to", "first_no", "last_no")
 
@@ -41,12 +41,14 @@ def compress_snapshots(securities: DataFrame, calendar: DataFrame, key: str = "s
 
     A snapshot without the security ends its stretch, as does any changed value. If a security has several rows
     in a snapshot, all are kept, each in ranges of its own. Snapshots that the calendar lacks are left out. One shuffle, on the security: a security
-    has at most a row for each snapshot date (times its copies), so no group is larger than the calendar.
+    has at most a row for each snapshot date (times its copies), so no group is larger than the calendar. Equal values
+    shrink so well in a shuffle that its bytes say little of a task's memory: partitions are made by the number of rows.
     """
+    parts = max(task_count(securities.count()), int(securities.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     value = F.struct(*columns)
     rows = (securities.select(F.col(key), F.col("datadate").alias("_d"), *columns)
             .join(F.broadcast(calendar.select(F.col("datadate").alias("_d"), "no")), "_d")
-            .repartition(key)
+            .repartition(parts, key)
             .withColumn("_copy", F.row_number().over(Window.partitionBy(key, "_d").orderBy(*columns))))
     line = Window.partitionBy(key, "_copy").orderBy("no")
     starts = (F.lag("no").over(line).isNull() | (F.lag("no").over(line) + 1 != F.col("no"))

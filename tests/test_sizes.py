@@ -34,3 +34,13 @@ def test_batches_do_not_bring_all_requests_of_a_prefix_to_one_task(spark, no_bro
         mine = sorted(i for p, i, _ in got if p == prefix)
         assert [b for p, i, b in sorted(got, key=lambda r: r[1]) if p == prefix] == [k // 3 for k in range(len(mine))]
     assert len(got) == 20
+
+
+def test_ranges_are_made_in_partitions_by_number_of_rows(spark, src, monkeypatch):
+    calendar = snapshot_calendar(src.snapshot_dates)
+    before = rows(compress_snapshots(src.securities, calendar))
+    monkeypatch.setattr(intervals, "task_count", lambda n: n // 100)
+    n = src.securities.count() // 100
+    out = compress_snapshots(src.securities, calendar)
+    assert n > 40 and f"hashpartitioning(sec_id#" in plan(out) and f", {n})" in plan(out)
+    assert rows(out) == before
