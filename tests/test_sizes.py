@@ -44,3 +44,34 @@ def test_ranges_are_made_in_partitions_by_number_of_rows(spark, src, monkeypatch
     out = compress_snapshots(src.securities, calendar)
     assert n > 40 and f"hashpartitioning(sec_id#" in plan(out) and f", {n})" in plan(out)
     assert rows(out) == before
+
+
+def test_a_part_file_is_dealt_out_before_its_snapshots_are_made(spark, monkeypatch):
+    whole = fx.securities(spark, SF)
+    monkeypatch.setattr(fx, "_rows", lambda *_: (0, 5_000_000))
+    dealt = fx.securities(spark, SF)
+    assert f", {session.task_count(5_000_000)})" in plan(dealt) and session.task_count(5_000_000) == 10
+    assert rows(dealt) == rows(whole) and dealt.columns == whole.columns
+
+
+def test_shuffles_are_sized_by_rows_unless_the_caller_has_chosen(spark):
+    app, least = spark.conf.get("spark.app.id"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = spark.conf.get(INITIAL, None)
+    try:
+        spark.conf.unset(INITIAL)
+        session.size_shuffles(spark, 1000)
+        assert spark.conf.get(INITIAL, None) is None
+        session.size_shuffles(spark, (least + 3) * session.ROWS_PER_TASK)
+        assert spark.conf.get(INITIAL) == str(least + 3)
+        session.size_shuffles(spark, (least + 5) * session.ROWS_PER_TASK)
+        assert spark.conf.get(INITIAL) == str(least + 5)
+        session.size_shuffles(spark, 0)
+        assert spark.conf.get(INITIAL, None) is None and app not in session._SIZED
+        spark.conf.set(INITIAL, "7")
+        session.size_shuffles(spark, 10**9)
+        assert spark.conf.get(INITIAL) == "7"
+    finally:
+        spark.conf.unset(INITIAL)
+        session._SIZED.pop(app, None)
+        if found:
+            spark.conf.set(INITIAL, found)
