@@ -1,10 +1,14 @@
 """Shuffles and tasks whose size follows the input: more partitions, not larger ones."""
 
+import datetime
+import uuid
+
 import pytest
 
 from idweave import fixtures as fx
-from idweave import session
-from idweave.operators import batch_requests, compress_snapshots, intervals, snapshot_calendar
+from idweave import session, versions
+from idweave.operators import (batch_requests, compress_snapshots, intervals, lookup_symbols, lookup_with_ledger,
+                               snapshot_calendar, symbols)
 
 SF = "/root/testdata/sf0.001"
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -75,3 +79,44 @@ def test_shuffles_are_sized_by_rows_unless_the_caller_has_chosen(spark):
         session._SIZED.pop(app, None)
         if found:
             spark.conf.set(INITIAL, found)
+
+
+def test_a_row_is_written_once_for_each_level_of_parts(spark):
+    name, written = f"idweave_levels_{uuid.uuid4().hex}", 0
+    try:
+        for k in range(13):
+            found = versions.append_version(spark.createDataFrame([(k,)], "k int"), name, max_parts=2, keep=0)
+            written += spark.table(found.parts[-1]).count()
+            assert list(found.levels) == sorted(found.levels, reverse=True) and len(found.levels) == len(found.parts)
+            assert all(found.levels.count(x) <= 2 for x in found.levels)
+        assert sorted(r.k for r in spark.table(name).collect()) == list(range(13))
+        assert max(found.levels) == 2 and written <= 13 * 3
+    finally:
+        versions.drop_versions(spark, name)
+
+
+def test_a_wave_reads_its_own_batches_only(spark, monkeypatch):
+    name, kept, seen = f"idweave_waves_{uuid.uuid4().hex}", [], {}
+    big = 2**53 + 1
+
+    def keep(df, what="stage", **more):
+        kept.append((what, df))
+        out = session.materialize(df, what, **more)
+        seen[what] = out if what == "waves" else None
+        return out
+
+    def service(pdf):
+        assert sorted(pdf.columns) == ["DATA_ID", "SYMBOL_NAME", "prefix"]
+        out = pdf[["DATA_ID"]].assign(day=None)
+        return out[out["DATA_ID"] % 2 == 1]
+
+    req = spark.createDataFrame([(big + i, "S", f"s{i}") for i in range(20)], "DATA_ID bigint, prefix string, SYMBOL_NAME string")
+    monkeypatch.setattr(symbols, "materialize", keep)
+    try:
+        out = lookup_with_ledger(req, service, "DATA_ID bigint, day date", 2, name, wave=3)
+        assert rows(out) == [(big + i, None) for i in range(0, 20, 2)]
+        answers = [df for what, df in kept if what == "answers"]
+        assert len(answers) == 4 and len({f.split("/")[-2] for f in seen["waves"].inputFiles()}) == 4
+        assert all("PartitionFilters: [isnotnull(_wave" in df._jdf.queryExecution().executedPlan().treeString() for df in answers)
+    finally:
+        versions.drop_versions(spark, name)
