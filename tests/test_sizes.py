@@ -120,3 +120,20 @@ def test_a_wave_reads_its_own_batches_only(spark, monkeypatch):
         assert all("PartitionFilters: [isnotnull(_wave" in df._jdf.queryExecution().executedPlan().treeString() for df in answers)
     finally:
         versions.drop_versions(spark, name)
+
+
+def test_ranges_are_copied_only_to_months_that_are_asked_for(spark):
+    day = datetime.date
+    sym = spark.createDataFrame(
+        [("S", s, day(1990 + y, m, 1), day(1990 + y, m, 28), f"{s}{y}-{m}") for s in "ab" for y in range(12) for m in range(1, 13)],
+        "prefix string, symbol string, valid_from date, valid_to date, resolved string")
+    asked = [("S", "a", day(1990, 5, 3)), ("S", "a", day(1995, 9, 28)), ("S", "a", day(2001, 2, 1)), ("S", "c", day(1999, 1, 1)),
+             ("S", "a", None), (None, "b", day(1999, 1, 1)), ("S", "a", day(1995, 9, 29))]
+    req = spark.createDataFrame([(i, p, s, d) for i, (p, s, d) in enumerate(asked)],
+                                "DATA_ID int, prefix string, SYMBOL_NAME string, sym_date date")
+    for bucket, most in (("month", 9), ("quarter", 9), ("year", 36)):
+        got = lookup_symbols(req, sym, bucket=bucket)
+        assert rows(got.select("DATA_ID", "resolved")) == [(0, "a0-5"), (1, "a5-9"), (2, "a11-2")]
+        named = sym.selectExpr("prefix AS _p", "symbol AS _s", "valid_from", "valid_to", "resolved")
+        copies = symbols._asked_copies(req.selectExpr("*", f"trunc(sym_date, '{bucket}') AS _rb"), named, bucket)
+        assert 3 <= copies.count() <= most and copies.columns == [*named.columns, "_sb"]
