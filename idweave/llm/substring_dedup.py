@@ -25,7 +25,7 @@ A byte goes if a ``length``-byte string covers it that starts anywhere else too.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ GRAM = 16
 BLOCK = 1 << 18     # window starts parsed at a time
 GROUP = 2000        # distinct phrases of a core sorted together
 PART = 16           # windows of a part of a phrase whose core is too common
+ROWS = 128          # rows of a batch turned into Python objects at a time
 _MASK = np.uint64((1 << 20) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,6 +140,21 @@ def _parse(docs: DataFrame, length: int, places: bool) -> DataFrame:
     return docs.select("text").mapInArrow(run, "core long")
 
 
+def _slices(batches):
+    """The rows of Arrow batches, ``ROWS`` at a time: their Python objects take many times the memory of the batch."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS):
+            yield batch.slice(lo, ROWS)
+
+
+def _members(lists: pa.ListArray, *fields: str) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per row of a list of structs, the values of ``fields`` (null lists: none) without an object for each."""
+    flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    columns = [flat.field(f).to_numpy(zero_copy_only=False) for f in fields]
+    for lo, hi in zip(np.concatenate([[0], ends]), ends):
+        yield tuple(c[lo:hi] for c in columns)
+
+
 # ---- dictionary -----------------------------------------------------------
 
 def _extended(stored: DataFrame, length: int) -> DataFrame:
@@ -146,16 +162,15 @@ def _extended(stored: DataFrame, length: int) -> DataFrame:
     extended text and where its windows lie."""
     def run(batches):
         worker_table("substring_dedup")
-        for batch in batches:
+        for batch in _slices(batches):
             cores, found, keys, locs = [], [], [], []
-            for key, text, marks in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "marks"))):
+            for key, text, (marked, own) in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(),
+                                                _members(batch.column("marks"), "core", "loc")):
                 raw = text.encode("utf-8", "surrogatepass")
-                own = [m["loc"] for m in marks]
                 # marks of another text with the same key would not fit
-                core = _signed(_cores(raw, [x >> 16 for x in own], length)).tolist()
-                for loc, c, m in zip(own, core, marks):
-                    if c != m["core"]:
-                        continue
+                core = _signed(_cores(raw, (own >> 16).tolist(), length))
+                fits = core == marked
+                for loc, c in zip(own[fits].tolist(), core[fits].tolist()):
                     _, first, last = _unpack(loc)
                     cores.append(c)
                     found.append(_digest(1 + (loc & 0xFFFF))(raw[first:last + length]))
@@ -175,7 +190,7 @@ def _contexts(stored: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     rows = stored.select("key", "text").dropDuplicates(["key"]).join(lists, "key")
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for key, text, want in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "wanted"))):
                 raw = text.encode("utf-8", "surrogatepass")
@@ -191,10 +206,16 @@ def _contexts(stored: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
 def repeated_windows(contexts: list[bytes], length: int) -> list[np.ndarray]:
     """Per context, which of its windows also occur elsewhere in the group: the suffixes
-    that start a window are sorted, and neighbours compared in their first bytes."""
-    suffix = [c[i:i + length] for c in contexts for i in range(len(c) - length + 1)]
-    order = sorted(range(len(suffix)), key=suffix.__getitem__)
-    repeated = np.zeros(len(suffix), bool)
+    that start a window are sorted, and neighbours compared in their first bytes. Windows whose digest no
+    other has are not repeated and left out of the sort, so only the others take their bytes in memory."""
+    digest = _digest()
+    digests = np.fromiter((digest(c[i:i + length]) for c in contexts for i in range(len(c) - length + 1)), np.uint64)
+    _, place, times = np.unique(digests, return_inverse=True, return_counts=True)
+    left = (times[place] > 1).tolist()
+    windows = ((c, i) for c in contexts for i in range(len(c) - length + 1))
+    suffix = {k: c[i:i + length] for k, (c, i) in enumerate(windows) if left[k]}
+    order = sorted(suffix, key=suffix.__getitem__)
+    repeated = np.zeros(len(digests), bool)
     for a, b in zip(order, order[1:]):
         if suffix[a] == suffix[b]:
             repeated[a] = repeated[b] = True
@@ -220,7 +241,7 @@ def _sorted_groups(contexts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         schema = pa.schema([("key", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
         held = []
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for row in batch.to_pylist():
                 if held and held[0]["core"] != row["core"]:
@@ -240,7 +261,7 @@ def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         import xxhash
 
-        for batch in batches:
+        for batch in _slices(batches):
             for row in batch.to_pylist():
                 text = row["context"]
                 _, first, _ = _unpack(row["loc"])
@@ -262,7 +283,7 @@ def _parts(contexts: DataFrame, length: int) -> DataFrame:
     """(core, phrase, key, loc, single, context) of the parts of phrases, cut at multiples
     of ``PART`` before the trigger, so that equal windows lie in corresponding parts."""
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for row in batch.to_pylist():
                 t, first, last = _unpack(row["loc"])
@@ -325,9 +346,9 @@ def repeated_ranges(stored: DataFrame, length: int, group: int) -> DataFrame:
 
 # ---- result ---------------------------------------------------------------
 
-def _cut(raw: bytes, ranges: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
+def _cut(raw: bytes, ranges: Iterable[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
     merged: list[list[int]] = []
-    for r in sorted((x["lo"], x["hi"]) for x in ranges or ()):
+    for r in sorted(ranges):
         if merged and r[0] <= merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], r[1])
         else:
@@ -351,11 +372,11 @@ def _results(rows: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
+        for batch in _slices(batches):
             cols = {c: [] for c in outputs}
-            for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist()):
+            for text, (lo, hi) in zip(batch.column("text").to_pylist(), _members(batch.column("ranges"), "lo", "hi")):
                 raw = text.encode("utf-8", "surrogatepass")
-                kept, merged = _cut(raw, ranges)
+                kept, merged = _cut(raw, zip(lo.tolist(), hi.tolist()))
                 values = {"n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": len(merged)}
                 if "kept_sha256" in cols:
                     values["kept_sha256"] = hashlib.sha256(kept).hexdigest()

@@ -1,12 +1,13 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from llm_helpers import rows_of
 
-from idweave.llm.substring_dedup import phrases, remove_repeats
+from idweave.llm.substring_dedup import phrases, remove_repeats, repeated_windows
 
 COLUMNS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -71,3 +72,16 @@ def test_equal_windows_have_the_same_trigger():
 
 def test_empty_table(edge):
     assert remove_repeats(edge.where("false")).count() == 0
+
+
+def test_sorting_a_group_holds_only_windows_that_may_repeat():
+    rng = random.Random(3)
+    contexts = [rng.randbytes(311) for _ in range(300)] + [b"x" * 150 + rng.randbytes(100)]
+    contexts += [contexts[0][40:], contexts[1][:250]]
+    plain = collections.Counter(c[i:i + 200] for c in contexts for i in range(len(c) - 199))
+    tracemalloc.start()
+    got = repeated_windows(contexts, 200)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [g.tolist() for g in got] == [[plain[c[i:i + 200]] > 1 for i in range(len(c) - 199)] for c in contexts]
+    assert most < 100 * sum(len(c) - 199 for c in contexts)  # bytes; every window itself takes over 200
