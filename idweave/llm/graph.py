@@ -17,7 +17,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``edges`` (a long, b long) -> (node, root): root is the smallest node of the
     component, for every node of an edge between different nodes that is not its own
     root. Nulls and self-links are ignored; no edges give no rows."""
-    edges = edges.select("a", "b").dropna().where("a <> b")
+    # stored before the first round too, which reads the edges many times over: else their whole plan is in it as often
+    edges = materialize(edges.select("a", "b").dropna().where("a <> b"), "links")
     before = None
     for _ in range(max_rounds):
         both = (edges.select(F.col("a").alias("u"), F.col("b").alias("v"))

@@ -79,6 +79,17 @@ def test_chain_links_through_others(spark):
     assert len({r.root for r in roots.collect()}) == 1 and roots.count() == 11
 
 
+def test_search_for_links_is_planned_once(spark, monkeypatch):
+    from idweave.llm import graph
+
+    plans, store = [], graph.materialize
+    monkeypatch.setattr(graph, "materialize", lambda df, name: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), store(df, name))[1])
+    fps = spark.createDataFrame([(1,), (3,), (7,), (255 << 40,)], "fp long")
+    assert s.connected_components(s.near_links(fps, 2)).count() == 2
+    assert sum(p.count("MapInArrow") for p in plans) == 1
+
+
 def test_empty_table(edge):
     assert rows_of(s.simhash_components(edge.where("false"))) == []
 
