@@ -142,3 +142,19 @@ def test_publish_checks_before_the_old_table_goes(spark):
         if path:
             assert len(glob.glob(path.replace("file:", "") + "/*/")) == 1
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_commit_alters_the_view_and_never_drops_it(spark, name, tmp_path, monkeypatch):
+    said = []
+    v.publish_version(spark.range(3), name, path=str(tmp_path))
+    plain = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (said.append(text), plain(self, text, *a, **k))[1])
+    for n in (4, 5, 6):
+        assert v.publish_version(spark.range(n), name, path=str(tmp_path)).number == n - 2
+        found = v.current_version(spark, name)
+        assert found.number == n - 2 and spark.table(name).count() == n
+    v.drop_before(spark, name)
+    assert v.current_version(spark, name).before == () and spark.table(name).count() == 6
+    keys = [r["key"] for r in plain(spark, f"SHOW TBLPROPERTIES {name}").collect() if r["key"].startswith(v.MANIFEST)]
+    assert len(keys) <= 2
+    assert not [t for t in said if "REPLACE VIEW" in t or t.startswith("DROP VIEW")]
