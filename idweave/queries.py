@@ -57,9 +57,14 @@ def _enriched(spark, sf_dir):
     return plan.enriched_historic(_src(spark, sf_dir))
 
 
-def _stored(spark, sf_dir):
-    """The enriched rows written once, for queries that use them more than once."""
-    return materialize(_enriched(spark, sf_dir), "enriched")
+def _stored(spark, sf_dir, columns=None):
+    """The enriched rows written once, for queries that use them more than once; with ``columns`` only those that
+    the query's steps read, as a plan that is not cut by a write would have them."""
+    e = _enriched(spark, sf_dir)
+    return materialize(e.select(*columns) if columns else e, "enriched")
+
+
+ASKED = ("DATA_ID", "sec_id", "trade_date_local", "sec_currency", "ticker", "sedol")  # what requests are made of
 
 
 # ---- allocations ---------------------------------------------------------
@@ -214,7 +219,7 @@ def lookup_symbols_ticker(spark, sf_dir):
 def merge_responses_q(spark, sf_dir):
     """SEDOL and ticker responses unioned by name."""
     src = _src(spark, sf_dir)
-    e = _stored(spark, sf_dir)
+    e = _stored(spark, sf_dir, ASKED)
     return merge_responses(lookup_symbols(sedol_requests(e), src.symbology),
                            lookup_symbols(ticker_requests(e), src.symbology))
 
@@ -270,7 +275,7 @@ def stage_counts_q(spark, sf_dir):
     ided = plan.allocations_with_ids(src)  # stored
     prev = materialize(previous_snapshot(ided, src.snapshot_dates), "previous")
     enriched = materialize(join_reference(join_snapshot(prev, src.securities), src.ref_equity,
-                                          src.ref_fund), "enriched")
+                                          src.ref_fund).select(*ASKED), "enriched")
     sed, tick = sedol_requests(enriched), ticker_requests(enriched)
     resp = materialize(lookup_symbols(symbol_requests(enriched), src.symbology), "responses")
     return stage_counts({
