@@ -30,7 +30,7 @@ from .plans import publish_daily, publish_state
 from .session import materialize, scratch_path
 from .sinks import export_request_batches, export_requests, preview, publish
 from .sources import scan_csv, scan_csv_checked, snapshot_dates, sql_relation
-from .versions import append_version, drop_versions, publish_version
+from .versions import append_version, detach, drop_versions, publish_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -494,7 +494,7 @@ def published_versions_of_identifiers(spark, sf_dir):
     plan.publish_identifiers(first, name, path=scratch_path(spark, "result"), **options)
     plan.publish_identifiers(src, name, path=scratch_path(spark, "result"), **options)
     drop_versions(spark, f"{name}_ids")
-    return _stored_rows(spark, name)
+    return detach(spark, name)
 
 
 def _flawed_lines(df):
@@ -591,7 +591,7 @@ def daily_identifiers(spark, sf_dir):
     changes = fx.Sources(*(getattr(src, n).where(f"NOT ({c})") for n, c in conditions.items()))
     publish_daily(src, changes, name, path=path)
     drop_versions(spark, f"{name}_ids")
-    return _stored_rows(spark, name)
+    return detach(spark, name)
 
 
 def _read_and_forget(spark, name):
