@@ -3,7 +3,7 @@
 from .allocations import dedup_allocations, filter_allocations
 from .asof import previous_snapshot, previous_snapshot_by_key
 from .audit import duplicate_keys, observe_count, stage_counts
-from .enrich import audit_missing, join_reference, join_snapshot
+from .enrich import audit_missing, join_reference, join_snapshot, with_file_days
 from .ids import assign_ids, dense_index
 from .intervals import compress_snapshots, expand_intervals, join_intervals, snapshot_calendar
 from .registry import registered_ids

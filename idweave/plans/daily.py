@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from ..constants import DEDUP_KEYS_3
 from ..functions.columns import tag
 from ..functions.dates import date_from_yyyymmdd
-from ..operators import (dedup_allocations, filter_allocations, join_reference, join_snapshot, lookup_symbols,
-                         observe_count, previous_snapshot, registered_ids, symbol_requests)
+from ..operators import (dedup_allocations, filter_allocations, lookup_symbols, observe_count,
+                         previous_snapshot, registered_ids, symbol_requests, with_file_days)
 from ..session import materialize, stage_scope
 from ..versions import companion, publish_version
-from .identifiers import KEY_ROWS, TIE_KEYS, DuplicateKeys
+from .identifiers import KEY_ROWS, TIE_KEYS, DuplicateKeys, enrich
 from .inputs import Sources
 
 log = logging.getLogger("idweave")
@@ -114,9 +114,7 @@ def _match(df: DataFrame, keys_of: DataFrame, keys, how: str) -> DataFrame:
 
 def _enriched(alloc: DataFrame, src: Sources, offset_days: int) -> DataFrame:
     """The enriched rows of allocations with snapshot dates, stored; ``DuplicateKeys`` if a file has a key twice."""
-    snap = join_snapshot(alloc, src.securities, on="snapshot_date")
-    stored = materialize(join_reference(snap, src.ref_equity, src.ref_fund, offset_days=offset_days,
-                                        key_rows=KEY_ROWS), "enriched")
+    stored = materialize(with_file_days(enrich(alloc, src, offset_days, key_rows=KEY_ROWS)), "enriched")
     most = stored.agg(F.max(KEY_ROWS)).first()[0]  # one stored column
     if (most or 1) > 1:
         raise DuplicateKeys(f"a (security, file date) has {most} rows in a reference file")
@@ -126,7 +124,8 @@ def _enriched(alloc: DataFrame, src: Sources, offset_days: int) -> DataFrame:
 def _resolved(enriched: DataFrame, src: Sources, ticker_mode: str) -> DataFrame:
     carry = [c for c in enriched.columns if c != "DATA_ID"]
     requests = symbol_requests(enriched, ticker_mode=ticker_mode, keep_input=True)
-    return tag(lookup_symbols(requests, src.symbology, carry=carry), process_type="historic")
+    return tag(lookup_symbols(requests, src.symbology, carry=carry, date_col="trade_date_local"),
+               process_type="historic")
 
 
 def _publish(table: str, alloc: DataFrame, enriched: DataFrame, result: DataFrame, path: str | None) -> dict[str, int]:

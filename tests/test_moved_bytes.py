@@ -102,3 +102,47 @@ def test_rows_of_a_version_outlive_its_name_without_a_copy(spark, tmp_path):
         versions.detach(spark, name)
     assert rows(spark.table(name)) == rows(df)
     versions.drop_versions(spark, name)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key_rows", [None, "most"])
+def test_files_cut_to_the_keys_of_the_trades_give_the_same_rows(spark, key_rows):
+    """Keys that repeat on every side or are NULL, trades without a file's row and files' rows without a trade."""
+    day, other = datetime.date(2024, 1, 2), datetime.date(2024, 1, 5)
+    df = spark.createDataFrame([(i, k, d) for i, (k, d) in enumerate(
+        [(1, day), (1, day), (2, day), (3, day), (4, day), (1, other), (None, day), (1, None)])],
+        "id int, sec_id int, trade_date_est date")
+    eq = spark.createDataFrame([("1", 20240103, "p", "s", None, "i"), ("1", 20240103, "p2", None, "t", "i"),
+                                ("3", 20240103, None, None, "t", "i"), ("9", 20240103, "p", "s", "t", "i"),
+                                (None, 20240103, "p", "s", "t", "i"), ("4", None, "p", "s", "t", "i")], REF)
+    fu = spark.createDataFrame([("1", 20240103, "q", "u", "v", None), ("1", 20240103, None, "u", "v", None),
+                                ("2", 20240103, "q", "u", "v", "j"), ("3", 20240103, "q", "u", "v", "j"),
+                                ("2", 20240106, "q", "u", "v", "j"), (None, 20240103, "q", "u", "v", "j")], REF)
+    whole = join_reference(df, eq, fu, key_rows=key_rows)
+    cut = join_reference(df, eq, fu, prune="keys", key_rows=key_rows)
+    assert cut.columns == whole.columns and cut.dtypes == whole.dtypes
+    assert rows(cut) == rows(whole) and len(rows(cut)) == 14
+    with pytest.raises(ValueError, match="unknown prune mode"):
+        join_reference(df, eq, fu, prune="some")
+
+
+def test_dated_job_meets_the_files_while_its_rows_are_narrow(spark):
+    """historic_identifiers_dated: no file row without a trade meets the trades, identifiers and the days that follow
+    from other columns are not shuffled before they are needed."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        text = plan_of(queries.queries()["historic_identifiers_dated"](spark, SF))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "FullOuter" not in text
+    # from the top: requests to symbols, trades to snapshots, trades to files' rows, keys to either file
+    joins = [line.split("SortMergeJoin ", 1)[1] for line in text.splitlines() if "SortMergeJoin [" in line]
+    assert [j[1:].split("#")[0] for j in joins[:5]] == ["prefix", "_ak", "_k", "_ak", "_ak"]
+    lookup = text.split("Exchange hashpartitioning(prefix", 1)
+    assert "_minus1" in lookup[0] and "_minus1" not in lookup[1] and "sym_date" not in text
