@@ -132,7 +132,8 @@ def test_files_cut_to_the_keys_of_the_trades_give_the_same_rows(spark, key_rows)
 def test_dated_job_meets_the_files_while_its_rows_are_narrow(spark):
     """historic_identifiers_dated: no file row without a trade meets the trades, identifiers and the days that follow
     from other columns are not shuffled before they are needed."""
-    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.debug.maxToStringFields": "1000"}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
