@@ -8,14 +8,16 @@ a block accumulate group by group; a candidate whose score so far plus the bound
 dropped, and the survivors are compacted before the next group.
 
 The query blocks are dealt to every slice of the candidate blocks, a slice keeps only
-its k best per query, and a ranked window merges the slices. No row pairs arise.
+its k best per query, and a ranked window merges the slices. No row pairs arise. Blocks
+meet by a shuffle: copies of the query blocks for all slices, which grow with the product of
+both, never pass through the driver as a broadcast.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, ship
@@ -25,6 +27,7 @@ QUERIES = 512     # queries of a block
 GROUP = 16        # dimensions accumulated at a time
 SEEDS = 64        # candidates scored in full first, for a first bound
 STATES = 256      # query blocks whose best are held by a task at a time
+WIDTHS = (np.int16, np.int32, np.float64)
 EXACT = float(1 << 53)
 
 
@@ -36,8 +39,23 @@ def clean_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
             .dropna().where(~bad))
 
 
+def narrow(data: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest of ``WIDTHS`` that holds all of them."""
+    low, high = (data.min(), data.max()) if data.size else (0, 0)
+    for t in WIDTHS[:-1]:
+        if np.iinfo(t).min <= low and high <= np.iinfo(t).max:
+            return data.astype(t).tobytes()
+    return data.tobytes()
+
+
+def widen(data: bytes, n: int, dims: int) -> np.ndarray:
+    """The numbers of ``narrow`` as float64, a row for each vector."""
+    kind = next((t for t in WIDTHS if np.dtype(t).itemsize * n * dims == len(data)))
+    return np.frombuffer(data, kind).reshape(n, dims).astype(np.float64)
+
+
 def pack(vectors: DataFrame, scale: float, size: int) -> DataFrame:
-    """Blocks (n, dims, ids, data) of floor(scale * v) as float64, row after row."""
+    """Blocks (n, dims, ids, data) of floor(scale * v), row after row, ``data`` as ``narrow`` gives it."""
     schema = pa.schema([("n", pa.int32()), ("dims", pa.int32()), ("ids", pa.binary()),
                         ("data", pa.binary())])
 
@@ -48,7 +66,7 @@ def pack(vectors: DataFrame, scale: float, size: int) -> DataFrame:
             data[k, :len(r)] = r
         return pa.RecordBatch.from_pylist([{
             "n": len(ids), "dims": dims, "ids": np.array(ids, np.int64).tobytes(),
-            "data": np.floor(scale * data).tobytes()}], schema)
+            "data": narrow(np.floor(scale * data))}], schema)
 
     def run(batches):
         ids, rows = [], []
@@ -142,13 +160,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
     """
     spark = vectors.sparkSession
     ship(spark)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = materialize(pack(clean_vectors(vectors, id_col, vector_col), scale, block), "vectors")
-    ask = materialize(pack(clean_vectors(queries, id_col, vector_col), scale, QUERIES)
-                      .withColumn("q", F.monotonically_increasing_id()), "queries")
-    left = own.select(F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int").alias("slice"), "n", "dims",
-                      "ids", "data")
-    right = ask.select(F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), "q",
+    own, blocks = materialize(pack(clean_vectors(vectors, id_col, vector_col), scale, block), "vectors", count=True)
+    ask, asked = materialize(pack(clean_vectors(queries, id_col, vector_col), scale, QUERIES)
+                             .withColumn("q", F.monotonically_increasing_id()), "queries", count=True)
+    # more slices than blocks would only copy the queries; a task holds the queries of one part
+    slices = max(1, min(slices or int(spark.conf.get("spark.sql.shuffle.partitions")), blocks))
+    parts = max(1, -(-2 * asked // STATES))
+
+    def each(n: int, name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+    left = own.select(F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int").alias("slice"), each(parts, "part"), "n",
+                      "dims", "ids", "data")
+    right = ask.select(each(slices, "slice"), F.pmod(F.xxhash64("q"), F.lit(parts)).cast("int").alias("part"), "q",
                        F.col("n").alias("qn"), F.col("dims").alias("qdims"),
                        F.col("ids").alias("qids"), F.col("data").alias("qdata"))
 
@@ -172,19 +196,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
 
         for batch in batches:
             for row in batch.to_pylist():
-                if held[0] != row["ids"]:
-                    rows = np.frombuffer(row["data"]).reshape(row["n"], row["dims"])
-                    held = (row["ids"], Block(np.frombuffer(row["ids"], np.int64), rows))
+                if held[0] != (row["ids"], row["data"]):
+                    rows = widen(row["data"], row["n"], row["dims"])
+                    held = ((row["ids"], row["data"]), Block(np.frombuffer(row["ids"], np.int64), rows))
                 ids = np.frombuffer(row["qids"], np.int64)
                 if row["q"] not in state:
                     if len(state) >= STATES:
                         yield flush()
                     state[row["q"]] = (ids, [(np.zeros(0), np.zeros(0, np.int64))] * len(ids))
-                asked = np.frombuffer(row["qdata"]).reshape(row["qn"], row["qdims"])
-                held[1].search(asked, ids, state[row["q"]][1], k)
+                held[1].search(widen(row["qdata"], row["qn"], row["qdims"]), ids, state[row["q"]][1], k)
         yield flush()
 
-    found = left.join(right, "slice").drop("slice").mapInArrow(
+    found = left.join(right.hint("merge"), ["slice", "part"]).drop("slice", "part").mapInArrow(
         run, "q long, place long, query_id long, vec_id long, score long")
     order = Window.partitionBy("q", "place").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -55,3 +56,24 @@ def test_few_and_no_candidates(spark):
     rows = [(1, [1.0]), (2, [2.0])]
     assert run(spark, rows, rows) == [(1, 1, 2, 131072), (2, 1, 1, 131072)]
     assert run(spark, rows[:1], rows[:1]) == [] == run(spark, rows, []) == run(spark, [], rows)
+
+
+def test_queries_meet_the_blocks_by_a_shuffle(spark):
+    """Copies of the query blocks for every slice are no broadcast, however small the tables are, and there are no more
+    slices than blocks."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(90)], "vec_id long, embedding array<double>")
+    plan = t.top_k(df, df, block=40, slices=1000)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "Broadcast" not in text and "SortMergeJoin [slice" in text
+    slices = int(re.search(r"pmod\(xxhash64\(ids#\d+, 42\), (\d+)\)", plan.optimizedPlan().toString()).group(1))
+    assert 3 <= slices <= 90
+
+
+def test_blocks_of_every_width(spark):
+    """Whole numbers up to the limits of the packed types and beyond, and blocks of the same ids with other vectors."""
+    edge = [32767, -32768, 32768, -32769, 2**31 - 1, -2**31, 2**31, 0, -1, 2**40]
+    rows = [(i, [x / 256, 1.0, -0.0]) for i, x in enumerate(edge)]
+    for some in (rows[:2], rows[:4], rows[:6], rows):
+        assert run(spark, some, some, block=2, slices=2) == brute(some, some, 5)
+    twice = [(i, [float(i + 5 * j), 2.0 - j]) for j in range(6) for i in range(4)]
+    assert run(spark, twice, twice[:4], block=4, slices=2) == brute(twice, twice[:4], 5)
