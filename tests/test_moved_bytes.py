@@ -2,11 +2,13 @@
 
 import datetime
 import glob
+import os
+import time
 import uuid
 
 import pytest
 
-from idweave import queries, session, versions
+from idweave import queries, session, sinks, versions
 from idweave.operators import assign_ids, ids, join_reference
 
 SF = "/root/testdata/sf0.001"
@@ -147,3 +149,55 @@ def test_dated_job_meets_the_files_while_its_rows_are_narrow(spark):
     assert [j[1:].split("#")[0] for j in joins[:5]] == ["prefix", "_ak", "_k", "_ak", "_ak"]
     lookup = text.split("Exchange hashpartitioning(prefix", 1)
     assert "_minus1" in lookup[0] and "_minus1" not in lookup[1] and "sym_date" not in text
+
+
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (os.path.basename(str(files.apply(i))) for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def left_over(spark, before, wait=10):
+    """The shuffle files that have come since ``before`` and stay."""
+    until = time.time() + wait
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return left
+
+
+def shuffled(spark):
+    return spark.range(3000).repartition(5, "id").groupBy("id").count().repartition(3, "count")
+
+
+@pytest.mark.parametrize("how", ["materialize", "publish", "publish_version"])
+def test_shuffles_of_a_write_go_with_it(spark, how, tmp_path):
+    """attach_symbols and all jobs of several writes: what is stored is read from then on, its shuffles are not."""
+    name, before = f"freed_{uuid.uuid4().hex}", shuffle_files(spark)
+    if how == "materialize":
+        session.materialize(shuffled(spark), "freed")
+    elif how == "publish":
+        sinks.publish(shuffled(spark), name, path=str(tmp_path))
+    else:
+        versions.publish_version(shuffled(spark), name, path=str(tmp_path))
+    assert not left_over(spark, before) and spark.conf.get(FREED, None) is None
+    if how != "materialize":
+        assert spark.table(name).count() == 3000
+        versions.drop_versions(spark, name) if how == "publish_version" else spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_session_may_keep_its_shuffles(spark):
+    spark.conf.set(FREED, "false")
+    try:
+        df = shuffled(spark)
+        with session.freed_shuffles(spark):
+            assert spark.conf.get(FREED) == "false"
+        assert session.materialize(df, "kept").count() == 3000 and spark.conf.get(FREED) == "false"
+    finally:
+        spark.conf.unset(FREED)
+    with pytest.raises(ZeroDivisionError), session.freed_shuffles(spark):
+        assert spark.conf.get(FREED) == "true"
+        1 / 0
+    assert spark.conf.get(FREED, None) is None
