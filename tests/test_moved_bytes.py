@@ -10,6 +10,7 @@ import pytest
 
 from idweave import queries, session, sinks, versions
 from idweave.operators import assign_ids, ids, join_reference
+from idweave.plans import identifiers
 
 SF = "/root/testdata/sf0.001"
 REF = "sec_id string, file_eff_dt int, parent_id_undr string, sedol_id string, ticker string, isin_id string"
@@ -201,3 +202,11 @@ def test_a_session_may_keep_its_shuffles(spark):
         assert spark.conf.get(FREED) == "true"
         1 / 0
     assert spark.conf.get(FREED, None) is None
+
+
+def test_trades_with_their_own_snapshots_are_stored_once(spark, stored):
+    """historic_identifiers_by_security: the window over the security master is not part of three later plans."""
+    seen = stored(identifiers)
+    text = plan_of(queries.queries()["historic_identifiers_by_security"](spark, SF))
+    assert {"as-of", "enriched"} <= set(seen) and "Window" not in text
+    assert "Window" not in plan_of(seen["enriched"]) and "snapshot_date" in seen["as-of"].columns
