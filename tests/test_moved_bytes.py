@@ -8,8 +8,8 @@ import uuid
 
 import pytest
 
-from idweave import queries, session, sinks, versions
-from idweave.operators import assign_ids, ids, join_reference
+from idweave import fixtures, queries, session, sinks, versions
+from idweave.operators import assign_ids, ids, join_reference, registered_ids
 from idweave.plans import identifiers
 
 SF = "/root/testdata/sf0.001"
@@ -210,3 +210,35 @@ def test_trades_with_their_own_snapshots_are_stored_once(spark, stored):
     text = plan_of(queries.queries()["historic_identifiers_by_security"](spark, SF))
     assert {"as-of", "enriched"} <= set(seen) and "Window" not in text
     assert "Window" not in plan_of(seen["enriched"]) and "snapshot_date" in seen["as-of"].columns
+
+
+def test_rows_with_registered_ids_are_stored_and_the_stages_before_them_are_not(spark, tmp_path):
+    """published_versions_of_identifiers: later passes over the rows do not join the registry again."""
+    name, day = f"ids_{uuid.uuid4().hex}", datetime.date(2024, 1, 2)
+    df = spark.createDataFrame([(k, day if k != 2 else None, v) for k in (3, 1, None, 2) for v in "ab"],
+                               "k int, d date, v string")
+    try:
+        first = rows(registered_ids(df.where("k < 3"), ["k", "d"], name))
+        with session.stage_scope(spark) as stages:
+            out = registered_ids(df, ["k", "d"], name)
+            assert "Join" not in plan_of(out) and len(stages) == 1
+            folders = os.listdir(os.path.dirname(stages[0].removeprefix("file:")))
+            got = rows(out)
+        assert not os.path.exists(stages[0].removeprefix("file:")) and stages[0].split("/")[-1].startswith("registered-")
+        assert [f for f in folders if f == stages[0].split("/")[-1]]
+        assert {(k, d, v): i for i, k, d, v in first}.items() <= {(k, d, v): i for i, k, d, v in got}.items()
+        assert sorted({i for i, *_ in got}) == [1, 2, 3, 4] and len(got) == 8
+    finally:
+        versions.drop_versions(spark, name)
+
+
+def test_published_job_stores_its_enriched_rows(spark, stored):
+    seen, name = stored(identifiers), f"result_{uuid.uuid4().hex}"
+    counts = identifiers.publish_identifiers(fixtures.sources(spark, SF), name, versioned=True, registry=f"{name}_ids",
+                                             partition_cols=("prefix",))
+    try:
+        assert "enriched" in seen and identifiers.KEY_ROWS not in seen["enriched"].columns
+        assert counts["enriched"] > 0 and counts["result"] == spark.table(name).count()
+    finally:
+        versions.drop_versions(spark, name)
+        versions.drop_versions(spark, f"{name}_ids")
